@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quayside.operators.features import z_score
 from quayside.sources import read_table
 
 
@@ -129,3 +130,63 @@ periods AS (
   SELECT CAST(e - INTERVAL 7 DAY AS DATE) AS period_start, CAST(e AS DATE) AS period_end
   FROM (SELECT unnest(generate_series(lo + INTERVAL 7 DAY, hi::TIMESTAMP, INTERVAL 1 DAY)) AS e FROM span))
 """
+
+
+FEATURES = ["n_chars", "n_words", "word_length", "digit_share", "upper_share", "space_share"]
+
+
+def labelled(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled documents with a few numbers about their text."""
+    def share(pattern):
+        return F.try_divide(F.regexp_count("text", F.lit(pattern)), F.char_length("text"))
+    docs = read_table(spark, folder, "documents").select(
+        "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split("text", r"\s+")).cast("double").alias("n_words"),
+        F.coalesce(share("[0-9]"), F.lit(0.0)).alias("digit_share"),
+        F.coalesce(share(r"\p{Lu}"), F.lit(0.0)).alias("upper_share"),
+        F.coalesce(share(r"\s"), F.lit(0.0)).alias("space_share"))
+    docs = docs.withColumn("word_length", F.col("n_chars") / F.col("n_words"))
+    return read_table(spark, folder, "labels").join(docs, "doc_id")
+
+
+def scaled_labelled(spark: SparkSession, folder: str) -> DataFrame:
+
+    rows = labelled(spark, folder)
+    return z_score(rows, FEATURES).fillna(0.0, subset=FEATURES)
+
+
+def judged(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels with a rule-based score (with ties) and a prediction from it."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "n_chars")
+    score = F.least(F.floor(F.col("n_chars") / 50) / 100, F.lit(1.0))
+    return (read_table(spark, folder, "labels").join(docs, "doc_id")
+            .select("doc_id", "quality", score.alias("score"))
+            .withColumn("prediction", (F.col("score") >= 0.2).cast("int")))
+
+
+JUDGED = """
+scored AS (SELECT doc_id, quality, least(floor(n_chars / 50) / 100, 1.0) AS score
+           FROM labels JOIN documents USING (doc_id)),
+judged AS (SELECT *, CASE WHEN score >= 0.2 THEN 1 ELSE 0 END AS prediction FROM scored)
+"""
+
+# Common words of the four languages of the test documents, enough to have something to take out.
+STOP_WORDS = ["the", "and", "for", "with", "that", "this", "from", "was", "are", "not", "you", "les", "des", "une",
+              "est", "que", "der", "die", "das", "und", "ist", "los", "las", "una", "por", "para", "del"]
+
+TOKENS = r"""
+toks AS (SELECT doc_id, lang, source, list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'),
+  lambda t: length(t) >= 3 AND NOT regexp_full_match(t, '\p{N}+') AND NOT list_contains([""" + ", ".join(
+    f"'{w}'" for w in STOP_WORDS) + r"""], t)) AS tokens FROM documents)
+"""
+
+VOCAB = TOKENS.rstrip() + """,
+dfs AS (SELECT term, count(*) AS df, sum(n) AS cf FROM (
+  SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(tokens) AS term FROM toks) GROUP BY 1, 2) GROUP BY 1),
+kept AS (SELECT * FROM dfs WHERE df >= 30 AND df <= 0.5 * (SELECT count(*) FROM toks)
+         ORDER BY df DESC, term LIMIT 20000),
+vocab AS (SELECT CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS id, term, CAST(df AS BIGINT) AS df,
+          CAST(cf AS BIGINT) AS cf FROM kept),
+bow AS (SELECT doc_id, id, term, CAST(count(*) AS BIGINT) AS tf
+        FROM (SELECT doc_id, unnest(tokens) AS term FROM toks) JOIN vocab USING (term) GROUP BY 1, 2, 3)
+"""

@@ -1,8 +1,367 @@
-"""stub"""
-from pyspark.sql import DataFrame, functions as F
+"""Daily series: calendar, decomposition, autocorrelation, tests, ARIMA.
 
+Input is long: (series, ds, y) with ds a DATE and one row per series and day, so that a series is bounded by
+the calendar (36,525 rows a century) whatever the number of source rows behind it. Series are the unit of
+parallel work: one shuffle by series, then a window, or a small numpy step where a method needs the whole
+series at once (a transform, a regression on lags, a recursion).
+"""
 
-def business_days(df: DataFrame, keys: list[str] = ("series",), time_col: str = "ds") -> DataFrame:
-    ends = df.groupBy(*keys).agg(F.min(time_col).alias("_lo"), F.max(time_col).alias("_hi"))
-    days = F.explode(F.sequence("_lo", "_hi"))
-    return ends.select(*keys, days.alias(time_col)).filter(F.weekday(time_col) < 5)
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window as W, functions as F
+
+from quayside.functions.distributions import f_tail, normal_cdf
+from quayside.operators.joins import asof_calendar
+from quayside.operators.windows import centered_moving_average, forward_fill, require_date
+
+
+
+def _values(pdf: pd.DataFrame) -> np.ndarray:
+    return pdf.sort_values("ds")["y"].dropna().to_numpy(dtype=float)
+
+
+# --- calendar ------------------------------------------------------------------------------------------
+
+
+def business_days(df: DataFrame) -> DataFrame:
+    """Monday to Friday from the first to the last day of each series."""
+    require_date(df, "ds")
+    ends = df.groupBy("series").agg(F.min("ds").alias("lo"), F.max("ds").alias("hi"))
+    return (ends.select("series", F.explode(F.sequence("lo", "hi")).alias("ds"))
+            .filter(F.weekday("ds") < 5))
+
+
+def business_day_resample(df: DataFrame) -> DataFrame:
+    """The last row at or before each business day; a missing value there stays missing."""
+    return asof_calendar(business_days(df), df, ["series"], "ds")
+
+
+def fill_series(df: DataFrame) -> DataFrame:
+    """Business days with missing values filled by the last known one."""
+    return forward_fill(business_day_resample(df), ["series"], "ds", ["y"])
+
+
+# --- decomposition -------------------------------------------------------------------------------------
+
+
+def seasonal_decompose(df: DataFrame, period: int, model: str = "additive") -> DataFrame:
+    """(series, ds, y, trend, seasonal, resid): y is the sum of the parts, or their product.
+
+    The trend is a centred moving average. Its ends, which have no full window, follow a straight line
+    through one period: the first period of trend values, and the period before the last one.
+    """
+    require_date(df, "ds")
+    half = period // 2
+    n = F.count(F.lit(1)).over(W.partitionBy("series"))
+    rows = (centered_moving_average(df, ["series"], "ds", "y", period)
+            .withColumns({"_i": F.row_number().over(W.partitionBy("series").orderBy("ds")) - 1, "_n": n}))
+    back = F.col("_n") - 1 - half
+    in_front = (F.col("_i") >= half) & (F.col("_i") < F.least(F.lit(half + period), back))
+    in_back = (F.col("_i") >= F.greatest(F.lit(half), back - period)) & (F.col("_i") < back)
+
+    def line(inside):
+        y, x = F.when(inside, F.col("trend")), F.when(inside, F.col("_i").cast("double"))
+        return F.struct(F.regr_slope(y, x).alias("k"), F.regr_intercept(y, x).alias("c"))
+
+    lines = rows.groupBy("series").agg(line(in_front).alias("_f"), line(in_back).alias("_b"))
+    i = F.col("_i")
+    trend = (F.when(i < half, F.col("_f.k") * i + F.col("_f.c"))
+             .when(i > back, F.col("_b.k") * i + F.col("_b.c")).otherwise(F.col("trend")))
+    rows = rows.join(lines, "series").withColumns({"trend": trend, "_phase": F.pmod(i, F.lit(period))})
+    y, t = F.col("y"), F.col("trend")
+    rest = y / t if model == "multiplicative" else y - t
+    phase = rows.withColumn("_rest", rest).groupBy("series", "_phase").agg(F.avg("_rest").alias("_mean"))
+    middle = F.avg("_mean").over(W.partitionBy("series"))  # over one row per phase
+    season = F.col("_mean") / middle if model == "multiplicative" else F.col("_mean") - middle
+    phase = phase.select("series", "_phase", season.alias("seasonal"))
+    s = F.col("seasonal")
+    resid = y / t / s if model == "multiplicative" else y - t - s
+    return (rows.join(phase, ["series", "_phase"]).withColumn("resid", resid)
+            .select("series", "ds", "y", "trend", "seasonal", "resid"))
+
+
+# --- autocorrelation -----------------------------------------------------------------------------------
+
+
+def _acf(y: np.ndarray, lags: int) -> np.ndarray:
+    """Autocorrelation by transform, so that thousands of lags cost little more than one."""
+    d = y - y.mean()
+    size = 1 << (2 * len(d) - 1).bit_length()
+    power = np.abs(np.fft.rfft(d, size)) ** 2
+    cov = np.fft.irfft(power, size)[:lags + 1]
+    return cov / cov[0] if cov[0] > 0 else np.full(len(cov), np.nan)
+
+
+def autocorrelation(df: DataFrame, lags: int) -> DataFrame:
+    """(series, lag, acf, n) for lags 0 … ``lags``; the sums are all divided by n."""
+    require_date(df, "ds")
+
+    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
+        y = _values(pdf)
+        r = _acf(y, min(lags, len(y) - 1))
+        return pd.DataFrame({"series": pdf["series"].iloc[0], "lag": np.arange(len(r)), "acf": r, "n": len(y)})
+
+    return df.groupBy("series").applyInPandas(per_series, "series string, lag int, acf double, n bigint")
+
+
+def partial_autocorrelation(df: DataFrame, lags: int, adjusted: bool = True) -> DataFrame:
+    """(series, lag, pacf, n) from the autocorrelations by the Durbin-Levinson recursion.
+
+    ``adjusted`` divides the sum at lag k by n - k instead of n.
+    """
+
+    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("lag")
+        r, n = pdf["acf"].to_numpy(), int(pdf["n"].iloc[0])
+        if adjusted:
+            r = r * n / (n - np.arange(len(r)))
+        out, phi, left = [1.0], np.zeros(0), 1.0
+        for k in range(1, len(r)):
+            a = (r[k] - phi @ r[k - 1:0:-1]) / left
+            phi = np.append(phi - a * phi[::-1], a)
+            left *= 1 - a * a
+            out.append(a)
+        return pd.DataFrame({"series": pdf["series"].iloc[0], "lag": np.arange(len(out)), "pacf": out, "n": n})
+
+    return autocorrelation(df, lags).groupBy("series").applyInPandas(
+        per_series, "series string, lag int, pacf double, n bigint")
+
+
+def significant_lags(correlations: DataFrame, value: str = "acf") -> DataFrame:
+    """Lags from 1 beyond the band of 1.96 / sqrt(n), and whether they belong to the first unbroken run."""
+    band = F.lit(1.96) / F.sqrt("n")
+    rows = correlations.filter(F.col("lag") >= 1).withColumn("band", band)
+    over = F.abs(value) > F.col("band")
+    first_gap = F.min(F.when(~over, F.col("lag"))).over(W.partitionBy("series"))
+    run = F.coalesce(F.col("lag") < first_gap, F.lit(True))
+    return (rows.withColumns({"in_first_run": run, "_over": over}).filter("_over")
+            .select("series", "lag", value, "band", "in_first_run"))
+
+
+# --- tests ---------------------------------------------------------------------------------------------
+
+# Response surface for the distribution of the unit-root statistic with a constant
+# (MacKinnon 1994 for the p-value, 2010 for the critical values).
+ADF_MAX, ADF_MIN, ADF_STAR = 2.74, -18.83, -1.61
+ADF_SMALL = [2.1659, 1.4412, 0.038269]
+ADF_LARGE = [1.7339, 0.93202, -0.12745, -0.010368]
+ADF_CRITICAL = {
+    "crit_1": [-3.43035, -6.5393, -16.786, -79.433],
+    "crit_5": [-2.86154, -2.8903, -4.234, -40.040],
+    "crit_10": [-2.56677, -1.5384, -2.809, 0.0],
+}
+
+
+def _adf_p(stat: float) -> float:
+    if stat > ADF_MAX:
+        return 1.0
+    if stat < ADF_MIN:
+        return 0.0
+    surface = ADF_SMALL if stat <= ADF_STAR else ADF_LARGE
+    return normal_cdf(sum(c * stat ** i for i, c in enumerate(surface)))
+
+
+def _ols(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
+    """Coefficients, sum of squared residuals, inverse of X'X."""
+    inverse = np.linalg.pinv(x.T @ x)
+    beta = np.linalg.lstsq(x, y, rcond=None)[0]
+    e = y - x @ beta
+    return beta, float(e @ e), inverse
+
+
+def _lags(y: np.ndarray, first: int, last: int, start: int) -> np.ndarray:
+    """Columns y[t-first] … y[t-last] for t = start … end."""
+    return np.column_stack([y[start - k:len(y) - k] for k in range(first, last + 1)]) if last >= first \
+        else np.empty((len(y) - start, 0))
+
+
+def _adf(y: np.ndarray, max_lag: int | None, fixed: bool) -> tuple[float, int, int]:
+    d = np.diff(y)
+    if max_lag is None:
+        max_lag = max(0, min(math.ceil(12.0 * (len(y) / 100.0) ** 0.25), len(y) // 2 - 2))
+
+    def design(lag, start):
+        target = d[start:]
+        level = y[start:-1]
+        return np.column_stack([level, _lags(d, 1, lag, start), np.ones(len(target))]), target
+
+    best = max_lag
+    if not fixed:
+        scores = []
+        x, target = design(max_lag, max_lag)  # one sample for all, so that the scores compare
+        n = len(target)
+        for lag in range(max_lag + 1):
+            used = np.column_stack([x[:, :1 + lag], x[:, -1:]])
+            _, ssr, _ = _ols(used, target)
+            scores.append(n * math.log(max(ssr, 1e-300) / n) + 2 * used.shape[1])
+        best = int(np.argmin(scores))
+    x, target = design(best, best)
+    beta, ssr, inverse = _ols(x, target)
+    n, k = x.shape
+    return float(beta[0] / math.sqrt(ssr / (n - k) * inverse[0, 0])), best, n
+
+
+def adf_stationarity(df: DataFrame, max_lag: int | None = None, fixed_lag: bool = False) -> DataFrame:
+    """Augmented Dickey-Fuller test with a constant, per series; the lag is the one with the best AIC.
+
+    ``fixed_lag`` uses ``max_lag`` itself. ``stationary`` is the decision at 5 %.
+    """
+    require_date(df, "ds")
+
+    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
+        stat, lag, n = _adf(_values(pdf), max_lag, fixed_lag)
+        p = _adf_p(stat)
+        critical = {name: [sum(c / n ** i for i, c in enumerate(b))] for name, b in ADF_CRITICAL.items()}
+        return pd.DataFrame({"series": [pdf["series"].iloc[0]], "statistic": [stat], "lag": [lag], "n": [n],
+                             "p_value": [p], **critical, "stationary": [p < 0.05]})
+
+    return df.groupBy("series").applyInPandas(
+        per_series, "series string, statistic double, lag int, n bigint, p_value double, "
+                    "crit_1 double, crit_5 double, crit_10 double, stationary boolean")
+
+
+def granger_causality(df: DataFrame, cause: str, effect: str, max_lag: int, ds: str = "ds") -> DataFrame:
+    """(lag, f, p_value, df_num, df_den): does the past of ``cause`` help to predict ``effect``?
+
+    ``df`` has one row per day, so the one group is bounded by the calendar.
+    """
+    require_date(df, ds)
+
+    def test(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(ds)
+        y, x = pdf[effect].to_numpy(dtype=float), pdf[cause].to_numpy(dtype=float)
+        rows = []
+        for lag in range(1, max_lag + 1):
+            target = y[lag:]
+            own = np.column_stack([_lags(y, 1, lag, lag), np.ones(len(target))])
+            both = np.column_stack([own, _lags(x, 1, lag, lag)])
+            rest = len(target) - both.shape[1]
+            if rest < 1:
+                break
+            _, ssr_own, _ = _ols(own, target)
+            _, ssr_both, _ = _ols(both, target)
+            f = (ssr_own - ssr_both) / lag / (ssr_both / rest) if ssr_both > 0 else float("inf")
+            rows.append((lag, f, f_tail(f, lag, rest), lag, rest))
+        return pd.DataFrame(rows, columns=["lag", "f", "p_value", "df_num", "df_den"])
+
+    return df.select(ds, cause, effect).groupBy().applyInPandas(
+        test, "lag int, f double, p_value double, df_num int, df_den int")
+
+
+# --- ARIMA ---------------------------------------------------------------------------------------------
+
+
+def _arima(y: np.ndarray, order: tuple[int, int, int]) -> dict:
+    """Two regressions (Hannan-Rissanen): a long autoregression gives the shocks, then y is regressed on its
+    own lags and on lagged shocks."""
+    p, d, q = order
+    w = np.diff(y, n=d) if d else y
+    mean = float(w.mean()) if d == 0 else 0.0
+    x = w - mean
+    long = min(max(p + q, int(10 * math.log10(len(x)))), len(x) // 4) if q else 0
+    shocks = np.zeros(len(x))
+    if q:
+        past = _lags(x, 1, long, long)
+        beta, _, _ = _ols(past, x[long:])
+        shocks[long:] = x[long:] - past @ beta
+    start = max(p, long + q)
+    inputs = np.column_stack([_lags(x, 1, p, start), _lags(shocks, 1, q, start)])
+    target = x[start:]
+    beta = _ols(inputs, target)[0] if p + q else np.zeros(0)
+    resid = target - inputs @ beta if p + q else target
+    n = len(resid)
+    sigma2 = max(float(resid @ resid) / n, 1e-300)
+    k = p + q + 1 + (d == 0)
+    shocks[start:] = resid
+    return {"mean": mean, "ar": beta[:p], "ma": beta[p:], "sigma2": sigma2, "w": w, "x": x, "shocks": shocks,
+            "n": n, "aic": n * (math.log(2 * math.pi * sigma2) + 1) + 2 * k}
+
+
+def fit_arima(df: DataFrame, order: tuple[int, int, int]) -> DataFrame:
+    """(series, term, value): const, ar.L*, ma.L*, sigma2, aic."""
+    require_date(df, "ds")
+
+    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
+        m = _arima(_values(pdf), order)
+        terms = {"const": m["mean"]} if order[1] == 0 else {}
+        terms |= {f"ar.L{i + 1}": v for i, v in enumerate(m["ar"])}
+        terms |= {f"ma.L{i + 1}": v for i, v in enumerate(m["ma"])}
+        terms |= {"sigma2": m["sigma2"], "aic": m["aic"]}
+        return pd.DataFrame({"series": pdf["series"].iloc[0], "term": list(terms),
+                             "value": [float(v) for v in terms.values()]})
+
+    return df.groupBy("series").applyInPandas(per_series, "series string, term string, value double")
+
+
+def _forecast(y: np.ndarray, order: tuple[int, int, int], steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard error for each step after the end of y."""
+    p, d, q = order
+    m = _arima(y, order)
+    x, shocks = list(m["x"][-p:]) if p else [], list(m["shocks"][-q:]) if q else []
+    mean = np.empty(steps)
+    for h in range(steps):
+        value = sum(c * x[-1 - i] for i, c in enumerate(m["ar"]))
+        value += sum(c * shocks[-1 - i] for i, c in enumerate(m["ma"]))
+        mean[h] = value + m["mean"]
+        x.append(value)
+        shocks.append(0.0)
+    psi = np.zeros(steps)
+    psi[0] = 1.0
+    for h in range(1, steps):
+        psi[h] = sum(c * psi[h - 1 - i] for i, c in enumerate(m["ar"]) if h - 1 - i >= 0)
+        psi[h] += m["ma"][h - 1] if h <= q else 0.0
+    for back in range(d):
+        last = np.diff(y, n=d - 1 - back)[-1] if d - 1 - back else y[-1]
+        mean, psi = last + np.cumsum(mean), np.cumsum(psi)
+    return mean, np.sqrt(m["sigma2"] * np.cumsum(psi * psi))
+
+
+def _normal_quantile(level: float) -> float:
+    """z with P(|Z| < z) = level, by bisection."""
+    lo, hi = 0.0, 40.0
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if 2 * normal_cdf(mid) - 1 < level else (lo, mid)
+    return (lo + hi) / 2
+
+
+def forecast_arima(train: DataFrame, test: DataFrame, order: tuple[int, int, int], level: float = 0.95
+                   ) -> DataFrame:
+    """(series, ds, mean, lower, upper, actual), one row per test day; only ``train`` is used for the fit."""
+    require_date(train, "ds")
+    z = _normal_quantile(level)
+    both = train.select("series", "ds", "y", F.lit(False).alias("is_test")).unionByName(
+        test.select("series", "ds", "y", F.lit(True).alias("is_test")))
+
+    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ds")
+        past, ahead = pdf[~pdf["is_test"]], pdf[pdf["is_test"]]
+        mean, se = np.full(len(ahead), np.nan), np.full(len(ahead), np.nan)
+        if len(ahead) and len(past) > 4 * (sum(order) + 1):
+            mean, se = _forecast(_values(past), order, len(ahead))
+        return pd.DataFrame({"series": ahead["series"], "ds": ahead["ds"], "mean": mean, "lower": mean - z * se,
+                             "upper": mean + z * se, "actual": ahead["y"]})
+
+    return both.groupBy("series").applyInPandas(
+        per_series, "series string, ds date, mean double, lower double, upper double, actual double")
+
+
+def arima_grid(df: DataFrame, p, d, q) -> DataFrame:
+    """(series, p, d, q, aic, best) for every order of the product. A series is shuffled once for all."""
+    require_date(df, "ds")
+    orders = [(a, b, c) for a in p for b in d for c in q]
+
+    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
+        y = _values(pdf)
+        out = pd.DataFrame(orders, columns=["p", "d", "q"])
+        out["aic"] = [_arima(y, order)["aic"] for order in orders]
+        out.insert(0, "series", pdf["series"].iloc[0])
+        out["best"] = out["aic"] == out["aic"].min()
+        return out
+
+    return df.groupBy("series").applyInPandas(
+        per_series, "series string, p int, d int, q int, aic double, best boolean")

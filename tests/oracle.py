@@ -70,7 +70,7 @@ def main() -> None:
             else:
                 problem, note = difference(df, con, sql), ""
         except Exception as error:  # a report over all queries; each failure is one line
-            problem, note = f"{type(error).__name__}: {str(error)[:600]}", ""
+            problem, note = f"{type(error).__name__}: {str(error)[:600].splitlines()[0]}", ""
         bad += problem is not None
         print(f"{'ok ' if problem is None else 'BAD'} {name} {time.time() - start:.2f}s {note}{problem or ''}", flush=True)
     print(f"{bad} bad")
