@@ -84,6 +84,16 @@ def _(spark, sf):
     return T.partial_autocorrelation(price_series(spark, sf), 50)
 
 
+@query("partial_autocorrelation_two_lags", f"""
+WITH {ACF}, r AS (SELECT series, any_value(n) AS n, max(acf) FILTER (WHERE lag = 1) * any_value(n) / (any_value(n) - 1) AS r1,
+  max(acf) FILTER (WHERE lag = 2) * any_value(n) / (any_value(n) - 2) AS r2 FROM acf GROUP BY 1)
+SELECT series, r1 AS pacf_1, (r2 - r1 * r1) / (1 - r1 * r1) AS pacf_2 FROM r""", {"pacf_1": 8, "pacf_2": 8})
+def _(spark, sf):
+    pacf = T.partial_autocorrelation(price_series(spark, sf), 50)
+    return pacf.groupBy("series").agg(*[F.max(F.when(F.col("lag") == k, F.col("pacf"))).alias(f"pacf_{k}")
+                                        for k in (1, 2)])
+
+
 @query("significant_lags", f"""
 WITH {ACF}, b AS (SELECT *, 1.96 / sqrt(n) AS band FROM acf WHERE lag >= 1),
 g AS (SELECT *, min(lag) FILTER (WHERE abs(acf) <= band) OVER (PARTITION BY series) AS gap FROM b)
@@ -108,12 +118,27 @@ def _(spark, sf):
     return T.adf_stationarity(price_series(spark, sf))
 
 
-@query("granger_causality")
-def _(spark, sf):
-    days = (read_table(spark, sf, "events").groupBy(F.to_date("ts").alias("ds"))
+def daily_kinds(spark, sf):
+    return (read_table(spark, sf, "events").groupBy(F.to_date("ts").alias("ds"))
             .agg(F.count_if(F.col("event_type") == "click").alias("clicks"),
                  F.count_if(F.col("event_type") == "purchase").alias("purchases")))
-    return T.granger_causality(days, "clicks", "purchases", 5)
+
+
+@query("granger_causality")
+def _(spark, sf):
+    return T.granger_causality(daily_kinds(spark, sf), "clicks", "purchases", 5)
+
+
+# With one lag the test is that of the partial correlation of today and the other's yesterday, given own yesterday.
+@query("granger_lag_one", """
+WITH d AS (SELECT CAST(ts AS DATE) AS ds, count(*) FILTER (WHERE event_type = 'click') AS x,
+  count(*) FILTER (WHERE event_type = 'purchase') AS y FROM events GROUP BY 1),
+l AS (SELECT y, lag(y) OVER (ORDER BY ds) AS y1, lag(x) OVER (ORDER BY ds) AS x1 FROM d),
+r AS (SELECT corr(y, x1) AS a, corr(y, y1) AS b, corr(x1, y1) AS c, count(y1) AS n FROM l WHERE y1 IS NOT NULL),
+p AS (SELECT (a - b * c) ** 2 / ((1 - b * b) * (1 - c * c)) AS q, n FROM r)
+SELECT 1 AS lag, q / (1 - q) * (n - 3) AS f, 1 AS df_num, CAST(n - 3 AS INTEGER) AS df_den FROM p""", {"f": 6})
+def _(spark, sf):
+    return T.granger_causality(daily_kinds(spark, sf), "clicks", "purchases", 1).drop("p_value")
 
 
 @query("fit_arima")
@@ -121,6 +146,41 @@ def _(spark, sf):
     return T.fit_arima(price_series(spark, sf), (1, 0, 10))
 
 
+AR1 = """
+m AS (SELECT series, avg(y) AS mean FROM {rows} GROUP BY 1),
+x AS (SELECT s.series, ds, y - mean AS x, lag(y - mean) OVER (PARTITION BY s.series ORDER BY ds) AS x1
+      FROM {rows} s JOIN m USING (series)),
+fit AS (SELECT series, sum(x * x1) / sum(x1 * x1) AS phi, count(x1) AS n, arg_max(x, ds) AS x_last,
+  (sum(x * x) FILTER (WHERE x1 IS NOT NULL) - sum(x * x1) ** 2 / sum(x1 * x1)) / count(x1) AS sigma2
+  FROM x GROUP BY 1)
+"""
+
+
+@query("fit_arima_ar_one", f"""
+WITH {SERIES}, {AR1.format(rows="series")}
+SELECT series, 'const' AS term, mean AS value FROM m UNION ALL SELECT series, 'ar.L1', phi FROM fit
+UNION ALL SELECT series, 'sigma2', sigma2 FROM fit
+UNION ALL SELECT series, 'aic', n * (ln(2 * pi() * sigma2) + 1) + 6 FROM fit""", {"value": 3})
+def _(spark, sf):
+    return T.fit_arima(price_series(spark, sf), (1, 0, 0))
+
+
+@query("forecast_arima_ar_one", f"""
+WITH {SERIES},
+d AS (SELECT ds, row_number() OVER (ORDER BY ds) AS r FROM (SELECT DISTINCT ds FROM series)),
+cut AS (SELECT max(ds) AS last FROM d WHERE r <= round((SELECT count(*) FROM d) * 0.8)),
+train AS (SELECT series.* FROM series, cut WHERE ds <= last), {AR1.format(rows="train")},
+test AS (SELECT series.*, row_number() OVER (PARTITION BY series ORDER BY ds) AS h FROM series, cut WHERE ds > last)
+SELECT test.series, ds, mean + phi ** h * x_last AS mean,
+  mean + phi ** h * x_last - 1.959963984540054 * sqrt(sigma2 * (1 - phi ** (2 * h)) / (1 - phi * phi)) AS lower,
+  mean + phi ** h * x_last + 1.959963984540054 * sqrt(sigma2 * (1 - phi ** (2 * h)) / (1 - phi * phi)) AS upper,
+  y AS actual FROM test JOIN fit USING (series) JOIN m USING (series)""",
+       {"mean": 4, "lower": 4, "upper": 4, "actual": 4})
+def _(spark, sf):
+    train, test = X.split_time(price_series(spark, sf), "ds")
+    return T.forecast_arima(train, test, (1, 0, 0))
+
+
 @query("forecast_arima", f"""
 WITH {SERIES},
 d AS (SELECT ds, row_number() OVER (ORDER BY ds) AS r FROM (SELECT DISTINCT ds FROM series)),

@@ -1,5 +1,6 @@
 """Sources and cleaning of raw text times."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quayside.catalog.fixtures import SPOILED_ORDERS, spoiled_orders
@@ -34,8 +35,8 @@ def _(spark, sf):
         "o_orderkey", S.fix_sixty(F.col("ts_text")).cast("timestamp_ntz").alias("ts"))
 
 
-@query("to_features")
+@query("to_features", "SELECT l_orderkey, l_quantity AS f0, l_extendedprice AS f1, l_discount AS f2 FROM lineitem")
 def _(spark, sf):
     cols = ["l_quantity", "l_extendedprice", "l_discount"]
     return to_features(read_table(spark, sf, "lineitem"), cols).select(
-        "l_orderkey", F.col("features").cast("string").alias("features"))
+        "l_orderkey", *[vector_to_array("features")[i].alias(f"f{i}") for i in range(3)])

@@ -79,14 +79,23 @@ def _numbers_long(df: DataFrame, ids: list[str], cols: list[str]) -> DataFrame:
     return plain.unpivot(list(ids), list(cols), "variable", "value")
 
 
-def describe_numeric(df: DataFrame, cols: list[str], keys: tuple[str, ...] = ()) -> DataFrame:
-    """count, mean, std, min, quartiles and max, one row per column (and key)."""
+def describe_numeric(df: DataFrame, cols: list[str], keys: tuple[str, ...] = (), approx: bool = False
+                     ) -> DataFrame:
+    """count, mean, std, min, quartiles and max, one row per column (and key).
+
+    The quartiles are exact, which costs a shuffle of the distinct values; ``approx`` sketches them in the
+    same pass as the rest.
+    """
     long = _present(_numbers_long(df, list(keys), cols), [*keys, "value"])
     by = [*keys, "variable"]
     moments = long.groupBy(*by).agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
                                     F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
                                     F.max("value").alias("max"))
-    marks = exact_quantiles(long, by, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    shares = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    if approx:
+        marks = long.groupBy(*by).agg(*[F.approx_percentile("value", p).alias(name) for name, p in shares.items()])
+    else:
+        marks = exact_quantiles(long, by, "value", shares)
     return (moments.join(marks, by)
             .select(*by, "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
@@ -152,9 +161,8 @@ def column_profile(df: DataFrame, threshold: int = 110) -> DataFrame:
 def date_span(df: DataFrame, col: str, other: str | None = None) -> DataFrame:
     """Whole days from the first ``other`` (by default the same column) to the last ``col``."""
     start, end = F.min(other or col), F.max(col)
-    return df.agg(start.alias("first"), end.alias("last"),
-                  F.floor(F.expr(f"timestampdiff(SECOND, min({other or col}), max({col}))") / 86400)
-                  .alias("days"))
+    days = F.date_part(F.lit("DAY"), end.cast("timestamp_ntz") - start.cast("timestamp_ntz"))
+    return df.agg(start.alias("first"), end.alias("last"), days.cast("bigint").alias("days"))
 
 
 def group_agg_named(df: DataFrame, keys: list[str], **aggs: Column) -> DataFrame:

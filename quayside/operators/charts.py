@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from quayside.operators.aggregates import nunique_per_column, value_counts_all
+from quayside.plans.levels import join_small
 from quayside.plans.quantiles import exact_quantiles
 
 
@@ -60,9 +61,8 @@ def box_stats(df: DataFrame, cols: list[str], keys: tuple[str, ...] = ()) -> Dat
     marks = exact_quantiles(long, by, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("value") >= F.col("q1") - reach) & (F.col("value") <= F.col("q3") + reach)
-    # Equal values are counted before the join, so a hot key is joined by its distinct values.
     counts = long.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("_n"))
-    return (counts.join(marks, by).groupBy(*by)
+    return (join_small(counts, marks, by).groupBy(*by)
             .agg(F.min("value").alias("min"), F.any_value("q1").alias("q1"), F.any_value("median").alias("median"),
                  F.any_value("q3").alias("q3"), F.max("value").alias("max"),
                  F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),

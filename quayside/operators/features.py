@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from quayside.functions.scalars import stable_hash
 from quayside.operators.aggregates import column_profile
 from quayside.operators.windows import require_date
 from quayside.plans.blocks import row_rank
-from quayside.plans.levels import category_levels
+from quayside.plans.levels import category_levels, level_counts
 
 
 def one_hot(df: DataFrame, col: str, prefix: str, levels: list | None = None) -> DataFrame:
@@ -74,10 +76,10 @@ def split_random(df: DataFrame, key: str, test: float = 0.25, seed: int = 48, la
     if label is None:
         in_test = F.pmod(stable_hash(F.col(key), seed), F.lit(10_000)) < F.lit(round(test * 10_000))
         return df.filter(~in_test), df.filter(in_test)
-    hashed = df.withColumn("_h", stable_hash(F.col(key), seed))
-    size = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
-    marked = row_rank(hashed, [label], ["_h", key], "_rank").join(size, label)
-    in_test = F.col("_rank") <= F.round(F.col("_size") * F.lit(test))
+    wanted = F.create_map(*[F.lit(x) for v, n in level_counts(df, label).items()
+                            for x in (v, math.floor(n * test + 0.5))])
+    marked = row_rank(df.withColumn("_h", stable_hash(F.col(key), seed)), [label], ["_h", key], "_rank")
+    in_test = F.col("_rank") <= wanted[F.col(label)]
     return (marked.filter(~in_test).select(*df.columns), marked.filter(in_test).select(*df.columns))
 
 
@@ -102,7 +104,7 @@ def fold_assign(df: DataFrame, key: str, k: int = 5, label: str | None = None, s
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Add n / (classes * rows of the class), so that each class weighs the same in total."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
-    total = sizes.agg(F.struct(F.sum("_size").alias("n"), F.count(F.lit(1)).alias("k")).alias("t")).scalar()
-    weights = sizes.withColumn("_t", total).select(label, (F.col("_t.n") / (F.col("_t.k") * F.col("_size"))).alias(out))
-    return df.join(weights, label).select(*df.columns, out)
+    sizes = level_counts(df, label)
+    n, k = sum(sizes.values()), len(sizes)
+    weight = F.create_map(*[F.lit(x) for v, size in sizes.items() for x in (v, n / (k * size))])
+    return df.filter(F.col(label).isNotNull()).withColumn(out, weight[F.col(label)])

@@ -47,8 +47,8 @@ def align_on_key(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def semi_in(dim: DataFrame, facts: DataFrame, key: str) -> DataFrame:
-    """Rows of ``dim`` whose key occurs in ``facts``."""
-    return dim.join(facts, key, "left_semi")
+    """Rows of ``dim`` whose key occurs in ``facts`` (whose repeats are folded before the shuffle)."""
+    return dim.join(facts.select(key).distinct(), key, "left_semi")
 
 
 def lookup_description(df: DataFrame, dim: DataFrame, key: str, text_col: str, order: list[str]) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quayside.functions.scalars import array_filter_len, stable_hash
 from quayside.operators.sampling import top_bottom_k
+from quayside.plans.levels import join_small
 
 WORD = r"([\p{L}\p{N}_]+)"
 
@@ -74,7 +75,7 @@ def apply_phrases(df: DataFrame, doc: str, tokens: str, phrases: DataFrame) -> D
     5th … pair of the run, so the position within the run decides; no word-by-word loop is needed.
     """
     known = phrases.select(F.col("a").alias("token"), F.col("b").alias("next"), F.lit(True).alias("_hit"))
-    rows = _pairs(df, tokens, doc).join(known, ["token", "next"], "left")
+    rows = join_small(_pairs(df, tokens, doc), known, ["token", "next"], "left")
     order = W.partitionBy(doc).orderBy("pos")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     rows = rows.withColumn("_hit", hit)
@@ -140,9 +141,10 @@ def tfidf(bow: DataFrame, doc: str, n_docs: DataFrame | None = None) -> DataFram
     """
     if n_docs is None:
         n_docs = bow.select(doc).distinct().agg(F.count(F.lit(1)).alias("n"))
+    # One row per term of the vocabulary, which keep_n bounds.
     per_term = bow.groupBy("id").agg(F.count(F.lit(1)).alias("df")).withColumn("_n", n_docs.scalar())
     idf = per_term.select("id", F.log2(F.col("_n") / F.col("df")).alias("idf"))
-    raw = bow.join(idf, "id").withColumn("weight", F.col("tf") * F.col("idf"))
+    raw = bow.join(F.broadcast(idf), "id").withColumn("weight", F.col("tf") * F.col("idf"))
     raw = raw.filter(F.abs("weight") > 1e-12)
     # A document has at most as many rows as the vocabulary has terms.
     length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(W.partitionBy(doc)))

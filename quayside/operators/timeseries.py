@@ -73,13 +73,13 @@ def seasonal_decompose(df: DataFrame, period: int, model: str = "additive") -> D
              .when(i > back, F.col("_b.k") * i + F.col("_b.c")).otherwise(F.col("trend")))
     rows = rows.join(lines, "series").withColumns({"trend": trend, "_phase": F.pmod(i, F.lit(period))})
     y, t = F.col("y"), F.col("trend")
-    rest = y / t if model == "multiplicative" else y - t
+    rest = F.try_divide(y, t) if model == "multiplicative" else y - t
     phase = rows.withColumn("_rest", rest).groupBy("series", "_phase").agg(F.avg("_rest").alias("_mean"))
     middle = F.avg("_mean").over(W.partitionBy("series"))  # over one row per phase
-    season = F.col("_mean") / middle if model == "multiplicative" else F.col("_mean") - middle
+    season = F.try_divide(F.col("_mean"), middle) if model == "multiplicative" else F.col("_mean") - middle
     phase = phase.select("series", "_phase", season.alias("seasonal"))
     s = F.col("seasonal")
-    resid = y / t / s if model == "multiplicative" else y - t - s
+    resid = F.try_divide(y, t * s) if model == "multiplicative" else y - t - s
     return (rows.join(phase, ["series", "_phase"]).withColumn("resid", resid)
             .select("series", "ds", "y", "trend", "seasonal", "resid"))
 

@@ -1,16 +1,35 @@
-"""The distinct values of a category column, fetched behind a size check."""
+"""Small results used by a large table: category levels, and joins to a fetched side.
+
+A small side is fetched once behind a size check and then broadcast. Beyond the limit the join is an ordinary
+one, which shuffles, and which adaptive execution splits where it is skewed.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
 MAX_LEVELS = 10_000
+MAX_BROADCAST_ROWS = 200_000
 
 
-def category_levels(df: DataFrame, col: str, limit: int = MAX_LEVELS) -> list:
-    """Sorted non-null values of ``col``. They become columns, so more than ``limit`` of them is an error."""
-    found = (df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull()).distinct()
-             .limit(limit + 1).collect())
+def level_counts(df: DataFrame, col: str, limit: int = MAX_LEVELS) -> dict:
+    """Rows per non-null value. Levels become columns or literals, so more than ``limit`` is an error."""
+    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.limit(limit + 1).collect()
     if len(found) > limit:
         raise ValueError(f"{col} has more than {limit} distinct values; keep it in long form instead")
-    return sorted(row.v for row in found)
+    return {row.v: row.n for row in found}
+
+
+def category_levels(df: DataFrame, col: str, limit: int = MAX_LEVELS) -> list:
+    """Sorted non-null values of a category column."""
+    return sorted(level_counts(df, col, limit))
+
+
+def join_small(df: DataFrame, side: DataFrame, keys: list[str], how: str = "inner",
+               limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join a large table to a side that is expected to be small."""
+    rows = side.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df.join(side, keys, how)
+    return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, side.schema)), keys, how)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from quayside.plans.blocks import running_total
+from quayside.plans.levels import join_small
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
@@ -20,10 +21,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_total(counts, keys, ["_v"], {"_upto": F.col("_n")}, blocks, sample_from=rows)
     size = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    if keys:
-        ranked = ranked.join(size, keys)
-    else:
-        ranked = ranked.withColumn("_size", size.scalar())
+    ranked = join_small(ranked, size, keys) if keys else ranked.withColumn("_size", size.scalar())
     below = F.col("_upto") - F.col("_n")
 
     def at(rank):
