@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quayside.operators.features import z_score
-from quayside.sources import read_table
+from quayside.sources import read_table, spread
 
 
 def spoiled_customer(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,7 +139,7 @@ def labelled(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents with a few numbers about their text."""
     def share(pattern):
         return F.try_divide(F.regexp_count("text", F.lit(pattern)), F.char_length("text"))
-    docs = read_table(spark, folder, "documents").select(
+    docs = spread(read_table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars", "text")).select(
         "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
         F.size(F.split("text", r"\s+")).cast("double").alias("n_words"),
         F.coalesce(share("[0-9]"), F.lit(0.0)).alias("digit_share"),

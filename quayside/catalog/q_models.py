@@ -10,7 +10,11 @@ from quayside.sources import read_table
 
 
 def _split(spark, sf):
-    return X.split_random(scaled_labelled(spark, sf), "doc_id", 0.25, label="quality")
+    """The labels are split; the texts are only read for the features."""
+    rows = scaled_labelled(spark, sf)
+    labels = read_table(spark, sf, "labels").select("doc_id", "quality")
+    return [rows.join(part.select("doc_id"), "doc_id")
+            for part in X.split_random(labels, "doc_id", 0.25, label="quality")]
 
 
 @query("fit_logistic")

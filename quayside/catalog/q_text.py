@@ -5,11 +5,11 @@ from pyspark.sql import DataFrame, functions as F
 from quayside.catalog.fixtures import STOP_WORDS, TOKENS, VOCAB
 from quayside.catalog.registry import query
 from quayside.operators import text as X
-from quayside.sources import read_table
+from quayside.sources import read_table, spread
 
 
 def tokens(spark, sf) -> DataFrame:
-    docs = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    docs = spread(read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
     return X.tokenize(docs, "text", STOP_WORDS)
 
 
@@ -83,7 +83,7 @@ def _(spark, sf):
 
 
 TFIDF = """
-raw AS (SELECT doc_id, bow.id, bow.term, tf * log2((SELECT count(DISTINCT doc_id) FROM bow) / d) AS w
+raw AS (SELECT doc_id, bow.id, bow.term, tf * log2((SELECT count(*) FROM toks) / d) AS w
   FROM bow JOIN (SELECT id, count(*) AS d FROM bow GROUP BY 1) q ON q.id = bow.id),
 weights AS (SELECT doc_id, id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM raw WHERE abs(w) > 1e-12)
 """
@@ -91,7 +91,8 @@ weights AS (SELECT doc_id, id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_
 
 @query("tfidf", f"WITH {VOCAB}, {TFIDF} SELECT * FROM weights", {"weight": 8})
 def _(spark, sf):
-    return X.tfidf(bow_of(spark, sf)[2], "doc_id")
+    docs = tokens(spark, sf)
+    return X.tfidf(docs, "doc_id", "tokens", X.build_vocabulary(docs, "tokens"))
 
 
 @query("corpus_size", f"""
@@ -117,7 +118,7 @@ def _(spark, sf):
 def topics(spark, sf):
     docs = tokens(spark, sf)
     vocab = X.build_vocabulary(docs, "tokens")
-    vectors = X.tfidf_vectors(docs, "tokens", vocab, keep_counts=True)
+    vectors = X.tfidf_vectors(docs, "tokens", vocab)
     return X.fit_lda(vectors, topics=5, chunk=500, passes=4), vectors, vocab
 
 

@@ -6,9 +6,9 @@ corpus is a group-by on terms or pairs with map-side counts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-import numpy as np
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
@@ -16,11 +16,17 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from quayside.functions.scalars import array_filter_len, stable_hash
+from quayside.functions.scalars import stable_hash
 from quayside.operators.sampling import top_bottom_k
 from quayside.plans.levels import join_small
 
-WORD = r"([\p{L}\p{N}_]+)"
+MAX_TERMS = 1_000_000
+
+
+def _words(min_len: int) -> str:
+    """Runs of at least ``min_len`` letters, digits or underscores that are not digits only."""
+    char = r"[\p{L}\p{N}_]"
+    return rf"((?!\p{{N}}+(?!{char})){char}{{{min_len},}})"
 
 
 def tokenize(df: DataFrame, text_col: str, stop_words: list[str], min_len: int = 3,
@@ -29,8 +35,7 @@ def tokenize(df: DataFrame, text_col: str, stop_words: list[str], min_len: int =
 
     ``transform`` maps one word (a Column) before the stop words are taken out, as a stemmer would.
     """
-    words = F.regexp_extract_all(F.lower(text_col), F.lit(WORD))
-    words = array_filter_len(words, min_len)
+    words = F.regexp_extract_all(F.lower(text_col), F.lit(_words(min_len)))
     if transform is not None:
         words = F.transform(words, transform)
     if stop_words:
@@ -54,15 +59,16 @@ def find_phrases(df: DataFrame, tokens: str, min_count: int = 20, threshold: flo
 
     score = (n - min_count) * V / (n_a * n_b), V being the number of different words and pairs.
     """
-    words = (df.select(F.explode(tokens).alias("word")).groupBy("word")
-             .agg(F.count(F.lit(1)).alias("n_word")))
-    pairs = (_pairs(df, tokens).filter(F.col("next").isNotNull())
-             .groupBy(F.col("token").alias("a"), F.col("next").alias("b"))
+    # Every word is the first half of one pair, the last of a document with nothing after it. So the counted
+    # pairs hold the word counts too, and the corpus is read and shuffled once.
+    pairs = (_pairs(df, tokens).groupBy(F.col("token").alias("a"), F.col("next").alias("b"))
              .agg(F.count(F.lit(1)).alias("n")))
-    size = (words.agg(F.count(F.lit(1)).alias("n")).scalar() + pairs.agg(F.count(F.lit(1)).alias("n")).scalar())
-    frequent = pairs.filter(F.col("n") >= min_count)
-    left = words.select(F.col("word").alias("a"), F.col("n_word").alias("n_a"))
-    right = words.select(F.col("word").alias("b"), F.col("n_word").alias("n_b"))
+    words = pairs.groupBy("a").agg(F.sum("n").alias("n_word"))
+    size = (words.agg(F.count_if(F.col("n_word") > 0).alias("n")).scalar()
+            + pairs.agg(F.count_if(F.col("b").isNotNull() & (F.col("n") > 0)).alias("n")).scalar())
+    frequent = pairs.filter(F.col("b").isNotNull() & (F.col("n") >= min_count))
+    left = words.withColumnRenamed("n_word", "n_a")
+    right = words.select(F.col("a").alias("b"), F.col("n_word").alias("n_b"))
     score = (F.col("n") - min_count) / F.col("n_a") / F.col("n_b") * F.col("_size")
     return (frequent.join(left, "a").join(right, "b").withColumn("_size", size)
             .select("a", "b", "n", score.alias("score")).filter(F.col("score") > threshold))
@@ -111,16 +117,20 @@ def build_vocabulary(df: DataFrame, tokens: str, no_below: int = 30, no_above: f
 
     At most ``keep_n`` terms, those in most documents (ties by term). Ids follow the terms in order.
     """
-    counted = (df.select(F.explode(F.array_distinct(tokens)).alias("term"))
-               .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    total = df.select(F.explode(tokens).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
+    # Sorting a document's words puts repeats side by side, so one pass counts words and documents.
+    ordered = F.sort_array(tokens)
+    before = F.concat(F.array(F.lit(None).cast("string")), ordered)
+    rows = df.select(F.explode(F.arrays_zip(ordered.alias("term"), before.alias("before"))).alias("w"))
+    term, first = F.col("w.term"), ~F.col("w.term").eqNullSafe(F.col("w.before"))
+    counted = (rows.filter(term.isNotNull()).groupBy(term.alias("term"))
+               .agg(F.count_if(first).alias("df"), F.count(F.lit(1)).alias("cf")))
     docs = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     kept = (counted.withColumn("_n", docs)
             .filter((F.col("df") >= no_below) & (F.col("df") <= F.col("_n") * F.lit(no_above)))
             .orderBy(F.desc("df"), "term").limit(keep_n))
     # At most keep_n rows are numbered here.
     numbered = kept.withColumn("id", (F.row_number().over(W.orderBy("term")) - 1).cast("int"))
-    return numbered.join(total, "term").select("id", "term", "df", "cf")
+    return numbered.select("id", "term", "df", "cf")
 
 
 def token_counts(vocab: DataFrame, n: int = 50) -> DataFrame:
@@ -128,49 +138,59 @@ def token_counts(vocab: DataFrame, n: int = 50) -> DataFrame:
     return top_bottom_k(vocab.select("id", "term", "cf"), "cf", n, ["term"])
 
 
-def bag_of_words(df: DataFrame, doc: str, tokens: str, vocab: DataFrame) -> DataFrame:
-    """(doc, id, term, tf) over the vocabulary, which its keep_n bounds."""
-    words = df.select(doc, F.explode(tokens).alias("term")).groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
-    return words.join(F.broadcast(vocab.select("id", "term")), "term").select(doc, "id", "term", "tf")
+def _vocabulary_rows(vocab: DataFrame) -> list:
+    """The terms, in id order, behind a size check."""
+    rows = vocab.select("id", "term", "df").limit(MAX_TERMS + 1).collect()
+    if not 0 < len(rows) <= MAX_TERMS:
+        raise ValueError(f"a vocabulary must have 1 to {MAX_TERMS} terms")
+    return sorted(rows, key=lambda r: r.id)
 
 
-def tfidf(bow: DataFrame, doc: str, n_docs: DataFrame | None = None) -> DataFrame:
-    """(doc, id, term, weight): tf * log2(N / df), each document scaled to length 1, zero weights left out.
+def _long(vectors: DataFrame, doc: str, col: str, terms: list, out: str) -> DataFrame:
+    """(doc, id, term, <out>) for the filled places of a sparse vector."""
+    v = F.unwrap_udt(col)
+    filled = F.arrays_zip(v["indices"].alias("id"), v["values"].alias(out))
+    names = vectors.sparkSession.createDataFrame([(t.id, t.term) for t in terms], "id int, term string")
+    return (vectors.select(doc, F.inline(filled)).join(F.broadcast(names), "id")
+            .select(doc, "id", "term", out))
 
-    ``n_docs`` is a one-value frame with N, for a corpus with documents that have no kept term.
-    """
-    if n_docs is None:
-        n_docs = bow.select(doc).distinct().agg(F.count(F.lit(1)).alias("n"))
-    # One row per term of the vocabulary, which keep_n bounds.
-    per_term = bow.groupBy("id").agg(F.count(F.lit(1)).alias("df")).withColumn("_n", n_docs.scalar())
-    idf = per_term.select("id", F.log2(F.col("_n") / F.col("df")).alias("idf"))
-    raw = bow.join(F.broadcast(idf), "id").withColumn("weight", F.col("tf") * F.col("idf"))
-    raw = raw.filter(F.abs("weight") > 1e-12)
-    # A document has at most as many rows as the vocabulary has terms.
-    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(W.partitionBy(doc)))
-    return raw.withColumn("weight", F.col("weight") / length).select(doc, "id", "term", "weight")
 
+def _count_vectors(df: DataFrame, tokens: str, terms: list, out: str) -> DataFrame:
+    return CountVectorizerModel.from_vocabulary([t.term for t in terms], tokens, out).transform(df)
 
-def corpus_size(bow: DataFrame, doc: str) -> DataFrame:
-    terms = bow.select("id").distinct().agg(F.count(F.lit(1)).alias("n_terms"))
-    docs = bow.select(doc).distinct().agg(F.count(F.lit(1)).alias("n_docs"))
-    return docs.withColumn("n_terms", terms.scalar())
 
+def bag_of_words(df: DataFrame, doc: str, tokens: str, vocab: DataFrame) -> DataFrame:
+    """(doc, id, term, tf) over the vocabulary, counted where the documents are, without a shuffle."""
+    terms = _vocabulary_rows(vocab)
+    counted = _long(_count_vectors(df, tokens, terms, "_tf"), doc, "_tf", terms, "tf")
+    return counted.withColumn("tf", F.col("tf").cast("bigint"))
 
-def tfidf_vectors(df: DataFrame, tokens: str, vocab: DataFrame, out: str = "features",
-                  keep_counts: bool = False) -> DataFrame:
-    """Add the TF-IDF weights of ``tfidf`` as a sparse vector, without a shuffle.
 
-    The vocabulary (at most keep_n terms) is fetched; the vectors are built where the rows are.
-    """
-    terms = vocab.select("term", "df").orderBy("id").collect()
+def _weigh(df: DataFrame, tokens: str, terms: list, out: str) -> DataFrame:
     n = df.count()
-    counts = CountVectorizerModel.from_vocabulary([t.term for t in terms], tokens, "_tf")
-    idf = Vectors.dense([float(np.log2(n / t.df)) for t in terms])
+    idf = Vectors.dense([math.log2(n / t.df) for t in terms])
     scale = ElementwiseProduct(scalingVec=idf, inputCol="_tf", outputCol="_w")
     unit = Normalizer(p=2.0, inputCol="_w", outputCol=out)
-    result = unit.transform(scale.transform(counts.transform(df)))
-    return result.drop("_tf") if keep_counts else result.drop("_tf", "_w")
+    return unit.transform(scale.transform(_count_vectors(df, tokens, terms, "_tf"))).drop("_tf")
+
+
+def tfidf(df: DataFrame, doc: str, tokens: str, vocab: DataFrame) -> DataFrame:
+    """(doc, id, term, weight): tf * log2(N / df), each document scaled to length 1, zero weights left out."""
+    terms = _vocabulary_rows(vocab)
+    weights = _long(_weigh(df, tokens, terms, "features"), doc, "features", terms, "weight")
+    return weights.filter(F.abs("weight") > 1e-12)
+
+
+def tfidf_vectors(df: DataFrame, tokens: str, vocab: DataFrame, out: str = "features") -> DataFrame:
+    """Add the TF-IDF weights of ``tfidf`` as a sparse vector, and the same before scaling as ``_w``."""
+    return _weigh(df, tokens, _vocabulary_rows(vocab), out)
+
+
+def corpus_size(bow: DataFrame, doc: str) -> DataFrame:
+    """Documents with a term of the vocabulary, and terms that occur."""
+    terms = bow.select("id").distinct().agg(F.count(F.lit(1)).alias("n_terms"))
+    docs = bow.select(doc).distinct().agg(F.count(F.lit(1)).alias("n_docs"))
+    return docs.withColumn("n_terms", terms.scalar())
 
 
 # --- topics --------------------------------------------------------------------------------------------
@@ -203,26 +223,30 @@ def topic_coherence(bow: DataFrame, doc: str, topic_terms: DataFrame, n_docs: Da
                     ) -> DataFrame:
     """UMass coherence per topic: mean over term pairs of log((D_ij / N + 1e-12) / (D_j / N)), j above i.
 
-    ``topic_terms`` has (topic, rank, id), a few terms per topic. A word is joined only with the words it is
-    paired with there, so a document yields at most one row per wanted pair it contains.
+    ``topic_terms`` has (topic, rank, id), a few terms per topic, each of which occurs somewhere. A document is
+    cut down to the topic terms it holds, and yields one row per wanted pair among them.
     """
     if n_docs is None:
         n_docs = bow.select(doc).distinct().agg(F.count(F.lit(1)).alias("n"))
     t = topic_terms.select("topic", "rank", "id")
     upper = t.select("topic", F.col("rank").alias("rank_j"), F.col("id").alias("id_j"))
+    # A term paired with itself gives D_j in the same count.
     pairs = (t.withColumnsRenamed({"rank": "rank_i", "id": "id_i"}).join(upper, "topic")
-             .filter(F.col("rank_j") < F.col("rank_i")))
+             .filter(F.col("rank_j") <= F.col("rank_i")))
     wanted = pairs.select("id_i", "id_j").distinct()
-    a = bow.select(doc, F.col("id").alias("id_i"))
-    b = bow.select(doc, F.col("id").alias("id_j"))
-    together = (a.join(wanted, "id_i").join(b, [doc, "id_j"]).groupBy("id_i", "id_j")
-                .agg(F.count(F.lit(1)).alias("d_ij")))
-    single = b.join(wanted.select("id_j").distinct(), "id_j", "left_semi").groupBy("id_j").agg(
-        F.count(F.lit(1)).alias("d_j"))
+    # At most one entry per topic term, of which there are a few per topic.
+    held = (join_small(bow.select(doc, "id"), t.select("id").distinct(), ["id"])
+            .groupBy(doc).agg(F.collect_set("id").alias("ids")))
+    met = (join_small(held.select(F.explode("ids").alias("id_i"), "ids"), wanted, ["id_i"])
+           .filter(F.array_contains("ids", F.col("id_j")))
+           .groupBy("id_i", "id_j").agg(F.count(F.lit(1)).alias("d")))
+    counted = pairs.join(met, ["id_i", "id_j"], "left").withColumn("d", F.coalesce("d", F.lit(0)))
+    alone = (counted.filter(F.col("rank_i") == F.col("rank_j"))
+             .select("topic", "rank_j", F.col("d").alias("d_j")))
     n = F.col("_n")
-    both = F.coalesce(F.col("d_ij"), F.lit(0))
-    term = F.log((both / n + F.lit(1e-12)) / (F.col("d_j") / n))
-    return (pairs.join(together, ["id_i", "id_j"], "left").join(single, "id_j").withColumn("_n", n_docs.scalar())
+    term = F.log((F.col("d") / n + F.lit(1e-12)) / (F.col("d_j") / n))
+    return (counted.filter(F.col("rank_j") < F.col("rank_i")).join(alone, ["topic", "rank_j"])
+            .withColumn("_n", n_docs.scalar())
             .groupBy("topic").agg(F.avg(term).alias("coherence")).orderBy(F.desc("coherence")))
 
 

@@ -1,12 +1,15 @@
 """Ordered computations that never put a whole group into one task.
 
 A window partitioned by a key is one task per key, so a key (or a table without a key) that holds a third of
-the rows becomes a third of the work in one task. Here rows are first cut into *ordered blocks* at the
+the rows becomes a third of the work in one task. So the largest group is counted first. If it is small, a
+window per key is the best plan: one shuffle. If not, rows are first cut into *ordered blocks* at the
 quantiles of the order column. The window then runs per ``(keys, block)``, and one summary row per
 ``(keys, block)`` carries the state from block to block. No block holds more than about ``1 / blocks`` of the
 rows, whatever the keys look like; the window over summaries sees at most ``blocks`` rows per key (and a few
 more where a single order value is itself hot).
 
+Giving ``blocks`` skips the count and cuts into that many.
+
 Pandas rule: rows with a null key or a null order value take no part and are dropped.
 """
 
@@ -18,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 BLOCK = "_block"
 _POS = "_pos"
 _INF = float("inf")
+PLAIN_ROWS = 1_000_000  # a group up to this size is an ordinary window partition
 
 
 def shuffle_width(df: DataFrame) -> int:
@@ -63,8 +67,6 @@ def ordered_blocks(df: DataFrame, order: list[str], blocks: int | None = None,
     order columns to take the quantiles from (for example the rows before a group-by).
     """
     blocks = blocks or shuffle_width(df)
-    for name in order:
-        df = df.filter(F.col(name).isNotNull())
     if blocks < 2:
         return df.withColumn(BLOCK, F.lit(0).cast("bigint"))
     source = df if sample_from is None else sample_from
@@ -81,24 +83,36 @@ def ordered_blocks(df: DataFrame, order: list[str], blocks: int | None = None,
     return out.withColumn(BLOCK, F.col(BLOCK) * (blocks + 2) + piece).drop("_inner")
 
 
-def _drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    for key in keys:
-        df = df.filter(F.col(key).isNotNull())
-    return df
+def fits_one_task(df: DataFrame, keys: list[str], limit: int = PLAIN_ROWS) -> bool:
+    """Whether no group has more than ``limit`` rows, from a count per key."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.agg(F.max("n").alias("n")).first().n
+    return largest is None or largest <= limit
+
+
+def _prepare(df: DataFrame, keys: list[str], order: list[str], blocks: int | None,
+             sample_from: DataFrame | None = None) -> tuple[DataFrame, list[str], bool]:
+    """Rows with their keys and order present, the columns to partition by, and whether those are blocks."""
+    for name in [*keys, order[0]]:
+        df = df.filter(F.col(name).isNotNull())
+    if blocks is None and fits_one_task(df if sample_from is None else sample_from, keys):
+        return df, list(keys), False
+    return ordered_blocks(df, order, blocks, sample_from), [*keys, BLOCK], True
 
 
 def running_total(df: DataFrame, keys: list[str], order: list[str], totals: dict[str, Column],
                   blocks: int | None = None, sample_from: DataFrame | None = None) -> DataFrame:
     """Add running sums per key. ``order`` must not have ties inside a key."""
     keep = [c for c in df.columns if c not in totals]
-    cut = ordered_blocks(_drop_null_keys(df, keys).withColumns(totals), order, blocks, sample_from)
-    part = [*keys, BLOCK]
+    rows, part, cut = _prepare(df.withColumns(totals), keys, order, blocks, sample_from)
+    upto = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    running = rows.withColumns({name: F.sum(name).over(upto) for name in totals})
+    if not cut:
+        return running.select(*keep, *totals)
     before = W.partitionBy(*keys).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
-    carry = (cut.groupBy(*part).agg(*[F.sum(name).alias(name) for name in totals])
+    carry = (rows.groupBy(*part).agg(*[F.sum(name).alias(name) for name in totals])
              .select(*part, *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"_carry_{name}")
                               for name in totals]))
-    inside = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    running = cut.withColumns({name: F.sum(name).over(inside) for name in totals})
     return (running.join(carry, part)
             .select(*keep, *[(F.col(name) + F.col(f"_carry_{name}")).alias(name) for name in totals]))
 
@@ -112,13 +126,15 @@ def row_rank(df: DataFrame, keys: list[str], order: list[str], out: str,
 def previous_value(df: DataFrame, keys: list[str], order: list[str], col: str, out: str,
                    blocks: int | None = None) -> DataFrame:
     """Add the value of ``col`` on the row before, per key (null on the first row)."""
-    cut = ordered_blocks(_drop_null_keys(df, keys), order, blocks)
-    part = [*keys, BLOCK]
+    rows, part, cut = _prepare(df, keys, order, blocks)
+    inside = W.partitionBy(*part).orderBy(*order)
+    before = rows.withColumn(out, F.lag(col).over(inside))
+    if not cut:
+        return before.select(*df.columns, out)
     over_blocks = W.partitionBy(*keys).orderBy(BLOCK)
-    carry = (cut.groupBy(*part).agg(F.max_by(F.struct(col), F.struct(*order)).alias("_last"))
+    carry = (rows.groupBy(*part).agg(F.max_by(F.struct(col), F.struct(*order)).alias("_last"))
              .select(*part, F.lag("_last").over(over_blocks).getField(col).alias("_carry")))
-    inside = W.partitionBy(*part).orderBy(*order)
-    return (cut.withColumns({"_first": F.row_number().over(inside) == 1, out: F.lag(col).over(inside)})
+    return (before.withColumn("_first", F.row_number().over(inside) == 1)
             .join(carry, part)
             .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col(out)))
             .select(*df.columns, out))
@@ -127,14 +143,16 @@ def previous_value(df: DataFrame, keys: list[str], order: list[str], col: str, o
 def last_known(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
                blocks: int | None = None) -> DataFrame:
     """Replace each null of ``cols`` by the last non-null value before it, per key."""
-    cut = ordered_blocks(_drop_null_keys(df, keys), order, blocks)
-    part = [*keys, BLOCK]
+    rows, part, cut = _prepare(df, keys, order, blocks)
+    upto = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    filled = rows.withColumns({c: F.last(c, ignorenulls=True).over(upto) for c in cols})
+    if not cut:
+        return filled.select(*df.columns)
     before = W.partitionBy(*keys).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
     at = F.struct(*order)
-    carry = (cut.groupBy(*part)
+    carry = (rows.groupBy(*part)
              .agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_last_{c}") for c in cols])
              .select(*part, *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}")
                               for c in cols]))
-    inside = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    filled = cut.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in cols}).join(carry, part)
-    return filled.withColumns({c: F.coalesce(F.col(c), F.col(f"_carry_{c}")) for c in cols}).select(*df.columns)
+    return (filled.join(carry, part)
+            .withColumns({c: F.coalesce(F.col(c), F.col(f"_carry_{c}")) for c in cols}).select(*df.columns))

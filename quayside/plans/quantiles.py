@@ -1,7 +1,7 @@
-"""Exact quantiles with linear interpolation, without holding a group's values in one task.
+"""Exact quantiles with linear interpolation, without holding a large group's values in one task.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer. Here equal values are counted
-first (map side), the counts get a running total in ordered blocks, and the two neighbours of each wanted
+Spark's ``percentile`` keeps every distinct value of a group in one buffer, which is right for groups of a
+checked size. Otherwise equal values are counted first (map side), the counts get a running total in ordered blocks, and the two neighbours of each wanted
 rank are picked out.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from quayside.plans.blocks import running_total
+from quayside.plans.blocks import fits_one_task, running_total
 from quayside.plans.levels import join_small
 
 
@@ -18,6 +18,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     """One row per key with one column per entry of ``probs`` (name -> share)."""
     rows = df.select(*keys, F.nanvl(F.col(value).cast("double"), F.lit(None)).alias("_v"))
     rows = rows.filter(F.col("_v").isNotNull())
+    if blocks is None and fits_one_task(rows, keys):
+        return rows.groupBy(*keys).agg(*[F.percentile("_v", F.lit(float(share))).alias(name)
+                                         for name, share in probs.items()])
     counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_total(counts, keys, ["_v"], {"_upto": F.col("_n")}, blocks, sample_from=rows)
     size = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))

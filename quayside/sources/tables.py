@@ -12,6 +12,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table that comes in fewer pieces than there are cores; leave any larger table alone.
+
+    For costly work per row (text) on a table of few files. It shuffles, so only where it pays.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
                    ts_cols: tuple[str, ...] = (), ts_format: str | None = None,
                    multiline: bool = False) -> DataFrame:
