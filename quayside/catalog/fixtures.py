@@ -76,7 +76,7 @@ visits AS (
 
 def violations(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as violation rows: order = inspection, return flag = code (missing for tax 0)."""
-    return read_table(spark, folder, "lineitem").select(
+    return spread(read_table(spark, folder, "lineitem")).select(
         F.col("l_orderkey").alias("inspection"),
         F.when(F.col("l_tax") > 0, F.col("l_returnflag")).alias("code"),
         F.when(F.col("l_discount") > 0.02, F.when(F.col("l_quantity") < 25, "A").otherwise("B")).alias("grade"),

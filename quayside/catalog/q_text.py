@@ -143,23 +143,24 @@ p AS (SELECT i.topic, i.id AS a, j.id AS b FROM t i JOIN t j ON i.topic = j.topi
 d AS (SELECT id, count(*)::DOUBLE AS d FROM bow GROUP BY 1),
 c AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM bow x JOIN bow y USING (doc_id) WHERE x.id IN (SELECT id FROM t)
   AND y.id IN (SELECT id FROM t) GROUP BY 1, 2),
-n AS (SELECT count(DISTINCT doc_id)::DOUBLE AS n FROM bow)
+n AS (SELECT count(*)::DOUBLE AS n FROM documents)
 SELECT topic, avg(ln((coalesce(c, 0) / n + 1e-12) / (d / n))) AS coherence
 FROM p LEFT JOIN c USING (a, b) JOIN d ON d.id = p.b, n GROUP BY 1""", {"coherence": 8})
 def _(spark, sf):
     from pyspark.sql import Window as W
-    _docs, vocab, bow = bow_of(spark, sf)
+    docs, vocab, bow = bow_of(spark, sf)
     topic = F.col("id") % 3
     ranked = vocab.select(topic.alias("topic"), "id", F.row_number().over(
         W.partitionBy(topic).orderBy(F.desc("df"), "term")).alias("rank"))
-    return X.topic_coherence(bow, "doc_id", ranked.filter("rank <= 8"))
+    return X.topic_coherence(bow, "doc_id", ranked.filter("rank <= 8"), docs.count())
 
 
 @query("mean_coherence")
 def _(spark, sf):
     model, _vectors, vocab = topics(spark, sf)
-    bow = X.bag_of_words(tokens(spark, sf), "doc_id", "tokens", vocab)
-    return X.mean_coherence(X.topic_coherence(bow, "doc_id", X.top_terms(model, vocab, 20)))
+    docs = tokens(spark, sf)
+    bow = X.bag_of_words(docs, "doc_id", "tokens", vocab)
+    return X.mean_coherence(X.topic_coherence(bow, "doc_id", X.top_terms(model, vocab, 20), docs.count()))
 
 
 @query("topics_by_group")

@@ -2,6 +2,9 @@
 
 A document is one row with an id of its own, so work per document is bounded by that row. Everything over the
 corpus is a group-by on terms or pairs with map-side counts.
+
+Computed arrays are unfolded with the ``_outer`` generators and the empty rows filtered after: for the plain
+ones the optimizer adds a filter on the array's size, which computes the array (the regex over every text) again.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quayside.functions.scalars import stable_hash
 from quayside.operators.sampling import top_bottom_k
-from quayside.plans.levels import join_small
+from quayside.plans.levels import fetch_small, join_small
 
 MAX_TERMS = 1_000_000
 
@@ -50,8 +53,9 @@ def _pairs(df: DataFrame, tokens: str, *keep: str) -> DataFrame:
     """(pos, token, next) for each word; the last word of a document has no next."""
     t = F.col(tokens)
     zipped = F.arrays_zip(t.alias("token"), F.slice(t, 2, F.greatest(F.size(t), F.lit(1))).alias("next"))
-    return df.select(*keep, F.posexplode(zipped).alias("pos", "_p")).select(
-        *keep, "pos", F.col("_p.token").alias("token"), F.col("_p.next").alias("next"))
+    return df.select(*keep, F.posexplode_outer(zipped).alias("pos", "_p")).select(
+        *keep, "pos", F.col("_p.token").alias("token"), F.col("_p.next").alias("next")
+    ).filter(F.col("token").isNotNull())
 
 
 def find_phrases(df: DataFrame, tokens: str, min_count: int = 20, threshold: float = 10.0) -> DataFrame:
@@ -115,12 +119,13 @@ def build_vocabulary(df: DataFrame, tokens: str, no_below: int = 30, no_above: f
                      keep_n: int = 20_000) -> DataFrame:
     """(id, term, df, cf): terms in at least ``no_below`` documents and at most a share of them.
 
-    At most ``keep_n`` terms, those in most documents (ties by term). Ids follow the terms in order.
+    At most ``keep_n`` terms, those in most documents (ties by term). Ids follow the terms in order. The table
+    is small by definition and used several times, so it is computed here, once.
     """
     # Sorting a document's words puts repeats side by side, so one pass counts words and documents.
     ordered = F.sort_array(tokens)
     before = F.concat(F.array(F.lit(None).cast("string")), ordered)
-    rows = df.select(F.explode(F.arrays_zip(ordered.alias("term"), before.alias("before"))).alias("w"))
+    rows = df.select(F.explode_outer(F.arrays_zip(ordered.alias("term"), before.alias("before"))).alias("w"))
     term, first = F.col("w.term"), ~F.col("w.term").eqNullSafe(F.col("w.before"))
     counted = (rows.filter(term.isNotNull()).groupBy(term.alias("term"))
                .agg(F.count_if(first).alias("df"), F.count(F.lit(1)).alias("cf")))
@@ -130,7 +135,7 @@ def build_vocabulary(df: DataFrame, tokens: str, no_below: int = 30, no_above: f
             .orderBy(F.desc("df"), "term").limit(keep_n))
     # At most keep_n rows are numbered here.
     numbered = kept.withColumn("id", (F.row_number().over(W.orderBy("term")) - 1).cast("int"))
-    return numbered.select("id", "term", "df", "cf")
+    return fetch_small(numbered.select("id", "term", "df", "cf"), keep_n)
 
 
 def token_counts(vocab: DataFrame, n: int = 50) -> DataFrame:
@@ -151,8 +156,8 @@ def _long(vectors: DataFrame, doc: str, col: str, terms: list, out: str) -> Data
     v = F.unwrap_udt(col)
     filled = F.arrays_zip(v["indices"].alias("id"), v["values"].alias(out))
     names = vectors.sparkSession.createDataFrame([(t.id, t.term) for t in terms], "id int, term string")
-    return (vectors.select(doc, F.inline(filled)).join(F.broadcast(names), "id")
-            .select(doc, "id", "term", out))
+    return (vectors.select(doc, F.inline_outer(filled)).filter(F.col("id").isNotNull())
+            .join(F.broadcast(names), "id").select(doc, "id", "term", out))
 
 
 def _count_vectors(df: DataFrame, tokens: str, terms: list, out: str) -> DataFrame:
@@ -219,16 +224,13 @@ def top_terms(model, vocab: DataFrame, n: int = 20) -> DataFrame:
     return rows.join(vocab.select("id", "term"), "id").select("topic", "rank", "id", "term", "weight")
 
 
-def topic_coherence(bow: DataFrame, doc: str, topic_terms: DataFrame, n_docs: DataFrame | None = None
-                    ) -> DataFrame:
+def topic_coherence(bow: DataFrame, doc: str, topic_terms: DataFrame, n_docs: int) -> DataFrame:
     """UMass coherence per topic: mean over term pairs of log((D_ij / N + 1e-12) / (D_j / N)), j above i.
 
     ``topic_terms`` has (topic, rank, id), a few terms per topic, each of which occurs somewhere. A document is
     cut down to the topic terms it holds, and yields one row per wanted pair among them.
     """
-    if n_docs is None:
-        n_docs = bow.select(doc).distinct().agg(F.count(F.lit(1)).alias("n"))
-    t = topic_terms.select("topic", "rank", "id")
+    t = fetch_small(topic_terms.select("topic", "rank", "id"))
     upper = t.select("topic", F.col("rank").alias("rank_j"), F.col("id").alias("id_j"))
     # A term paired with itself gives D_j in the same count.
     pairs = (t.withColumnsRenamed({"rank": "rank_i", "id": "id_i"}).join(upper, "topic")
@@ -240,13 +242,13 @@ def topic_coherence(bow: DataFrame, doc: str, topic_terms: DataFrame, n_docs: Da
     met = (join_small(held.select(F.explode("ids").alias("id_i"), "ids"), wanted, ["id_i"])
            .filter(F.array_contains("ids", F.col("id_j")))
            .groupBy("id_i", "id_j").agg(F.count(F.lit(1)).alias("d")))
+    met = fetch_small(met)  # at most the wanted pairs; the rest is arithmetic on them
     counted = pairs.join(met, ["id_i", "id_j"], "left").withColumn("d", F.coalesce("d", F.lit(0)))
     alone = (counted.filter(F.col("rank_i") == F.col("rank_j"))
              .select("topic", "rank_j", F.col("d").alias("d_j")))
-    n = F.col("_n")
+    n = F.lit(n_docs)
     term = F.log((F.col("d") / n + F.lit(1e-12)) / (F.col("d_j") / n))
     return (counted.filter(F.col("rank_j") < F.col("rank_i")).join(alone, ["topic", "rank_j"])
-            .withColumn("_n", n_docs.scalar())
             .groupBy("topic").agg(F.avg(term).alias("coherence")).orderBy(F.desc("coherence")))
 
 

@@ -8,7 +8,7 @@ quantiles of the order column. The window then runs per ``(keys, block)``, and o
 rows, whatever the keys look like; the window over summaries sees at most ``blocks`` rows per key (and a few
 more where a single order value is itself hot).
 
-Giving ``blocks`` skips the count and cuts into that many.
+Giving ``blocks`` skips the count: 1 is a window per key, a larger number cuts into that many.
 
 Pandas rule: rows with a null key or a null order value take no part and are dropped.
 """
@@ -66,9 +66,7 @@ def ordered_blocks(df: DataFrame, order: list[str], blocks: int | None = None,
     are cut again at the quantiles of the second column. ``sample_from`` is a cheaper frame with the same
     order columns to take the quantiles from (for example the rows before a group-by).
     """
-    blocks = blocks or shuffle_width(df)
-    if blocks < 2:
-        return df.withColumn(BLOCK, F.lit(0).cast("bigint"))
+    blocks = blocks or max(2, shuffle_width(df))
     source = df if sample_from is None else sample_from
     bounds = _bounds(source, order[0], blocks)
     out = _bucket(df, order[0], bounds, BLOCK).withColumn(BLOCK, F.col(BLOCK).cast("bigint"))
@@ -95,7 +93,7 @@ def _prepare(df: DataFrame, keys: list[str], order: list[str], blocks: int | Non
     """Rows with their keys and order present, the columns to partition by, and whether those are blocks."""
     for name in [*keys, order[0]]:
         df = df.filter(F.col(name).isNotNull())
-    if blocks is None and fits_one_task(df if sample_from is None else sample_from, keys):
+    if blocks == 1 or blocks is None and fits_one_task(df if sample_from is None else sample_from, keys):
         return df, list(keys), False
     return ordered_blocks(df, order, blocks, sample_from), [*keys, BLOCK], True
 

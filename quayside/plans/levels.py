@@ -26,6 +26,14 @@ def category_levels(df: DataFrame, col: str, limit: int = MAX_LEVELS) -> list:
     return sorted(level_counts(df, col, limit))
 
 
+def fetch_small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """The same rows, computed once and kept as literals; more than ``limit`` of them is an error."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} rows where a small table is expected")
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def join_small(df: DataFrame, side: DataFrame, keys: list[str], how: str = "inner",
                limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Join a large table to a side that is expected to be small."""

@@ -1,44 +1,65 @@
 """Exact quantiles with linear interpolation, without holding a large group's values in one task.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer, which is right for groups of a
-checked size. Otherwise equal values are counted first (map side), the counts get a running total in ordered blocks, and the two neighbours of each wanted
-rank are picked out.
+A group of a checked size is sorted as one array. Otherwise equal values are counted first (map side), the
+counts get a running total in ordered blocks, and the two neighbours of each wanted rank are picked out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from quayside.plans.blocks import fits_one_task, running_total
-from quayside.plans.levels import join_small
+from quayside.plans.blocks import PLAIN_ROWS, running_total, shuffle_width
+from quayside.plans.levels import MAX_BROADCAST_ROWS
+
+
+def _spot(size: Column, share: float) -> Column:
+    """Position of the quantile among the sorted values, counted from 0."""
+    return (size - 1) * F.lit(float(share))
+
+
+def _between(lo: Column, hi: Column, spot: Column) -> Column:
+    return lo + (hi - lo) * (spot - F.floor(spot))
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
                     blocks: int | None = None) -> DataFrame:
-    """One row per key with one column per entry of ``probs`` (name -> share)."""
+    """One row per key with one column per entry of ``probs`` (name -> share). ``blocks`` skips the size check."""
     rows = df.select(*keys, F.nanvl(F.col(value).cast("double"), F.lit(None)).alias("_v"))
     rows = rows.filter(F.col("_v").isNotNull())
-    if blocks is None and fits_one_task(rows, keys):
-        return rows.groupBy(*keys).agg(*[F.percentile("_v", F.lit(float(share))).alias(name)
-                                         for name, share in probs.items()])
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    found = sizes.limit(MAX_BROADCAST_ROWS + 1).collect()
+    few = len(found) <= MAX_BROADCAST_ROWS
+    largest = max((r._size for r in found), default=0) if few else sizes.agg(F.max("_size")).first()[0]
+    if blocks is None and largest <= PLAIN_ROWS:
+        return _from_arrays(rows, keys, probs)
     counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_total(counts, keys, ["_v"], {"_upto": F.col("_n")}, blocks, sample_from=rows)
-    size = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    ranked = join_small(ranked, size, keys) if keys else ranked.withColumn("_size", size.scalar())
+    ranked = running_total(counts, keys, ["_v"], {"_upto": F.col("_n")}, blocks or max(2, shuffle_width(df)),
+                           sample_from=rows)
+    if not keys:
+        ranked = ranked.withColumn("_size", F.lit(found[0]._size))
+    elif few:
+        ranked = ranked.join(F.broadcast(df.sparkSession.createDataFrame(found, sizes.schema)), keys)
+    else:
+        ranked = ranked.join(sizes, keys)
     below = F.col("_upto") - F.col("_n")
 
     def at(rank):
         return F.max(F.when((below <= rank) & (rank < F.col("_upto")), F.col("_v")))
 
-    picks = []
-    for name, share in probs.items():
-        spot = (F.col("_size") - 1) * F.lit(float(share))
-        picks += [at(F.floor(spot)).alias(f"_lo_{name}"), at(F.ceil(spot)).alias(f"_hi_{name}")]
-    picked = ranked.groupBy(*keys).agg(F.max("_size").alias("_size"), *picks)
+    spots = {name: _spot(F.col("_size"), share) for name, share in probs.items()}
+    picked = ranked.groupBy(*keys).agg(
+        F.max("_size").alias("_size"), *[at(F.floor(s)).alias(f"_lo_{name}") for name, s in spots.items()],
+        *[at(F.ceil(s)).alias(f"_hi_{name}") for name, s in spots.items()])
+    return picked.select(*keys, *[_between(F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), s).alias(name)
+                                  for name, s in spots.items()])
 
-    def between(name, share):
-        spot = (F.col("_size") - 1) * F.lit(float(share))
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        return (lo + (hi - lo) * (spot - F.floor(spot))).alias(name)
 
-    return picked.select(*keys, *[between(name, share) for name, share in probs.items()])
+def _from_arrays(rows: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+    """For groups of at most PLAIN_ROWS values."""
+    sorted_values = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("_v")).alias("_a"))
+    out = []
+    for name, share in probs.items():
+        spot = _spot(F.size("_a"), share)
+        lo, hi = F.get("_a", F.floor(spot).cast("int")), F.get("_a", F.ceil(spot).cast("int"))
+        out.append(_between(lo, hi, spot).alias(name))
+    return sorted_values.select(*keys, *out)
