@@ -23,9 +23,13 @@ def _between(lo: Column, hi: Column, spot: Column) -> Column:
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
                     blocks: int | None = None) -> DataFrame:
-    """One row per key with one column per entry of ``probs`` (name -> share). ``blocks`` skips the size check."""
+    """One row per key with one column per entry of ``probs`` (name -> share). ``blocks`` skips the size check.
+
+    Rows with a null key or value take no part.
+    """
     rows = df.select(*keys, F.nanvl(F.col(value).cast("double"), F.lit(None)).alias("_v"))
-    rows = rows.filter(F.col("_v").isNotNull())
+    for name in [*keys, "_v"]:
+        rows = rows.filter(F.col(name).isNotNull())
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     found = sizes.limit(MAX_BROADCAST_ROWS + 1).collect()
     few = len(found) <= MAX_BROADCAST_ROWS
