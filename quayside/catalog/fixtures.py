@@ -122,6 +122,20 @@ HOLED = SERIES.rstrip() + """,
 holed AS (SELECT series, ds, CASE WHEN day(ds) % 4 <> 0 THEN y END AS y FROM series)
 """
 
+def t_tail_sql(t: str, dof: str) -> str:
+    """Two-sided t probability by the midpoint rule: with t = sqrt(dof) tan(a) the density is cos(a)^(dof-1)."""
+    steps = "(SELECT (i + 0.5) / 20000 AS u FROM range(20000) r(i))"
+    part = f"(SELECT sum(cos(atan({t} / sqrt({dof})) * u) ** ({dof} - 1)) * atan({t} / sqrt({dof})) FROM {steps})"
+    whole = f"(SELECT sum(cos(pi() / 2 * u) ** ({dof} - 1)) * pi() / 2 FROM {steps})"
+    return f"1 - {part} / {whole}"
+
+
+def normal_tail_sql(z: str) -> str:
+    """Two-sided normal probability by the midpoint rule."""
+    steps = "(SELECT (i + 0.5) / 20000 AS u FROM range(20000) r(i))"
+    return f"1 - (SELECT sum(exp(-(({z} * u) ** 2) / 2)) * {z} / 20000 * sqrt(2 / pi()) FROM {steps})"
+
+
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 WINDOWS_SQL = """

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from quayside.catalog.fixtures import (
     HOLED, NUMBERS, SERIES, SPOILED_CUSTOMER, SPOILED_ORDERS, VIOLATION_ORDER, VIOLATIONS, VISITS, WINDOWS_SQL,
-    holed_series, price_series, spoiled_customer, spoiled_orders, violations, visits,
+    holed_series, price_series, spoiled_customer, spoiled_orders, t_tail_sql, violations, visits,
 )
 from quayside.catalog.q_clean import EVENT_KINDS, PAIR_SQL
 from quayside.catalog.registry import query
@@ -433,13 +433,10 @@ def _(spark, sf):
 @query("pearson_r", f"""
 WITH {WINDOWS_SQL},
 w AS (SELECT period_end, count(*) FILTER (WHERE event_type = 'click') AS clicks, count(*) AS n_events
-  FROM events JOIN periods ON ts > period_start AND ts <= period_end GROUP BY 1)
-SELECT corr(clicks, n_events) AS r, CAST(count(*) AS BIGINT) AS n FROM w""", {"r": 8})
-def _(spark, sf):
-    return A.pearson_r(weekly(spark, sf), "click", "event_count").select("r", "n")
-
-
-@query("pearson_r_p_value")
+  FROM events JOIN periods ON ts > period_start AND ts <= period_end GROUP BY 1),
+q AS (SELECT corr(clicks, n_events) AS r, CAST(count(*) AS BIGINT) AS n FROM w)
+SELECT r, n, {t_tail_sql("(abs(r) * sqrt((n - 2) / (1 - r * r)))", "(n - 2)")} AS p_value FROM q""",
+       {"r": 8, "p_value": 6})
 def _(spark, sf):
     return A.pearson_r(weekly(spark, sf), "click", "event_count")
 

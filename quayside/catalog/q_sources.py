@@ -1,12 +1,16 @@
 """Sources and cleaning of raw text times."""
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.ml.regression import LinearRegressionModel
+from pyspark.sql import functions as F, types as T
 
 from quayside.catalog.fixtures import SPOILED_ORDERS, spoiled_orders
 from quayside.catalog.registry import query
 from quayside.functions import scalars as S
-from quayside.sources import parse_ts_permissive, read_table, to_features
+from quayside.operators.models import fit_linear, linear_table
+from quayside.sources import (
+    fit_or_load, name_blank_header, new_path, parse_ts_permissive, read_delimited, read_table, to_features,
+)
 
 
 @query("read_table", "SELECT * FROM nation")
@@ -14,6 +18,38 @@ def _(spark, sf):
     return read_table(spark, sf, "nation")
 
 
+@query("read_delimited", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate,
+  TRY_CAST(o_orderpriority AS INTEGER) AS o_orderpriority FROM orders""")
+def _(spark, sf):
+    path = new_path(spark, "orders")
+    read_table(spark, sf, "orders").write.option("header", True).option("sep", "\t").csv(path)
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, " \
+             "o_orderpriority int"
+    orders = read_delimited(spark, path, T.StructType.fromDDL(schema), "\t", ("o_orderdate",))
+    return orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
+@query("name_blank_header", "SELECT CAST(n_nationkey AS VARCHAR) AS Date, n_name FROM nation")
+def _(spark, sf):
+    path = new_path(spark, "nation")
+    lines = F.concat_ws(",", "n_nationkey", "n_name")
+    read_table(spark, sf, "nation").select(lines.alias(",n_name")).write.option("header", True).option(
+        "sep", "\x01").csv(path)  # a separator that does not occur, so the line stays as it is
+    return name_blank_header(spark.read.option("header", True).csv(path), "Date")
+
+
+@query("fit_or_load", """
+SELECT 'intercept' AS term, regr_intercept(l_extendedprice, l_quantity) AS value FROM lineitem
+UNION ALL SELECT 'l_quantity', regr_slope(l_extendedprice, l_quantity) FROM lineitem""", {"value": 3})
+def _(spark, sf):
+    path, lines = new_path(spark, "model"), read_table(spark, sf, "lineitem")
+    for _turn in range(2):  # fitted and saved the first time, loaded the second
+        model = fit_or_load(spark, path, lambda: fit_linear(lines, ["l_quantity"], "l_extendedprice"),
+                            LinearRegressionModel.load)
+    return linear_table(model, ["l_quantity"])
+
+
 @query("parse_ts_permissive", f"""
 WITH {SPOILED_ORDERS}
 SELECT CAST(count(*) FILTER (WHERE t IS NULL) AS BIGINT) AS n_bad,

@@ -24,15 +24,20 @@ def _(spark, sf):
     return tokens(spark, sf).select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
-PHRASES = """
-w AS (SELECT term, count(*) AS n FROM (SELECT unnest(tokens) AS term FROM toks) GROUP BY 1),
-p AS (SELECT z[1] AS a, z[2] AS b, count(*) AS n FROM (SELECT unnest(list_zip(tokens, tokens[2:])) AS z FROM toks)
+def _phrases_sql(toks: str, n: str = "") -> str:
+    """Scored pairs of a table with a token list, as s<n>."""
+    return f"""
+w{n} AS (SELECT term, count(*) AS n FROM (SELECT unnest(tokens) AS term FROM {toks}) GROUP BY 1),
+p{n} AS (SELECT z[1] AS a, z[2] AS b, count(*) AS n FROM (SELECT unnest(list_zip(tokens, tokens[2:])) AS z FROM {toks})
       WHERE z[2] IS NOT NULL GROUP BY 1, 2),
-s AS (SELECT a, b, p.n, (p.n - 20) / wa.n / wb.n * ((SELECT count(*) FROM w) + (SELECT count(*) FROM p)) AS score
-      FROM p JOIN w wa ON wa.term = a JOIN w wb ON wb.term = b WHERE p.n >= 20)
+s{n} AS (SELECT a, b, p.n, (p.n - 20) / wa.n / wb.n * ((SELECT count(*) FROM w{n}) + (SELECT count(*) FROM p{n})) AS score
+      FROM p{n} p JOIN w{n} wa ON wa.term = a JOIN w{n} wb ON wb.term = b WHERE p.n >= 20)
 """
 
 
+PHRASES = _phrases_sql("toks")
+
+
 @query("find_phrases", f"""
 WITH {TOKENS}, {PHRASES} SELECT a, b, CAST(n AS BIGINT) AS n, score FROM s WHERE score > 10""", {"score": 8})
 def _(spark, sf):
@@ -41,24 +46,32 @@ def _(spark, sf):
 
 # Word by word: a word joins the one before it if the two are a phrase and that one is not a merged pair (marked
 # with a character that no word holds).
-MERGED = """
-known AS (SELECT list(a || ' ' || b) AS k FROM s WHERE score > 10),
-steps AS (SELECT doc_id, list_reduce(list_transform(tokens, lambda t: {'done': '', 'open': t}),
+def _merged_sql(toks: str, n: str = "") -> str:
+    return f"""
+known{n} AS (SELECT list(a || ' ' || b) AS k FROM s{n} WHERE score > 10),
+steps{n} AS (SELECT doc_id, list_reduce(list_transform(tokens, lambda t: {{'done': '', 'open': t}}),
   lambda acc, x: CASE WHEN NOT contains(acc.open, '|') AND list_contains(k, acc.open || ' ' || x.open)
-    THEN {'done': acc.done, 'open': acc.open || '|' || x.open}
-    ELSE {'done': acc.done || acc.open || ' ', 'open': x.open} END) AS r FROM toks, known WHERE len(tokens) > 0)
+    THEN {{'done': acc.done, 'open': acc.open || '|' || x.open}}
+    ELSE {{'done': acc.done || acc.open || ' ', 'open': x.open}} END) AS r FROM {toks}, known{n} WHERE len(tokens) > 0),
+merged{n} AS (SELECT doc_id, string_split(replace(r.done || r.open, '|', '_'), ' ') AS tokens FROM steps{n})
 """
 
 
+MERGED = _merged_sql("toks")
+
+
 @query("apply_phrases", f"""
-WITH {TOKENS}, {PHRASES}, {MERGED} SELECT doc_id, replace(r.done || r.open, '|', '_') AS tokens FROM steps""")
+WITH {TOKENS}, {PHRASES}, {MERGED} SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM merged""")
 def _(spark, sf):
     docs = tokens(spark, sf)
     merged = X.apply_phrases(docs, "doc_id", "tokens", X.find_phrases(docs, "tokens"))
     return merged.select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
-@query("add_phrases")
+@query("add_phrases", f"""
+WITH {TOKENS}, {PHRASES}, {MERGED}, {_phrases_sql("merged", "2")}, {_merged_sql("merged", "2")}
+SELECT doc_id, array_to_string(list_concat(toks.tokens, list_filter(coalesce(merged2.tokens, []),
+  lambda t: contains(t, '_'))), ' ') AS tokens FROM toks LEFT JOIN merged2 USING (doc_id)""")
 def _(spark, sf):
     return X.add_phrases(tokens(spark, sf), "doc_id", "tokens").select(
         "doc_id", F.array_join("tokens", " ").alias("tokens"))

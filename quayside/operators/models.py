@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import contextmanager
-from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -27,7 +26,7 @@ from quayside.operators.features import fold_assign, split_random
 from quayside.operators.metrics import classification_metrics
 from quayside.operators.sampling import top_bottom_k
 from quayside.operators.windows import rank_results
-from quayside.sources import to_features
+from quayside.sources import new_path, to_features
 
 SEED = 48
 
@@ -233,19 +232,10 @@ def forest_holdout_score(df: DataFrame, features: list[str], label: str, key: st
     return classification_metrics(predict_new(model, test, features), label, "prediction", "score")
 
 
-def shared_folder(spark) -> str:
-    """The cluster's folder for intermediate files; a local one is set up only where none is named."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        import tempfile
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return folder
-
-
 def forest_nodes(model) -> DataFrame:
     """The nodes of a forest as rows: tree, id, left, right, feature, threshold, share of class 1."""
     spark = SparkSession.active()
-    path = f"{shared_folder(spark)}/forest-{uuid4().hex}"
+    path = new_path(spark, "forest")
     model.write().save(path)
     nodes = spark.read.parquet(f"{path}/data")
     n = "nodeData"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -12,6 +14,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path for an intermediate file in the folder that ``spark.checkpoint.dir`` names for the cluster.
+
+    A folder of this machine is used only where none is named, as in a local test.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
+    return f"{folder}/{name}-{uuid4().hex}"
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a table that comes in fewer pieces than there are cores; leave any larger table alone.
 
