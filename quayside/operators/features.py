@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from quayside.functions.scalars import stable_hash
 from quayside.operators.aggregates import column_profile
 from quayside.operators.windows import require_date
 from quayside.plans.blocks import row_rank
-from quayside.plans.levels import category_levels, level_counts
+from quayside.plans.levels import MAX_BROADCAST_ROWS, category_levels, level_counts
 
 
 def one_hot(df: DataFrame, col: str, prefix: str, levels: list | None = None) -> DataFrame:
@@ -84,11 +84,14 @@ def split_random(df: DataFrame, key: str, test: float = 0.25, seed: int = 48, la
 
 
 def split_time(df: DataFrame, time_col: str, train: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """The first share of the dates, and the rest. The dates, not the rows, are ranked."""
+    """The first share of the dates, and the rest.
+
+    The distinct dates, which the calendar bounds, are fetched; the cut-off is then a literal that reaches
+    the scan as a pushed filter.
+    """
     require_date(df, time_col)
-    dates = df.select(time_col).distinct().withColumn("_rank", F.row_number().over(W.orderBy(time_col)))
-    wanted = F.round(dates.agg(F.count(F.lit(1)).alias("n")).scalar() * F.lit(train))
-    last = dates.filter(F.col("_rank") <= wanted).agg(F.max(time_col).alias("last")).scalar()
+    dates = category_levels(df, time_col, MAX_BROADCAST_ROWS)
+    last = F.lit(dates[max(0, math.floor(len(dates) * train + 0.5) - 1)])
     return df.filter(F.col(time_col) <= last), df.filter(F.col(time_col) > last)
 
 

@@ -1,7 +1,7 @@
 """Daily series: calendar, decomposition, autocorrelation, tests, ARIMA.
 
-Input is long: (series, ds, y) with ds a DATE and one row per series and day, so that a series is bounded by
-the calendar (36,525 rows a century) whatever the number of source rows behind it. Series are the unit of
+Input is long: (series, ds, y) with ds a DATE. Rows of one series and day are averaged first, map side, so a
+series is bounded by the calendar (36,525 rows a century) whatever the number of rows behind it. Series are the unit of
 parallel work: one shuffle by series, then a window, or a small numpy step where a method needs the whole
 series at once (a transform, a regression on lags, a recursion).
 """
@@ -20,6 +20,12 @@ from quayside.operators.windows import centered_moving_average, forward_fill, re
 
 
 
+def daily(df: DataFrame, *more: str) -> DataFrame:
+    """One row per series and day (rows of one day are averaged), so that a series fits the calendar."""
+    require_date(df, "ds")
+    return df.groupBy("series", "ds", *more).agg(F.avg("y").alias("y"))
+
+
 def _values(pdf: pd.DataFrame) -> np.ndarray:
     return pdf.sort_values("ds")["y"].dropna().to_numpy(dtype=float)
 
@@ -54,7 +60,7 @@ def seasonal_decompose(df: DataFrame, period: int, model: str = "additive") -> D
     The trend is a centred moving average. Its ends, which have no full window, follow a straight line
     through one period: the first period of trend values, and the period before the last one.
     """
-    require_date(df, "ds")
+    df = daily(df)
     half = period // 2
     n = F.count(F.lit(1)).over(W.partitionBy("series"))
     rows = (centered_moving_average(df, ["series"], "ds", "y", period)
@@ -98,14 +104,13 @@ def _acf(y: np.ndarray, lags: int) -> np.ndarray:
 
 def autocorrelation(df: DataFrame, lags: int) -> DataFrame:
     """(series, lag, acf, n) for lags 0 … ``lags``; the sums are all divided by n."""
-    require_date(df, "ds")
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
         y = _values(pdf)
         r = _acf(y, min(lags, len(y) - 1))
         return pd.DataFrame({"series": pdf["series"].iloc[0], "lag": np.arange(len(r)), "acf": r, "n": len(y)})
 
-    return df.groupBy("series").applyInPandas(per_series, "series string, lag int, acf double, n bigint")
+    return daily(df).groupBy("series").applyInPandas(per_series, "series string, lag int, acf double, n bigint")
 
 
 def partial_autocorrelation(df: DataFrame, lags: int, adjusted: bool = True) -> DataFrame:
@@ -210,7 +215,6 @@ def adf_stationarity(df: DataFrame, max_lag: int | None = None, fixed_lag: bool
 
     ``fixed_lag`` uses ``max_lag`` itself. ``stationary`` is the decision at 5 %.
     """
-    require_date(df, "ds")
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
         stat, lag, n = _adf(_values(pdf), max_lag, fixed_lag)
@@ -219,7 +223,7 @@ def adf_stationarity(df: DataFrame, max_lag: int | None = None, fixed_lag: bool
         return pd.DataFrame({"series": [pdf["series"].iloc[0]], "statistic": [stat], "lag": [lag], "n": [n],
                              "p_value": [p], **critical, "stationary": [p < 0.05]})
 
-    return df.groupBy("series").applyInPandas(
+    return daily(df).groupBy("series").applyInPandas(
         per_series, "series string, statistic double, lag int, n bigint, p_value double, "
                     "crit_1 double, crit_5 double, crit_10 double, stationary boolean")
 
@@ -227,7 +231,7 @@ def adf_stationarity(df: DataFrame, max_lag: int | None = None, fixed_lag: bool
 def granger_causality(df: DataFrame, cause: str, effect: str, max_lag: int, ds: str = "ds") -> DataFrame:
     """(lag, f, p_value, df_num, df_den): does the past of ``cause`` help to predict ``effect``?
 
-    ``df`` has one row per day, so the one group is bounded by the calendar.
+    Rows of one day are averaged first, so the one group is bounded by the calendar.
     """
     require_date(df, ds)
 
@@ -248,7 +252,8 @@ def granger_causality(df: DataFrame, cause: str, effect: str, max_lag: int, ds:
             rows.append((lag, f, f_tail(f, lag, rest), lag, rest))
         return pd.DataFrame(rows, columns=["lag", "f", "p_value", "df_num", "df_den"])
 
-    return df.select(ds, cause, effect).groupBy().applyInPandas(
+    days = df.groupBy(ds).agg(F.avg(cause).alias(cause), F.avg(effect).alias(effect))
+    return days.groupBy().applyInPandas(
         test, "lag int, f double, p_value double, df_num int, df_den int")
 
 
@@ -283,7 +288,6 @@ def _arima(y: np.ndarray, order: tuple[int, int, int]) -> dict:
 
 def fit_arima(df: DataFrame, order: tuple[int, int, int]) -> DataFrame:
     """(series, term, value): const, ar.L*, ma.L*, sigma2, aic."""
-    require_date(df, "ds")
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
         m = _arima(_values(pdf), order)
@@ -294,7 +298,7 @@ def fit_arima(df: DataFrame, order: tuple[int, int, int]) -> DataFrame:
         return pd.DataFrame({"series": pdf["series"].iloc[0], "term": list(terms),
                              "value": [float(v) for v in terms.values()]})
 
-    return df.groupBy("series").applyInPandas(per_series, "series string, term string, value double")
+    return daily(df).groupBy("series").applyInPandas(per_series, "series string, term string, value double")
 
 
 def _forecast(y: np.ndarray, order: tuple[int, int, int], steps: int) -> tuple[np.ndarray, np.ndarray]:
@@ -332,10 +336,9 @@ def _normal_quantile(level: float) -> float:
 def forecast_arima(train: DataFrame, test: DataFrame, order: tuple[int, int, int], level: float = 0.95
                    ) -> DataFrame:
     """(series, ds, mean, lower, upper, actual), one row per test day; only ``train`` is used for the fit."""
-    require_date(train, "ds")
     z = _normal_quantile(level)
-    both = train.select("series", "ds", "y", F.lit(False).alias("is_test")).unionByName(
-        test.select("series", "ds", "y", F.lit(True).alias("is_test")))
+    both = daily(train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True))),
+                 "is_test")
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ds")
@@ -352,7 +355,6 @@ def forecast_arima(train: DataFrame, test: DataFrame, order: tuple[int, int, int
 
 def arima_grid(df: DataFrame, p, d, q) -> DataFrame:
     """(series, p, d, q, aic, best) for every order of the product. A series is shuffled once for all."""
-    require_date(df, "ds")
     orders = [(a, b, c) for a in p for b in d for c in q]
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -363,5 +365,5 @@ def arima_grid(df: DataFrame, p, d, q) -> DataFrame:
         out["best"] = out["aic"] == out["aic"].min()
         return out
 
-    return df.groupBy("series").applyInPandas(
+    return daily(df).groupBy("series").applyInPandas(
         per_series, "series string, p int, d int, q int, aic double, best boolean")
