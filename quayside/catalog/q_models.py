@@ -132,10 +132,14 @@ def _(spark, sf):
     return L.kmeans_sweep(points(spark, sf), "features", range(2, 6))
 
 
-@query("label_segments")
+@query("label_segments", "SELECT vec_id, label, true AS is_nearest FROM embeddings")
 def _(spark, sf):
     rows = points(spark, sf)
-    return L.label_segments(L.fit_kmeans(rows, "features", 5), rows).select("vec_id", "label", "segment")
+    model = L.fit_kmeans(rows, "features", 5)
+    centres = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(model.clusterCenters())],
+                                    "id int, centre array<double>")
+    both = L.kmeans_assign(L.label_segments(model, rows), "embedding", centres, "nearest")
+    return both.select("vec_id", "label", (F.col("segment") == F.col("nearest")).alias("is_nearest"))
 
 
 CENTRES = """

@@ -79,21 +79,22 @@ def _(spark, sf):
     return T.autocorrelation(price_series(spark, sf), 50)
 
 
-@query("partial_autocorrelation")
+# The recursion step by step: phi holds the coefficients of order k, "rest" the share of variance left.
+@query("partial_autocorrelation", f"""
+WITH RECURSIVE {ACF},
+rs AS (SELECT series, any_value(n) AS n, list(acf * n / (n - lag) ORDER BY lag) AS r FROM acf GROUP BY 1),
+steps AS (
+  SELECT series, n, r, 0 AS k, []::DOUBLE[] AS phi, 1.0::DOUBLE AS rest, 1.0::DOUBLE AS a FROM rs
+  UNION ALL
+  SELECT series, n, r, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - b * phi[k + 1 - j]), b),
+    rest * (1 - b * b), b
+  FROM (SELECT *, (r[k + 2] - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j])), 0))
+               / rest AS b FROM steps WHERE k < 50))
+SELECT series, CAST(k AS INTEGER) AS lag, a AS pacf, n FROM steps""", {"pacf": 8})
 def _(spark, sf):
     return T.partial_autocorrelation(price_series(spark, sf), 50)
 
 
-@query("partial_autocorrelation_two_lags", f"""
-WITH {ACF}, r AS (SELECT series, any_value(n) AS n, max(acf) FILTER (WHERE lag = 1) * any_value(n) / (any_value(n) - 1) AS r1,
-  max(acf) FILTER (WHERE lag = 2) * any_value(n) / (any_value(n) - 2) AS r2 FROM acf GROUP BY 1)
-SELECT series, r1 AS pacf_1, (r2 - r1 * r1) / (1 - r1 * r1) AS pacf_2 FROM r""", {"pacf_1": 8, "pacf_2": 8})
-def _(spark, sf):
-    pacf = T.partial_autocorrelation(price_series(spark, sf), 50)
-    return pacf.groupBy("series").agg(*[F.max(F.when(F.col("lag") == k, F.col("pacf"))).alias(f"pacf_{k}")
-                                        for k in (1, 2)])
-
-
 @query("significant_lags", f"""
 WITH {ACF}, b AS (SELECT *, 1.96 / sqrt(n) AS band FROM acf WHERE lag >= 1),
 g AS (SELECT *, min(lag) FILTER (WHERE abs(acf) <= band) OVER (PARTITION BY series) AS gap FROM b)

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quayside.functions.distributions import correlation_p
 from quayside.operators.clean import columns_of
+from quayside.operators.joins import interval_join
 from quayside.operators.reshape import melt
+from quayside.plans.levels import join_small
 from quayside.plans.quantiles import exact_quantiles
 
 
@@ -58,7 +60,17 @@ def nunique_per_group(df: DataFrame, key: str, col: str) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(_rows().alias("n")).filter(F.col("n") > 1)
+    """Keys that occur more than once, with their rows.
+
+    Text keys are counted by hash first. A hash that occurs once belongs to a key that occurs once, so only
+    the texts behind repeated hashes are shuffled and compared.
+    """
+    rows = df.select(*keys)
+    if any(rows.schema[k].dataType.typeName() == "string" for k in keys):
+        hashed = rows.withColumn("_h", F.xxhash64(*keys))
+        repeated = hashed.groupBy("_h").agg(_rows().alias("n")).filter(F.col("n") > 1).select("_h")
+        rows = join_small(hashed, repeated, ["_h"], "left_semi")
+    return rows.groupBy(*keys).agg(_rows().alias("n")).filter(F.col("n") > 1)
 
 
 def missing_per_column(df: DataFrame) -> DataFrame:
@@ -303,21 +315,21 @@ def per_user_mean(df: DataFrame, period: list[str], user: str, predicate: Column
 
 
 def _period_users(events: DataFrame, periods: DataFrame, ts: str, user: str, kind: str) -> DataFrame:
-    """Rows per (period, user, kind), for periods given by DATEs (midnights), start < t <= end.
+    """Rows per (period, user, kind), start < t <= end.
 
-    Events are first folded per (day, user, kind); the copies for overlapping periods are made of those
-    counts, not of the events. ``_day`` is the first midnight at or after the event, so that
-    start < t <= end holds exactly when start < _day <= end.
+    Where the periods are given by DATEs (midnights), events are first folded per (day, user, kind); the copies
+    for overlapping periods are made of those counts, not of the events. ``_day`` is the first midnight at or
+    after the event, so that start < t <= end holds exactly when start < _day <= end.
     """
-    for name in ("period_start", "period_end"):
-        if periods.schema[name].dataType.typeName() != "date":
-            raise TypeError(f"{name} must be a DATE; use interval_join for other bounds")
+    by = ["period_start", "period_end", user, kind]
+    if {periods.schema[name].dataType.typeName() for name in by[:2]} != {"date"}:
+        inside = interval_join(events.select(ts, user, kind), periods, ts, "period_start", "period_end")
+        return inside.groupBy(*by).agg(_rows().alias("_n"))
     moved = F.to_date(F.col(ts) + F.expr("interval '23:59:59.999999' hour to second"))
     daily = events.groupBy(moved.alias("_day"), user, kind).agg(_rows().alias("_n"))
     cover = F.sequence(F.date_add("period_start", 1), F.col("period_end"))
     by_day = periods.select("period_start", "period_end", F.explode(cover).alias("_day"))
-    return (daily.join(by_day, "_day").groupBy("period_start", "period_end", user, kind)
-            .agg(F.sum("_n").alias("_n")))
+    return daily.join(by_day, "_day").groupBy(*by).agg(F.sum("_n").alias("_n"))
 
 
 def _period_wide(counted: DataFrame, user: str, kind: str, kinds: list[str], users_name: str,

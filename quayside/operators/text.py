@@ -279,7 +279,11 @@ def topics_by_sentiment(model, vectors: DataFrame, group: str, label: str) -> Da
 
 
 def before_after_sample(df: DataFrame, raw: str, tokens: str, key: str, label: str, seed: int = 48) -> DataFrame:
-    """One random row per class, raw text beside its words."""
-    row = F.struct(key, raw, tokens)
-    return (df.groupBy(label).agg(F.min_by(row, F.struct(stable_hash(F.col(key), seed), F.col(key))).alias("_r"))
-            .select(label, f"_r.{key}", f"_r.{raw}", f"_r.{tokens}"))
+    """One random row per class, raw text beside its words.
+
+    The keys are drawn first, without the texts; only the drawn rows are then read and split into words.
+    """
+    drawn = (df.filter(F.col(label).isNotNull()).groupBy(label)
+             .agg(F.min(F.struct(stable_hash(F.col(key), seed).alias("h"), F.col(key).alias("k"))).alias("_d")))
+    keys = [r[0] for r in fetch_small(drawn.select("_d.k")).collect()]
+    return df.filter(F.col(key).isin(keys)).select(label, key, raw, tokens)

@@ -130,8 +130,9 @@ def test_interval_join_bounds(spark):
     days = periods.selectExpr("cast(a as date) period_start", "cast(b as date) period_end")
     wide = A.weekly_active(events.selectExpr("id", "ts", "'x' AS kind"), days, "ts", "id", "kind", ["x", "y"])
     assert rows_of(wide, "engaged_users", "event_count", "x", "y") == [(2, 2, 2, None)]
-    with pytest.raises(TypeError):
-        A.weekly_active(events, periods.selectExpr("a period_start", "b period_end"), "ts", "id", "id", [])
+    times = periods.selectExpr("a period_start", "b period_end")
+    same = A.weekly_active(events.selectExpr("id", "ts", "'x' AS kind"), times, "ts", "id", "kind", ["x", "y"])
+    assert rows_of(same, "engaged_users", "event_count", "x", "y") == [(2, 2, 2, None)]
 
 
 def test_correlation_of_a_constant_is_null(spark):
