@@ -15,6 +15,8 @@ Pandas rule: rows with a null key or a null order value take no part and are dro
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
@@ -22,10 +24,14 @@ BLOCK = "_block"
 _POS = "_pos"
 _INF = float("inf")
 PLAIN_ROWS = 1_000_000  # a group up to this size is an ordinary window partition
+BLOCK_ROWS = 2_000_000  # rows aimed at per block
+MAX_BLOCKS = 20_000  # the bounds of the blocks are kept on the driver
 
 
-def shuffle_width(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def blocks_for(df: DataFrame, rows: int) -> int:
+    """Number of blocks for so many rows: at least one per shuffle partition."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, min(MAX_BLOCKS, max(width, math.ceil(rows / BLOCK_ROWS))))
 
 
 def as_position(df: DataFrame, name: str) -> Column:
@@ -49,16 +55,19 @@ def as_position(df: DataFrame, name: str) -> Column:
 def _bounds(df: DataFrame, name: str, blocks: int) -> list[float]:
     """At most ``blocks - 1`` approximate quantiles of one column, with repeats."""
     probs = [i / blocks for i in range(1, blocks)]
-    return df.select(as_position(df, name).alias(_POS)).approxQuantile(_POS, probs, 1 / (2 * blocks))
+    found = df.select(as_position(df, name).alias(_POS)).approxQuantile(_POS, probs, 1 / (2 * blocks))
+    return [b for b in found if math.isfinite(b)]
 
 
 def _bucket(df: DataFrame, name: str, bounds: list[float], out: str) -> DataFrame:
+    if not bounds:
+        return df.withColumn(out, F.lit(0.0))
     splits = [-_INF, *sorted(set(bounds)), _INF]
     placed = df.withColumn(_POS, as_position(df, name))
     return Bucketizer(splits=splits, inputCol=_POS, outputCol=out).transform(placed).drop(_POS)
 
 
-def ordered_blocks(df: DataFrame, order: list[str], blocks: int | None = None,
+def ordered_blocks(df: DataFrame, order: list[str], blocks: int,
                    sample_from: DataFrame | None = None) -> DataFrame:
     """Add ``_block``, a number that never falls along ``order``.
 
@@ -66,7 +75,6 @@ def ordered_blocks(df: DataFrame, order: list[str], blocks: int | None = None,
     are cut again at the quantiles of the second column. ``sample_from`` is a cheaper frame with the same
     order columns to take the quantiles from (for example the rows before a group-by).
     """
-    blocks = blocks or max(2, shuffle_width(df))
     source = df if sample_from is None else sample_from
     bounds = _bounds(source, order[0], blocks)
     out = _bucket(df, order[0], bounds, BLOCK).withColumn(BLOCK, F.col(BLOCK).cast("bigint"))
@@ -81,11 +89,11 @@ def ordered_blocks(df: DataFrame, order: list[str], blocks: int | None = None,
     return out.withColumn(BLOCK, F.col(BLOCK) * (blocks + 2) + piece).drop("_inner")
 
 
-def fits_one_task(df: DataFrame, keys: list[str], limit: int = PLAIN_ROWS) -> bool:
-    """Whether no group has more than ``limit`` rows, from a count per key."""
+def choose_blocks(df: DataFrame, keys: list[str]) -> int:
+    """1 if every group is small enough for an ordinary window, else a number of blocks for all rows."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n").alias("n")).first().n
-    return largest is None or largest <= limit
+    found = sizes.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
+    return 1 if (found.largest or 0) <= PLAIN_ROWS else blocks_for(df, found.total)
 
 
 def _prepare(df: DataFrame, keys: list[str], order: list[str], blocks: int | None,
@@ -93,7 +101,9 @@ def _prepare(df: DataFrame, keys: list[str], order: list[str], blocks: int | Non
     """Rows with their keys and order present, the columns to partition by, and whether those are blocks."""
     for name in [*keys, order[0]]:
         df = df.filter(F.col(name).isNotNull())
-    if blocks == 1 or blocks is None and fits_one_task(df if sample_from is None else sample_from, keys):
+    if blocks is None:
+        blocks = choose_blocks(df if sample_from is None else sample_from, keys)
+    if blocks == 1:
         return df, list(keys), False
     return ordered_blocks(df, order, blocks, sample_from), [*keys, BLOCK], True
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quayside.plans.blocks import PLAIN_ROWS, running_total, shuffle_width
+from quayside.plans.blocks import PLAIN_ROWS, blocks_for, running_total
 from quayside.plans.levels import MAX_BROADCAST_ROWS
 
 
@@ -33,11 +33,14 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     found = sizes.limit(MAX_BROADCAST_ROWS + 1).collect()
     few = len(found) <= MAX_BROADCAST_ROWS
-    largest = max((r._size for r in found), default=0) if few else sizes.agg(F.max("_size")).first()[0]
+    if few:
+        largest, total = max((r._size for r in found), default=0), sum(r._size for r in found)
+    else:
+        largest, total = sizes.agg(F.max("_size"), F.sum("_size")).first()
     if blocks is None and largest <= PLAIN_ROWS:
         return _from_arrays(rows, keys, probs)
     counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_total(counts, keys, ["_v"], {"_upto": F.col("_n")}, blocks or max(2, shuffle_width(df)),
+    ranked = running_total(counts, keys, ["_v"], {"_upto": F.col("_n")}, blocks or blocks_for(df, total),
                            sample_from=rows)
     if not keys:
         ranked = ranked.withColumn("_size", F.lit(found[0]._size))

@@ -123,3 +123,16 @@ def test_small_sides(spark, frame):
         category_levels(frame, "id", 10)
     with pytest.raises(ValueError):
         fetch_small(frame, 10)
+
+
+def test_number_of_blocks(spark, frame):
+    assert B.blocks_for(frame, 10) == 8  # the shuffle width of the session
+    assert B.blocks_for(frame, 10**9) == 500 and B.blocks_for(frame, 10**15) == B.MAX_BLOCKS
+    assert B.choose_blocks(frame, ["key"]) == 1
+
+
+def test_empty_table(frame):
+    none = frame.filter("id < 0")
+    for blocks in (None, 1, 3):
+        assert B.row_rank(none, ["key"], ["t", "id"], "r", blocks).count() == 0
+        assert exact_quantiles(none, ["key"], "v", {"a": 0.5}, blocks).count() == 0
