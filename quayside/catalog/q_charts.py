@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quayside.catalog.fixtures import NUMBERS, VISITS, holed_series, visits
+from quayside.catalog.fixtures import NUMBERS, VISITS, visits
 from quayside.catalog.q_aggregates import SEGMENTED, segmented
 from quayside.catalog.registry import query
 from quayside.operators import charts as H, windows as N

@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from quayside.catalog.fixtures import (
-    HOLED, NUMBERS, SPOILED_CUSTOMER, VIOLATIONS, VISITS, holed_series, spoiled_customer, violations, visits,
+    HOLED, NUMBERS, SPOILED_CUSTOMER, VIOLATIONS, holed_series, spoiled_customer, violations,
 )
 from quayside.catalog.registry import query
 from quayside.functions import scalars as S

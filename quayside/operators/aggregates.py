@@ -315,21 +315,21 @@ def per_user_mean(df: DataFrame, period: list[str], user: str, predicate: Column
 
 
 def _period_users(events: DataFrame, periods: DataFrame, ts: str, user: str, kind: str) -> DataFrame:
-    """Rows per (period, user, kind), start < t <= end.
+    """(period, user, kind) rows with a count ``_n`` to be summed, start < t <= end.
 
     Where the periods are given by DATEs (midnights), events are first folded per (day, user, kind); the copies
     for overlapping periods are made of those counts, not of the events. ``_day`` is the first midnight at or
     after the event, so that start < t <= end holds exactly when start < _day <= end.
     """
-    by = ["period_start", "period_end", user, kind]
-    if {periods.schema[name].dataType.typeName() for name in by[:2]} != {"date"}:
-        inside = interval_join(events.select(ts, user, kind), periods, ts, "period_start", "period_end")
-        return inside.groupBy(*by).agg(_rows().alias("_n"))
+    by = ["period_start", "period_end"]
+    if {periods.schema[name].dataType.typeName() for name in by} != {"date"}:
+        inside = interval_join(events.select(ts, user, kind), periods, ts, *by)
+        return inside.select(*by, user, kind, F.lit(1).cast("bigint").alias("_n"))
     moved = F.to_date(F.col(ts) + F.expr("interval '23:59:59.999999' hour to second"))
     daily = events.groupBy(moved.alias("_day"), user, kind).agg(_rows().alias("_n"))
     cover = F.sequence(F.date_add("period_start", 1), F.col("period_end"))
     by_day = periods.select("period_start", "period_end", F.explode(cover).alias("_day"))
-    return daily.join(by_day, "_day").groupBy(*by).agg(F.sum("_n").alias("_n"))
+    return daily.join(by_day, "_day").select(*by, user, kind, "_n")
 
 
 def _period_wide(counted: DataFrame, user: str, kind: str, kinds: list[str], users_name: str,

@@ -3,9 +3,7 @@ import datetime as dt
 import math
 
 import numpy as np
-import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from quayside.functions import distributions as D
 from quayside.operators import features as X, timeseries as T, windows as N
