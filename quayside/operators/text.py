@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from quayside.functions.scalars import stable_hash
 from quayside.operators.sampling import top_bottom_k
 from quayside.plans.levels import fetch_small, join_small
+from quayside.sources import stored
 
 MAX_TERMS = 1_000_000
 
@@ -59,18 +60,20 @@ def _pairs(df: DataFrame, tokens: str, *keep: str) -> DataFrame:
 
 
 def find_phrases(df: DataFrame, tokens: str, min_count: int = 20, threshold: float = 10.0) -> DataFrame:
-    """(a, b, n, score) of adjacent pairs with n >= min_count and a score above the threshold.
+    """(a, b, n, score) of adjacent (non-empty) words with n >= min_count and a score above the threshold.
 
     score = (n - min_count) * V / (n_a * n_b), V being the number of different words and pairs.
     """
     # Every word is the first half of one pair, the last of a document with nothing after it. So the counted
-    # pairs hold the word counts too, and the corpus is read and shuffled once.
-    pairs = (_pairs(df, tokens).groupBy(F.col("token").alias("a"), F.col("next").alias("b"))
+    # pairs hold the word counts too, and the corpus is read and shuffled once. "Nothing" is an empty word here and
+    # is tested together with n: a test on b alone would be pushed below the group-by and make it a second one.
+    pairs = (_pairs(df, tokens).groupBy(F.col("token").alias("a"), F.coalesce("next", F.lit("")).alias("b"))
              .agg(F.count(F.lit(1)).alias("n")))
+    n_pair = F.when(F.col("b") != "", F.col("n"))
     words = pairs.groupBy("a").agg(F.sum("n").alias("n_word"))
     size = (words.agg(F.count_if(F.col("n_word") > 0).alias("n")).scalar()
-            + pairs.agg(F.count_if(F.col("b").isNotNull() & (F.col("n") > 0)).alias("n")).scalar())
-    frequent = pairs.filter(F.col("b").isNotNull() & (F.col("n") >= min_count))
+            + pairs.agg(F.count_if(n_pair > 0).alias("n")).scalar())
+    frequent = pairs.filter(n_pair >= min_count)
     left = words.withColumnRenamed("n_word", "n_a")
     right = words.select(F.col("a").alias("b"), F.col("n_word").alias("n_b"))
     score = (F.col("n") - min_count) / F.col("n_a") / F.col("n_b") * F.col("_size")
@@ -102,9 +105,11 @@ def apply_phrases(df: DataFrame, doc: str, tokens: str, phrases: DataFrame) -> D
 def add_phrases(df: DataFrame, doc: str, tokens: str, min_count: int = 20, threshold: float = 10.0) -> DataFrame:
     """Append the two- and three-word phrases found to each document's words.
 
-    A first pass merges pairs; a second pass, counted on the merged words, merges again (``a_b_c``).
+    A first pass merges pairs; a second pass, counted on the merged words, merges again (``a_b_c``). The words
+    and the merged words are each read twice, so both are written out once.
     """
-    merged = apply_phrases(df, doc, tokens, find_phrases(df, tokens, min_count, threshold))
+    words = stored(df.select(doc, tokens), "words")
+    merged = stored(apply_phrases(words, doc, tokens, find_phrases(words, tokens, min_count, threshold)), "merged")
     again = apply_phrases(merged, doc, tokens, find_phrases(merged, tokens, min_count, threshold))
     found = again.select(doc, F.filter(tokens, lambda t: t.contains("_")).alias("_found"))
     joined = df.join(found, doc, "left")

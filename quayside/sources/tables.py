@@ -23,6 +23,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, computed once and written to the shared folder, for a result that is read several times."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a table that comes in fewer pieces than there are cores; leave any larger table alone.
 
