@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from uuid import uuid4
 
@@ -17,10 +16,11 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def new_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate file in the folder that ``spark.checkpoint.dir`` names for the cluster.
 
-    A folder of this machine is used only where none is named, as in a local test.
+    Where none is named, as in a local test, it is in the warehouse, which all executors share too. Files of an
+    application are in a folder with its id, which can be deleted when the application has ended.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
-    return f"{folder}/{name}-{uuid4().hex}"
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    return f"{folder}/{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
