@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 #: ASCII capitals and their small letters; no other letter is lower-cased anywhere in this subpackage.
@@ -68,3 +69,24 @@ def numbered(df: DataFrame, key: str, sizes: DataFrame, ties: list[str], out: st
     inside = F.row_number().over(W.partitionBy(key, "_block").orderBy(*ties)) - 1
     return (rows.withColumn(out, inside).join(starts, [key, "_block"])
             .withColumn(out, F.col("_start") + F.col(out)).drop("_block", "_start"))
+
+
+class WordHashes(dict):
+    """64-bit hashes of words; bounded, one per task."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+
+def most_frequent(counts: DataFrame, most: int) -> pa.Table:
+    """The rows with the largest ``n``: the smallest count is taken that leaves at most ``most`` of them.
+
+    ``counts`` is read twice, so it should be stored.
+    """
+    falling = W.orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, W.currentRow)  # over one row per count
+    cuts = counts.groupBy("n").agg(F.count(F.lit(1)).alias("k")).select("n", F.sum("k").over(falling).alias("k"))
+    cut = cuts.filter(F.col("k") <= most).agg(F.min("n")).first()[0]
+    return counts.filter(F.col("n") >= cut if cut is not None else F.lit(False)).toArrow()

@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quayside.llm import chat, hilbert, licenses, packing, phrase_prints, pieces, quality_rules, rule_ensemble
+from quayside.llm import (
+    chat, hilbert, katz, licenses, ngram_join, packing, phrase_prints, pieces, quality_rules, rule_ensemble,
+)
 from quayside.llm.common import crc_class
 from quayside.sources import read_table
 from quayside.sources.tables import stored
@@ -74,6 +76,12 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge_documents(docs, rules).select("doc_id", "rules.*")
 
 
+@query
+def op3_katz_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return katz.score_texts(docs.withColumn("held_out", crc_class(F.col("doc_id"), 5) == 1))
+
+
 @query
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
@@ -120,6 +128,11 @@ def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digest_documents(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.ngram_components(documents(spark, folder))
+
+
 @query
 def op7_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
     docs, held_out = documents(spark, folder), crc_class(F.col("doc_id"), 3) == 1
