@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from quayside.llm.common import numbered
+from quayside.sources.tables import stored
 
 
 def curve_states(dims: int) -> tuple[list[int], list[int]]:
@@ -55,14 +56,15 @@ def curve_index(cells: list[Column], bits: int) -> Column:
     dims = len(cells)
     following, digits = curve_states(dims)
     following, digits = F.array(*map(F.lit, following)), F.array(*map(F.lit, digits))
-    start = F.struct(F.lit(0).alias("state"), F.lit(0).cast("bigint").alias("index"))
+    start = F.struct(F.lit(0).alias("state"), F.lit(0).cast("bigint").alias("index"), F.array(*cells).alias("cell"))
 
     def step(at: Column, level: Column) -> Column:
-        corner = reduce(lambda a, b: a + b, [F.call_function("shiftright", c, level).bitwiseAND(F.lit(1)) * (1 << i)
-                                             for i, c in enumerate(cells)])
+        corner = reduce(lambda a, b: a + b, [
+            F.call_function("shiftright", at["cell"][i], level).bitwiseAND(F.lit(1)) * (1 << i) for i in range(dims)])
         spot = at["state"] * (1 << dims) + corner + 1
         return F.struct(F.element_at(following, spot).alias("state"),
-                        (at["index"] * (1 << dims) + F.element_at(digits, spot)).alias("index"))
+                        (at["index"] * (1 << dims) + F.element_at(digits, spot)).alias("index"),
+                        at["cell"].alias("cell"))
 
     levels = F.array(*[F.lit(i) for i in reversed(range(bits))])
     return F.aggregate(levels, start, step, lambda at: at["index"])
@@ -83,8 +85,9 @@ def position(df: DataFrame, name: str) -> Column:
     return F.coalesce(c, F.lit(float("-inf")))
 
 
-def curve_cells(df: DataFrame, columns: list[str], bits: int = 4, accuracy: int = 1000) -> Column:
-    """The curve index of each row; the cuts are approximate quantiles over all rows, ``2**bits - 1`` per column."""
+def with_curve(df: DataFrame, columns: list[str], bits: int = 4, accuracy: int = 1000) -> DataFrame:
+    """Add ``curve``, the index of each row's cell; the cuts are approximate quantiles over all rows, ``2**bits - 1``
+    per column. A null or a value that is no number is below everything."""
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
     at = [position(df, name) for name in columns]
     found = df.agg(*[F.percentile_approx(c, shares, accuracy).alias(f"c{i}") for i, c in enumerate(at)]).first()
@@ -92,32 +95,34 @@ def curve_cells(df: DataFrame, columns: list[str], bits: int = 4, accuracy: int
     for i, c in enumerate(at):
         cuts = sorted(set(found[i] or []))
         cells.append(reduce(lambda a, b: a + b, [(c > F.lit(b)).cast("int") for b in cuts], F.lit(0)))
-    return curve_index(cells, bits)
+    return df.withColumn("curve", curve_index(cells, bits))
 
 
-def hilbert_shards(df: DataFrame, columns: list[str], shards: int, ties: list[str], bits: int = 4,
-                   block_rows: int = 100_000) -> DataFrame:
-    """Add ``curve``, ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0) to every row; shards differ by one
-    row at most.
+def cut_runs(rows: DataFrame, shards: int, ties: list[str], block_rows: int = 100_000) -> DataFrame:
+    """Add ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0) in the order of ``curve``; shards differ by one row
+    at most.
 
-    ``df`` is read four times, so it should be narrow and stored. Columns of these names are replaced. Null values
-    are a cell of their own, ties and repeated rows keep their number, an empty table gives no rows.
+    ``rows`` is read four times, so it should be narrow and stored. Columns of these names are replaced. Ties and
+    repeated rows each get a slot, an empty table gives no rows.
     """
-    df = df.drop("curve", "shard", "slot")
-    rows = df.withColumn("curve", curve_cells(df, columns, bits))
+    rows = rows.drop("shard", "slot")
     before = W.orderBy("curve").rowsBetween(W.unboundedPreceding, -1)  # over one row per cell
     sizes = rows.groupBy("curve").agg(F.count(F.lit(1)).alias("_n"))
     cells = sizes.select("curve", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"),
                          F.sum("_n").over(W.partitionBy(F.lit(0))).alias("_all"))
     placed = numbered(rows, "curve", sizes, ties, "_at", block_rows).join(F.broadcast(cells), "curve")
-    rank = F.col("_first") + F.col("_at")
-    shard = F.floor(rank * shards / F.col("_all")).cast("bigint")
-    shard = F.expr(f"(_first + _at) * {shards} div _all")
     first = F.expr(f"(shard * _all + {shards - 1}) div {shards}")  # the smallest rank in the shard
-    return (placed.withColumn("shard", shard).withColumn("slot", rank - first)
+    return (placed.withColumn("shard", F.expr(f"(_first + _at) * {shards} div _all"))
+            .withColumn("slot", F.col("_first") + F.col("_at") - first)
             .withColumn("shard", F.col("shard").cast("int")).drop("_first", "_all", "_at"))
 
 
+def hilbert_shards(df: DataFrame, columns: list[str], shards: int, ties: list[str], bits: int = 4,
+                   block_rows: int = 100_000) -> DataFrame:
+    """Add ``curve``, ``shard`` and ``slot`` to every row of a narrow table; it is written once with the curve."""
+    return cut_runs(stored(with_curve(df, columns, bits), "curve"), shards, ties, block_rows)
+
+
 def write_shards(df: DataFrame, path: str) -> None:
     """One folder per shard; rows of a shard are in order of the curve, so readers can skip files by any column."""
     (df.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))
