@@ -42,8 +42,8 @@ def discounts(times: dict[int, int]) -> np.ndarray:
     Where Good and Turing's value is not between 0 and 1, as in a small table, half a count is taken off.
     """
     out = np.array([1.0, *[(r - 0.5) / r for r in range(1, TOP + 1)], LARGE])
-    if times.get(1) and times.get(TOP + 1) is not None:
-        rest = (TOP + 1) * times[TOP + 1] / times[1]
+    if times.get(1):
+        rest = (TOP + 1) * times.get(TOP + 1, 0) / times[1]
         for r in range(1, TOP + 1):
             if times.get(r) and times.get(r + 1) and rest < 1:
                 d = ((r + 1) * times[r + 1] / times[r] / r - rest) / (1 - rest)

@@ -82,7 +82,15 @@ def cut_pieces(docs: DataFrame, path: str, width: int = 1024, end: int = 2) -> D
 
 
 def plan_recipes(counts: dict[int, int], width: int) -> list[Recipe]:
-    """Sequences of at most ``width`` for so many pieces of each length, the longest length first.
+    """Sequences of at most ``width`` for so many pieces of each length: the shortest plan of those that fill gaps
+    exactly by up to three, two, one or no lengths before the rest goes best-fit. Small pieces that exact sums use up
+    may be missed later where there are few."""
+    plans = [_plan(counts, width, parts) for parts in (3, 2, 1, 0)]
+    return min(plans, key=lambda p: sum(times for _, times in p))
+
+
+def _plan(counts: dict[int, int], width: int, most_parts: int) -> list[Recipe]:
+    """One plan, the longest length first.
 
     For the gap that a length leaves, a single length, a pair and a triple that fill it exactly are looked up among the
     lengths that are left, and taken as often as there are pieces for all. A length without such a complement waits;
@@ -112,10 +120,12 @@ def plan_recipes(counts: dict[int, int], width: int) -> list[Recipe]:
 
     def fills(top: int, gap: int):
         """Lengths that fill the gap exactly: one, then pairs, then triples; none above the top."""
-        if gap <= top and have[gap]:
+        if most_parts >= 1 and gap <= top and have[gap]:
             yield (gap,)
-        for a in pairs(gap, top):
+        for a in pairs(gap, top) if most_parts >= 2 else ():
             yield (a, gap - a)
+        if most_parts < 3:
+            return
         for c in np.flatnonzero(have[:gap // 3 + 1]).tolist():  # the smallest of three
             for a in pairs(gap - c, top):
                 if gap - c - a >= c:
