@@ -28,8 +28,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from quayside.llm.common import joined, list_column, list_sizes, lower_words, mix, most_frequent
 from quayside.sources.tables import stored
 
-MAX_COMMON = 1 << 18
-LEAST_PAIR = 16  # a pair seen less often is never among the most frequent ones
+MAX_COMMON, MAX_PAIRS = 1 << 18, 1 << 20
+LEAST_PAIR = 8  # a pair seen less often is never among the most frequent ones
+CHUNK_TOKENS = 1_500_000  # what a task sorts at once
 TOP, LARGE = 5, 0.999
 END, START = 0, 1  # numbers of the end, a word, and of the beginning, a context only
 END_HASH = xxhash.xxh64_intdigest(b"\n")  # no word has a line break
@@ -99,6 +100,26 @@ def text_pairs(text: str | None, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
     return w, h
 
 
+def chunks(texts, codes: Codes):
+    """Runs of texts with about CHUNK_TOKENS tokens: the first text's number, and the pairs of each text."""
+    first, found, size = 0, [], 0
+    for i, t in enumerate(texts):
+        found.append(text_pairs(t.as_py(), codes))
+        size += len(found[-1][0])
+        if size >= CHUNK_TOKENS or len(found) == 10_000:
+            yield first, found
+            first, found, size = i + 1, [], 0
+    if found:
+        yield first, found
+
+
+def bucket_order(at: np.ndarray, w: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order by bucket and then, roughly, by word, and where each bucket begins."""
+    near = np.where(is_rare(w), w >> np.uint64(24), w)  # 40 bits, words keep together
+    order = np.argsort(at << np.uint64(40) | near)
+    return order, np.searchsorted(at[order], np.arange(buckets + 1, dtype=np.uint64))
+
+
 def pair_key(h: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix(mix(h) + w)
 
@@ -175,19 +196,18 @@ def pair_counts(train: DataFrame, words: Words) -> DataFrame:
     def count(batches):
         codes = Codes(words)
         for b in batches:
-            if not b.num_rows:
-                continue
-            w, h = map(np.concatenate, zip(*[text_pairs(t.as_py(), codes) for t in b.column(0)]))
-            key, first, n = np.unique(pair_key(h, w), return_index=True, return_counts=True)
-            w, h = w[first], h[first]
-            often = ~is_rare(h)
-            often[often] = words.counts[h[often].astype(np.int64)] >= hot
-            at = np.where(is_rare(w), mix(w), np.where(often, key, mix(h))) % np.uint64(buckets)
-            order = np.lexsort((h, w, at))
-            cuts = np.searchsorted(at[order], np.arange(buckets + 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(buckets, dtype=np.int32)), *code_lists(w[order], cuts), *code_lists(h[order], cuts),
-                 list_column(n[order].astype(np.int32), cuts)], names=["bucket", "w32", "w64", "h32", "h64", "n"])
+            for _, found in chunks(b.column(0), codes):
+                w, h = map(np.concatenate, zip(*found))
+                key, first, n = np.unique(pair_key(h, w), return_index=True, return_counts=True)
+                w, h = w[first], h[first]
+                often = ~is_rare(h)
+                often[often] = words.counts[h[often].astype(np.int64)] >= hot
+                at = np.where(is_rare(w), mix(w), np.where(often, key, mix(h))) % np.uint64(buckets)
+                order, cuts = bucket_order(at, w, buckets)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(buckets, dtype=np.int32)), *code_lists(w[order], cuts),
+                     *code_lists(h[order], cuts), list_column(n[order].astype(np.int32), cuts)],
+                    names=["bucket", "w32", "w64", "h32", "h64", "n"])
 
     def add(t: pa.Table) -> pa.Table:
         w, h = from_lists(t["w32"], t["w64"]), from_lists(t["h32"], t["h64"])
@@ -241,7 +261,7 @@ class Pairs:
 
 
 def known_pairs(pairs: DataFrame, backoff: DataFrame, d: np.ndarray, words: Words) -> Pairs:
-    rows = most_frequent(pairs.filter((F.col("kind") == PAIR) & (F.col("w") >= 0)).select("h", "w", "n"), MAX_COMMON)
+    rows = most_frequent(pairs.filter((F.col("kind") == PAIR) & (F.col("w") >= 0)).select("h", "w", "n"), MAX_PAIRS)
     key = pair_key(rows.column("h").to_numpy().view(np.uint64), rows.column("w").to_numpy().view(np.uint64))
     order = np.argsort(key)
     near = backoff.filter(F.col("h") >= 0).select("h", "alpha").toArrow()  # frequent contexts, at most MAX_COMMON + 2
@@ -264,14 +284,12 @@ def text_parts(docs: DataFrame, words: Words, pairs: Pairs) -> DataFrame:
     def cut(batches):
         codes, number = Codes(words), 0
         for b in batches:
-            for at in range(0, b.num_rows, 10_000):
-                part = b.slice(at, 10_000)
+            for first, found in chunks(b.column(1), codes):
                 base = TaskContext.get().partitionId() << 32 | number
                 number += 1
-                yield from one(part, base, codes)
+                yield from one(b.slice(first, len(found)), base, found)
 
-    def one(b, base, codes):
-        found = [text_pairs(t.as_py(), codes) for t in b.column(1)]
+    def one(b, base, found):
         tokens = np.array([len(w) for w, _ in found], np.int64)
         w, h = map(np.concatenate, zip(*found))
         doc = np.repeat(np.arange(b.num_rows), tokens)
@@ -290,9 +308,7 @@ def text_parts(docs: DataFrame, words: Words, pairs: Pairs) -> DataFrame:
             here = near & (pairs.keys[at] == key)
             x += np.bincount(doc[here], pairs.log_seen(pairs.counts[at[here]]), b.num_rows)
             w, h, doc, key = w[~here], h[~here], doc[~here], key[~here]
-        at = np.where(is_rare(w), mix(w), key) % np.uint64(buckets)
-        order = np.lexsort((h, w, at))
-        cuts = np.searchsorted(at[order], np.arange(buckets + 1))
+        order, cuts = bucket_order(np.where(is_rare(w), mix(w), key) % np.uint64(buckets), w, buckets)
         mark = np.where(held[doc], doc, -1 - doc).astype(np.int16)[order]  # texts that the counts are from: below 0
         none = pa.nulls(buckets, pa.list_(pa.int64()))
         names = ["bucket", "base", "w32", "w64", "h32", "h64", "mark", "x", "y", "known", "doc_id", "tokens", "held"]
