@@ -67,7 +67,9 @@ def check_katz(rows, texts, held):
 @pytest.mark.parametrize("common", [1 << 18, 200])
 def test_scores_are_those_of_brute_force(spark, folder, monkeypatch, common):
     monkeypatch.setattr(katz, "MAX_COMMON", common)
+    monkeypatch.setattr(katz, "MAX_PAIRS", common)
     monkeypatch.setattr(katz, "LEAST_PAIR", 3)
+    monkeypatch.setattr(katz, "CHUNK_TOKENS", 5000)
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in texts}
     model = check_katz(QUERIES["op3_katz_scores"](spark, folder).collect(), texts, held)
