@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 #: ASCII capitals and their small letters; no other letter is lower-cased anywhere in this subpackage.
@@ -71,16 +70,6 @@ def numbered(df: DataFrame, key: str, sizes: DataFrame, ties: list[str], out: st
             .withColumn(out, F.col("_start") + F.col(out)).drop("_block", "_start"))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; bounded, one per task."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
 def most_frequent(counts: DataFrame, most: int) -> pa.Table:
     """The rows with the largest ``n``: the smallest count is taken that leaves at most ``most`` of them.
 

@@ -16,24 +16,23 @@ are not in the table share what the discounted word counts leave over.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from quayside.llm.common import joined, list_column, list_sizes, lower_words, mix, most_frequent
+from quayside.llm.common import joined, list_column, list_sizes, mix, most_frequent
+from quayside.llm.word_hashes import column_words
 from quayside.sources.tables import stored
 
 MAX_COMMON, MAX_PAIRS = 1 << 18, 1 << 20
 LEAST_PAIR = 8  # a pair seen less often is never among the most frequent ones
-CHUNK_TOKENS = 1_500_000  # what a task sorts at once
+CHUNK_TOKENS = 1_000_000  # what a task sorts at once
 TOP, LARGE = 5, 0.999
 END, START = 0, 1  # numbers of the end, a word, and of the beginning, a context only
-END_HASH = xxhash.xxh64_intdigest(b"\n")  # no word has a line break
+END_HASH = np.uint64(0x6A09E667F3BCC908)  # the end among the counted words
 RARE = np.uint64(1 << 63)  # set in the codes of rare words
 
 
@@ -74,43 +73,60 @@ class Words:
         return np.log10((counts + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
 
 
-class Codes(dict):
-    """Codes of words: the number of a frequent word, else its hash with the top bit set. Bounded, one per task."""
+class Codes:
+    """Codes of word hashes: the number of a frequent word, else the hash with the top bit set."""
 
     def __init__(self, words: Words):
-        super().__init__()
-        self.numbers = {h: i for i, h in enumerate(words.hashes.tolist(), 2)}
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        h = xxhash.xxh64_intdigest(word)
-        code = self[word] = self.numbers.get(h, h | (1 << 63))
-        return code
-
-
-def text_pairs(text: str | None, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
-    """The codes of a text's tokens, the last of which is the end, and of the token before each."""
-    words = lower_words(text)
-    w = np.empty(len(words) + 1, np.uint64)
-    w[:-1] = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
-    w[-1] = END
-    h = np.empty_like(w)
-    h[0], h[1:] = START, w[:-1]
-    return w, h
-
-
-def chunks(texts, codes: Codes):
-    """Runs of texts with about CHUNK_TOKENS tokens: the first text's number, and the pairs of each text."""
-    first, found, size = 0, [], 0
-    for i, t in enumerate(texts):
-        found.append(text_pairs(t.as_py(), codes))
-        size += len(found[-1][0])
-        if size >= CHUNK_TOKENS or len(found) == 10_000:
-            yield first, found
-            first, found, size = i + 1, [], 0
-    if found:
-        yield first, found
+        order = np.argsort(words.hashes)
+        self.keys, self.numbers = words.hashes[order], (order + 2).astype(np.uint64)
+        self.slots = np.searchsorted(self.keys >> np.uint64(44), np.arange((1 << 20) + 1, dtype=np.uint64))
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        out = hashes | RARE
+        if not len(self.keys):
+            return out
+        slot = (hashes >> np.uint64(44)).astype(np.int64)
+        at, end, left = self.slots[slot], self.slots[slot + 1], np.arange(len(hashes))
+        while True:
+            open_ = at < end
+            at, end, left = at[open_], end[open_], left[open_]
+            if not len(left):
+                return out
+            hit = self.keys[at] == hashes[left]
+            out[left[hit]] = self.numbers[at[hit]]
+            at, end, left = at[~hit] + 1, end[~hit], left[~hit]
+
+
+def chunks(column, codes: Codes):
+    """Runs of texts with about CHUNK_TOKENS tokens: the first text, tokens per text, the codes of all tokens, each
+    text's last being the end, and of the token before each."""
+    parts, counts, first, size, past = [], [], 0, 0, 0
+
+    def whole():
+        n = np.concatenate(counts)
+        ends = np.cumsum(n + 1) - 1
+        w = np.empty(int(n.sum()) + len(n), np.uint64)
+        inner = np.ones(len(w), bool)
+        inner[ends] = False
+        w[inner], w[ends] = codes(np.concatenate(parts)), END
+        h = np.empty_like(w)
+        h[1:], h[0] = w[:-1], START
+        h[ends[:-1] + 1] = START
+        return first, n + 1, w, h
+
+    for _, past, hashes, n in column_words(column):
+        for at in range(0, len(n), 10_000):
+            some = n[at:at + 10_000]
+            begin = int(n[:at].sum())
+            parts.append(hashes[begin:begin + int(some.sum())])
+            counts.append(some)
+            size += int(some.sum())
+            done = past - len(n) + at + len(some)
+            if size >= CHUNK_TOKENS or done - first > 10_000:
+                yield whole()
+                parts, counts, first, size = [], [], done, 0
+    if counts:
+        yield whole()
 
 
 def bucket_order(at: np.ndarray, w: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,19 +165,17 @@ def word_counts(train: DataFrame) -> DataFrame:
 
     def count(batches):
         for b in batches:
-            found = Counter()
-            for t in b.column(0):
-                found.update(lower_words(t.as_py()))
-            h = np.fromiter([END_HASH, *map(xxhash.xxh64_intdigest, found)], np.uint64, len(found) + 1)
-            n = np.fromiter([b.num_rows, *found.values()], np.int64, len(found) + 1)
-            if not b.num_rows:
-                continue
-            at = mix(h) % np.uint64(buckets)
-            order = np.argsort(at, kind="stable")
-            cuts = np.searchsorted(at[order], np.arange(buckets + 1))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)),
-                                              list_column(h[order].view(np.int64), cuts), list_column(n[order], cuts)],
-                                             names=["bucket", "words", "times"])
+            for first, last, hashes, _ in column_words(b.column(0)):
+                h, n = np.unique(hashes, return_counts=True)
+                yield from dealt(np.append(h, END_HASH), np.append(n, last - first))
+
+    def dealt(h, n):
+        at = mix(h) % np.uint64(buckets)
+        order = np.argsort(at, kind="stable")
+        cuts = np.searchsorted(at[order], np.arange(buckets + 1))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)),
+                                          list_column(h[order].view(np.int64), cuts), list_column(n[order], cuts)],
+                                         names=["bucket", "words", "times"])
 
     def add(table: pa.Table) -> pa.Table:
         word, at = np.unique(joined(table.column("words")), return_inverse=True)
@@ -177,7 +191,7 @@ def known_words(counts: DataFrame, texts: int) -> Words:
     d = discounts({r: total[f"n{r}"] for r in range(1, TOP + 2)})
     kept = counts.agg(F.sum(F.element_at(F.array(*map(F.lit, d.tolist())),
                                          F.least("n", F.lit(TOP + 1)).cast("int") + 1) * F.col("n"))).first()[0] or 0.0
-    rows = most_frequent(counts.filter(F.col("word") != int(np.uint64(END_HASH).astype(np.int64))), MAX_COMMON)
+    rows = most_frequent(counts.filter(F.col("word") != int(END_HASH.astype(np.int64))), MAX_COMMON)
     hashes, n = rows.column("word").to_numpy().view(np.uint64), rows.column("n").to_numpy()
     return Words(total["n"], total["v"], texts, d, 1.0 - kept / total["n"] if total["n"] else 1.0, hashes,
                  np.concatenate([[texts, texts], n]).astype(np.int64))
@@ -196,8 +210,7 @@ def pair_counts(train: DataFrame, words: Words) -> DataFrame:
     def count(batches):
         codes = Codes(words)
         for b in batches:
-            for _, found in chunks(b.column(0), codes):
-                w, h = map(np.concatenate, zip(*found))
+            for _, _, w, h in chunks(b.column(0), codes):
                 key, first, n = np.unique(pair_key(h, w), return_index=True, return_counts=True)
                 w, h = w[first], h[first]
                 often = ~is_rare(h)
@@ -284,14 +297,12 @@ def text_parts(docs: DataFrame, words: Words, pairs: Pairs) -> DataFrame:
     def cut(batches):
         codes, number = Codes(words), 0
         for b in batches:
-            for first, found in chunks(b.column(1), codes):
+            for first, tokens, w, h in chunks(b.column(1), codes):
                 base = TaskContext.get().partitionId() << 32 | number
                 number += 1
-                yield from one(b.slice(first, len(found)), base, found)
+                yield from one(b.slice(first, len(tokens)), base, tokens, w, h)
 
-    def one(b, base, found):
-        tokens = np.array([len(w) for w, _ in found], np.int64)
-        w, h = map(np.concatenate, zip(*found))
+    def one(b, base, tokens, w, h):
         doc = np.repeat(np.arange(b.num_rows), tokens)
         held = b.column(2).to_numpy(zero_copy_only=False).astype(bool)
         near = ~is_rare(w)

@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from quayside.llm.common import WordHashes, joined, list_column, list_sizes, lower_words, mix, most_frequent
+from quayside.llm.common import joined, list_column, list_sizes, mix, most_frequent
 from quayside.llm.graph import components
+from quayside.llm.word_hashes import column_words
 from quayside.sources.tables import stored
 
 MAX_COMMON = 1 << 18  # n-grams whose counts are kept and sent to all tasks
@@ -27,18 +28,25 @@ BLOCK_ROWS, BLOCK_GRAMS = 1024, 2_000_000
 NO_ID = (1 << 63) - 1  # stands for a null doc_id, after all others
 
 
-def gram_set(text: str | None, n: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the n-word shingles; of a shorter text the whole; of no words, none."""
-    words = lower_words(text)
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    k = min(n, len(h))
-    m = len(h) - k + 1
-    out = h[:m] + np.uint64(k)
-    for i in range(1, k):
-        out = mix(out) + h[i:i + m]
-    return np.unique(mix(out))
+def gram_sets(column, n: int):
+    """For each text of an Arrow column the sorted distinct 64-bit hashes of its n-word shingles; of a shorter text the
+    whole; of no words, none."""
+    for _, _, h, counts in column_words(column):
+        m = max(0, len(h) - n + 1)
+        windows = h[:m] + np.uint64(n)
+        for i in range(1, n):
+            windows = mix(windows) + h[i:i + m]
+        windows = mix(windows)
+        start = 0
+        for k in counts.tolist():
+            if k >= n:
+                yield np.unique(windows[start:start + k - n + 1])
+            else:
+                whole = h[start:start + min(k, 1)] + np.uint64(k)
+                for i in range(1, k):
+                    whole = mix(whole) + h[start + i:start + i + 1]
+                yield mix(whole)
+            start += k
 
 
 def set_name(grams: np.ndarray) -> int:
@@ -61,9 +69,8 @@ def common_grams(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def count(batches):
-        hashes = WordHashes()
         for b in batches:
-            sets = [fold(gram_set(t.as_py(), n, hashes)) for t in b.column(0)]
+            sets = [fold(grams) for grams in gram_sets(b.column(0), n)]
             if not sum(map(len, sets)):
                 continue
             grams, times = np.unique(np.concatenate(sets), return_counts=True)
@@ -95,9 +102,19 @@ def least_overlap(size, percent: int):
     return -(-percent * size // 100)
 
 
+def least_shared(size):
+    """How many n-grams of the longer beginnings that are posted two linked sets share, by the smaller set's size."""
+    return np.maximum(1, size // 20) if isinstance(size, np.ndarray) else max(1, size // 20)
+
+
 def first_grams(grams: np.ndarray, percent: int, common: np.ndarray, times: np.ndarray):
-    """The n-grams that are posted, rare ones first, and the counts of the common ones (0 for the others)."""
-    take = len(grams) - least_overlap(len(grams), percent) + 1
+    """The n-grams that are posted, rare ones first, and the counts of the common ones (0 for the others).
+
+    All but ``overlap - k`` of a set are posted, so at least k of any ``overlap`` common n-grams are. Of two linked sets
+    the one whose last posted n-gram comes first has these k among the other's posted ones too.
+    """
+    take = len(grams) - least_overlap(len(grams), percent) + least_shared(len(grams))
+    take = min(take, len(grams))
     if not len(common):
         return grams[:take], np.zeros(take, np.int64)
     folded = fold(grams)
@@ -113,11 +130,9 @@ def posted_sets(docs: DataFrame, n: int, percent: int, common, times) -> DataFra
     A very common n-gram's list is dealt over one salt per 10,000 texts, by the set's name.
     """
     def run(batches):
-        hashes = WordHashes()
         for b in batches:
             nodes, sizes, grams, salts = [], [], [], []
-            for t in b.column(1):
-                found = gram_set(t.as_py(), n, hashes)
+            for found in gram_sets(b.column(1), n):
                 node = set_name(found)
                 first, seen = first_grams(found, percent, common, times) if len(found) else (found, found)
                 nodes.append(node)
@@ -136,42 +151,69 @@ def posted_sets(docs: DataFrame, n: int, percent: int, common, times) -> DataFra
         run, "doc_id long, text_hash long, node long, size long, grams array<long>, salts array<int>")
 
 
+def postings(sets: DataFrame) -> DataFrame:
+    """gram, salt, size, node, sorted inside partitions that hold whole lists."""
+    posts = sets.select("node", "size", F.explode(F.arrays_zip("grams", "salts")).alias("p")).select(
+        F.col("p.grams").alias("gram"), F.col("p.salts").alias("salt"), "size", "node")
+    width = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return posts.repartition(width, "gram", "salt").sortWithinPartitions("gram", "salt", "size", "node")
+
+
+def runs(batches, percent: int):
+    """Columns of sorted postings with the last row of the batch before, and which rows stand near the one before:
+    in the same list, with a size that allows a link."""
+    last = [np.zeros(0, np.int64)] * 4
+    for b in batches:
+        columns = [np.concatenate([x, c.to_numpy(zero_copy_only=False)]) for x, c in zip(last, b.columns)]
+        gram, salt, size, _ = columns
+        if len(gram):
+            near = ((gram[1:] == gram[:-1]) & (salt[1:] == salt[:-1]) & (100 * size[:-1] >= percent * size[1:]))
+            yield len(last[0]), near, columns
+            last = [x[-1:] for x in columns]
+
+
+def sharing_nodes(sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``sets`` that share enough posted n-grams with others of a size near enough to have any link."""
+    def run(batches):
+        for _, near, (gram, salt, size, node) in runs(batches, percent):
+            shared = np.zeros(len(node), np.int64)
+            shared[1:] += near
+            shared[:-1] += near  # a row at the edge of two batches counts twice, which only lets more nodes pass
+            found, at = np.unique(node, return_inverse=True)
+            n = np.bincount(at, (shared > 0) | (salt > 0), len(found)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found[n > 0]), pa.array(n[n > 0])], names=["node", "n"])
+
+    counts = postings(sets).mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+    # A list with several salts: a row may be alone in its salt, so all rows of such lists count.
+    salted = F.size(F.filter("salts", lambda s: s > 0)) > 0
+    least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("size") * percent / 100) / 20))
+    return sets.join(counts, "node", "left").filter(salted | (F.coalesce("n", F.lit(0)) >= least)).drop("n")
+
+
 def cluster_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that hold together all nodes that might be alike.
 
     In a posting list sorted by size, each node is linked to the one before it if their sizes allow a link; where they
     don't, no earlier node can be linked either. Lists with several salts are linked through the first nodes.
     """
-    posts = sets.select("node", "size", F.explode(F.arrays_zip("grams", "salts")).alias("p")).select(
-        F.col("p.grams").alias("gram"), F.col("p.salts").alias("salt"), "size", "node")
-    width = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_posts = posts.repartition(width, "gram", "salt").sortWithinPartitions("gram", "salt", "size", "node")
-
     def run(batches):
-        last = [np.zeros(0, np.int64)] * 4
-        for b in batches:
-            gram, salt, size, node = [np.concatenate([x, c.to_numpy(zero_copy_only=False)])
-                                      for x, c in zip(last, b.columns)]
-            if not len(gram):
-                continue
-            same = (gram[1:] == gram[:-1]) & (salt[1:] == salt[:-1])
-            near = same & (100 * size[:-1] >= percent * size[1:])
+        for old, near, (gram, salt, size, node) in runs(batches, percent):
             pairs = np.unique(np.stack([node[:-1][near], node[1:][near]]), axis=1)
             starts = np.flatnonzero(~near) + 1
-            if not len(last[0]):
+            if not old:
                 starts = np.concatenate([[0], starts])
-            starts = starts[(salt[starts] > 0)]
+            starts = starts[salt[starts] > 0]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([pairs[0], node[starts]])),
                  pa.array(np.concatenate([pairs[1], node[starts]])),
                  pa.array(np.concatenate([np.zeros(pairs.shape[1], np.int64), gram[starts]]),
                           mask=np.arange(pairs.shape[1] + len(starts)) < pairs.shape[1])], names=["a", "b", "gram"])
-            last = [x[-1:] for x in (gram, salt, size, node)]
 
-    found = stored(sorted_posts.mapInArrow(run, "a long, b long, gram long").distinct(), "clusters")
+    found = stored(postings(sets).mapInArrow(run, "a long, b long, gram long").distinct(), "clusters")
     heads = found.filter(F.col("gram").isNotNull()).select("gram", "a")
-    zero = posts.join(heads.select("gram").distinct(), "gram", "left_semi").filter("salt = 0").groupBy("gram").agg(
-        F.min("node").alias("b"))
+    posts = sets.select("node", F.explode(F.arrays_zip("grams", "salts")).alias("p")).select(
+        F.col("p.grams").alias("gram"), F.col("p.salts").alias("salt"), "node").filter("salt = 0")
+    zero = posts.join(F.broadcast(heads.select("gram").distinct()), "gram").groupBy("gram").agg(F.min("node").alias("b"))
     return found.filter(F.col("gram").isNull()).select("a", "b").union(heads.join(zero, "gram").select("a", "b"))
 
 
@@ -276,9 +318,8 @@ def verified_links(docs: DataFrame, blocks: DataFrame, n: int, percent: int) ->
     """Links (a, b) between nodes, a spanning forest per block pair. ``blocks`` has doc_id and text_hash of one text of
     each node, node, root and keys."""
     def sets_of(batches):
-        hashes = WordHashes()
         for b in batches:
-            grams = [gram_set(t.as_py(), n, hashes).astype(np.int64) for t in b.column(0)]
+            grams = [found.view(np.int64) for found in gram_sets(b.column(0), n)]
             cuts = np.cumsum([0, *map(len, grams)])
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[1:], list_column(np.concatenate([*grams, np.zeros(0, np.int64)]), cuts)],
@@ -312,7 +353,8 @@ def ngram_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     pick = F.min(F.struct("doc_id", "text_hash")).alias("pick")
     nodes = stored(words.groupBy("node").agg(pick, F.max("size").alias("size")).select("node", "pick.*", "size"), "nodes")
     least = sets.join(nodes.select("node", "doc_id", "text_hash"), ["node", "doc_id", "text_hash"])
-    clusters = components(cluster_links(least.dropDuplicates(["node"]), percent), "clusters")
+    able = stored(sharing_nodes(least.dropDuplicates(["node"]), percent), "able")
+    clusters = components(cluster_links(able, percent), "clusters")
     keyed = block_keys(nodes.select("node", "size").join(clusters, "node"), percent)
     blocks = keyed.select("node", "root", "keys").join(nodes.select("node", "doc_id", "text_hash"), "node")
     links = stored(verified_links(docs, blocks, n, percent), "verified")
