@@ -29,7 +29,7 @@ from quayside.sources.tables import stored
 
 MAX_COMMON, MAX_PAIRS = 1 << 18, 1 << 20
 LEAST_PAIR = 8  # a pair seen less often is never among the most frequent ones
-CHUNK_TOKENS = 1_000_000  # what a task sorts at once
+CHUNK_TOKENS = 600_000  # what a task sorts at once
 TOP, LARGE = 5, 0.999
 END, START = 0, 1  # numbers of the end, a word, and of the beginning, a context only
 END_HASH = np.uint64(0x6A09E667F3BCC908)  # the end among the counted words
@@ -204,7 +204,7 @@ CONTEXT, TIMES, PAIR = 0, 1, 2
 def pair_counts(train: DataFrame, words: Words) -> DataFrame:
     """Pairs counted: rows of kind CONTEXT (h, n, s, n1 to n5: a part of what follows h), TIMES (n pairs that have the
     count h) and PAIR (h, w, n, if n is LEAST_PAIR or more)."""
-    buckets = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 3 * int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = words.total / buckets  # a context so frequent is dealt by its pairs
 
     def count(batches):
@@ -291,7 +291,7 @@ def text_parts(docs: DataFrame, words: Words, pairs: Pairs) -> DataFrame:
     """Parts of the texts' sums. ``base`` names an Arrow batch of texts, ``idx`` a text in it; x is the model's part, y
     the base score's, known the known tokens'; far are the rare contexts of unseen pairs, whose weights are missing.
     One row per batch has doc_id, tokens and held of its texts."""
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     log_count = np.log10(np.maximum(words.counts, 1))
 
     def cut(batches):
