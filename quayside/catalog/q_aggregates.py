@@ -81,13 +81,13 @@ def _(spark, sf):
 WITH pts AS (SELECT vec_id, label, round_even(embedding[1]::DOUBLE, 2) AS cell_lat,
                     round_even(embedding[2]::DOUBLE, 2) AS cell_lon FROM embeddings),
 places AS (SELECT cell_lat, cell_lon, min(vec_id) AS place_id, CAST(count(*) AS BIGINT) AS n_places
-           FROM pts WHERE label < 3 GROUP BY 1, 2)
+           FROM pts GROUP BY 1, 2)
 SELECT vec_id, cell_lat, cell_lon, place_id, n_places FROM pts JOIN places USING (cell_lat, cell_lon)""",
        {"cell_lat": 2, "cell_lon": 2})
 def _(spark, sf):
     points = read_table(spark, sf, "embeddings").select(
         "vec_id", "label", F.col("embedding")[0].alias("lat"), F.col("embedding")[1].alias("lon"))
-    matched = J.join_rounded_geo(points, points.filter("label < 3"), "lat", "lon", "vec_id")
+    matched = J.join_rounded_geo(points, points, "lat", "lon", "vec_id")
     return matched.select("vec_id", "cell_lat", "cell_lon", "place_id", "n_places")
 
 

@@ -53,7 +53,8 @@ steps{n} AS (SELECT doc_id, list_reduce(list_transform(tokens, lambda t: {{'done
   lambda acc, x: CASE WHEN NOT contains(acc.open, '|') AND list_contains(k, acc.open || ' ' || x.open)
     THEN {{'done': acc.done, 'open': acc.open || '|' || x.open}}
     ELSE {{'done': acc.done || acc.open || ' ', 'open': x.open}} END) AS r FROM {toks}, known{n} WHERE len(tokens) > 0),
-merged{n} AS (SELECT doc_id, string_split(replace(r.done || r.open, '|', '_'), ' ') AS tokens FROM steps{n})
+merged{n} AS (SELECT doc_id, string_split(replace(r.done || r.open, '|', '_'), ' ') AS tokens FROM steps{n}
+  UNION ALL SELECT doc_id, [] AS tokens FROM {toks} WHERE len(tokens) = 0)
 """
 
 

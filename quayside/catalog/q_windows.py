@@ -165,12 +165,17 @@ def _(spark, sf):
                                           "o_orderkey", 48)
 
 
+LANGS = ["de", "en", "es", "fr"]
+
+
 @query("union_all", """
-SELECT doc_id, source FROM documents WHERE lang = 'en' UNION ALL SELECT doc_id, source FROM documents WHERE lang = 'fr'""")
+SELECT doc_id, source FROM documents WHERE lang IN ('de', 'en', 'es', 'fr')
+UNION ALL SELECT doc_id, source FROM documents WHERE lang NOT IN ('de', 'en', 'es', 'fr') OR lang IS NULL""")
 def _(spark, sf):
     docs = read_table(spark, sf, "documents")
-    parts = [docs.filter(F.col("lang") == lang).select("doc_id", "source") for lang in ("en", "fr")]
-    return P.union_all(*parts)
+    known = F.coalesce(F.col("lang").isin(*LANGS), F.lit(False))
+    parts = [docs.filter(F.col("lang") == lang).select("doc_id", "source") for lang in LANGS]
+    return P.union_all(*parts, docs.filter(~known).select("doc_id", "source"))
 
 
 @query("distinct_pairs", f"""
@@ -181,8 +186,8 @@ def _(spark, sf):
 
 
 @query("split_back", """
-SELECT lang, CAST(count(*) AS BIGINT) AS n FROM documents WHERE lang IN ('en', 'fr') GROUP BY 1""")
+SELECT lang, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY 1""")
 def _(spark, sf):
-    parts = P.split_back(read_table(spark, sf, "documents").select("doc_id", "lang"), "lang", ["en", "fr"])
+    parts = P.split_back(read_table(spark, sf, "documents").select("doc_id", "lang"), "lang", LANGS)
     counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(lang).alias("lang"), "n") for lang, df in parts.items()]
     return P.union_all(*counts)

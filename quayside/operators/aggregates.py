@@ -7,10 +7,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quayside.functions.distributions import correlation_p
-from quayside.operators.clean import columns_of
+from quayside.operators.clean import columns_of, nan_to_null
 from quayside.operators.joins import interval_join
 from quayside.operators.reshape import melt
-from quayside.plans.levels import join_small
 from quayside.plans.quantiles import exact_quantiles
 
 
@@ -69,20 +68,24 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     if any(rows.schema[k].dataType.typeName() == "string" for k in keys):
         hashed = rows.withColumn("_h", F.xxhash64(*keys))
         repeated = hashed.groupBy("_h").agg(_rows().alias("n")).filter(F.col("n") > 1).select("_h")
-        rows = join_small(hashed, repeated, ["_h"], "left_semi")
+        rows = hashed.join(repeated, ["_h"], "left_semi")
     return rows.groupBy(*keys).agg(_rows().alias("n")).filter(F.col("n") > 1)
 
 
 def missing_per_column(df: DataFrame) -> DataFrame:
+    """Missing values per column; NaN is one."""
+    df = nan_to_null(df)
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     return wide.unpivot([], df.columns, "variable", "n_missing")
 
 
 def rows_with_missing(df: DataFrame) -> DataFrame:
-    """The rows in which any column is missing."""
+    """The rows in which any column is missing, NaN included."""
     missing = F.lit(False)
-    for c in df.columns:
+    for c, kind in df.dtypes:
         missing = missing | F.col(c).isNull()
+        if kind in ("double", "float"):
+            missing = missing | F.isnan(c)
     return df.filter(missing)
 
 
@@ -150,12 +153,13 @@ def summary_by_segment(df: DataFrame, segment: str, cols: list[str]) -> DataFram
 
 
 def variance_per_column(df: DataFrame, cols: list[str]) -> DataFrame:
-    wide = df.agg(*[F.var_samp(c).alias(c) for c in cols])
+    wide = nan_to_null(df).agg(*[F.var_samp(c).alias(c) for c in cols])
     return wide.unpivot([], list(cols), "variable", "variance").orderBy("variance", "variable")
 
 
 def column_profile(df: DataFrame, threshold: int = 110) -> DataFrame:
     """Per column: distinct values, type, whether to treat it as a category, missing values."""
+    df = nan_to_null(df)
     counts = value_counts_all(df, df.columns)
     seen = counts.groupBy("variable").agg(
         F.count("value").alias("n_distinct"),
@@ -310,7 +314,7 @@ def visit_frequency(df: DataFrame, key: str, date_col: str) -> DataFrame:
 
 def per_user_mean(df: DataFrame, period: list[str], user: str, predicate: Column) -> DataFrame:
     """Rows per user that meet the condition, averaged over the users that have any, per period."""
-    per_user = df.filter(predicate).groupBy(*period, user).agg(_rows().alias("_n"))
+    per_user = _present(df, [user]).filter(predicate).groupBy(*period, user).agg(_rows().alias("_n"))
     return per_user.groupBy(*period).agg(F.avg("_n").alias("mean_per_user"))
 
 
@@ -327,7 +331,8 @@ def _period_users(events: DataFrame, periods: DataFrame, ts: str, user: str, kin
         return inside.select(*by, user, kind, F.lit(1).cast("bigint").alias("_n"))
     moved = F.to_date(F.col(ts) + F.expr("interval '23:59:59.999999' hour to second"))
     daily = events.groupBy(moved.alias("_day"), user, kind).agg(_rows().alias("_n"))
-    cover = F.sequence(F.date_add("period_start", 1), F.col("period_end"))
+    first = F.date_add("period_start", 1)  # an empty period covers no day
+    cover = F.when(first <= F.col("period_end"), F.sequence(first, F.col("period_end"), F.expr("interval 1 day")))
     by_day = periods.select("period_start", "period_end", F.explode(cover).alias("_day"))
     return daily.join(by_day, "_day").select(*by, user, kind, "_n")
 
@@ -358,13 +363,14 @@ def weekly_messages(messages: DataFrame, periods: DataFrame, ts: str, user: str,
     counted = _period_users(messages, periods, ts, user, action)
     sent = F.sum(F.when(F.col(action).startswith(sent_prefix), F.col("_n")))
     return _period_wide(counted, user, action, actions, "messaged_users", "message_count", fill_zero,
-                        {"sent_per_user": (sent, F.avg("sent_per_user"))})
+                        {"sent_per_user": (sent, F.avg(F.when(F.col(user).isNotNull(), F.col("sent_per_user"))))})
 
 
 def daily_windows(events: DataFrame, ts: str, days: int = 7) -> DataFrame:
     """All windows of ``days`` days, one ending each midnight, that lie inside the span of the events."""
     ends = events.agg(F.min(ts).cast("date").alias("lo"), F.max(ts).cast("date").alias("hi"))
-    stop = F.explode(F.sequence(F.date_add("lo", days), F.col("hi")))
+    first = F.date_add("lo", days)  # a span shorter than a window has none
+    stop = F.explode(F.when(first <= F.col("hi"), F.sequence(first, F.col("hi"), F.expr("interval 1 day"))))
     return ends.select(stop.alias("period_end")).select(
         F.date_sub("period_end", days).alias("period_start"), "period_end")
 

@@ -10,7 +10,7 @@ from quayside.functions.scalars import stable_hash
 from quayside.operators.aggregates import column_profile
 from quayside.operators.windows import require_date
 from quayside.plans.blocks import row_rank
-from quayside.plans.levels import MAX_BROADCAST_ROWS, category_levels, level_counts
+from quayside.plans.levels import MAX_BROADCAST_ROWS, category_levels
 
 
 def one_hot(df: DataFrame, col: str, prefix: str, levels: list | None = None) -> DataFrame:
@@ -76,13 +76,20 @@ def split_random(df: DataFrame, key: str, test: float = 0.25, seed: int = 48, la
     if label is None:
         in_test = F.pmod(stable_hash(F.col(key), seed), F.lit(10_000)) < F.lit(round(test * 10_000))
         return df.filter(~in_test), df.filter(in_test)
-    wanted = F.create_map(*[F.lit(x) for v, n in level_counts(df, label).items()
-                            for x in (v, math.floor(n * test + 0.5))])
-    marked = row_rank(df.withColumn("_h", stable_hash(F.col(key), seed)), [label], ["_h", key], "_rank")
-    in_test = F.col("_rank") <= wanted[F.col(label)]
+    marked = _ranked_in_level(df, key, label, seed)
+    sizes = marked.groupBy("_level").agg(F.floor(F.count(F.lit(1)) * F.lit(test) + 0.5).alias("_wanted"))
+    marked = marked.join(sizes, "_level")
+    in_test = F.col("_rank") <= F.col("_wanted")
     return (marked.filter(~in_test).select(*df.columns), marked.filter(in_test).select(*df.columns))
 
 
+def _ranked_in_level(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
+    """Add the rank by hash among the rows with the same label; rows without a label are a level of their own."""
+    level = F.to_json(F.struct(F.col(label).alias("v")))  # '{}' where it is missing
+    rows = df.withColumns({"_h": stable_hash(F.col(key), seed), "_level": level})
+    return row_rank(rows, ["_level"], ["_h", key], "_rank")
+
+
 def split_time(df: DataFrame, time_col: str, train: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """The first share of the dates, and the rest.
 
@@ -98,16 +105,16 @@ def split_time(df: DataFrame, time_col: str, train: float = 0.8) -> tuple[DataFr
 def fold_assign(df: DataFrame, key: str, k: int = 5, label: str | None = None, seed: int = 48,
                 out: str = "fold") -> DataFrame:
     """Add a fold number 0 … k-1. With a label the folds of each label differ by at most one row."""
-    h = stable_hash(F.col(key), seed)
     if label is None:
-        return df.withColumn(out, F.pmod(h, F.lit(k)).cast("int"))
-    ranked = row_rank(df.withColumn("_h", h), [label], ["_h", key], "_rank")
+        return df.withColumn(out, F.pmod(stable_hash(F.col(key), seed), F.lit(k)).cast("int"))
+    ranked = _ranked_in_level(df, key, label, seed)
     return ranked.withColumn(out, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).select(*df.columns, out)
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Add n / (classes * rows of the class), so that each class weighs the same in total."""
-    sizes = level_counts(df, label)
-    n, k = sum(sizes.values()), len(sizes)
-    weight = F.create_map(*[F.lit(x) for v, size in sizes.items() for x in (v, n / (k * size))])
-    return df.filter(F.col(label).isNotNull()).withColumn(out, weight[F.col(label)])
+    """Add n / (classes * rows of the class), so that each class weighs the same in total; null without a label."""
+    sizes = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
+    every = sizes.agg((F.sum("_size") / F.count(F.lit(1))).alias("s")).scalar()
+    weights = sizes.select(label, (F.lit(1.0) / F.col("_size")).alias("_share"))
+    return (df.join(weights, label, "left").withColumn(out, every * F.col("_share"))
+            .select(*df.columns, out))

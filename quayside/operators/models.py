@@ -80,7 +80,8 @@ def grid_search(df: DataFrame, features: list[str], label: str, grid: dict[str,
     """Cross-validated score of every (C, penalty) pair, ranked; and the best model fitted on all rows."""
     data = _folded(df, features, label, k, key).select("features", label, "fold")
     with _cached(data):
-        n_train = data.count() * (k - 1) / k
+        n_rows = data.count()
+        n_train = n_rows * (k - 1) / k
         estimator = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, standardization=False)
         pairs = [(c, p) for c in grid["C"] for p in grid["penalty"]]
         maps = [{estimator.regParam: 1.0 / (c * n_train), estimator.elasticNetParam: 1.0 if p == "l1" else 0.0}
@@ -92,7 +93,10 @@ def grid_search(df: DataFrame, features: list[str], label: str, grid: dict[str,
             for (c, p), m, s in zip(pairs, fitted.avgMetrics, fitted.stdMetrics)]
     table = df.sparkSession.createDataFrame(
         rows, "C double, penalty string, params string, mean_score double, std_score double")
-    return rank_results(table, "mean_score"), fitted.bestModel
+    best = max(range(len(pairs)), key=lambda i: (fitted.avgMetrics[i], -i))
+    # The penalty 1 / (C * rows) again, now that the model is fitted on all rows.
+    final = estimator.copy({**maps[best], estimator.regParam: 1.0 / (pairs[best][0] * n_rows)}).fit(data)
+    return rank_results(table, "mean_score"), final
 
 
 def cross_validate(df: DataFrame, features: list[str], label: str, make_estimator: Callable, key: str,

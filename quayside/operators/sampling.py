@@ -41,10 +41,14 @@ def top_bottom_k(df: DataFrame, col: str, k: int, tie: list[str]) -> DataFrame:
 
 def head_fraction(df: DataFrame, ts: str, fraction: float, tie: list[str], blocks: int | None = None
                   ) -> DataFrame:
-    """The earliest share of rows by time: floor(fraction * rows) of them."""
-    ranked = row_rank(df, [], [ts, *tie], "_rank", blocks)
+    """The earliest share of rows by time: floor(fraction * rows) of them. Rows without a time come last, by ``tie``."""
+    late = df.withColumn("_late", F.col(ts).isNull().cast("int"))
+    first = row_rank(late.filter("_late = 0"), [], [ts, *tie], "_rank", blocks)
+    last = row_rank(late.filter("_late = 1"), [], list(tie), "_rank", blocks)
+    timed = df.agg(F.count(ts).alias("n")).scalar()
     size = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return ranked.filter(F.col("_rank") <= F.floor(size * F.lit(fraction))).drop("_rank")
+    ranked = first.unionByName(last.withColumn("_rank", F.col("_rank") + timed))
+    return ranked.filter(F.col("_rank") <= F.floor(size * F.lit(fraction))).drop("_rank", "_late")
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:

@@ -82,7 +82,7 @@ def find_phrases(df: DataFrame, tokens: str, min_count: int = 20, threshold: flo
 
 
 def apply_phrases(df: DataFrame, doc: str, tokens: str, phrases: DataFrame) -> DataFrame:
-    """(doc, tokens) with phrase pairs merged to ``a_b``, greedily from the left.
+    """(doc, tokens) with phrase pairs merged to ``a_b``, greedily from the left; a document without words keeps none.
 
     Where phrase pairs overlap in a row (a b c with both a b and b c), greedy merging takes the 1st, 3rd,
     5th … pair of the run, so the position within the run decides; no word-by-word loop is needed.
@@ -98,8 +98,10 @@ def apply_phrases(df: DataFrame, doc: str, tokens: str, phrases: DataFrame) -> D
     rows = rows.withColumn("_used", F.coalesce(F.lag("_merge").over(order), F.lit(False)))
     word = F.when(F.col("_merge"), F.concat_ws("_", "token", "next")).otherwise(F.col("token"))
     merged = F.array_sort(F.collect_list(F.struct("pos", word.alias("w"))))
+    empty = df.filter(F.coalesce(F.size(tokens), F.lit(0)) <= 0).select(
+        doc, F.array().cast("array<string>").alias(tokens))
     return (rows.filter(~F.col("_used")).groupBy(doc).agg(merged.alias("_m"))
-            .select(doc, F.col("_m.w").alias(tokens)))
+            .select(doc, F.col("_m.w").alias(tokens)).unionByName(empty))
 
 
 def add_phrases(df: DataFrame, doc: str, tokens: str, min_count: int = 20, threshold: float = 10.0) -> DataFrame:

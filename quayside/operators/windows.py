@@ -19,13 +19,16 @@ def require_date(df: DataFrame, time_col: str) -> None:
 
 def rolling_count(df: DataFrame, ts: str, span: str = "7 days", keys: tuple[str, ...] = (),
                   out: str = "rolling_n", blocks: int | None = None) -> DataFrame:
-    """Add the number of rows in (t - span, t] to each row, over all rows or per key.
+    """Add the number of rows in (t - span, t] to each row, over all rows or per key; null without a time or key.
 
     A row counts from its own time until just before its time plus the span. So +1 at the one and -1 at the
     other, folded per time, give the rolling count as a running total.
     """
     keys = list(keys)
-    rows = df.filter(F.col(ts).isNotNull())
+    placed = F.lit(True)
+    for name in [*keys, ts]:
+        placed = placed & F.col(name).isNotNull()
+    rows = df.filter(placed)
     counts = rows.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("_n"))
     enter = counts.withColumn("_here", F.lit(True))
     leave = counts.select(*keys, (F.col(ts) + F.expr(f"interval {span}")).alias(ts), (-F.col("_n")).alias("_n"),
@@ -34,7 +37,8 @@ def rolling_count(df: DataFrame, ts: str, span: str = "7 days", keys: tuple[str,
                                                             F.bool_or("_here").alias("_here"))
     total = B.running_total(steps, keys, [ts], {out: F.col("_n")}, blocks, sample_from=rows)
     at = total.filter("_here").select(*keys, ts, out)
-    return rows.join(at, [*keys, ts])
+    return rows.join(at, [*keys, ts]).select(*df.columns, out).unionByName(
+        df.filter(~placed).withColumn(out, F.lit(None).cast("bigint")))
 
 
 def cumulative_count(df: DataFrame, ts: str, order: list[str], where: Column | None = None,

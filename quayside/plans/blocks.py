@@ -1,21 +1,20 @@
 """Ordered computations that never put a whole group into one task.
 
 A window partitioned by a key is one task per key, so a key (or a table without a key) that holds a third of
-the rows becomes a third of the work in one task. So the largest group is counted first. If it is small, a
-window per key is the best plan: one shuffle. If not, rows are first cut into *ordered blocks* at the
-quantiles of the order column. The window then runs per ``(keys, block)``, and one summary row per
-``(keys, block)`` carries the state from block to block. No block holds more than about ``1 / blocks`` of the
-rows, whatever the keys look like; the window over summaries sees at most ``blocks`` rows per key (and a few
-more where a single order value is itself hot).
-
-Giving ``blocks`` skips the count: 1 is a window per key, a larger number cuts into that many.
-
-Pandas rule: rows with a null key or a null order value take no part and are dropped.
+the rows becomes a third of the work in one task. So rows are first cut into *ordered blocks* at the quantiles of
+the order column. The window then runs per ``(keys, block)``, and one summary row per ``(keys, block)`` carries the
+state from block to block. No block holds more than about ``1 / blocks`` of the rows, whatever the keys look like;
+the window over summaries sees at most ``blocks`` rows per key (and a few more where a single order value is itself
+hot). This is the only path, for tables of any size; the number of blocks is the number of shuffle partitions unless
+``blocks`` gives another (1 is a window per key).
+
+A row with a null key or a null order value has no place in an order: it stays, and what is computed is null.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
@@ -23,15 +22,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 BLOCK = "_block"
 _POS = "_pos"
 _INF = float("inf")
-PLAIN_ROWS = 1_000_000  # a group up to this size is an ordinary window partition
-BLOCK_ROWS = 2_000_000  # rows aimed at per block
-MAX_BLOCKS = 20_000  # the bounds of the blocks are kept on the driver
 
 
-def blocks_for(df: DataFrame, rows: int) -> int:
-    """Number of blocks for so many rows: at least one per shuffle partition."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_BLOCKS, max(width, math.ceil(rows / BLOCK_ROWS))))
+def blocks_for(df: DataFrame) -> int:
+    """One block per shuffle partition."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def as_position(df: DataFrame, name: str) -> Column:
@@ -48,8 +43,14 @@ def as_position(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.DateType):
         return F.unix_date(name).cast("double")
     if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    raise TypeError(f"order column {name} must be a number, a date or a timestamp, not {kind.simpleString()}")
+        return F.nanvl(F.col(name).cast("double"), F.lit(_INF))  # NaN is the largest number to Spark
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        # The first six bytes as a number. Texts that agree in them stand at one place, so they stay in one block.
+        head = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if isinstance(kind, T.BooleanType):
+        return F.col(name).cast("int").cast("double")
+    raise TypeError(f"order column {name} can't be ordered: {kind.simpleString()}")
 
 
 def _bounds(df: DataFrame, name: str, blocks: int) -> list[float]:
@@ -78,7 +79,7 @@ def ordered_blocks(df: DataFrame, order: list[str], blocks: int,
     source = df if sample_from is None else sample_from
     bounds = _bounds(source, order[0], blocks)
     out = _bucket(df, order[0], bounds, BLOCK).withColumn(BLOCK, F.col(BLOCK).cast("bigint"))
-    hot = sorted({b for b in bounds if bounds.count(b) > 1})
+    hot = sorted(b for b, n in Counter(bounds).items() if n > 1)
     if len(order) == 1 or not hot:
         return out
     place = as_position(df, order[0])
@@ -89,40 +90,36 @@ def ordered_blocks(df: DataFrame, order: list[str], blocks: int,
     return out.withColumn(BLOCK, F.col(BLOCK) * (blocks + 2) + piece).drop("_inner")
 
 
-def choose_blocks(df: DataFrame, keys: list[str]) -> int:
-    """1 if every group is small enough for an ordinary window, else a number of blocks for all rows."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    found = sizes.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
-    return 1 if (found.largest or 0) <= PLAIN_ROWS else blocks_for(df, found.total)
-
-
 def _prepare(df: DataFrame, keys: list[str], order: list[str], blocks: int | None,
-             sample_from: DataFrame | None = None) -> tuple[DataFrame, list[str], bool]:
-    """Rows with their keys and order present, the columns to partition by, and whether those are blocks."""
+             sample_from: DataFrame | None = None) -> tuple[DataFrame, DataFrame, list[str], bool]:
+    """Rows with a place in the order, the other rows, the columns to partition by, and whether those are blocks."""
+    placed = F.lit(True)
     for name in [*keys, order[0]]:
-        df = df.filter(F.col(name).isNotNull())
-    if blocks is None:
-        blocks = choose_blocks(df if sample_from is None else sample_from, keys)
+        placed = placed & F.col(name).isNotNull()
+    rows, rest = df.filter(placed), df.filter(~placed)
+    blocks = blocks_for(df) if blocks is None else blocks
     if blocks == 1:
-        return df, list(keys), False
-    return ordered_blocks(df, order, blocks, sample_from), [*keys, BLOCK], True
+        return rows, rest, list(keys), False
+    return ordered_blocks(rows, order, blocks, sample_from), rest, [*keys, BLOCK], True
 
 
 def running_total(df: DataFrame, keys: list[str], order: list[str], totals: dict[str, Column],
                   blocks: int | None = None, sample_from: DataFrame | None = None) -> DataFrame:
     """Add running sums per key. ``order`` must not have ties inside a key."""
     keep = [c for c in df.columns if c not in totals]
-    rows, part, cut = _prepare(df.withColumns(totals), keys, order, blocks, sample_from)
+    rows, rest, part, cut = _prepare(df.withColumns(totals), keys, order, blocks, sample_from)
+    rest = rest.select(*keep, *[F.lit(None).cast(rest.schema[name].dataType).alias(name) for name in totals])
     upto = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     running = rows.withColumns({name: F.sum(name).over(upto) for name in totals})
     if not cut:
-        return running.select(*keep, *totals)
+        return running.select(*keep, *totals).unionByName(rest)
     before = W.partitionBy(*keys).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
     carry = (rows.groupBy(*part).agg(*[F.sum(name).alias(name) for name in totals])
              .select(*part, *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"_carry_{name}")
                               for name in totals]))
     return (running.join(carry, part)
-            .select(*keep, *[(F.col(name) + F.col(f"_carry_{name}")).alias(name) for name in totals]))
+            .select(*keep, *[(F.col(name) + F.col(f"_carry_{name}")).alias(name) for name in totals])
+            .unionByName(rest))
 
 
 def row_rank(df: DataFrame, keys: list[str], order: list[str], out: str,
@@ -134,28 +131,29 @@ def row_rank(df: DataFrame, keys: list[str], order: list[str], out: str,
 def previous_value(df: DataFrame, keys: list[str], order: list[str], col: str, out: str,
                    blocks: int | None = None) -> DataFrame:
     """Add the value of ``col`` on the row before, per key (null on the first row)."""
-    rows, part, cut = _prepare(df, keys, order, blocks)
+    rows, rest, part, cut = _prepare(df, keys, order, blocks)
+    rest = rest.withColumn(out, F.lit(None).cast(df.schema[col].dataType))
     inside = W.partitionBy(*part).orderBy(*order)
     before = rows.withColumn(out, F.lag(col).over(inside))
     if not cut:
-        return before.select(*df.columns, out)
+        return before.select(*df.columns, out).unionByName(rest)
     over_blocks = W.partitionBy(*keys).orderBy(BLOCK)
     carry = (rows.groupBy(*part).agg(F.max_by(F.struct(col), F.struct(*order)).alias("_last"))
              .select(*part, F.lag("_last").over(over_blocks).getField(col).alias("_carry")))
     return (before.withColumn("_first", F.row_number().over(inside) == 1)
             .join(carry, part)
             .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col(out)))
-            .select(*df.columns, out))
+            .select(*df.columns, out).unionByName(rest))
 
 
 def last_known(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
                blocks: int | None = None) -> DataFrame:
     """Replace each null of ``cols`` by the last non-null value before it, per key."""
-    rows, part, cut = _prepare(df, keys, order, blocks)
+    rows, rest, part, cut = _prepare(df, keys, order, blocks)
     upto = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     filled = rows.withColumns({c: F.last(c, ignorenulls=True).over(upto) for c in cols})
     if not cut:
-        return filled.select(*df.columns)
+        return filled.select(*df.columns).unionByName(rest)
     before = W.partitionBy(*keys).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
     at = F.struct(*order)
     carry = (rows.groupBy(*part)
@@ -163,4 +161,5 @@ def last_known(df: DataFrame, keys: list[str], order: list[str], cols: list[str]
              .select(*part, *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}")
                               for c in cols]))
     return (filled.join(carry, part)
-            .withColumns({c: F.coalesce(F.col(c), F.col(f"_carry_{c}")) for c in cols}).select(*df.columns))
+            .withColumns({c: F.coalesce(F.col(c), F.col(f"_carry_{c}")) for c in cols}).select(*df.columns)
+            .unionByName(rest))

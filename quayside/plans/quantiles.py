@@ -1,15 +1,14 @@
 """Exact quantiles with linear interpolation, without holding a large group's values in one task.
 
-A group of a checked size is sorted as one array. Otherwise equal values are counted first (map side), the
-counts get a running total in ordered blocks, and the two neighbours of each wanted rank are picked out.
+Equal values are counted first (map side), the counts get a running total in ordered blocks, and the two neighbours of
+each wanted rank are picked out.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quayside.plans.blocks import PLAIN_ROWS, blocks_for, running_total
-from quayside.plans.levels import MAX_BROADCAST_ROWS
+from quayside.plans.blocks import running_total
 
 
 def _spot(size: Column, share: float) -> Column:
@@ -23,31 +22,17 @@ def _between(lo: Column, hi: Column, spot: Column) -> Column:
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
                     blocks: int | None = None) -> DataFrame:
-    """One row per key with one column per entry of ``probs`` (name -> share). ``blocks`` skips the size check.
+    """One row per key with one column per entry of ``probs`` (name -> share). ``blocks`` is the number of blocks.
 
     Rows with a null key or value take no part.
     """
     rows = df.select(*keys, F.nanvl(F.col(value).cast("double"), F.lit(None)).alias("_v"))
     for name in [*keys, "_v"]:
         rows = rows.filter(F.col(name).isNotNull())
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    found = sizes.limit(MAX_BROADCAST_ROWS + 1).collect()
-    few = len(found) <= MAX_BROADCAST_ROWS
-    if few:
-        largest, total = max((r._size for r in found), default=0), sum(r._size for r in found)
-    else:
-        largest, total = sizes.agg(F.max("_size"), F.sum("_size")).first()
-    if blocks is None and largest <= PLAIN_ROWS:
-        return _from_arrays(rows, keys, probs)
     counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_total(counts, keys, ["_v"], {"_upto": F.col("_n")}, blocks or blocks_for(df, total),
-                           sample_from=rows)
-    if not keys:
-        ranked = ranked.withColumn("_size", F.lit(found[0]._size))
-    elif few:
-        ranked = ranked.join(F.broadcast(df.sparkSession.createDataFrame(found, sizes.schema)), keys)
-    else:
-        ranked = ranked.join(sizes, keys)
+    ranked = running_total(counts, keys, ["_v"], {"_upto": F.col("_n")}, blocks, sample_from=rows)
+    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
+    ranked = ranked.join(sizes, keys) if keys else ranked.withColumn("_size", sizes.scalar())
     below = F.col("_upto") - F.col("_n")
 
     def at(rank):
@@ -59,14 +44,3 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
         *[at(F.ceil(s)).alias(f"_hi_{name}") for name, s in spots.items()])
     return picked.select(*keys, *[_between(F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), s).alias(name)
                                   for name, s in spots.items()])
-
-
-def _from_arrays(rows: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
-    """For groups of at most PLAIN_ROWS values."""
-    sorted_values = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("_v")).alias("_a"))
-    out = []
-    for name, share in probs.items():
-        spot = _spot(F.size("_a"), share)
-        lo, hi = F.get("_a", F.floor(spot).cast("int")), F.get("_a", F.ceil(spot).cast("int"))
-        out.append(_between(lo, hi, spot).alias(name))
-    return sorted_values.select(*keys, *out)

@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.operators import sampling, windows
+from quayside.operators import aggregates, features, sampling, windows
 from quayside.plans import blocks as B
 from quayside.plans.levels import category_levels, fetch_small, join_small
 from quayside.plans.quantiles import exact_quantiles
@@ -29,13 +29,18 @@ def frame(spark, skewed):
                                  "id long, key string, t long, v long, w long")
 
 
+def without_key(skewed, keys):
+    """Rows without a key stay, and what is computed is null."""
+    return {(i, None) for i in skewed[skewed["key"].isna()]["id"]} if keys else set()
+
+
 @pytest.mark.parametrize("blocks", [1, 2, 7, None])
 @pytest.mark.parametrize("keys", [[], ["key"]])
 def test_running_total(frame, skewed, keys, blocks):
     got = B.running_total(frame, keys, ["t", "id"], {"s": F.col("w")}, blocks)
     want = skewed.dropna(subset=keys).sort_values(["t", "id"])
     want = want.assign(s=want.groupby(keys)["w"].cumsum() if keys else want["w"].cumsum())
-    assert {(r.id, r.s) for r in got.collect()} == set(zip(want["id"], want["s"]))
+    assert {(r.id, r.s) for r in got.collect()} == set(zip(want["id"], want["s"])) | without_key(skewed, keys)
 
 
 @pytest.mark.parametrize("blocks", [1, 2, 7])
@@ -45,7 +50,7 @@ def test_previous_value(frame, skewed, keys, blocks):
     want = skewed.dropna(subset=keys).sort_values(["t", "id"])
     p = want.groupby(keys)["w"].shift() if keys else want["w"].shift()
     want = {(i, None if np.isnan(x) else int(x)) for i, x in zip(want["id"], p)}
-    assert {(r.id, r.p) for r in got.collect()} == want
+    assert {(r.id, r.p) for r in got.collect()} == want | without_key(skewed, keys)
 
 
 @pytest.mark.parametrize("blocks", [1, 2, 7])
@@ -56,6 +61,7 @@ def test_last_known(frame, skewed, keys, blocks):
     v = want["v"].astype(float)
     filled = v.groupby(want["key"]).ffill() if keys else v.ffill()
     want = {(i, None if np.isnan(x) else int(x)) for i, x in zip(want["id"], filled)}
+    want |= {(r.id, r.v) for r in frame.filter("key IS NULL").collect()} if keys else set()
     assert {(r.id, r.v) for r in got.collect()} == want
 
 
@@ -95,7 +101,7 @@ def test_rolling_count_per_key(frame, skewed, blocks):
     rows = skewed.dropna(subset=["key"])
     want = {i: int(((rows["key"] == k) & (rows["t"] > t - 7) & (rows["t"] <= t)).sum())
             for i, k, t in zip(rows["id"], rows["key"], rows["t"])}
-    assert got == want
+    assert got == want | dict(without_key(skewed, ["key"]))
 
 
 @pytest.mark.parametrize("blocks", [1, 5])
@@ -111,7 +117,45 @@ def test_order_column_types(spark):
     got = df.select(*[B.as_position(df, c).alias(c) for c in ("d", "n", "x")]).first()
     assert (got.d, got.n, got.x) == (2.0, 1_500_000.0, 2.5)
     with pytest.raises(TypeError):
-        B.as_position(df, "s")
+        B.as_position(df.withColumn("a", F.array(F.lit(1))), "a")
+
+
+@pytest.mark.parametrize("blocks", [1, 3, None])
+def test_text_and_nan_in_the_order(spark, blocks):
+    words = ["", "a", "same prefix 1", "same prefix 2", "b", "é", None]
+    df = spark.createDataFrame([(i, w, float("nan") if i == 3 else float(-i)) for i, w in enumerate(words)],
+                               "id int, w string, x double")
+    got = {r.id: r.r for r in B.row_rank(df, [], ["w"], "r", blocks).collect()}
+    assert got == {0: 1, 1: 2, 4: 3, 2: 4, 3: 5, 5: 6, 6: None}
+    got = {r.id: r.r for r in B.row_rank(df, [], ["x"], "r", blocks).collect()}
+    assert got[3] == 7 and got[6] == 1
+
+
+def test_splits_and_folds_lose_no_row(spark):
+    df = spark.range(60).select("id", F.when(F.col("id") % 4 > 0, F.col("id") % 2).alias("label"))
+    train, test = features.split_random(df, "id", 0.25, label="label")
+    assert sorted(r.id for r in train.unionByName(test).collect()) == list(range(60))
+    folds = features.fold_assign(df, "id", 5, "label").collect()
+    assert len(folds) == 60 and all(sum(r.label is None and r.fold == f for r in folds) == 3 for f in range(5))
+    weights = features.class_weights(df, "label").collect()
+    assert len(weights) == 60 and all((r.weight is None) == (r.label is None) for r in weights)
+
+
+def test_periods_of_short_spans(spark):
+    events = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 10:00:00' AS ts, 1 AS u, 'x' AS k UNION ALL "
+                       "SELECT TIMESTAMP_NTZ'2024-01-03 10:00:00', NULL, 'x'")
+    assert aggregates.daily_windows(events, "ts").collect() == []
+    empty = spark.sql("SELECT DATE'2024-01-02' AS period_start, DATE'2024-01-02' AS period_end")
+    assert aggregates.weekly_active(events, empty, "ts", "u", "k", ["x"]).collect() == []
+    mean = aggregates.per_user_mean(events.withColumn("p", F.lit(1)), ["p"], "u", F.lit(True)).first()
+    assert mean.mean_per_user == 1.0
+
+
+def test_missing_values_include_nan(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    assert aggregates.missing_per_column(df).first().n_missing == 2
+    assert aggregates.variance_per_column(df, ["x"]).first().variance == 2.0
+    assert aggregates.rows_with_missing(df).count() == 2
 
 
 def test_small_sides(spark, frame):
@@ -126,9 +170,7 @@ def test_small_sides(spark, frame):
 
 
 def test_number_of_blocks(spark, frame):
-    assert B.blocks_for(frame, 10) == 8  # the shuffle width of the session
-    assert B.blocks_for(frame, 10**9) == 500 and B.blocks_for(frame, 10**15) == B.MAX_BLOCKS
-    assert B.choose_blocks(frame, ["key"]) == 1
+    assert B.blocks_for(frame) == 8  # the shuffle width of the session
 
 
 def test_empty_table(frame):
