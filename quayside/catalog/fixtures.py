@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quayside.operators.features import z_score
-from quayside.sources import read_table, spread
+from quayside.sources import read_table, spread, stored
 
 
 def spoiled_customer(spark: SparkSession, folder: str) -> DataFrame:
@@ -166,10 +166,13 @@ def labelled(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "labels").join(docs, "doc_id")
 
 
-def scaled_labelled(spark: SparkSession, folder: str) -> DataFrame:
+def labelled_once(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, computed once: the texts are read for the features and not again."""
+    return stored(labelled(spark, folder), "labelled")
+
 
-    rows = labelled(spark, folder)
-    return z_score(rows, FEATURES).fillna(0.0, subset=FEATURES)
+def scaled_labelled(spark: SparkSession, folder: str) -> DataFrame:
+    return z_score(labelled_once(spark, folder), FEATURES).fillna(0.0, subset=FEATURES)
 
 
 def judged(spark: SparkSession, folder: str) -> DataFrame:

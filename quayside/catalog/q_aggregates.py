@@ -210,10 +210,10 @@ def _(spark, sf):
 
 
 @query("variance_per_column", "\nUNION ALL ".join(
-    f"SELECT '{c}' AS variable, var_samp({c}) AS variance FROM lineitem" for c in NUMBERS[2:] + NUMBERS[:1]),
-    {"variance": 8})
+    f"SELECT '{c}' AS variable, var_samp({c}) AS variance FROM lineitem" for c in NUMBERS),
+    {"variance": 1})
 def _(spark, sf):
-    return A.variance_per_column(read_table(spark, sf, "lineitem"), NUMBERS[2:] + NUMBERS[:1])
+    return A.variance_per_column(read_table(spark, sf, "lineitem"), NUMBERS)
 
 
 @query("column_profile", f"""
@@ -418,6 +418,13 @@ def _(spark, sf):
     return A.correlation_matrix(read_table(spark, sf, "lineitem"), NUMBERS, absolute=True)
 
 
+@query("correlation_wide", f"SELECT var1, var2, value AS r FROM ({PAIR_SQL}) WHERE "
+       + " OR ".join(f"(var1 = '{a}' AND var2 = '{b}')" for i, a in enumerate(NUMBERS) for b in NUMBERS[i + 1:]),
+       {"r": 8})
+def _(spark, sf):
+    return A.correlation_wide(read_table(spark, sf, "lineitem"), NUMBERS)
+
+
 CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "charge"]
 
 

@@ -26,14 +26,14 @@ def _hist_sql(cols, table, bins, key=""):
 EDGES = {"lo": 6, "hi": 6}
 
 
-@query("histogram", _hist_sql(NUMBERS[:2], "lineitem", 20), EDGES)
+@query("histogram", _hist_sql(NUMBERS, "lineitem", 20), EDGES)
 def _(spark, sf):
-    return H.histogram(read_table(spark, sf, "lineitem"), NUMBERS[:2], 20)
+    return H.histogram(read_table(spark, sf, "lineitem"), NUMBERS, 20)
 
 
-@query("histogram_by_segment", _hist_sql(NUMBERS[:2], "lineitem", 50, "l_returnflag"), EDGES)
+@query("histogram_by_segment", _hist_sql(NUMBERS, "lineitem", 50, "l_returnflag"), EDGES)
 def _(spark, sf):
-    return H.histogram_by_segment(read_table(spark, sf, "lineitem"), NUMBERS[:2], "l_returnflag", 50)
+    return H.histogram_by_segment(read_table(spark, sf, "lineitem"), NUMBERS, "l_returnflag", 50)
 
 
 @query("date_histogram", """
@@ -59,9 +59,9 @@ def _box_sql(cols, table, key):
 BOX = {c: 6 for c in ("min", "q1", "median", "q3", "max", "whisker_lo", "whisker_hi")}
 
 
-@query("box_stats", _box_sql(["l_extendedprice", "l_quantity"], "lineitem", "l_returnflag"), BOX)
+@query("box_stats", _box_sql(NUMBERS, "lineitem", "l_returnflag"), BOX)
 def _(spark, sf):
-    return H.box_stats(read_table(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"], ("l_returnflag",))
+    return H.box_stats(read_table(spark, sf, "lineitem"), NUMBERS, ("l_returnflag",))
 
 
 @query("category_counts", """

@@ -1,5 +1,6 @@
 """Encoding, scaling, splits, evaluation tables."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quayside.catalog.fixtures import (
@@ -208,3 +209,35 @@ SELECT sum((o - x) ** 2 / x) AS statistic, CAST((count(DISTINCT o_orderpriority)
   * (count(DISTINCT o_orderstatus) - 1) AS BIGINT) AS dof FROM e""", {"statistic": 8})
 def _(spark, sf):
     return M.chi_square_2x2(read_table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus").drop("p_value")
+
+
+@query("one_hot_vector", """
+SELECT c_custkey, segment, CASE WHEN segment IS NULL THEN 0 ELSE 1 END AS ones FROM (
+  SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS segment FROM customer)""")
+def _(spark, sf):
+    rows = read_table(spark, sf, "customer").select(
+        "c_custkey", F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")).alias("segment"))
+    hot, levels = X.one_hot_vector(rows, "segment", "hot")
+    ones = vector_to_array("hot")
+    named = F.filter(F.transform(ones, lambda v, i: F.when(v == 1, F.get(F.array(*map(F.lit, levels)), i))),
+                     lambda v: v.isNotNull())
+    return hot.select("c_custkey", F.get(named, 0).alias("segment"), F.size(named).alias("ones"))
+
+
+@query("multi_hot_vector", """
+SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS kinds FROM events GROUP BY 1""")
+def _(spark, sf):
+    rows = read_table(spark, sf, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("kinds"))
+    hot, levels = X.multi_hot_vector(rows, "kinds", "hot")
+    named = F.transform(vector_to_array("hot"), lambda v, i: F.when(v == 1, F.get(F.array(*map(F.lit, levels)), i)))
+    return hot.select("user_id", F.array_join(F.sort_array(F.filter(named, lambda v: v.isNotNull())), ",").alias("kinds"))
+
+
+@query("z_score_new_rows", """
+WITH s AS (SELECT avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS d FROM orders WHERE o_orderkey % 2 = 0)
+SELECT o_orderkey, (o_totalprice - m) / d AS o_totalprice FROM orders, s WHERE o_orderkey % 2 = 1""",
+       {"o_totalprice": 8})
+def _(spark, sf):
+    rows = read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    even = F.col("o_orderkey") % 2 == 0
+    return X.z_score(rows.filter(~even), ["o_totalprice"], X.z_score_params(rows.filter(even), ["o_totalprice"]))

@@ -1,20 +1,41 @@
 """Model fits. Results depend on the optimiser, so most have no SQL; tests check their invariants."""
 
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from quayside.catalog.fixtures import FEATURES, scaled_labelled
+from quayside.catalog.fixtures import FEATURES, labelled_once, scaled_labelled
 from quayside.catalog.registry import query
 from quayside.operators import features as X, models as L, sampling as P
 from quayside.sources import read_table
 
 
 def _split(spark, sf):
-    """The labels are split; the texts are only read for the features."""
-    rows = scaled_labelled(spark, sf)
-    labels = read_table(spark, sf, "labels").select("doc_id", "quality")
-    return [rows.join(part.select("doc_id"), "doc_id")
-            for part in X.split_random(labels, "doc_id", 0.25, label="quality")]
+    """Train and test rows, both scaled by the statistics of the train rows."""
+    parts = X.split_random(labelled_once(spark, sf), "doc_id", 0.25, label="quality")
+    params = X.z_score_params(parts[0], FEATURES)
+    return [X.z_score(part, FEATURES, params).fillna(0.0, subset=FEATURES) for part in parts]
+
+
+#: The settings that the surveyed searches use.
+GRID = {"C": [10.0, 4.0, 2.0, 1.0, 0.5, 0.1, 0.01, 0.001], "penalty": ["l1", "l2"]}
+
+
+# A fit on one 0/1 feature, hardly penalised, has the log odds ratio of the 2x2 table as its coefficient.
+@query("fit_logistic_odds", """
+WITH t AS (SELECT quality, CASE WHEN n_chars >= 300 THEN 1 ELSE 0 END AS long
+  FROM labels JOIN documents USING (doc_id)),
+c AS (SELECT count(*) FILTER (WHERE long = 1 AND quality = 1)::DOUBLE AS a,
+  count(*) FILTER (WHERE long = 1 AND quality = 0) AS b, count(*) FILTER (WHERE long = 0 AND quality = 1) AS c,
+  count(*) FILTER (WHERE long = 0 AND quality = 0) AS d FROM t)
+SELECT 'long' AS feature, ln(a * d / (b * c)) AS coefficient, CASE WHEN a * d > b * c THEN '+' ELSE '-' END AS direction
+FROM c""", {"coefficient": 2})
+def _(spark, sf):
+    rows = read_table(spark, sf, "labels").join(read_table(spark, sf, "documents").select(
+        "doc_id", (F.col("n_chars") >= 300).cast("double").alias("long")), "doc_id")
+    return L.coefficient_table(L.fit_logistic(rows, ["long"], "quality", C=1e9), ["long"]).select(
+        "feature", "coefficient", "direction")
 
 
 @query("fit_logistic")
@@ -50,49 +71,83 @@ def _(spark, sf):
 
 @query("grid_search")
 def _(spark, sf):
-    return L.grid_search(scaled_labelled(spark, sf), FEATURES, "quality",
-                         {"C": [0.1, 1.0], "penalty": ["l1", "l2"]}, "roc_auc", "doc_id", k=2, max_iter=20)[0]
+    return L.grid_search(scaled_labelled(spark, sf), FEATURES, "quality", GRID, "roc_auc", "doc_id", parallelism=8,
+                         max_iter=20)[0]
 
 
 @query("cross_validate")
 def _(spark, sf):
     return L.cross_validate(scaled_labelled(spark, sf), FEATURES, "quality",
-                            lambda: LogisticRegression(labelCol="quality", maxIter=20), "doc_id", k=2)
+                            lambda: LogisticRegression(labelCol="quality"), "doc_id")
+
+
+@query("cross_validate_numbers", """
+WITH f AS (SELECT *, ('0x' || substr(md5(l_orderkey || '|48'), 1, 13))::BIGINT % 5 AS fold FROM lineitem),
+fit AS (SELECT k.fold, regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a
+  FROM (SELECT DISTINCT fold FROM f) k JOIN f ON f.fold <> k.fold GROUP BY 1),
+e AS (SELECT f.fold, l_extendedprice AS y, l_extendedprice - a - b * l_quantity AS e FROM f JOIN fit USING (fold))
+SELECT CAST(fold AS INTEGER) AS fold, 1 - var_pop(e) / var_pop(y) AS explained_variance,
+  1 - avg(e * e) / var_pop(y) AS r2, -avg(e * e) AS neg_mean_squared_error FROM e GROUP BY 1""",
+       {"explained_variance": 7, "r2": 7, "neg_mean_squared_error": 1})
+def _(spark, sf):
+    rows = read_table(spark, sf, "lineitem")
+    return L.cross_validate(rows, ["l_quantity"], "l_extendedprice",
+                            lambda: LinearRegression(labelCol="l_extendedprice", solver="normal"), "l_orderkey",
+                            judge=L.judge_numbers, stratify=False)
 
 
 @query("recursive_elimination")
 def _(spark, sf):
-    return L.recursive_elimination(scaled_labelled(spark, sf), FEATURES[1:4], "quality", "f1", "doc_id", k=2,
-                                   max_iter=20)[0]
+    return L.recursive_elimination(scaled_labelled(spark, sf), FEATURES, "quality", "f1", "doc_id")[0]
 
 
 @query("single_feature_scores")
 def _(spark, sf):
-    return L.single_feature_scores(scaled_labelled(spark, sf), FEATURES[1:4], "quality", "f1", "doc_id", k=2,
-                                   max_iter=20)
+    return L.single_feature_scores(scaled_labelled(spark, sf), FEATURES, "quality", "f1", "doc_id")
+
+
+# The score of a model on one feature orders the rows as the feature does, or the other way round.
+@query("single_feature_auc", """
+WITH t AS (SELECT doc_id, quality, n_chars, (row_number() OVER (PARTITION BY quality ORDER BY
+    ('0x' || substr(md5(doc_id || '|48'), 1, 13))::BIGINT, doc_id) - 1) % 5 AS fold
+  FROM labels JOIN documents USING (doc_id)),
+signs AS (SELECT k.fold, sign(covar_pop(quality, n_chars)) AS s
+  FROM (SELECT DISTINCT fold FROM t) k JOIN t ON t.fold <> k.fold GROUP BY 1),
+r AS (SELECT t.fold, quality, rank() OVER (PARTITION BY t.fold ORDER BY s * n_chars)
+    + (count(*) OVER (PARTITION BY t.fold, n_chars) - 1) / 2.0::DOUBLE AS place FROM t JOIN signs USING (fold)),
+auc AS (SELECT fold, (sum(place) FILTER (WHERE quality = 1) - count(*) FILTER (WHERE quality = 1)
+    * (count(*) FILTER (WHERE quality = 1) + 1) / 2.0::DOUBLE)
+    / (count(*) FILTER (WHERE quality = 1) * count(*) FILTER (WHERE quality = 0)) AS auc FROM r GROUP BY 1)
+SELECT f AS feature, avg(auc) AS mean_score, stddev_pop(auc) AS std_score
+FROM auc, (VALUES ('n_chars'), ('all features')) v(f) GROUP BY 1""", {"mean_score": 8, "std_score": 8})
+def _(spark, sf):
+    rows = X.z_score(read_table(spark, sf, "labels").join(
+        read_table(spark, sf, "documents").select("doc_id", F.col("n_chars").cast("double")), "doc_id"), ["n_chars"])
+    return L.single_feature_scores(rows, ["n_chars"], "quality", "roc_auc", "doc_id")
 
 
 @query("feature_cost_choice")
 def _(spark, sf):
     train, test = _split(spark, sf)
-    return L.feature_cost_choice(train, test, FEATURES, FEATURES[:3], "quality", max_iter=20)
+    chosen = L.recursive_elimination(train, FEATURES, "quality", "f1", "doc_id")[2]
+    return L.feature_cost_choice(train, test, FEATURES, chosen, "quality")
 
 
 @query("fit_forest")
 def _(spark, sf):
     train, _test = _split(spark, sf)
-    model = L.fit_forest(X.class_weights(train, "quality"), FEATURES, "quality", trees=20, weight="weight")
+    model = L.fit_forest(X.class_weights(train, "quality"), FEATURES, "quality", weight="weight")
     return L.forest_importances(model, FEATURES)
 
 
 @query("forest_holdout_score")
 def _(spark, sf):
-    return L.forest_holdout_score(scaled_labelled(spark, sf), FEATURES, "quality", "doc_id", trees=20)
+    return L.forest_holdout_score(scaled_labelled(spark, sf), FEATURES, "quality", "doc_id")
 
 
 def contributed(spark, sf):
     rows = scaled_labelled(spark, sf)
-    model = L.fit_forest(rows, FEATURES, "quality", trees=10, max_depth=5)
+    model = L.fit_forest(rows, FEATURES, "quality")
     return L.forest_contributions(model, L.predict_new(model, rows, FEATURES), FEATURES)
 
 
@@ -129,7 +184,7 @@ def _(spark, sf):
 
 @query("kmeans_sweep")
 def _(spark, sf):
-    return L.kmeans_sweep(points(spark, sf), "features", range(2, 6))
+    return L.kmeans_sweep(points(spark, sf), "features", range(2, 50))
 
 
 @query("label_segments", "SELECT vec_id, label, true AS is_nearest FROM embeddings")

@@ -167,6 +167,16 @@ def _(spark, sf):
     return T.fit_arima(price_series(spark, sf), (1, 0, 0))
 
 
+@query("arima_grid_ar", f"""
+WITH {SERIES}, {AR1.format(rows="series")},
+sized AS (SELECT series, count(*) AS n, sum(x * x) / count(*) AS sigma2 FROM x WHERE x1 IS NOT NULL GROUP BY 1),
+scores AS (SELECT series, 0 AS p, 0 AS d, 0 AS q, n * (ln(2 * pi() * sigma2) + 1) + 4 AS aic FROM sized
+  UNION ALL SELECT series, 1, 0, 0, n * (ln(2 * pi() * sigma2) + 1) + 6 FROM fit)
+SELECT *, aic = min(aic) OVER (PARTITION BY series) AS best FROM scores""", {"aic": 3})
+def _(spark, sf):
+    return T.arima_grid(price_series(spark, sf), [0, 1], [0], [0])
+
+
 @query("forecast_arima_ar_one", f"""
 WITH {SERIES},
 d AS (SELECT ds, row_number() OVER (ORDER BY ds) AS r FROM (SELECT DISTINCT ds FROM series)),

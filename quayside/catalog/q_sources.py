@@ -30,6 +30,14 @@ def _(spark, sf):
     return orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
 
 
+@query("read_delimited_reordered", "SELECT n_nationkey, n_name, CAST(NULL AS VARCHAR) AS n_flag FROM nation")
+def _(spark, sf):
+    path = new_path(spark, "nation")
+    read_table(spark, sf, "nation").select("n_name", "n_regionkey", "n_nationkey").write.option("header", True).csv(path)
+    schema = T.StructType.fromDDL("n_nationkey int, n_name string, n_flag string")
+    return read_delimited(spark, path, schema)
+
+
 @query("name_blank_header", "SELECT CAST(n_nationkey AS VARCHAR) AS Date, n_name FROM nation")
 def _(spark, sf):
     path = new_path(spark, "nation")

@@ -1,5 +1,6 @@
 """Text and topics."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from quayside.catalog.fixtures import STOP_WORDS, TOKENS, VOCAB
@@ -121,7 +122,6 @@ raw AS (SELECT doc_id, tf * log2((SELECT n FROM n) / df) AS w FROM bow JOIN voca
 SELECT doc_id, CAST(count(*) AS INTEGER) AS n_terms, sum(w) / sqrt(sum(w * w)) AS weight_sum FROM raw GROUP BY 1""",
        {"weight_sum": 8})
 def _(spark, sf):
-    from pyspark.ml.functions import vector_to_array
     docs, vocab, _bow = bow_of(spark, sf)
     weights = F.filter(vector_to_array("features"), lambda w: w > 0)
     rows = X.tfidf_vectors(docs, "tokens", vocab).select("doc_id", weights.alias("w"))
@@ -133,7 +133,7 @@ def topics(spark, sf):
     docs = tokens(spark, sf)
     vocab = X.build_vocabulary(docs, "tokens")
     vectors = X.tfidf_vectors(docs, "tokens", vocab)
-    return X.fit_lda(vectors, topics=5, chunk=500, passes=4), vectors, vocab
+    return X.fit_lda(vectors, topics=10, passes=4), vectors, vocab
 
 
 @query("fit_lda")
@@ -143,6 +143,15 @@ def _(spark, sf):
     return model.transform(vectors).select("doc_id", share.alias("topics"))
 
 
+@query("fit_lda_shares", "SELECT doc_id, 10 AS n_topics, true AS adds_up FROM documents")
+def _(spark, sf):
+    model, vectors, _vocab = topics(spark, sf)
+    share = vector_to_array("topicDistribution")
+    total = F.aggregate(share, F.lit(0.0), lambda a, w: a + w)
+    return model.transform(vectors).select(
+        "doc_id", F.size(share).alias("n_topics"), ((F.abs(total - 1) < 1e-9) | (total == 0)).alias("adds_up"))
+
+
 @query("top_terms")
 def _(spark, sf):
     model, _vectors, vocab = topics(spark, sf)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quayside.functions.distributions import correlation_p
@@ -410,6 +412,36 @@ def correlation_matrix(df: DataFrame, cols: list[str], absolute: bool = False) -
     return wide.select(F.inline(F.array(*rows)))
 
 
+def correlation_wide(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(var1, var2, r) for every pair of hundreds of columns, where one expression per pair is too much for a plan.
+
+    The sums of a pair are entries of matrix products, which each task adds up over its rows and hands on once. Rows
+    with a missing side are skipped pair by pair; r is null when a side is constant. An empty table has no rows.
+    """
+    numbers = nan_to_null(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    means = numbers.agg(*[F.avg(c).alias(c) for c in cols]).select(F.struct(*cols).alias("m")).scalar()
+    shifted = numbers.withColumn("_m", means).select(*[(F.col(c) - F.col("_m")[c]).alias(c) for c in cols])
+    names, (left, right) = ["n", "sx", "sy", "sxx", "syy", "sxy"], np.triu_indices(len(cols), 1)
+
+    def sums(batches):
+        total, seen = np.zeros((6, len(cols), len(cols))), 0
+        for pdf in batches:
+            seen += len(pdf)
+            x = pdf.to_numpy(dtype=float)
+            there = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x)
+            total += [there.T @ there, x.T @ there, there.T @ x, (x * x).T @ there, there.T @ (x * x), x.T @ x]
+        if seen:
+            yield pd.DataFrame({"i": left, "j": right, **{k: m[left, right] for k, m in zip(names, total)}})
+
+    parts = shifted.mapInPandas(sums, "i int, j int, " + ", ".join(f"{k} double" for k in names))
+    n, sx, sy, sxx, syy, sxy = (F.sum(k) for k in names)
+    spread = F.greatest(n * sxx - sx * sx, F.lit(0.0)) * F.greatest(n * syy - sy * sy, F.lit(0.0))
+    listed = F.array(*[F.lit(c) for c in cols])
+    return (parts.groupBy("i", "j").agg(F.try_divide(n * sxy - sx * sy, F.sqrt(spread)).alias("r"))
+            .select(listed[F.col("i")].alias("var1"), listed[F.col("j")].alias("var2"), "r"))
+
+
 def correlated_pairs(df: DataFrame, cols: list[str], threshold: float = 0.5) -> DataFrame:
     """Pairs of different variables with |r| above the threshold, both ways round, strongest first."""
     pairs = correlation_pairs(df, cols, both_ways=True).withColumn("r", F.abs("r"))

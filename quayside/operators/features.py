@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import CountVectorizer, OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame, functions as F
 
 from quayside.functions.scalars import stable_hash
@@ -28,6 +29,30 @@ def multi_hot(df: DataFrame, array_col: str, prefix: str, levels: list | None =
     return df.select("*", *[c.alias(name) for name, c in hit.items()])
 
 
+def one_hot_vector(df: DataFrame, col: str, out: str) -> tuple[DataFrame, list]:
+    """Add a sparse 0/1 vector with a place per level, for any number of levels; and the levels in order of place.
+
+    A missing value has no 1. Levels are ordered by frequency, then by name, and are text.
+    """
+    at, text = f"_{out}_at", f"_{out}_text"
+    index = StringIndexer(inputCol=text, outputCol=at, handleInvalid="keep")
+    indexed = df.withColumn(text, F.col(col).cast("string"))
+    model = index.fit(indexed)
+    # "keep" gives a missing value the place after the last, which the encoder drops.
+    hot = OneHotEncoder(inputCol=at, outputCol=out, dropLast=True)
+    placed = model.transform(indexed)
+    return hot.fit(placed).transform(placed).drop(at, text), list(model.labels)
+
+
+def multi_hot_vector(df: DataFrame, array_col: str, out: str) -> tuple[DataFrame, list[str]]:
+    """The same for the elements of an array column; a missing or empty array has no 1."""
+    text = f"_{out}_text"
+    listed = df.withColumn(text, F.coalesce(F.filter(F.col(array_col).cast("array<string>"), lambda v: v.isNotNull()),
+                                            F.array().cast("array<string>")))
+    model = CountVectorizer(inputCol=text, outputCol=out, binary=True, vocabSize=2 ** 31 - 1).fit(listed)
+    return model.transform(listed).drop(text), list(model.vocabulary)
+
+
 def min_max_params(df: DataFrame, cols: list[str]) -> DataFrame:
     """One row with a (lo, hi) pair per column."""
     return df.agg(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c)
@@ -47,10 +72,18 @@ def min_max_scale(df: DataFrame, cols: list[str], params: DataFrame | None = Non
     return df.withColumn("_p", p).withColumns({c: scaled(c) for c in cols}).drop("_p"), params
 
 
-def z_score(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(x - mean) / sample standard deviation; null for a constant column."""
-    stats = df.agg(F.struct(*[F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std")).alias(c)
-                              for c in cols]).alias("p")).scalar()
+def z_score_params(df: DataFrame, cols: list[str]) -> DataFrame:
+    """One row with a (mean, std) pair per column."""
+    return df.agg(*[F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std")).alias(c) for c in cols])
+
+
+def z_score(df: DataFrame, cols: list[str], params: DataFrame | None = None) -> DataFrame:
+    """(x - mean) / sample standard deviation; null for a constant column.
+
+    ``params`` (of ``z_score_params``) scale rows by the statistics of others, as test rows by those of the train rows.
+    """
+    params = z_score_params(df, cols) if params is None else params
+    stats = params.select(F.struct(*cols).alias("p")).scalar()
     return df.withColumn("_p", stats).withColumns(
         {c: F.try_divide(F.col(c) - F.col("_p")[c]["mean"], F.col("_p")[c]["std"]) for c in cols}).drop("_p")
 

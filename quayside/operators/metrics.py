@@ -57,15 +57,18 @@ def classification_metrics(df: DataFrame, label: str, pred: str, score: str | No
 MAX_CELLS = 1_000_000
 
 
-def _cells(df: DataFrame, row: str, col: str, count: str) -> DataFrame:
+def _cells(df: DataFrame, row: str, col: str, count: str, square: bool = False) -> DataFrame:
     """Counts of every (row, col) pair of values, pairs that do not occur as 0.
 
-    One scan; the counted cells are fetched behind a size check, and the missing ones are added.
+    One scan; the counted cells are fetched behind a size check, and the missing ones are added. A ``square`` table
+    has the values of both columns in its rows and in its columns.
     """
     counted = (df.filter(F.col(row).isNotNull() & F.col(col).isNotNull())
                .groupBy(row, col).agg(F.count(F.lit(1)).alias(count)))
     found = {(r[0], r[1]): r[2] for r in counted.limit(MAX_CELLS + 1).collect()}
     rows, cols = sorted({r for r, _ in found}), sorted({c for _, c in found})
+    if square:
+        rows = cols = sorted({*rows, *cols})
     if len(rows) * len(cols) > MAX_CELLS:
         raise ValueError(f"more than {MAX_CELLS} cells of {row} and {col}")
     return df.sparkSession.createDataFrame([(r, c, found.get((r, c), 0)) for r, c in product(rows, cols)],
@@ -75,11 +78,7 @@ def _cells(df: DataFrame, row: str, col: str, count: str) -> DataFrame:
 def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Rows per (actual, predicted), with the cells that do not occur as 0."""
     found = df.select(F.col(label).cast("int").alias("actual"), F.col(pred).cast("int").alias("predicted"))
-    cells = _cells(found, "actual", "predicted", "n")
-    values = sorted({r.actual for r in cells.select("actual").distinct().collect()}
-                    | {r.predicted for r in cells.select("predicted").distinct().collect()})
-    zeros = df.sparkSession.createDataFrame([(a, p, 0) for a, p in product(values, values)], cells.schema)
-    return cells.unionByName(zeros).groupBy("actual", "predicted").agg(F.sum("n").alias("n"))
+    return _cells(found, "actual", "predicted", "n", square=True)
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -100,13 +99,14 @@ def majority_baseline(train: DataFrame, test: DataFrame, label: str) -> DataFram
     return classification_metrics(test.withColumn("_majority", common), label, "_majority")
 
 
-def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """Explained variance, R2 and negative mean squared error."""
+def regression_metrics(df: DataFrame, label: str, pred: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Explained variance, R2 and negative mean squared error. One row, or one per key."""
     error = F.col(label) - F.col(pred)
     spread = F.var_pop(label)
     mse = F.avg(error * error)
-    return df.agg((1 - F.try_divide(F.var_pop(error), spread)).alias("explained_variance"),
-                  (1 - F.try_divide(mse, spread)).alias("r2"), (-mse).alias("neg_mean_squared_error"))
+    return df.groupBy(*keys).agg(
+        (1 - F.try_divide(F.var_pop(error), spread)).alias("explained_variance"),
+        (1 - F.try_divide(mse, spread)).alias("r2"), (-mse).alias("neg_mean_squared_error"))
 
 
 def contingency(df: DataFrame, row: str, col: str) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -19,11 +20,12 @@ from pyspark.ml.evaluation import (
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quayside.functions.scalars import str_startswith
 from quayside.operators.features import fold_assign, split_random
-from quayside.operators.metrics import classification_metrics
+from quayside.operators.metrics import classification_metrics, regression_metrics
 from quayside.operators.sampling import top_bottom_k
 from quayside.operators.windows import rank_results
 from quayside.sources import new_path, to_features
@@ -40,6 +42,12 @@ def _cached(df: DataFrame):
         df.unpersist()
 
 
+def _at_once(fn: Callable, items, parallelism: int) -> list:
+    """``fn`` of each item, several at a time; each is a few Spark jobs, which share the cluster."""
+    with ThreadPool(parallelism) as pool:
+        return pool.map(inheritable_thread_target(SparkSession.active())(fn), list(items), chunksize=1)
+
+
 def _logistic(label: str, c: float, penalty: str, n_rows: int, max_iter: int, features: str = "features"):
     """C weighs the summed loss against the penalty; Spark weighs the penalty against the mean loss."""
     return LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter, standardization=False,
@@ -70,8 +78,8 @@ def _evaluator(score: str, label: str):
     return MulticlassClassificationEvaluator(labelCol=label, metricName=score)
 
 
-def _folded(df: DataFrame, features: list[str], label: str, k: int, key: str) -> DataFrame:
-    folds = fold_assign(df, key, k, label, SEED)
+def _folded(df: DataFrame, features: list[str], label: str, k: int, key: str, stratify: bool = True) -> DataFrame:
+    folds = fold_assign(df, key, k, label if stratify else None, SEED)
     return to_features(folds, features).withColumn(label, F.col(label).cast("double"))
 
 
@@ -99,17 +107,32 @@ def grid_search(df: DataFrame, features: list[str], label: str, grid: dict[str,
     return rank_results(table, "mean_score"), final
 
 
+def _judge_classes(scored: DataFrame, label: str) -> DataFrame:
+    return classification_metrics(scored, label, "prediction", "score", ("fold",))
+
+
+def judge_numbers(scored: DataFrame, label: str) -> DataFrame:
+    return regression_metrics(scored, label, "prediction", ("fold",))
+
+
 def cross_validate(df: DataFrame, features: list[str], label: str, make_estimator: Callable, key: str,
-                   k: int = 5) -> DataFrame:
-    """All classification metrics per fold. ``make_estimator()`` gives an unfitted classifier."""
-    data = _folded(df, features, label, k, key)
+                   k: int = 5, judge: Callable = _judge_classes, stratify: bool = True, parallelism: int = 5
+                   ) -> DataFrame:
+    """All metrics per fold. ``make_estimator()`` gives an unfitted estimator.
+
+    ``judge(scored, label)`` gives one row per fold, the classification metrics by default; for a regression it is
+    ``judge_numbers``, with ``stratify=False``, since folds are then not dealt label by label.
+    """
+    data = _folded(df, features, label, k, key, stratify)
     with _cached(data):
+        data.count()
+        models = _at_once(lambda fold: make_estimator().fit(data.filter(F.col("fold") != fold)), range(k), parallelism)
         scored = None
-        for fold in range(k):
-            model = make_estimator().fit(data.filter(F.col("fold") != fold))
-            part = predict_new(model, data.filter(F.col("fold") == fold)).select("fold", label, "prediction", "score")
+        for fold, model in enumerate(models):
+            part = predict_new(model, data.filter(F.col("fold") == fold))
+            part = part.select([c for c in ("fold", label, "prediction", "score") if c in part.columns])
             scored = part if scored is None else scored.unionByName(part)
-        table = classification_metrics(scored, label, "prediction", "score", ("fold",))
+        table = judge(scored, label)
         rows = table.collect()  # one row per fold, taken while the input is cached
     return df.sparkSession.createDataFrame(rows, table.schema)
 
@@ -153,7 +176,7 @@ def _elimination_path(train: DataFrame, features: list[str], label: str, max_ite
 
 
 def recursive_elimination(df: DataFrame, features: list[str], label: str, score: str, key: str, k: int = 5,
-                          max_iter: int = 100) -> tuple[DataFrame, DataFrame, list[str]]:
+                          max_iter: int = 100, parallelism: int = 5) -> tuple[DataFrame, DataFrame, list[str]]:
     """Scores per number of features, a ranking of the features, and the features of the best number.
 
     The elimination is run anew on each fold's training part, so a score never sees its own test rows. On a
@@ -163,11 +186,16 @@ def recursive_elimination(df: DataFrame, features: list[str], label: str, score:
     evaluator = _evaluator(score, label)
     scores: dict[int, list[float]] = {}
     with _cached(data.select(*features, label, "fold")) as rows:
-        for fold in range(k):
-            test = rows.filter(F.col("fold") == fold)
-            for left, model in _elimination_path(rows.filter(F.col("fold") != fold), features, label, max_iter):
-                value = evaluator.evaluate(model.transform(to_features(test, left)))
-                scores.setdefault(len(left), []).append(float(value))
+        rows.count()
+
+        def eliminate(fold: int) -> list[tuple[int, float]]:
+            train, test = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
+            return [(len(left), float(evaluator.evaluate(model.transform(to_features(test, left)))))
+                    for left, model in _elimination_path(train, features, label, max_iter)]
+
+        for found in _at_once(eliminate, range(k), parallelism):
+            for size, value in found:
+                scores.setdefault(size, []).append(value)
         path = [left for left, _ in _elimination_path(rows, features, label, max_iter)]
     best = max(sorted(scores), key=lambda size: np.mean(scores[size]))
     chosen = next(left for left in path if len(left) == best)
@@ -182,21 +210,25 @@ def recursive_elimination(df: DataFrame, features: list[str], label: str, score:
 
 
 def single_feature_scores(df: DataFrame, features: list[str], label: str, score: str, key: str, k: int = 5,
-                          max_iter: int = 100) -> DataFrame:
+                          max_iter: int = 100, parallelism: int = 5) -> DataFrame:
     """Mean cross-validated score of a model per single feature, and of one on all of them."""
     data = fold_assign(df, key, k, label, SEED).withColumn(label, F.col(label).cast("double"))
     evaluator = _evaluator(score, label)
     rows = []
     with _cached(data.select(*features, label, "fold")) as cached:
         n_train = cached.count() * (k - 1) / k
-        for name, used in [*[(f, [f]) for f in features], ("all features", list(features))]:
-            values = []
-            for fold in range(k):
-                train = to_features(cached.filter(F.col("fold") != fold), used)
-                model = _logistic(label, 1.0, "l2", n_train, max_iter).fit(train)
-                values.append(evaluator.evaluate(model.transform(
-                    to_features(cached.filter(F.col("fold") == fold), used))))
-            rows.append((name, float(np.mean(values)), float(np.std(values))))
+
+        def fold_score(turn: tuple[list[str], int]) -> float:
+            used, fold = turn
+            train, test = cached.filter(F.col("fold") != fold), cached.filter(F.col("fold") == fold)
+            model = _logistic(label, 1.0, "l2", n_train, max_iter).fit(to_features(train, used))
+            return float(evaluator.evaluate(model.transform(to_features(test, used))))
+
+        sets = [*[(f, [f]) for f in features], ("all features", list(features))]
+        values = _at_once(fold_score, [(used, fold) for _, used in sets for fold in range(k)], parallelism)
+        for i, (name, _used) in enumerate(sets):
+            part = values[i * k:(i + 1) * k]
+            rows.append((name, float(np.mean(part)), float(np.std(part))))
     return df.sparkSession.createDataFrame(rows, "feature string, mean_score double, std_score double")
 
 
@@ -213,8 +245,8 @@ def feature_cost_choice(train: DataFrame, test: DataFrame, features: list[str],
 
 
 def fit_forest(train: DataFrame, features: list[str], label: str, trees: int = 100, weight: str | None = None,
-               seed: int = SEED, max_depth: int = 10):
-    """Random forest classifier, with row weights if a weight column is named."""
+               seed: int = SEED, max_depth: int = 30):
+    """Random forest classifier, with row weights if a weight column is named. Depth 30 is the deepest Spark grows."""
     forest = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees, seed=seed,
                                     maxDepth=max_depth)
     if weight is not None:

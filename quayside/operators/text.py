@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quayside.functions.scalars import stable_hash
 from quayside.operators.sampling import top_bottom_k
-from quayside.plans.levels import fetch_small, join_small
+from quayside.plans.levels import fetch_small
 from quayside.sources import stored
 
 MAX_TERMS = 1_000_000
@@ -88,7 +88,7 @@ def apply_phrases(df: DataFrame, doc: str, tokens: str, phrases: DataFrame) -> D
     5th … pair of the run, so the position within the run decides; no word-by-word loop is needed.
     """
     known = phrases.select(F.col("a").alias("token"), F.col("b").alias("next"), F.lit(True).alias("_hit"))
-    rows = join_small(_pairs(df, tokens, doc), known, ["token", "next"], "left")
+    rows = _pairs(df, tokens, doc).join(known, ["token", "next"], "left")
     order = W.partitionBy(doc).orderBy("pos")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     rows = rows.withColumn("_hit", hit)
@@ -208,14 +208,15 @@ def corpus_size(bow: DataFrame, doc: str) -> DataFrame:
 # --- topics --------------------------------------------------------------------------------------------
 
 
-def fit_lda(vectors: DataFrame, topics: int = 10, chunk: int = 5000, passes: int = 4, seed: int = 48,
+def fit_lda(vectors: DataFrame, topics: int = 10, batches: int = 5, passes: int = 4, seed: int = 48,
             features: str = "features"):
-    """Online variational LDA: mini-batches of about ``chunk`` documents, ``passes`` times over the corpus."""
+    """Online variational LDA: ``batches`` mini-batches in each of ``passes`` times over the corpus.
+
+    Every mini-batch is drawn by a scan of all vectors, so their number is the same at every size.
+    """
     data = vectors.select(features).cache()
     try:
-        n = data.count()
-        share = min(1.0, chunk / max(n, 1))
-        lda = LDA(k=topics, optimizer="online", subsamplingRate=share, maxIter=max(1, round(passes / share)),
+        lda = LDA(k=topics, optimizer="online", subsamplingRate=1.0 / batches, maxIter=passes * batches,
                   featuresCol=features, seed=seed)
         return lda.fit(data)
     finally:
@@ -237,19 +238,18 @@ def topic_coherence(bow: DataFrame, doc: str, topic_terms: DataFrame, n_docs: in
     ``topic_terms`` has (topic, rank, id), a few terms per topic, each of which occurs somewhere. A document is
     cut down to the topic terms it holds, and yields one row per wanted pair among them.
     """
-    t = fetch_small(topic_terms.select("topic", "rank", "id"))
+    t = topic_terms.select("topic", "rank", "id")
     upper = t.select("topic", F.col("rank").alias("rank_j"), F.col("id").alias("id_j"))
     # A term paired with itself gives D_j in the same count.
     pairs = (t.withColumnsRenamed({"rank": "rank_i", "id": "id_i"}).join(upper, "topic")
              .filter(F.col("rank_j") <= F.col("rank_i")))
     wanted = pairs.select("id_i", "id_j").distinct()
     # At most one entry per topic term, of which there are a few per topic.
-    held = (join_small(bow.select(doc, "id"), t.select("id").distinct(), ["id"])
+    held = (bow.select(doc, "id").join(t.select("id").distinct(), "id", "left_semi")
             .groupBy(doc).agg(F.collect_set("id").alias("ids")))
-    met = (join_small(held.select(F.explode("ids").alias("id_i"), "ids"), wanted, ["id_i"])
+    met = (held.select(F.explode("ids").alias("id_i"), "ids").join(wanted, "id_i")
            .filter(F.array_contains("ids", F.col("id_j")))
            .groupBy("id_i", "id_j").agg(F.count(F.lit(1)).alias("d")))
-    met = fetch_small(met)  # at most the wanted pairs; the rest is arithmetic on them
     counted = pairs.join(met, ["id_i", "id_j"], "left").withColumn("d", F.coalesce("d", F.lit(0)))
     alone = (counted.filter(F.col("rank_i") == F.col("rank_j"))
              .select("topic", "rank_j", F.col("d").alias("d_j")))

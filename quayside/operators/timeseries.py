@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from quayside.functions.distributions import f_tail, normal_cdf
 from quayside.operators.joins import asof_calendar
 from quayside.operators.windows import centered_moving_average, forward_fill, require_date
-
+from quayside.plans.blocks import row_rank
 
 
 def daily(df: DataFrame, *more: str) -> DataFrame:
@@ -184,7 +184,8 @@ def _lags(y: np.ndarray, first: int, last: int, start: int) -> np.ndarray:
         else np.empty((len(y) - start, 0))
 
 
-def _adf(y: np.ndarray, max_lag: int | None, fixed: bool) -> tuple[float, int, int]:
+def _adf(y: np.ndarray, max_lag: int | None, fixed: bool) -> tuple[float, int, int] | None:
+    """Statistic, lag, number of rows; None for a series that is too short or constant."""
     d = np.diff(y)
     if max_lag is None:
         max_lag = max(0, min(math.ceil(12.0 * (len(y) / 100.0) ** 0.25), len(y) // 2 - 2))
@@ -194,6 +195,8 @@ def _adf(y: np.ndarray, max_lag: int | None, fixed: bool) -> tuple[float, int, i
         level = y[start:-1]
         return np.column_stack([level, _lags(d, 1, lag, start), np.ones(len(target))]), target
 
+    if len(d) - max_lag <= max_lag + 2:
+        return None
     best = max_lag
     if not fixed:
         scores = []
@@ -207,17 +210,25 @@ def _adf(y: np.ndarray, max_lag: int | None, fixed: bool) -> tuple[float, int, i
     x, target = design(best, best)
     beta, ssr, inverse = _ols(x, target)
     n, k = x.shape
-    return float(beta[0] / math.sqrt(ssr / (n - k) * inverse[0, 0])), best, n
+    variance = ssr / (n - k) * inverse[0, 0]
+    return (float(beta[0] / math.sqrt(variance)), best, n) if variance > 0 else None
 
 
 def adf_stationarity(df: DataFrame, max_lag: int | None = None, fixed_lag: bool = False) -> DataFrame:
     """Augmented Dickey-Fuller test with a constant, per series; the lag is the one with the best AIC.
 
-    ``fixed_lag`` uses ``max_lag`` itself. ``stationary`` is the decision at 5 %.
+    ``fixed_lag`` uses ``max_lag`` itself. ``stationary`` is the decision at 5 %. A series that is too short for the
+    lags, or constant, has a row of nulls.
     """
+    limits = list(ADF_CRITICAL)
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        stat, lag, n = _adf(_values(pdf), max_lag, fixed_lag)
+        found = _adf(_values(pdf), max_lag, fixed_lag)
+        if found is None:
+            return pd.DataFrame({"series": [pdf["series"].iloc[0]]}).reindex(
+                columns=["series", "statistic", "lag", "n", "p_value", *limits, "stationary"]).astype(
+                {"lag": object, "n": object, "stationary": object})
+        stat, lag, n = found
         p = _adf_p(stat)
         critical = {name: [sum(c / n ** i for i, c in enumerate(b))] for name, b in ADF_CRITICAL.items()}
         return pd.DataFrame({"series": [pdf["series"].iloc[0]], "statistic": [stat], "lag": [lag], "n": [n],
@@ -231,49 +242,85 @@ def adf_stationarity(df: DataFrame, max_lag: int | None = None, fixed_lag: bool
 def granger_causality(df: DataFrame, cause: str, effect: str, max_lag: int, ds: str = "ds") -> DataFrame:
     """(lag, f, p_value, df_num, df_den): does the past of ``cause`` help to predict ``effect``?
 
-    Rows of one day are averaged first, so the one group is bounded by the calendar.
+    Rows of one day are averaged first; days without a date or without both values are left out. Each day meets the
+    days before it by its number. Then each task adds up the products of its rows' columns, and the regressions of a lag
+    are solved from those sums, of which there are (2 lag + 2) ** 2. A lag with too few days has no row.
     """
     require_date(df, ds)
+    days = (df.filter(F.col(ds).isNotNull()).groupBy(ds)
+            .agg(F.avg(effect).alias("_y"), F.avg(cause).alias("_x")))
+    days = days.filter(F.nanvl("_y", F.lit(None)).isNotNull() & F.nanvl("_x", F.lit(None)).isNotNull())
+    means = days.agg(F.struct(F.avg("_y").alias("y"), F.avg("_x").alias("x")).alias("m")).scalar()
+    ranked = row_rank(days, [], [ds], "_t").withColumn("_m", means)
+    moved = ranked.select((F.col("_y") - F.col("_m.y")).alias("y"), (F.col("_x") - F.col("_m.x")).alias("x"), "_t",
+                          F.explode(F.sequence(F.lit(0), F.lit(max_lag))).alias("k"))
+    past = [F.max(F.when(F.col("k") == k, F.col(c))).alias(f"{c}{k}") for c in "yx" for k in range(max_lag + 1)]
+    rows = (moved.groupBy((F.col("_t") + F.col("k")).alias("_t")).agg(*past).filter(F.col("y0").isNotNull())
+            .drop("_t", "x0"))
+    own = [f"y{k}" for k in range(1, max_lag + 1)]
+    other = [f"x{k}" for k in range(1, max_lag + 1)]
+
+    def sums(batches):
+        total = {lag: 0.0 for lag in range(1, max_lag + 1)}
+        for pdf in batches:
+            for lag in total:
+                part = pdf[[*own[:lag], *other[:lag], "y0"]].dropna().to_numpy(dtype=float)
+                z = np.column_stack([np.ones(len(part)), part])
+                total[lag] = total[lag] + z.T @ z
+        for lag, gram in total.items():
+            if np.ndim(gram):
+                yield pd.DataFrame({"lag": lag, "at": np.arange(gram.size), "v": gram.ravel()})
+
+    def left_over(gram: np.ndarray, cols: list[int]) -> float:
+        """Sum of squared residuals of the last column on ``cols``."""
+        cross = gram[cols, -1]
+        return float(gram[-1, -1] - cross @ np.linalg.lstsq(gram[np.ix_(cols, cols)], cross, rcond=None)[0])
 
     def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ds)
-        y, x = pdf[effect].to_numpy(dtype=float), pdf[cause].to_numpy(dtype=float)
-        rows = []
-        for lag in range(1, max_lag + 1):
-            target = y[lag:]
-            own = np.column_stack([_lags(y, 1, lag, lag), np.ones(len(target))])
-            both = np.column_stack([own, _lags(x, 1, lag, lag)])
-            rest = len(target) - both.shape[1]
-            if rest < 1:
-                break
-            _, ssr_own, _ = _ols(own, target)
-            _, ssr_both, _ = _ols(both, target)
-            f = (ssr_own - ssr_both) / lag / (ssr_both / rest) if ssr_both > 0 else float("inf")
-            rows.append((lag, f, f_tail(f, lag, rest), lag, rest))
-        return pd.DataFrame(rows, columns=["lag", "f", "p_value", "df_num", "df_den"])
-
-    days = df.groupBy(ds).agg(F.avg(cause).alias(cause), F.avg(effect).alias(effect))
-    return days.groupBy().applyInPandas(
-        test, "lag int, f double, p_value double, df_num int, df_den int")
+        lag = int(pdf["lag"].iloc[0])
+        gram = pdf.sort_values("at")["v"].to_numpy().reshape(2 * lag + 2, 2 * lag + 2)
+        rest, out = int(gram[0, 0]) - (2 * lag + 1), []
+        if rest >= 1:
+            less, full = left_over(gram, list(range(lag + 1))), left_over(gram, list(range(2 * lag + 1)))
+            f = (less - full) / lag / (full / rest) if full > 0 else float("inf")
+            out.append((lag, f, f_tail(f, lag, rest), lag, rest))
+        return pd.DataFrame(out, columns=["lag", "f", "p_value", "df_num", "df_den"])
+
+    grams = rows.mapInPandas(sums, "lag int, at int, v double").groupBy("lag", "at").agg(F.sum("v").alias("v"))
+    return grams.groupBy("lag").applyInPandas(test, "lag int, f double, p_value double, df_num int, df_den int")
 
 
 # --- ARIMA ---------------------------------------------------------------------------------------------
 
 
-def _arima(y: np.ndarray, order: tuple[int, int, int]) -> dict:
+def _arima_start(n: int, order: tuple[int, int, int]) -> tuple[int, int] | None:
+    """Lags of the long autoregression, and the first day of ``n`` that all lags reach; None if too few are left."""
+    p, d, q = order
+    m = n - d
+    if m < 1:
+        return None
+    long = min(max(p + q, int(10 * math.log10(m))), m // 4) if q else 0
+    start = max(p, long + q)
+    return (long, start + d) if m - start > p + q and (long or not q) else None
+
+
+def _arima(y: np.ndarray, order: tuple[int, int, int], first: int | None = None) -> dict | None:
     """Two regressions (Hannan-Rissanen): a long autoregression gives the shocks, then y is regressed on its
-    own lags and on lagged shocks."""
+    own lags and on lagged shocks, from day ``first`` on. None for a series that is too short."""
     p, d, q = order
+    reach = _arima_start(len(y), order)
+    first = reach[1] if reach and first is None else first
+    if reach is None or len(y) - first <= p + q:
+        return None
     w = np.diff(y, n=d) if d else y
     mean = float(w.mean()) if d == 0 else 0.0
     x = w - mean
-    long = min(max(p + q, int(10 * math.log10(len(x)))), len(x) // 4) if q else 0
+    long, start = reach[0], first - d
     shocks = np.zeros(len(x))
     if q:
         past = _lags(x, 1, long, long)
         beta, _, _ = _ols(past, x[long:])
         shocks[long:] = x[long:] - past @ beta
-    start = max(p, long + q)
     inputs = np.column_stack([_lags(x, 1, p, start), _lags(shocks, 1, q, start)])
     target = x[start:]
     beta = _ols(inputs, target)[0] if p + q else np.zeros(0)
@@ -287,10 +334,12 @@ def _arima(y: np.ndarray, order: tuple[int, int, int]) -> dict:
 
 
 def fit_arima(df: DataFrame, order: tuple[int, int, int]) -> DataFrame:
-    """(series, term, value): const, ar.L*, ma.L*, sigma2, aic."""
+    """(series, term, value): const, ar.L*, ma.L*, sigma2, aic; null values for a series that is too short."""
+    p, d, q = order
+    unknown = {"mean": np.nan, "ar": [np.nan] * p, "ma": [np.nan] * q, "sigma2": np.nan, "aic": np.nan}
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = _arima(_values(pdf), order)
+        m = _arima(_values(pdf), order) or unknown
         terms = {"const": m["mean"]} if order[1] == 0 else {}
         terms |= {f"ar.L{i + 1}": v for i, v in enumerate(m["ar"])}
         terms |= {f"ma.L{i + 1}": v for i, v in enumerate(m["ma"])}
@@ -344,8 +393,9 @@ def forecast_arima(train: DataFrame, test: DataFrame, order: tuple[int, int, int
         pdf = pdf.sort_values("ds")
         past, ahead = pdf[~pdf["is_test"]], pdf[pdf["is_test"]]
         mean, se = np.full(len(ahead), np.nan), np.full(len(ahead), np.nan)
-        if len(ahead) and len(past) > 4 * (sum(order) + 1):
-            mean, se = _forecast(_values(past), order, len(ahead))
+        known = _values(past)
+        if len(ahead) and _arima_start(len(known), order):
+            mean, se = _forecast(known, order, len(ahead))
         return pd.DataFrame({"series": ahead["series"], "ds": ahead["ds"], "mean": mean, "lower": mean - z * se,
                              "upper": mean + z * se, "actual": ahead["y"]})
 
@@ -354,13 +404,19 @@ def forecast_arima(train: DataFrame, test: DataFrame, order: tuple[int, int, int
 
 
 def arima_grid(df: DataFrame, p, d, q) -> DataFrame:
-    """(series, p, d, q, aic, best) for every order of the product. A series is shuffled once for all."""
+    """(series, p, d, q, aic, best) for every order of the product. A series is shuffled once for all.
+
+    All orders are fitted to the same days, those that the longest lags reach; scores of different days don't compare.
+    An order that the series is too short for has no score.
+    """
     orders = [(a, b, c) for a in p for b in d for c in q]
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
         y = _values(pdf)
         out = pd.DataFrame(orders, columns=["p", "d", "q"])
-        out["aic"] = [_arima(y, order)["aic"] for order in orders]
+        reached = [reach[1] for reach in (_arima_start(len(y), order) for order in orders) if reach]
+        fits = [_arima(y, order, max(reached)) if reached else None for order in orders]
+        out["aic"] = [m["aic"] if m else np.nan for m in fits]
         out.insert(0, "series", pdf["series"].iloc[0])
         out["best"] = out["aic"] == out["aic"].min()
         return out

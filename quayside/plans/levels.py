@@ -1,8 +1,4 @@
-"""Small results used by a large table: category levels, and joins to a fetched side.
-
-A small side is fetched once behind a size check and then broadcast. Beyond the limit the join is an ordinary
-one, which shuffles, and which adaptive execution splits where it is skewed.
-"""
+"""Small results used by a large table: category levels that become columns or literals."""
 
 from __future__ import annotations
 
@@ -13,7 +9,10 @@ MAX_BROADCAST_ROWS = 200_000
 
 
 def level_counts(df: DataFrame, col: str, limit: int = MAX_LEVELS) -> dict:
-    """Rows per non-null value. Levels become columns or literals, so more than ``limit`` is an error."""
+    """Rows per non-null value. Levels become columns or literals, so more than ``limit`` is an error.
+
+    ``features.one_hot_vector`` and ``multi_hot_vector`` take any number of levels.
+    """
     counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     found = counts.limit(limit + 1).collect()
     if len(found) > limit:
@@ -32,12 +31,3 @@ def fetch_small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     if len(rows) > limit:
         raise ValueError(f"more than {limit} rows where a small table is expected")
     return df.sparkSession.createDataFrame(rows, df.schema)
-
-
-def join_small(df: DataFrame, side: DataFrame, keys: list[str], how: str = "inner",
-               limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join a large table to a side that is expected to be small."""
-    rows = side.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df.join(side, keys, how)
-    return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, side.schema)), keys, how)

@@ -44,12 +44,18 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
                    multiline: bool = False) -> DataFrame:
     """A delimited text file with a header line, read as text and then cast to ``schema``.
 
-    A field that does not fit its type becomes null instead of failing the job. ``multiline`` allows line
-    breaks inside quotes, at the price that a file can no longer be split among tasks.
+    Columns are found by the names in the header, in any order; one that is not there is null, and files whose
+    headers differ are an error. A field that does not fit its type becomes null instead of failing the job.
+    ``multiline`` allows line breaks inside quotes, at the price that a file can no longer be split among tasks.
     """
-    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = (spark.read.schema(text).option("sep", sep).option("header", True).option("quote", '"')
-           .option("escape", '"').option("multiLine", multiline).csv(path))
+    def reader():
+        return (spark.read.option("sep", sep).option("header", True).option("quote", '"').option("escape", '"')
+                .option("multiLine", multiline))
+
+    header = reader().csv(path).columns  # reads the first line
+    text = T.StructType([T.StructField(name, T.StringType(), True) for name in header])
+    raw = reader().schema(text).option("enforceSchema", False).csv(path)
+    raw = raw.withColumns({f.name: F.lit(None).cast("string") for f in schema.fields if f.name not in header})
     out = []
     for f in schema.fields:
         c = F.col(f"`{f.name}`")

@@ -2,6 +2,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from quayside import sources
@@ -49,6 +50,20 @@ def test_one_hot_and_multi_hot(spark):
     assert [(r.c_a, r.c_b, r.l_x, r.l_y) for r in hot] == [(0, 1, 1, 1), (0, 0, 0, 0), (1, 0, 1, 0)]
 
 
+def test_hot_vectors(spark):
+    df = spark.createDataFrame([(1, "b", ["x", "y"]), (2, None, None), (3, "a", ["x", None]), (4, "b", [])],
+                               "id int, c string, l array<string>")
+    one, levels = X.one_hot_vector(df, "c", "v")
+    assert levels == ["b", "a"] and [list(r.v) for r in one.orderBy("id").collect()] == [[1, 0], [0, 0], [0, 1], [1, 0]]
+    many, words = X.multi_hot_vector(df, "l", "v")
+    assert words == ["x", "y"] and [list(r.v) for r in many.orderBy("id").collect()] == [[1, 1], [0, 0], [1, 0], [0, 0]]
+
+
+def test_confusion_has_the_values_of_both_columns(spark):
+    df = spark.createDataFrame([(0, 2), (1, 1)], "y int, p int")
+    assert M.confusion_matrix(df, "y", "p").count() == 9
+
+
 def test_metrics_with_ties_and_one_label(spark):
     df = spark.createDataFrame([(1, 1, 0.9), (0, 1, 0.9), (1, 0, 0.2), (0, 0, 0.2)], "y int, p int, s double")
     got = M.classification_metrics(df, "y", "p", "s").first()
@@ -104,6 +119,12 @@ def test_searches(rows):
     assert [(r.model, r.n_features) for r in both] == [("all", 3), ("chosen", 2)]
 
 
+def test_regression_over_folds(rows):
+    folds = L.cross_validate(rows.withColumn("t", 3 * F.col("a") - F.col("b") + 1), ["a", "b"], "t",
+                             lambda: LinearRegression(labelCol="t"), "id", k=3, judge=L.judge_numbers, stratify=False)
+    assert folds.count() == 3 and folds.first().r2 == pytest.approx(1.0, abs=1e-6)
+
+
 def test_forest_contributions_add_up(rows):
     model = L.fit_forest(X.class_weights(rows, "y"), NAMES, "y", trees=5, weight="weight", max_depth=4)
     scored = L.forest_contributions(model, L.predict_new(model, rows, NAMES), NAMES).collect()

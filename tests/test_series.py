@@ -71,6 +71,45 @@ def test_granger_direction(spark):
     assert T.granger_causality(df, "y", "x", 3).filter("lag = 1").first().p_value > 0.01
 
 
+def test_granger_is_that_of_two_regressions(spark):
+    rng = np.random.default_rng(8)
+    x, y = rng.normal(size=60), rng.normal(size=60).cumsum()
+    rows = [(dt.date(2020, 1, 1) + dt.timedelta(i), float(a), float(b)) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame([*rows, (None, 1.0, 1.0), (dt.date(2030, 1, 1), None, 2.0)], "ds date, x double, y double")
+    got = {r.lag: r for r in T.granger_causality(df, "x", "y", 4).collect()}
+    assert sorted(got) == [1, 2, 3, 4]
+    for lag, r in got.items():
+        own = np.column_stack([np.ones(60 - lag), T._lags(y, 1, lag, lag)])
+        both = np.column_stack([own, T._lags(x, 1, lag, lag)])
+        less, full = (T._ols(z, y[lag:])[1] for z in (own, both))
+        rest = 60 - lag - both.shape[1]
+        assert (r.df_num, r.df_den) == (lag, rest)
+        assert r.f == pytest.approx((less - full) / lag / (full / rest), rel=1e-7)
+    assert T.granger_causality(df.limit(0), "x", "y", 2).count() == 0
+
+
+def test_short_and_constant_series_have_nulls(spark):
+    rng = np.random.default_rng(6)
+    long = [("long", dt.date(2020, 1, 1) + dt.timedelta(i), float(v)) for i, v in enumerate(rng.normal(size=80))]
+    short = [("short", dt.date(2020, 1, 1) + dt.timedelta(i), float(i)) for i in range(2)]
+    flat = [("flat", dt.date(2020, 1, 1) + dt.timedelta(i), 1.0) for i in range(80)]
+    df = spark.createDataFrame(long + short + flat, "series string, ds date, y double")
+    adf = {r.series: r for r in T.adf_stationarity(df).collect()}
+    assert adf["long"].stationary and adf["short"].statistic is None and adf["short"].lag is None
+    assert adf["short"].stationary is None and adf["flat"].p_value is None
+    fit = T.fit_arima(df, (1, 0, 1)).filter("series = 'short'").collect()
+    assert {r.term for r in fit} == {"const", "ar.L1", "ma.L1", "sigma2", "aic"} and {r.value for r in fit} == {None}
+    grid = T.arima_grid(df, [0, 1], [0], [0, 2]).collect()
+    assert len(grid) == 12 and [r.aic for r in grid if r.series == "short" and (r.p, r.q) == (1, 2)] == [None]
+    assert sum(r.best for r in grid if r.series == "long") == 1
+
+
+def test_orders_are_scored_on_the_same_days():
+    y = np.random.default_rng(7).normal(size=120)
+    fits = [T._arima(y, (1, 0, q), 40) for q in range(1, 10)]
+    assert {m["n"] for m in fits} == {80}
+
+
 def test_arima_finds_the_parameters(spark):
     rng = np.random.default_rng(4)
     e = rng.normal(size=6000)

@@ -93,7 +93,7 @@ def test_topics(spark):
                                          "good": (F.col("doc") % 2).cast("int")})
     vocab = X.build_vocabulary(df, "tokens", 1, 1.0, 10)
     vectors = X.tfidf_vectors(df, "tokens", vocab)
-    model = X.fit_lda(vectors, topics=2, chunk=40, passes=30)
+    model = X.fit_lda(vectors, topics=2, batches=1, passes=30)
     heads = {r.topic: r.term for r in X.top_terms(model, vocab, 1).collect()}
     assert set(heads.values()) <= {"cat", "car"} and len(set(heads.values())) == 2
     best = {r.grp: r.topic for r in X.topics_by_group(model, vectors, "grp").filter("weight > 0.5").collect()}
