@@ -35,7 +35,8 @@ SEED = 48
 
 @contextmanager
 def _cached(df: DataFrame):
-    df.cache()
+    """The rows in memory, in partitions of the advised size: many passes pay for each partition again."""
+    df = df.hint("rebalance").cache()
     try:
         yield df
     finally:
@@ -58,7 +59,7 @@ def fit_logistic(train: DataFrame, features: list[str], label: str, C: float = 1
                  max_iter: int = 1000):
     """Logistic regression model with an L1 or L2 penalty of strength 1/C."""
     data = to_features(train, features).select("features", label)
-    with _cached(data):
+    with _cached(data) as data:
         return _logistic(label, C, penalty, data.count(), max_iter).fit(data)
 
 
@@ -87,7 +88,7 @@ def grid_search(df: DataFrame, features: list[str], label: str, grid: dict[str,
                 k: int = 5, parallelism: int = 3, max_iter: int = 100) -> tuple[DataFrame, object]:
     """Cross-validated score of every (C, penalty) pair, ranked; and the best model fitted on all rows."""
     data = _folded(df, features, label, k, key).select("features", label, "fold")
-    with _cached(data):
+    with _cached(data) as data:
         n_rows = data.count()
         n_train = n_rows * (k - 1) / k
         estimator = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, standardization=False)
@@ -97,13 +98,13 @@ def grid_search(df: DataFrame, features: list[str], label: str, grid: dict[str,
         search = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=_evaluator(score, label),
                                 numFolds=k, foldCol="fold", parallelism=parallelism, seed=SEED)
         fitted = search.fit(data)
+        best = max(range(len(pairs)), key=lambda i: (fitted.avgMetrics[i], -i))
+        # The penalty 1 / (C * rows) again, now that the model is fitted on all rows.
+        final = estimator.copy({**maps[best], estimator.regParam: 1.0 / (pairs[best][0] * n_rows)}).fit(data)
     rows = [(float(c), p, f"C={c:.3f} Penalty={p}", float(m), float(s))
             for (c, p), m, s in zip(pairs, fitted.avgMetrics, fitted.stdMetrics)]
     table = df.sparkSession.createDataFrame(
         rows, "C double, penalty string, params string, mean_score double, std_score double")
-    best = max(range(len(pairs)), key=lambda i: (fitted.avgMetrics[i], -i))
-    # The penalty 1 / (C * rows) again, now that the model is fitted on all rows.
-    final = estimator.copy({**maps[best], estimator.regParam: 1.0 / (pairs[best][0] * n_rows)}).fit(data)
     return rank_results(table, "mean_score"), final
 
 
@@ -124,7 +125,7 @@ def cross_validate(df: DataFrame, features: list[str], label: str, make_estimato
     ``judge_numbers``, with ``stratify=False``, since folds are then not dealt label by label.
     """
     data = _folded(df, features, label, k, key, stratify)
-    with _cached(data):
+    with _cached(data) as data:
         data.count()
         models = _at_once(lambda fold: make_estimator().fit(data.filter(F.col("fold") != fold)), range(k), parallelism)
         scored = None
@@ -346,14 +347,17 @@ def label_segments(model, df: DataFrame, out: str = "segment") -> DataFrame:
     return model.transform(df).withColumnRenamed("segment", out)
 
 
-def kmeans_sweep(df: DataFrame, features: str, ks, seed: int = SEED) -> DataFrame:
+def kmeans_sweep(df: DataFrame, features: str, ks, seed: int = SEED, parallelism: int = 4) -> DataFrame:
     """Inertia and silhouette for each number of clusters."""
     judge = ClusteringEvaluator(featuresCol=features, predictionCol="segment")
-    rows = []
     with _cached(df.select(features)) as data:
-        for k in ks:
+        data.count()
+
+        def fitted(k: int) -> tuple[int, float, float]:
             model = fit_kmeans(data, features, k, seed)
-            rows.append((int(k), float(model.summary.trainingCost), float(judge.evaluate(model.transform(data)))))
+            return int(k), float(model.summary.trainingCost), float(judge.evaluate(model.transform(data)))
+
+        rows = _at_once(fitted, ks, parallelism)
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 

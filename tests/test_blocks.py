@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import aggregates, features, sampling, windows
 from quayside.plans import blocks as B
-from quayside.plans.levels import category_levels, fetch_small, join_small
+from quayside.plans.levels import category_levels, fetch_small
 from quayside.plans.quantiles import exact_quantiles
 
 
@@ -158,11 +158,7 @@ def test_missing_values_include_nan(spark):
     assert aggregates.rows_with_missing(df).count() == 2
 
 
-def test_small_sides(spark, frame):
-    side = frame.select("id").withColumn("twice", F.col("id") * 2)
-    by_broadcast = join_small(frame, side, ["id"]).select("id", "twice").collect()
-    by_shuffle = join_small(frame, side, ["id"], limit=10).select("id", "twice").collect()
-    assert sorted(by_broadcast) == sorted(by_shuffle)
+def test_bounded_tables(frame):
     with pytest.raises(ValueError):
         category_levels(frame, "id", 10)
     with pytest.raises(ValueError):
