@@ -127,7 +127,8 @@ def first_grams(grams: np.ndarray, percent: int, common: np.ndarray, times: np.n
 def posted_sets(docs: DataFrame, n: int, percent: int, common, times) -> DataFrame:
     """One row per row: doc_id, text_hash, node (the name of its set), size, grams (those posted), salts.
 
-    A very common n-gram's list is dealt over one salt per 10,000 texts, by the set's name.
+    A very common n-gram's list is dealt over one salt per 10,000 texts, from 1 on, by the set's name; the salt of
+    another list is 0.
     """
     def run(batches):
         for b in batches:
@@ -138,7 +139,8 @@ def posted_sets(docs: DataFrame, n: int, percent: int, common, times) -> DataFra
                 nodes.append(node)
                 sizes.append(len(found))
                 grams.append(first.astype(np.int64))
-                salts.append((node % 1_000_003 % (1 + seen.astype(np.int64) // 10_000)).astype(np.int32))
+                parts = seen.astype(np.int64) // 10_000
+                salts.append(np.where(parts > 0, 1 + node % 1_000_003 % (1 + parts), 0).astype(np.int32))
             cuts = np.cumsum([0, *map(len, grams)])
             none = [np.zeros(0, np.int64)]
             yield pa.RecordBatch.from_arrays(
@@ -184,7 +186,7 @@ def sharing_nodes(sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(found[n > 0]), pa.array(n[n > 0])], names=["node", "n"])
 
     counts = postings(sets).mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
-    # A list with several salts: a row may be alone in its salt, so all rows of such lists count.
+    # A dealt list: a row may be alone in its salt, so all rows of such lists count.
     salted = F.size(F.filter("salts", lambda s: s > 0)) > 0
     least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("size") * percent / 100) / 20))
     return sets.join(counts, "node", "left").filter(salted | (F.coalesce("n", F.lit(0)) >= least)).drop("n")
@@ -194,7 +196,8 @@ def cluster_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that hold together all nodes that might be alike.
 
     In a posting list sorted by size, each node is linked to the one before it if their sizes allow a link; where they
-    don't, no earlier node can be linked either. Lists with several salts are linked through the first nodes.
+    don't, no earlier node can be linked either. The parts of a dealt list are linked through the first nodes of all
+    their runs, whichever salts have any.
     """
     def run(batches):
         for old, near, (gram, salt, size, node) in runs(batches, percent):
@@ -211,10 +214,8 @@ def cluster_links(sets: DataFrame, percent: int) -> DataFrame:
 
     found = stored(postings(sets).mapInArrow(run, "a long, b long, gram long").distinct(), "clusters")
     heads = found.filter(F.col("gram").isNotNull()).select("gram", "a")
-    posts = sets.select("node", F.explode(F.arrays_zip("grams", "salts")).alias("p")).select(
-        F.col("p.grams").alias("gram"), F.col("p.salts").alias("salt"), "node").filter("salt = 0")
-    zero = posts.join(F.broadcast(heads.select("gram").distinct()), "gram").groupBy("gram").agg(F.min("node").alias("b"))
-    return found.filter(F.col("gram").isNull()).select("a", "b").union(heads.join(zero, "gram").select("a", "b"))
+    first = heads.groupBy("gram").agg(F.min("a").alias("b"))
+    return found.filter(F.col("gram").isNull()).select("a", "b").union(heads.join(first, "gram").select("a", "b"))
 
 
 def block_keys(nodes: DataFrame, percent: int) -> DataFrame:

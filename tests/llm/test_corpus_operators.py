@@ -165,16 +165,21 @@ def test_join_loses_no_link(spark, monkeypatch, least, rows, most, n, percent):
     assert got == brute_components(list(enumerate(texts)), n, percent)
 
 
-def test_join_of_salted_lists(spark, monkeypatch):
-    """Very common n-grams are dealt over salts, and their lists still hang together."""
+@pytest.mark.parametrize("times", [1000, 1_000_000])
+def test_join_of_salted_lists(spark, monkeypatch, times):
+    """Very common n-grams are dealt over salts, and their lists still hang together: also where most salts have no
+    text, since many equal texts are one node."""
     real = ngram_join.first_grams
 
     def many(*args):
         found, seen = real(*args)
-        return found, np.where(seen > 0, seen * 1000, 0)
+        return found, np.where(seen > 0, seen * times, 0)
 
     monkeypatch.setattr(ngram_join, "first_grams", many)
     texts = planted()
+    for g in range(20):  # two nodes each, all of whose n-grams are common
+        words = prose(50 + 30 * g, 20_000 + 1000 * g)
+        texts += [words] * 8 + [words.rsplit(" ", 1)[0]] * 8
     got = Counter(tuple(r) for r in ngram_join.ngram_components(documents(spark, texts)).collect())
     assert got == brute_components(list(enumerate(texts)))
 
