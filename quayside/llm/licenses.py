@@ -1,6 +1,7 @@
 """License scans: phrases at their places, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line. A template matches it if at least ``threshold`` of the template's distinct words stand in it.
+A block is a line, or a window of consecutive words, over line breaks too, that is as long as the template and a slack:
+so a wrapped notice is met. A template matches a block if at least ``threshold`` of its distinct words stand in it.
 Words are ordered by how often they occur in the whole corpus, rarest first. Of a template with ``n`` words, of which
 ``need`` must be met, only the ``n - need + 1`` rarest are indexed: a block without any of them can't match. The
 templates are a parameter of a few dozen lines at most, so the index is a literal map and the join needs no shuffle;
@@ -48,28 +49,29 @@ def word_counts(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 
 
 def template_index(templates, counts: dict[str, int], threshold: float):
-    """Words in global order, and the templates as (label, ordered words, words needed, indexed words)."""
+    """Words in global order, and the templates as (label, ordered words, words needed, indexed words, length)."""
     order = sorted({w for text, _ in templates for w in text.split()}, key=lambda w: (counts.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
     out = []
     for text, label in templates:
         words = sorted(set(text.split()), key=rank.get)
         need = max(1, math.ceil(threshold * len(words) - 1e-9))
-        out.append((label, words, need, words[:len(words) - need + 1]))
+        out.append((label, words, need, words[:len(words) - need + 1], len(text.split())))
     return order, out
 
 
-def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
+def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float = 0.8,
+                  slack: float = 0.25) -> DataFrame:
     """Add n_words, n_base, first_word, last_word, base_labels, labels and score to every row.
 
-    ``score`` is 1 where a phrase stands, else the largest share of a template's words met in a line, 0 below the
-    threshold. A null text has no words; without phrases or templates there are no labels and empty texts for them.
+    ``score`` is 1 where a phrase stands, else the largest share of a template's words met in a line or a window, 0
+    below the threshold. A window has ``slack`` of the template's length more words than it, two at least. A null text has no words; without phrases or templates there are no labels and empty texts for them.
     Each row is judged by itself, so ties, repeats and other columns don't matter; columns of these names are
     replaced.
     """
     vocabulary = sorted({w for text, _ in templates for w in text.split()})
     order, index = template_index(templates, word_counts(docs, vocabulary) if templates else {}, threshold)
-    gate = sorted({w for _, _, _, head in index for w in head} | {p.split()[-1] for p, _ in phrases}) or ["\x00"]
+    gate = sorted({w for _, _, _, head, _ in index for w in head} | {p.split()[-1] for p, _ in phrases}) or ["\x00"]
     edge = RAW_WORD[:-1]
     text = F.coalesce("text", F.lit(""))
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
@@ -83,11 +85,12 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, thresho
     rows = (rows.withColumn("_words", words)
             .withColumn("_base", F.when(F.size("_words") > 0, F.concat(*places, none)).otherwise(none)))
 
-    # Lines that meet a template.
+    # Lines and windows that meet a template.
     ordered = F.array(*map(F.lit, order)) if order else F.array().cast("array<string>")
     lines = F.transform(F.split(text, "\n", -1), lambda line: F.array_intersect(ordered, _words(line)))
     sorted_lines = F.when(F.col("_hit"), lines).otherwise(F.array().cast("array<array<string>>"))
-    met = F.flatten(F.transform("_lines", lambda line: _matches(line, index)))
+    met = F.concat(F.flatten(F.transform("_lines", lambda line: _matches(line, index))),
+                   _windows(F.col("_words"), index, slack))
     empty = F.array().cast("array<struct<label:string,share:double>>")
     rows = (rows.withColumn("_lines", sorted_lines)
             .withColumn("_met", F.when(F.size("_lines") > 0, met).otherwise(empty)))
@@ -118,13 +121,13 @@ def _matches(line: Column, index) -> Column:
     if not index:
         return F.array().cast("array<struct<label:string,share:double>>")
     heads: dict[str, list[tuple[int, int]]] = {}
-    for t, (_, _, _, head) in enumerate(index):
+    for t, (_, _, _, head, _) in enumerate(index):
         for at, w in enumerate(head):
             heads.setdefault(w, []).append((t, at))
     posting = F.create_map(*[x for w, found in sorted(heads.items()) for x in (
         F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(at).alias("at")) for t, at in found]))])
     table = F.array(*[F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, words)).alias("words"),
-                               F.lit(need).alias("need")) for label, words, need, _ in index])
+                               F.lit(need).alias("need")) for label, words, need, _, _ in index])
     none = F.array().cast("array<struct<t:int,at:int,spot:int>>")
     pairs = F.flatten(F.transform(line, lambda w, spot: F.transform(
         F.coalesce(F.try_element_at(posting, w), F.transform(none, lambda p: F.struct(p["t"], p["at"]))),
@@ -142,3 +145,41 @@ def _matches(line: Column, index) -> Column:
         return F.struct(F.when(n >= t["need"], t["label"]).alias("label"), (n / F.size(t["words"])).alias("share"))
 
     return F.filter(F.transform(candidates, checked), lambda m: m["label"].isNotNull())
+
+
+def _windows(words: Column, index, slack: float) -> Column:
+    """The templates that a window of consecutive words meets, with the largest share of words met around each place.
+
+    Each window that can match holds one of its template's indexed words, so only windows around those are looked at.
+    """
+    if not index:
+        return F.array().cast("array<struct<label:string,share:double>>")
+    heads: dict[str, list[int]] = {}
+    for t, (_, _, _, head, _) in enumerate(index):
+        for w in head:
+            heads.setdefault(w, []).append(t)
+    posting = F.create_map(*[x for w, found in sorted(heads.items()) for x in (
+        F.lit(w), F.array(*map(F.lit, found)))])
+    table = F.array(*[F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, distinct)).alias("words"),
+                               F.lit(need).alias("need"),
+                               F.lit(length + max(2, math.ceil(slack * length))).alias("width"))
+                      for label, distinct, need, _, length in index])
+    posted = F.filter(F.transform(words, lambda w, at: F.when(w.isin(sorted(heads)), F.struct(
+        at.alias("at"), F.element_at(posting, w).alias("ts")))), lambda p: p.isNotNull())
+    pairs = F.flatten(F.transform(posted, lambda p: F.transform(p["ts"], lambda t: F.struct(
+        p["at"].alias("at"), F.element_at(table, t + 1).alias("t")))))
+
+    def first(p: Column) -> Column:  # of the windows around the place
+        return F.greatest(p["at"] - p["t"]["width"] + 1, F.lit(0))
+
+    def met(p: Column, start: Column, length: Column) -> Column:
+        return F.size(F.array_intersect(F.slice(words, start + 1, length), p["t"]["words"]))
+
+    near = F.filter(pairs, lambda p: met(p, first(p), p["at"] + p["t"]["width"] - first(p)) >= p["t"]["need"])
+
+    def best(p: Column) -> Column:
+        n = F.array_max(F.transform(F.sequence(first(p), p["at"]), lambda start: met(p, start, p["t"]["width"])))
+        return F.struct(n.alias("n"), p["t"].alias("t"))
+
+    return F.transform(F.filter(F.transform(near, best), lambda m: m["n"] >= m["t"]["need"]),
+                       lambda m: F.struct(m["t"]["label"].alias("label"), (m["n"] / F.size(m["t"]["words"])).alias("share")))

@@ -186,6 +186,19 @@ def test_license_join_is_exact(spark):
     assert licenses.scan_licenses(table(spark, [], SCHEMA)).collect() == []
 
 
+def test_wrapped_notices_are_met(spark):
+    mpl = ("This Source Code Form is subject to the terms of the Mozilla Public\n{}License, v. 2.0. If a copy of the MPL\n"
+           "{}was not distributed with this file, You can obtain one.")
+    texts = [mpl.format("", ""), prose(300) + "\n// " + mpl.format("// ", "// ") + "\n" + prose(300, 5),
+             "All rights reserved.\nNo part of this\npublication may be reproduced", "Released under\n# the BSD 3-clause\n# license",
+             "Licensed under\nCC BY 4.0", "Licensed under CC\n" + prose(20) + "\nBY 4.0", prose(900)]
+    rows = {r.doc_id: r for r in licenses.scan_licenses(documents(spark, texts)).collect()}
+    assert [rows[i].labels for i in range(3)] == ["mpl", "mpl", "all-rights-reserved"]
+    assert "bsd" in rows[3].labels.split(",") and "cc-by" in rows[4].labels.split(",")
+    assert [rows[i].score for i in range(5)] == [1.0] * 5
+    assert [(rows[i].labels, rows[i].score) for i in (5, 6)] == [("", 0.0)] * 2
+
+
 # ---- pieces and packing
 
 
