@@ -1,7 +1,7 @@
 """Sharding along a Hilbert curve: rows that are near in several metadata columns come into the same file.
 
-Each column is cut at its approximate quantiles, the cell's place on the curve is found with a table of states, and
-the rows in curve order are cut into runs. The curve has ``2 ** (bits * columns)`` cells whatever the table's size, so
+Each column is cut at its quantiles (numbers at approximate ones, texts at exact ones of the ranks of their whole values),
+the cell's place on the curve is found with a table of states, and the rows in curve order are cut into runs. The curve has ``2 ** (bits * columns)`` cells whatever the table's size, so
 the cells' counts are a small table; rows are numbered inside their cell in hashed blocks, never in one task.
 """
 
@@ -70,13 +70,14 @@ def curve_index(cells: list[Column], bits: int) -> Column:
     return F.aggregate(levels, start, step, lambda at: at["index"])
 
 
+def is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType))
+
+
 def position(df: DataFrame, name: str) -> Column:
-    """A number in the order of the column; a text counts by its first six bytes, null is below everything."""
+    """A number in the order of the column, null for a value that is no number; texts have none."""
     kind, c = df.schema[name].dataType, F.col(f"`{name}`")
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
-        c = F.conv(head, 16, 10).cast("double")
-    elif isinstance(kind, T.DateType):
+    if isinstance(kind, T.DateType):
         c = F.unix_date(c).cast("double")
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         c = F.unix_micros(c.cast("timestamp")).cast("double")
@@ -85,16 +86,45 @@ def position(df: DataFrame, name: str) -> Column:
     return F.coalesce(c, F.lit(float("-inf")))
 
 
+def text_cuts(df: DataFrame, name: str, parts: int) -> list[bytes | None]:
+    """The values, as bytes, at which the rows in order of a text column are cut into ``parts``; null is the lowest.
+
+    Equal values are counted, the counts are dealt by ranges of the whole value, and running counts inside a range
+    start from those of the ranges before it.
+    """
+    counts = stored(df.groupBy(F.col(f"`{name}`").cast("binary").alias("v")).agg(F.count(F.lit(1)).alias("n")), "values")
+    ranges = stored(counts.repartitionByRange("v").withColumn("range", F.spark_partition_id()), "ranges")
+    before = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)  # over one row per range
+    starts = ranges.groupBy("range").agg(F.sum("n").alias("m")).select(
+        "range", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("start"))
+    inside = W.partitionBy("range").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = (ranges.withColumn("upto", F.sum("n").over(inside)).join(F.broadcast(starts), "range")
+              .withColumn("upto", F.col("start") + F.col("upto")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    ranks = sorted({-(-total * i // parts) for i in range(1, parts)}) if total else []
+    held = [(F.col("upto") >= r) & (F.col("upto") - F.col("n") < r) for r in ranks]
+    found = ranked.filter(reduce(lambda a, b: a | b, held, F.lit(False))).select("v").collect()  # one row per cut at most
+    return [None if r["v"] is None else bytes(r["v"]) for r in found]
+
+
 def with_curve(df: DataFrame, columns: list[str], bits: int = 4, accuracy: int = 1000) -> DataFrame:
-    """Add ``curve``, the index of each row's cell; the cuts are approximate quantiles over all rows, ``2**bits - 1``
-    per column. A null or a value that is no number is below everything."""
+    """Add ``curve``, the index of each row's cell; the cuts are quantiles over all rows, ``2**bits - 1`` per column:
+    approximate for numbers, exact for texts, whose whole value decides. A null or a value that is no number is below
+    everything. ``df`` is read once for the numbers and once per text column, so it should be stored."""
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    at = [position(df, name) for name in columns]
-    found = df.agg(*[F.percentile_approx(c, shares, accuracy).alias(f"c{i}") for i, c in enumerate(at)]).first()
+    numbers = [name for name in columns if not is_text(df, name)]
+    found = df.agg(*[F.percentile_approx(position(df, name), shares, accuracy).alias(f"c{i}")
+                     for i, name in enumerate(numbers)]).first() if numbers else []
+    numeric = dict(zip(numbers, found))
     cells = []
-    for i, c in enumerate(at):
-        cuts = sorted(set(found[i] or []))
-        cells.append(reduce(lambda a, b: a + b, [(c > F.lit(b)).cast("int") for b in cuts], F.lit(0)))
+    for name in columns:
+        if is_text(df, name):
+            c = F.col(f"`{name}`").cast("binary")
+            over = [c.isNotNull() if b is None else F.coalesce(c > F.lit(b), F.lit(False))
+                    for b in text_cuts(df, name, 1 << bits)]
+        else:
+            over = [position(df, name) > F.lit(b) for b in sorted(set(numeric[name] or []))]
+        cells.append(reduce(lambda a, b: a + b, [o.cast("int") for o in over], F.lit(0)))
     return df.withColumn("curve", curve_index(cells, bits))
 
 

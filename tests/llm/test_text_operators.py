@@ -412,6 +412,27 @@ def test_shards_prune_files(spark, folder, tmp_path):
     assert sum(r.a <= "src7" <= r.b for r in spans) < 20
 
 
+def test_texts_with_a_common_prefix_have_their_own_cells(spark):
+    rows = [(i, f"https://host-{i * 7 % 40:02d}.example/", "en", None) for i in range(400)]
+    docs = table(spark, rows, "doc_id long, source string, lang string, size long")
+    assert [bytes(c) for c in sorted(hilbert.text_cuts(docs, "source", 4))] == [
+        f"https://host-{k:02d}.example/".encode() for k in (9, 19, 29)]
+    out = hilbert.hilbert_shards(docs, ["source"], 10, ["doc_id"]).collect()
+    check_shards(out, 10)
+    places = {}
+    for r in out:
+        places.setdefault(r.source, set()).add(r.curve)
+    in_order = [places[s] for s in sorted(places)]
+    assert all(len(p) == 1 for p in in_order) and len(set().union(*in_order)) == 16
+    assert [min(p) for p in in_order] == sorted(min(p) for p in in_order)
+    of_source = {s: {r.shard for r in out if r.source == s} for s in places}
+    assert max(map(len, of_source.values())) <= 2
+    nulls = table(spark, [(i, None if i < 90 else "a" * 8 + str(i), "en", None) for i in range(100)],
+                  "doc_id long, source string, lang string, size long")
+    cells = hilbert.with_curve(nulls, ["source"]).collect()
+    assert {r.curve for r in cells if r.source is None} == {0} and min(r.curve for r in cells if r.source) > 0
+
+
 def test_numbers_are_gapless_in_hot_groups(spark):
     df = spark.range(2000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7).alias("k"), "id",
                                   F.lit(1).alias("same"))
