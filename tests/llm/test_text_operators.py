@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -151,6 +152,19 @@ def test_rules_keep_labelled_clean_documents(spark, folder):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute_counts(texts[r.doc_id])
 
 
+def test_forest_sees_every_statistic(spark, folder):
+    """Repeated short lines between unique ones, floods of digits, encoded words, one word in every second place."""
+    words = prose(400).split()
+    texts = ["\n".join(x for i in range(100) for x in (" ".join(words[i * 3:i * 3 + 4]), "read more")),
+             " ".join(str(10**9 + i * 7919 * 104729) for i in range(300)),
+             " ".join(base64.b64encode(np.random.default_rng(i).bytes(60)).decode() for i in range(200)),
+             " ".join(x for w in words for x in (w, "buy"))]
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    rules = quality_rules.fit_quality_rules(docs, labels)
+    rows = quality_rules.judge_documents(documents(spark, texts), rules).select("rules.*").collect()
+    assert not any(r.base_failed for r in rows) and not any(r.kept for r in rows)
+
+
 # ---- licenses
 
 
