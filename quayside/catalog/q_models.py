@@ -71,8 +71,7 @@ def _(spark, sf):
 
 @query("grid_search")
 def _(spark, sf):
-    return L.grid_search(scaled_labelled(spark, sf), FEATURES, "quality", GRID, "roc_auc", "doc_id", parallelism=8,
-                         max_iter=20)[0]
+    return L.grid_search(scaled_labelled(spark, sf), FEATURES, "quality", GRID, "roc_auc", "doc_id", parallelism=8)[0]
 
 
 @query("cross_validate")

@@ -6,6 +6,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from quayside import sources
+from quayside.catalog import QUERIES
 from quayside.operators import features as X, metrics as M, models as L
 
 
@@ -119,6 +120,13 @@ def test_searches(rows):
     assert [(r.model, r.n_features) for r in both] == [("all", 3), ("chosen", 2)]
 
 
+def test_grid_search_query_has_the_operator_s_iterations(spark, folder, monkeypatch):
+    given = {}
+    monkeypatch.setattr(L, "grid_search", lambda *args, **more: given.update(more) or (None, None))
+    QUERIES["grid_search"](spark, folder)
+    assert given.get("max_iter", 100) >= 100
+
+
 def test_regression_over_folds(rows):
     folds = L.cross_validate(rows.withColumn("t", 3 * F.col("a") - F.col("b") + 1), ["a", "b"], "t",
                              lambda: LinearRegression(labelCol="t"), "id", k=3, judge=L.judge_numbers, stratify=False)
