@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quayside.llm import (
-    chat, hilbert, katz, licenses, ngram_join, packing, phrase_prints, pieces, quality_rules, rule_ensemble,
+    bitslice_search, chat, hilbert, katz, licenses, ngram_join, packing, phrase_prints, pieces, quality_rules,
+    rule_ensemble, simhash_pivots, source_audit,
 )
 from quayside.llm.common import crc_class
 from quayside.sources import read_table
@@ -160,3 +161,80 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     out = hilbert.hilbert_shards(rows, ["source", "lang", "size"], 24, ["text_crc32", "doc_id", "size"])
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op11_source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Divergence of each source from each other one of its language, and the terms behind it."""
+    return source_audit.audit_sources(documents(spark, folder))
+
+
+_LETTERS = r"'[a-z\x{80}-\x{10FFFF}]+'"
+ORACLES["op11_source_audit"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           coalesce(text, '') AS text FROM documents),
+w AS (SELECT row, lang, source, unnest(regexp_extract_all({_SMALL}, {_LETTERS})) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY 1, 2 HAVING count(DISTINCT row) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY 1),
+cells AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+sources AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) g
+            LEFT JOIN cells c ON c.lang = g.lang AND c.source = g.source GROUP BY 1, 2),
+shares AS (
+  SELECT s.lang, s.source, k.term, c.n AS met,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (s.n + l.v)::HUGEINT AS p,
+         1 + (1000000000::HUGEINT * (k.n + 1)) // (l.n + l.v)::HUGEINT AS q
+  FROM sources s JOIN kept k ON k.lang = s.lang JOIN langs l ON l.lang = s.lang
+  LEFT JOIN cells c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM shares
+  WHERE met > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query
+def op12_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:
+    """SimHash fingerprint of every document, and the class that fingerprints at most three bits apart make."""
+    return simhash_pivots.near_copies(documents(spark, folder))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for each item of the benchmark."""
+    return bitslice_search.search(documents(spark, folder), read_table(spark, folder, "benchmark"))
+
+
+ORACLES["op13_lexical_search"] = rf"""
+WITH w AS (
+  SELECT row, doc_id, unnest(regexp_extract_all({_SMALL}, {_RE})) AS term
+  FROM (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents)),
+sizes AS (SELECT row, doc_id, count(*) AS n FROM w GROUP BY 1, 2),
+corpus AS (SELECT count(*) AS docs, sum(n) AS words FROM sizes),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all({_SMALL}, {_RE})) AS term
+        FROM (SELECT item_id, coalesce(text, '') AS text FROM benchmark)) GROUP BY 1, 2),
+met AS (SELECT row, term, count(*) AS tf FROM w SEMI JOIN asked USING (term) GROUP BY 1, 2),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM met GROUP BY 1), corpus),
+lengths AS (SELECT row, doc_id, CAST(25 + (75 * n * docs) // words AS BIGINT) AS m FROM sizes, corpus),
+scores AS (
+  SELECT item_id, row, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM met JOIN asked USING (term) JOIN weights USING (term) JOIN lengths USING (row) GROUP BY 1, 2, 3),
+ranked AS (
+  SELECT item_id, doc_id, score,
+         CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
