@@ -1,5 +1,6 @@
 """Model fits. Results depend on the optimiser, so most have no SQL; tests check their invariants."""
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -71,7 +72,46 @@ def _(spark, sf):
 
 @query("grid_search")
 def _(spark, sf):
-    return L.grid_search(scaled_labelled(spark, sf), FEATURES, "quality", GRID, "roc_auc", "doc_id", parallelism=8)[0]
+    return L.grid_search(scaled_labelled(spark, sf), FEATURES, "quality", GRID, "roc_auc", "doc_id")[0]
+
+
+# Whatever the penalty, a model of one feature orders the rows as the feature does, or the other way round.
+ONE_FEATURE = """
+WITH t AS (SELECT doc_id, quality, n_chars, (row_number() OVER (PARTITION BY quality ORDER BY
+    ('0x' || substr(md5(doc_id || '|48'), 1, 13))::BIGINT, doc_id) - 1) % 5 AS fold
+  FROM labels JOIN documents USING (doc_id)),
+signs AS (SELECT k.fold, sign(covar_pop(quality, n_chars)) AS s
+  FROM (SELECT DISTINCT fold FROM t) k JOIN t ON t.fold <> k.fold GROUP BY 1),
+r AS (SELECT t.fold, quality, rank() OVER (PARTITION BY t.fold ORDER BY s * n_chars)
+    + (count(*) OVER (PARTITION BY t.fold, n_chars) - 1) / 2.0::DOUBLE AS place FROM t JOIN signs USING (fold)),
+auc AS (SELECT fold, (sum(place) FILTER (WHERE quality = 1) - count(*) FILTER (WHERE quality = 1)
+    * (count(*) FILTER (WHERE quality = 1) + 1) / 2.0::DOUBLE)
+    / (count(*) FILTER (WHERE quality = 1) * count(*) FILTER (WHERE quality = 0)) AS auc FROM r GROUP BY 1),
+means AS (SELECT avg(auc) AS mean_score, stddev_pop(auc) AS std_score FROM auc)
+"""
+
+
+def one_feature(spark, sf):
+    return X.z_score(read_table(spark, sf, "labels").join(
+        read_table(spark, sf, "documents").select("doc_id", F.col("n_chars").cast("double")), "doc_id"), ["n_chars"])
+
+
+@query("grid_search_one_feature", ONE_FEATURE + """
+SELECT C, penalty, mean_score, std_score, 1 AS rank
+FROM means, (VALUES (1e4::DOUBLE), (1e3::DOUBLE)) c(C), (VALUES ('l1'), ('l2')) p(penalty)""",
+       {"mean_score": 8, "std_score": 8})
+def _(spark, sf):
+    grid = {"C": [1e4, 1e3], "penalty": ["l1", "l2"]}
+    return L.grid_search(one_feature(spark, sf), ["n_chars"], "quality", grid, "roc_auc", "doc_id")[0]
+
+
+# The second feature is nearly without weight, so it leaves first and changes no order.
+@query("recursive_elimination_one_feature", ONE_FEATURE + """
+SELECT CAST(n AS INTEGER) AS n_features, mean_score, std_score, n = 1 AS best FROM means, (VALUES (1), (2)) v(n)""",
+       {"mean_score": 8, "std_score": 8})
+def _(spark, sf):
+    rows = one_feature(spark, sf).withColumn("nothing", F.lit(0.0))
+    return L.recursive_elimination(rows, ["n_chars", "nothing"], "quality", "roc_auc", "doc_id")[0]
 
 
 @query("cross_validate")
@@ -105,24 +145,11 @@ def _(spark, sf):
     return L.single_feature_scores(scaled_labelled(spark, sf), FEATURES, "quality", "f1", "doc_id")
 
 
-# The score of a model on one feature orders the rows as the feature does, or the other way round.
-@query("single_feature_auc", """
-WITH t AS (SELECT doc_id, quality, n_chars, (row_number() OVER (PARTITION BY quality ORDER BY
-    ('0x' || substr(md5(doc_id || '|48'), 1, 13))::BIGINT, doc_id) - 1) % 5 AS fold
-  FROM labels JOIN documents USING (doc_id)),
-signs AS (SELECT k.fold, sign(covar_pop(quality, n_chars)) AS s
-  FROM (SELECT DISTINCT fold FROM t) k JOIN t ON t.fold <> k.fold GROUP BY 1),
-r AS (SELECT t.fold, quality, rank() OVER (PARTITION BY t.fold ORDER BY s * n_chars)
-    + (count(*) OVER (PARTITION BY t.fold, n_chars) - 1) / 2.0::DOUBLE AS place FROM t JOIN signs USING (fold)),
-auc AS (SELECT fold, (sum(place) FILTER (WHERE quality = 1) - count(*) FILTER (WHERE quality = 1)
-    * (count(*) FILTER (WHERE quality = 1) + 1) / 2.0::DOUBLE)
-    / (count(*) FILTER (WHERE quality = 1) * count(*) FILTER (WHERE quality = 0)) AS auc FROM r GROUP BY 1)
-SELECT f AS feature, avg(auc) AS mean_score, stddev_pop(auc) AS std_score
-FROM auc, (VALUES ('n_chars'), ('all features')) v(f) GROUP BY 1""", {"mean_score": 8, "std_score": 8})
+@query("single_feature_auc", ONE_FEATURE + """
+SELECT f AS feature, mean_score, std_score FROM means, (VALUES ('n_chars'), ('all features')) v(f)""",
+       {"mean_score": 8, "std_score": 8})
 def _(spark, sf):
-    rows = X.z_score(read_table(spark, sf, "labels").join(
-        read_table(spark, sf, "documents").select("doc_id", F.col("n_chars").cast("double")), "doc_id"), ["n_chars"])
-    return L.single_feature_scores(rows, ["n_chars"], "quality", "roc_auc", "doc_id")
+    return L.single_feature_scores(one_feature(spark, sf), ["n_chars"], "quality", "roc_auc", "doc_id")
 
 
 @query("feature_cost_choice")
@@ -144,6 +171,30 @@ def _(spark, sf):
     return L.forest_holdout_score(scaled_labelled(spark, sf), FEATURES, "quality", "doc_id")
 
 
+@query("forest_oob_score")
+def _(spark, sf):
+    rows = X.class_weights(scaled_labelled(spark, sf), "quality")
+    return L.forest_oob_score(rows, FEATURES, "quality", "doc_id", weight="weight")
+
+
+# A tree that may not split votes with the share of class 1 in its sample.
+@query("forest_oob_rows", """
+WITH t AS (SELECT CAST(range AS INTEGER) AS tree FROM range(12)),
+p AS (SELECT k, sum(exp(-1) / f) OVER (ORDER BY k) AS upto FROM (SELECT range AS k, factorial(CAST(range AS INTEGER))
+  AS f FROM range(17))),
+draws AS (SELECT doc_id, quality, tree,
+  ('0x' || substr(md5(doc_id || '|48.' || tree), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM labels, t),
+bags AS (SELECT *, (SELECT count(*) FROM p WHERE upto <= u) AS n FROM draws),
+shares AS (SELECT tree, sum(n * quality) / sum(n)::DOUBLE AS share FROM bags GROUP BY 1)
+SELECT doc_id, quality::DOUBLE AS quality, CAST(count(*) FILTER (WHERE n = 0) AS INTEGER) AS votes,
+  avg(share) FILTER (WHERE n = 0) AS score, avg((share)) FILTER (WHERE n = 0) > 0.5 AS prediction
+FROM bags JOIN shares USING (tree) GROUP BY 1, 2""", {"score": 9})
+def _(spark, sf):
+    rows = read_table(spark, sf, "labels").withColumn("nothing", F.lit(0.0))
+    return L.forest_oob_rows(rows, ["nothing"], "quality", "doc_id", 12, max_depth=0).withColumn(
+        "prediction", F.col("prediction") == 1)
+
+
 def contributed(spark, sf):
     rows = scaled_labelled(spark, sf)
     model = L.fit_forest(rows, FEATURES, "quality")
@@ -186,6 +237,28 @@ def _(spark, sf):
     return L.kmeans_sweep(points(spark, sf), "features", range(2, 50))
 
 
+# Silhouettes from all pairs of rows, which the sums of the clusters stand for.
+@query("kmeans_judge", """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+runs AS (SELECT k, c.vec_id AS id, c.x AS c FROM (VALUES (2), (3), (7), (12)) r(k) JOIN e c ON c.vec_id < k),
+away AS (SELECT k, e.vec_id, id, list_distance(x, c) ** 2 AS d FROM e, runs),
+near AS (SELECT k, vec_id, arg_min(id, d) AS own, min(d) AS d FROM away GROUP BY 1, 2),
+sizes AS (SELECT k, own, count(*) AS n FROM near GROUP BY 1, 2),
+pairs AS (SELECT a.vec_id AS a, b.vec_id AS b, list_distance(a.x, b.x) ** 2 AS d FROM e a, e b),
+means AS (SELECT near.k, a, near.own, sum(pairs.d) AS total FROM pairs JOIN near ON near.vec_id = b GROUP BY 1, 2, 3),
+sides AS (SELECT m.k, m.a, max(CASE WHEN m.own = o.own THEN total / greatest(n - 1, 1) END) AS inside,
+  min(CASE WHEN m.own <> o.own THEN total / n END) AS outside, max(CASE WHEN m.own = o.own THEN n END) AS n
+  FROM means m JOIN sizes s ON s.k = m.k AND s.own = m.own JOIN near o ON o.k = m.k AND o.vec_id = m.a GROUP BY 1, 2)
+SELECT CAST(k AS INTEGER) AS k, (SELECT sum(d) FROM near WHERE near.k = sides.k) AS inertia,
+  avg(CASE WHEN n > 1 THEN (outside - inside) / greatest(inside, outside) ELSE 0 END) AS silhouette
+FROM sides GROUP BY k""", {"inertia": 6, "silhouette": 8})
+def _(spark, sf):
+    rows = read_table(spark, sf, "embeddings")
+    first = rows.filter("vec_id < 12").orderBy("vec_id").select("embedding").collect()
+    centres = np.array([r.embedding for r in first], dtype=float)
+    return L.kmeans_judge(rows, "embedding", {k: centres[:k] for k in (2, 3, 7, 12)})
+
+
 @query("label_segments", "SELECT vec_id, label, true AS is_nearest FROM embeddings")
 def _(spark, sf):
     rows = points(spark, sf)

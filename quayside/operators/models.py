@@ -14,17 +14,17 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import (
-    BinaryClassificationEvaluator, ClusteringEvaluator, MulticlassClassificationEvaluator,
-)
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import CrossValidator
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quayside.functions.scalars import str_startswith
+from quayside.operators.bagging import oob_metrics, oob_rows
+from quayside.operators.clusters import first_centres, fit_many_kmeans, judge_centres, point_rows
 from quayside.operators.features import fold_assign, split_random
+from quayside.operators.logistic import Fit, Fitted, arrayed, fit_many, score_many
 from quayside.operators.metrics import classification_metrics, regression_metrics
 from quayside.operators.sampling import top_bottom_k
 from quayside.operators.windows import rank_results
@@ -71,41 +71,34 @@ def predict_new(model, df: DataFrame, features: list[str] | None = None) -> Data
     return scored.drop("features", "rawPrediction", "probability")
 
 
-def _evaluator(score: str, label: str):
-    if score == "roc_auc":
-        return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
-    if score == "f1":
-        return MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
-    return MulticlassClassificationEvaluator(labelCol=label, metricName=score)
-
-
 def _folded(df: DataFrame, features: list[str], label: str, k: int, key: str, stratify: bool = True) -> DataFrame:
     folds = fold_assign(df, key, k, label if stratify else None, SEED)
     return to_features(folds, features).withColumn(label, F.col(label).cast("double"))
 
 
 def grid_search(df: DataFrame, features: list[str], label: str, grid: dict[str, list], score: str, key: str,
-                k: int = 5, parallelism: int = 3, max_iter: int = 100) -> tuple[DataFrame, object]:
-    """Cross-validated score of every (C, penalty) pair, ranked; and the best model fitted on all rows."""
-    data = _folded(df, features, label, k, key).select("features", label, "fold")
-    with _cached(data) as data:
-        n_rows = data.count()
-        n_train = n_rows * (k - 1) / k
-        estimator = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, standardization=False)
-        pairs = [(c, p) for c in grid["C"] for p in grid["penalty"]]
-        maps = [{estimator.regParam: 1.0 / (c * n_train), estimator.elasticNetParam: 1.0 if p == "l1" else 0.0}
-                for c, p in pairs]
-        search = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=_evaluator(score, label),
-                                numFolds=k, foldCol="fold", parallelism=parallelism, seed=SEED)
-        fitted = search.fit(data)
-        best = max(range(len(pairs)), key=lambda i: (fitted.avgMetrics[i], -i))
-        # The penalty 1 / (C * rows) again, now that the model is fitted on all rows.
-        final = estimator.copy({**maps[best], estimator.regParam: 1.0 / (pairs[best][0] * n_rows)}).fit(data)
-    rows = [(float(c), p, f"C={c:.3f} Penalty={p}", float(m), float(s))
-            for (c, p), m, s in zip(pairs, fitted.avgMetrics, fitted.stdMetrics)]
+                k: int = 5, max_iter: int = 100) -> tuple[DataFrame, object]:
+    """Cross-validated score of every (C, penalty) pair, ranked; and the best model fitted on all rows.
+
+    All settings and folds are fitted together, in at most ``max_iter`` passes over the rows; so are the models on
+    all rows, of which the best setting's is returned. ``score`` is a column of
+    ``classification_metrics``.
+    """
+    pairs = [(c, p) for c in grid["C"] for p in grid["penalty"]]
+    every = tuple(range(len(features)))
+    fits = [Fit(float(c), p, fold, every) for c, p in pairs for fold in [*range(k), None]]
+    tested = [i for i, f in enumerate(fits) if f.fold is not None]
+    with _cached(arrayed(fold_assign(df, key, k, label, SEED), features, label, "fold")) as rows:
+        coefficients = fit_many(rows, fits, len(features), max_iter)
+        found = score_many(rows, [fits[i] for i in tested], coefficients[tested], score)
+    per_pair = np.array(found).reshape(len(pairs), k)
+    mean, std = per_pair.mean(axis=1), per_pair.std(axis=1)
+    best = max(range(len(pairs)), key=lambda i: (mean[i], -i))
+    b = coefficients[(k + 1) * best + k]
     table = df.sparkSession.createDataFrame(
-        rows, "C double, penalty string, params string, mean_score double, std_score double")
-    return rank_results(table, "mean_score"), final
+        [(float(c), p, float(m), float(s)) for (c, p), m, s in zip(pairs, mean, std)],
+        "C double, penalty string, mean_score double, std_score double")
+    return rank_results(table, "mean_score"), Fitted(list(features), float(b[0]), DenseVector(b[1:]))
 
 
 def _judge_classes(scored: DataFrame, label: str) -> DataFrame:
@@ -166,71 +159,53 @@ def odds_ratio_by_family(coefs: DataFrame, prefix: str, descriptions: DataFrame
     return ends if descriptions is None else ends.join(descriptions, "level", "left")
 
 
-def _elimination_path(train: DataFrame, features: list[str], label: str, max_iter: int):
-    """Models on all features, then on one fewer each time, the smallest |coefficient| leaving."""
-    left, n_rows = list(features), train.count()
-    while left:
-        model = _logistic(label, 1.0, "l2", n_rows, max_iter).fit(to_features(train, left))
-        yield list(left), model
-        size = np.abs(model.coefficients.toArray())
-        left.pop(int(np.argmin(size)))
-
-
 def recursive_elimination(df: DataFrame, features: list[str], label: str, score: str, key: str, k: int = 5,
-                          max_iter: int = 100, parallelism: int = 5) -> tuple[DataFrame, DataFrame, list[str]]:
+                          max_iter: int = 100) -> tuple[DataFrame, DataFrame, list[str]]:
     """Scores per number of features, a ranking of the features, and the features of the best number.
 
-    The elimination is run anew on each fold's training part, so a score never sees its own test rows. On a
-    tie the smaller number wins. Rank 1 marks the chosen features.
+    The elimination is run anew on each fold's training part, so a score never sees its own test rows: the feature with
+    the smallest coefficient leaves. The parts and the whole go step by step together, each step beginning with the
+    coefficients of the one before. On a tie the smaller number wins. Rank 1 marks the chosen features.
     """
-    data = fold_assign(df, key, k, label, SEED).withColumn(label, F.col(label).cast("double"))
-    evaluator = _evaluator(score, label)
+    with _cached(arrayed(fold_assign(df, key, k, label, SEED), features, label, "fold")) as rows:
+        left = {fold: tuple(range(len(features))) for fold in [*range(k), None]}
+        fits, coefficients, start = [], [], None
+        for _ in features:
+            step = [Fit(1.0, "l2", fold, used) for fold, used in left.items()]
+            start = fit_many(rows, step, len(features), max_iter, start=start)
+            fits += step
+            coefficients.append(start)
+            for (fold, used), b in zip(left.items(), start):
+                smallest = used[int(np.argmin(np.abs(b[[1 + i for i in used]])))]
+                left[fold] = tuple(i for i in used if i != smallest)
+        tested = [i for i, f in enumerate(fits) if f.fold is not None]
+        found = score_many(rows, [fits[i] for i in tested], np.concatenate(coefficients)[tested], score)
     scores: dict[int, list[float]] = {}
-    with _cached(data.select(*features, label, "fold")) as rows:
-        rows.count()
-
-        def eliminate(fold: int) -> list[tuple[int, float]]:
-            train, test = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
-            return [(len(left), float(evaluator.evaluate(model.transform(to_features(test, left)))))
-                    for left, model in _elimination_path(train, features, label, max_iter)]
-
-        for found in _at_once(eliminate, range(k), parallelism):
-            for size, value in found:
-                scores.setdefault(size, []).append(value)
-        path = [left for left, _ in _elimination_path(rows, features, label, max_iter)]
+    for i, value in zip(tested, found):
+        scores.setdefault(len(fits[i].used), []).append(value)
+    path = [[features[i] for i in f.used] for f in fits if f.fold is None]
     best = max(sorted(scores), key=lambda size: np.mean(scores[size]))
-    chosen = next(left for left in path if len(left) == best)
+    chosen = next(used for used in path if len(used) == best)
     spark = df.sparkSession
     table = spark.createDataFrame([(n, float(np.mean(s)), float(np.std(s)), n == best) for n, s in scores.items()],
                                   "n_features int, mean_score double, std_score double, best boolean")
     # The feature that left when n features were in use gets rank n - best + 1.
-    last_used = {f: min(len(left) for left in path if f in left) for f in features}
+    last_used = {f: min(len(used) for used in path if f in used) for f in features}
     ranks = [(f, f in chosen, max(1, last_used[f] - best + 1)) for f in features]
     ranking = spark.createDataFrame(ranks, "feature string, support boolean, rank int")
     return table, ranking, chosen
 
 
 def single_feature_scores(df: DataFrame, features: list[str], label: str, score: str, key: str, k: int = 5,
-                          max_iter: int = 100, parallelism: int = 5) -> DataFrame:
-    """Mean cross-validated score of a model per single feature, and of one on all of them."""
-    data = fold_assign(df, key, k, label, SEED).withColumn(label, F.col(label).cast("double"))
-    evaluator = _evaluator(score, label)
-    rows = []
-    with _cached(data.select(*features, label, "fold")) as cached:
-        n_train = cached.count() * (k - 1) / k
-
-        def fold_score(turn: tuple[list[str], int]) -> float:
-            used, fold = turn
-            train, test = cached.filter(F.col("fold") != fold), cached.filter(F.col("fold") == fold)
-            model = _logistic(label, 1.0, "l2", n_train, max_iter).fit(to_features(train, used))
-            return float(evaluator.evaluate(model.transform(to_features(test, used))))
-
-        sets = [*[(f, [f]) for f in features], ("all features", list(features))]
-        values = _at_once(fold_score, [(used, fold) for _, used in sets for fold in range(k)], parallelism)
-        for i, (name, _used) in enumerate(sets):
-            part = values[i * k:(i + 1) * k]
-            rows.append((name, float(np.mean(part)), float(np.std(part))))
-    return df.sparkSession.createDataFrame(rows, "feature string, mean_score double, std_score double")
+                          max_iter: int = 100) -> DataFrame:
+    """Mean cross-validated score of a model per single feature, and of one on all of them; all fitted together."""
+    sets = [*[(f, (i,)) for i, f in enumerate(features)], ("all features", tuple(range(len(features))))]
+    fits = [Fit(1.0, "l2", fold, used) for _, used in sets for fold in range(k)]
+    with _cached(arrayed(fold_assign(df, key, k, label, SEED), features, label, "fold")) as rows:
+        found = score_many(rows, fits, fit_many(rows, fits, len(features), max_iter), score)
+    values = np.array(found).reshape(len(sets), k)
+    table = [(name, float(v.mean()), float(v.std())) for (name, _), v in zip(sets, values)]
+    return df.sparkSession.createDataFrame(table, "feature string, mean_score double, std_score double")
 
 
 def feature_cost_choice(train: DataFrame, test: DataFrame, features: list[str], chosen: list[str], label: str,
@@ -269,6 +244,26 @@ def forest_holdout_score(df: DataFrame, features: list[str], label: str, key: st
     return classification_metrics(predict_new(model, test, features), label, "prediction", "score")
 
 
+def forest_oob_rows(df: DataFrame, features: list[str], label: str, key: str, trees: int = 100,
+                    weight: str | None = None, seed: int = SEED, max_depth: int = 30, parallelism: int = 8) -> DataFrame:
+    """(key, label, votes, score, prediction) of each labelled row, from the trees of a forest that haven't seen it.
+
+    ``key`` names the rows: those with the same key are in the same samples. A row that every tree has seen, which with
+    few trees happens, has 0 votes and no score.
+    """
+    return oob_rows(df, features, label, key, trees, weight, seed, max_depth, _cached,
+                    lambda fn, items: _at_once(fn, items, parallelism))
+
+
+def forest_oob_score(df: DataFrame, features: list[str], label: str, key: str, trees: int = 100,
+                     weight: str | None = None, **fit) -> DataFrame:
+    """Out-of-bag metrics of a forest: each row is judged by the trees whose bootstrap sample doesn't have it.
+
+    One row; ``n_scored`` of the ``n_rows`` labelled rows have such trees and count.
+    """
+    return oob_metrics(forest_oob_rows(df, features, label, key, trees, weight, **fit), label)
+
+
 def forest_nodes(model) -> DataFrame:
     """The nodes of a forest as rows: tree, id, left, right, feature, threshold, share of class 1."""
     spark = SparkSession.active()
@@ -347,18 +342,22 @@ def label_segments(model, df: DataFrame, out: str = "segment") -> DataFrame:
     return model.transform(df).withColumnRenamed("segment", out)
 
 
-def kmeans_sweep(df: DataFrame, features: str, ks, seed: int = SEED, parallelism: int = 4) -> DataFrame:
-    """Inertia and silhouette for each number of clusters."""
-    judge = ClusteringEvaluator(featuresCol=features, predictionCol="segment")
-    with _cached(df.select(features)) as data:
-        data.count()
+def kmeans_sweep(df: DataFrame, features: str, ks, seed: int = SEED, max_iter: int = 20) -> DataFrame:
+    """Inertia and silhouette for each number of clusters; all runs share the passes over the rows.
+
+    The first centres are a k-means++ sequence over a bounded sample, of which each run takes its first ones. Rows
+    without features take no part; without rows there is no result.
+    """
+    with _cached(point_rows(df, features)) as rows:
+        found = judge_centres(rows, fit_many_kmeans(rows, first_centres(rows, list(ks), seed), max_iter))
+    return df.sparkSession.createDataFrame(found, "k int, inertia double, silhouette double")
 
-        def fitted(k: int) -> tuple[int, float, float]:
-            model = fit_kmeans(data, features, k, seed)
-            return int(k), float(model.summary.trainingCost), float(judge.evaluate(model.transform(data)))
 
-        rows = _at_once(fitted, ks, parallelism)
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+def kmeans_judge(df: DataFrame, features: str, centres: dict[int, np.ndarray]) -> DataFrame:
+    """The same for given centres: a matrix with a row per centre, by a number for each set of them."""
+    with _cached(point_rows(df, features)) as rows:
+        found = judge_centres(rows, {k: np.asarray(c, float) for k, c in centres.items()})
+    return df.sparkSession.createDataFrame(found, "k int, inertia double, silhouette double")
 
 
 def kmeans_assign(df: DataFrame, features: str, centres: DataFrame, out: str = "segment") -> DataFrame:
