@@ -28,6 +28,7 @@ BITS_PER_ENTRY, HASHES = 12, 4
 BLOCK_DOCS, BLOCK_CELLS = 1024, 1 << 25
 MOST_ENTRIES = 1_000_000  # entries that a task holds before it cuts blocks
 ITEMS_AT_ONCE = 256  # items that one job searches for
+MOST_SENT = 200_000  # pairs of an item and an id that are sent to all tasks
 SCALE = 1_000_000_000
 WORDS = separators(digits=True)
 
@@ -216,9 +217,12 @@ def bound_rows(index: DataFrame, queries: Queries, kind: str, most: int | None,
                 bound = queries.bounds(sizes.as_py(), rows, bits.as_py())
                 found = bound >= floor[:, None]
                 if most is not None and bound.shape[1] > most:
-                    cut = np.partition(bound, -most, axis=1)[:, -most]
-                    floor = np.maximum(floor, cut)  # so many at least of what this task has are as good
-                    found = bound >= floor[:, None]
+                    best = np.argpartition(bound, -most, axis=1)[:, -most:]
+                    among = np.zeros_like(found)
+                    np.put_along_axis(among, best, True, axis=1)
+                    # So many of what this task has are as good as the worst of these.
+                    floor = np.maximum(floor, np.take_along_axis(bound, best, axis=1).min(axis=1))
+                    found &= among
                 item, doc = np.nonzero(found)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(item.astype(np.int32)), ids.values.take(pa.array(doc)), pa.array(bound[item, doc])],
@@ -228,8 +232,10 @@ def bound_rows(index: DataFrame, queries: Queries, kind: str, most: int | None,
 
 
 def exact_scores(docs: DataFrame, wanted: DataFrame, queries: Queries, kind: str) -> DataFrame:
-    """(item, doc_id, score) of all rows with the wanted ids, from their whole texts."""
+    """(item, doc_id, score) of all rows with the wanted ids, from their whole texts. ``wanted`` is stored."""
     ids = wanted.groupBy(F.col("doc_id").alias("wanted_id")).agg(F.collect_set("item").alias("items"))
+    if wanted.count() <= MOST_SENT:  # as a rule; more of them are joined as Spark sees fit, which moves the texts
+        ids = F.broadcast(ids)
     rows = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("doc_id", "text", "items")
 
     def run(batches):
@@ -252,6 +258,7 @@ def search_block(docs: DataFrame, index: DataFrame, texts: list[str | None], top
     by_bound = W.partitionBy("item").orderBy(F.desc("bound"), "doc_id")
     best = (bound_rows(index, queries, kind, top, None).withColumn("at", F.row_number().over(by_bound))
             .filter(F.col("at") <= 2 * top).select("item", "doc_id"))
+    best = stored(best, "best-bounds")
     by_score = W.partitionBy("item").orderBy(F.desc("score"), "doc_id")
     first = exact_scores(docs, best, queries, kind).withColumn("rank", F.row_number().over(by_score))
     floors = [1] * len(texts)
