@@ -276,14 +276,28 @@ centres AS (SELECT label AS id, list(m ORDER BY i) AS centre FROM (
 """
 
 
+def label_means(rows):
+    parts = rows.select("label", F.posexplode("embedding").alias("i", "x"))
+    means = parts.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    return means.groupBy(F.col("label").alias("id")).agg(
+        F.array_sort(F.collect_list(F.struct("i", "m"))).getField("m").alias("centre"))
+
+
 @query("kmeans_assign", f"""
 WITH {CENTRES}
 SELECT vec_id, CAST(arg_min(id, d) AS BIGINT) AS segment FROM (
   SELECT vec_id, id, list_distance(embedding::DOUBLE[], centre) AS d FROM embeddings, centres) GROUP BY 1""")
 def _(spark, sf):
     rows = read_table(spark, sf, "embeddings")
-    parts = rows.select("label", F.posexplode("embedding").alias("i", "x"))
-    means = parts.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    centres = means.groupBy(F.col("label").alias("id")).agg(
-        F.array_sort(F.collect_list(F.struct("i", "m"))).getField("m").alias("centre"))
-    return L.kmeans_assign(rows, "embedding", centres).select("vec_id", "segment")
+    return L.kmeans_assign(rows, "embedding", label_means(rows)).select("vec_id", "segment")
+
+
+# A row without a vector has no segment.
+@query("kmeans_assign_null", f"""
+WITH {CENTRES}
+SELECT vec_id, CASE WHEN vec_id % 3 <> 0 THEN CAST(arg_min(id, d) AS BIGINT) END AS segment FROM (
+  SELECT vec_id, id, list_distance(embedding::DOUBLE[], centre) AS d FROM embeddings, centres) GROUP BY 1""")
+def _(spark, sf):
+    rows = read_table(spark, sf, "embeddings")
+    holed = rows.withColumn("embedding", F.when(F.col("vec_id") % 3 != 0, F.col("embedding")))
+    return L.kmeans_assign(holed, "embedding", label_means(rows)).select("vec_id", "segment")

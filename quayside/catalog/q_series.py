@@ -114,6 +114,21 @@ def _(spark, sf):
     return T.adf_stationarity(price_series(spark, sf), 0, fixed_lag=True).select("series", "statistic", "n")
 
 
+# Two regressors and a constant, by the sums of squares about the means.
+@query("adf_lag_one", f"""
+WITH {SERIES},
+d AS (SELECT series, ds, lag(y) OVER w AS x, y - lag(y) OVER w AS z FROM series WINDOW w AS (PARTITION BY series ORDER BY ds)),
+e AS (SELECT series, x, z, lag(z) OVER (PARTITION BY series ORDER BY ds) AS l FROM d),
+s AS (SELECT series, count(*) AS n, var_pop(x) * count(*) AS xx, var_pop(l) * count(*) AS ll, var_pop(z) * count(*) AS zz,
+  covar_pop(x, l) * count(*) AS xl, covar_pop(x, z) * count(*) AS xz, covar_pop(l, z) * count(*) AS lz
+  FROM e WHERE l IS NOT NULL GROUP BY 1),
+b AS (SELECT *, (xz * ll - lz * xl) / (xx * ll - xl * xl) AS bx, (lz * xx - xz * xl) / (xx * ll - xl * xl) AS bl FROM s)
+SELECT series, bx / sqrt((zz - bx * xz - bl * lz) / (n - 3) * ll / (xx * ll - xl * xl)) AS statistic, 1 AS lag, n
+FROM b""", {"statistic": 6})
+def _(spark, sf):
+    return T.adf_stationarity(price_series(spark, sf), 1, fixed_lag=True).select("series", "statistic", "lag", "n")
+
+
 @query("adf_stationarity")
 def _(spark, sf):
     return T.adf_stationarity(price_series(spark, sf))
@@ -167,6 +182,22 @@ def _(spark, sf):
     return T.fit_arima(price_series(spark, sf), (1, 0, 0))
 
 
+@query("fit_arima_ar_two", f"""
+WITH {SERIES},
+m AS (SELECT series, avg(y) AS mean FROM series GROUP BY 1),
+x AS (SELECT s.series, y - mean AS x, lag(y - mean, 1) OVER w AS a, lag(y - mean, 2) OVER w AS b
+  FROM series s JOIN m USING (series) WINDOW w AS (PARTITION BY s.series ORDER BY ds)),
+s AS (SELECT series, count(*) AS n, sum(x * x) AS xx, sum(a * a) AS aa, sum(b * b) AS bb, sum(a * b) AS ab,
+  sum(a * x) AS ax, sum(b * x) AS bx FROM x WHERE b IS NOT NULL GROUP BY 1),
+f AS (SELECT *, (ax * bb - bx * ab) / (aa * bb - ab * ab) AS one, (bx * aa - ax * ab) / (aa * bb - ab * ab) AS two FROM s),
+g AS (SELECT *, (xx - one * ax - two * bx) / n AS sigma2 FROM f)
+SELECT series, 'const' AS term, mean AS value FROM m UNION ALL SELECT series, 'ar.L1', one FROM g
+UNION ALL SELECT series, 'ar.L2', two FROM g UNION ALL SELECT series, 'sigma2', sigma2 FROM g
+UNION ALL SELECT series, 'aic', n * (ln(2 * pi() * sigma2) + 1) + 8 FROM g""", {"value": 6})
+def _(spark, sf):
+    return T.fit_arima(price_series(spark, sf), (2, 0, 0))
+
+
 @query("arima_grid_ar", f"""
 WITH {SERIES}, {AR1.format(rows="series")},
 sized AS (SELECT series, count(*) AS n, sum(x * x) / count(*) AS sigma2 FROM x WHERE x1 IS NOT NULL GROUP BY 1),

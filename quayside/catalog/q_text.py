@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from quayside.catalog.fixtures import STOP_WORDS, TOKENS, VOCAB
 from quayside.catalog.registry import query
 from quayside.operators import text as X
-from quayside.sources import read_table, spread
+from quayside.sources import read_table, spread, stored
 
 
 def tokens(spark, sf) -> DataFrame:
@@ -15,7 +15,7 @@ def tokens(spark, sf) -> DataFrame:
 
 
 def bow_of(spark, sf):
-    docs = tokens(spark, sf)
+    docs = stored(tokens(spark, sf).drop("text"), "tokens")  # read for the vocabulary and for the vectors
     vocab = X.build_vocabulary(docs, "tokens")
     return docs, vocab, X.bag_of_words(docs, "doc_id", "tokens", vocab)
 
@@ -104,6 +104,16 @@ weights AS (SELECT doc_id, id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_
 """
 
 
+# Rows without a text have no words and stay documents.
+@query("bag_of_words_null_text", f"""
+WITH {VOCAB.replace("FROM documents", "FROM (SELECT * REPLACE (CASE WHEN doc_id % 7 <> 0 THEN text END AS text) FROM documents)")}
+SELECT doc_id, id, term, tf FROM bow""")
+def _(spark, sf):
+    rows = read_table(spark, sf, "documents").withColumn("text", F.when(F.col("doc_id") % 7 != 0, F.col("text")))
+    docs = stored(X.tokenize(rows.select("doc_id", "text"), "text", STOP_WORDS), "tokens")
+    return X.bag_of_words(docs, "doc_id", "tokens", X.build_vocabulary(docs, "tokens"))
+
+
 @query("tfidf", f"WITH {VOCAB}, {TFIDF} SELECT * FROM weights", {"weight": 8})
 def _(spark, sf):
     docs = tokens(spark, sf)

@@ -189,5 +189,6 @@ def _(spark, sf):
 SELECT lang, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY 1""")
 def _(spark, sf):
     parts = P.split_back(read_table(spark, sf, "documents").select("doc_id", "lang"), "lang", LANGS)
+    other = parts.pop(None).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(lang).alias("lang"), "n") for lang, df in parts.items()]
-    return P.union_all(*counts)
+    return P.union_all(*counts).unionByName(other)

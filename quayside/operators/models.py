@@ -363,7 +363,7 @@ def kmeans_judge(df: DataFrame, features: str, centres: dict[int, np.ndarray]) -
 def kmeans_assign(df: DataFrame, features: str, centres: DataFrame, out: str = "segment") -> DataFrame:
     """Add the id of the nearest centre (the lowest id on a tie); ``centres`` has (id, centre array).
 
-    The centres are k rows; more than 10,000 are refused. The distances are one matrix product per batch.
+    A row whose array is null or has a null has no centre. The centres are k rows; more than 10,000 are refused. The distances are one matrix product per batch.
     """
     rows = centres.select("id", "centre").limit(10_001).collect()
     if len(rows) > 10_000:
@@ -374,8 +374,12 @@ def kmeans_assign(df: DataFrame, features: str, centres: DataFrame, out: str = "
 
     @F.pandas_udf(T.LongType())
     def nearest(col: pd.Series) -> pd.Series:
-        x = np.array(col.tolist(), dtype=float).reshape(len(col), -1)
+        known = col.notna().to_numpy()
+        x = np.array(col[known].tolist(), dtype=float).reshape(-1, points.shape[1])
         squares = (points * points).sum(axis=1)[None, :] - 2.0 * x @ points.T
-        return pd.Series(ids[np.argmin(squares, axis=1)])
+        found = pd.Series([None] * len(col), dtype="Int64")
+        found[known] = ids[np.argmin(squares, axis=1)]
+        return found
 
-    return df.withColumn(out, nearest(F.col(features)))
+    whole = F.col(features).isNotNull() & ~F.coalesce(F.exists(features, lambda v: v.isNull()), F.lit(False))
+    return df.withColumn(out, nearest(F.when(whole, F.col(features))))

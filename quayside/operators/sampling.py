@@ -86,5 +86,10 @@ def distinct_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def split_back(df: DataFrame, source_col: str, sources: list) -> dict:
-    """The parts of a stacked frame, by a column that says where a row came from."""
-    return {s: df.filter(F.col(source_col) == s).drop(source_col) for s in sources}
+    """The parts of a stacked frame, by a column that says where a row came from.
+
+    No row is lost: those of other kinds, or of none, are a part named None, which keeps the column.
+    """
+    listed = F.coalesce(F.col(source_col).isin(list(sources)), F.lit(False))
+    parts = {s: df.filter(F.col(source_col) == s).drop(source_col) for s in sources}
+    return {**parts, None: df.filter(~listed)}

@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -151,10 +151,10 @@ def token_counts(vocab: DataFrame, n: int = 50) -> DataFrame:
 
 
 def _vocabulary_rows(vocab: DataFrame) -> list:
-    """The terms, in id order, behind a size check."""
+    """The terms, in id order, behind a size check; there may be none."""
     rows = vocab.select("id", "term", "df").limit(MAX_TERMS + 1).collect()
-    if not 0 < len(rows) <= MAX_TERMS:
-        raise ValueError(f"a vocabulary must have 1 to {MAX_TERMS} terms")
+    if len(rows) > MAX_TERMS:
+        raise ValueError(f"a vocabulary has at most {MAX_TERMS} terms")
     return sorted(rows, key=lambda r: r.id)
 
 
@@ -168,7 +168,12 @@ def _long(vectors: DataFrame, doc: str, col: str, terms: list, out: str) -> Data
 
 
 def _count_vectors(df: DataFrame, tokens: str, terms: list, out: str) -> DataFrame:
-    return CountVectorizerModel.from_vocabulary([t.term for t in terms], tokens, out).transform(df)
+    """Add the counts of the terms; a row without words (a null text has none) has an empty vector."""
+    if not terms:
+        return df.withColumn(out, array_to_vector(F.array().cast("array<double>")))
+    held = F.filter(F.coalesce(tokens, F.array().cast("array<string>")), lambda t: t.isNotNull())
+    counter = CountVectorizerModel.from_vocabulary([t.term for t in terms], "_held", out)
+    return counter.transform(df.withColumn("_held", held)).drop("_held")
 
 
 def bag_of_words(df: DataFrame, doc: str, tokens: str, vocab: DataFrame) -> DataFrame:
@@ -179,6 +184,8 @@ def bag_of_words(df: DataFrame, doc: str, tokens: str, vocab: DataFrame) -> Data
 
 
 def _weigh(df: DataFrame, tokens: str, terms: list, out: str) -> DataFrame:
+    if not terms:
+        return _count_vectors(_count_vectors(df, tokens, terms, "_w"), tokens, terms, out)
     n = df.count()
     idf = Vectors.dense([math.log2(n / t.df) for t in terms])
     scale = ElementwiseProduct(scalingVec=idf, inputCol="_tf", outputCol="_w")

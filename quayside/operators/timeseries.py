@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from quayside.functions.distributions import f_tail, normal_cdf
 from quayside.operators.joins import asof_calendar
+from quayside.operators.lag_sums import gram_sums, lagged, lags, per_series, solved, square
 from quayside.operators.windows import centered_moving_average, forward_fill, require_date
 from quayside.plans.blocks import row_rank
 
@@ -170,73 +171,77 @@ def _adf_p(stat: float) -> float:
     return normal_cdf(sum(c * stat ** i for i, c in enumerate(surface)))
 
 
-def _ols(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
-    """Coefficients, sum of squared residuals, inverse of X'X."""
-    inverse = np.linalg.pinv(x.T @ x)
-    beta = np.linalg.lstsq(x, y, rcond=None)[0]
-    e = y - x @ beta
-    return beta, float(e @ e), inverse
-
-
-def _lags(y: np.ndarray, first: int, last: int, start: int) -> np.ndarray:
-    """Columns y[t-first] … y[t-last] for t = start … end."""
-    return np.column_stack([y[start - k:len(y) - k] for k in range(first, last + 1)]) if last >= first \
-        else np.empty((len(y) - start, 0))
-
-
-def _adf(y: np.ndarray, max_lag: int | None, fixed: bool) -> tuple[float, int, int] | None:
-    """Statistic, lag, number of rows; None for a series that is too short or constant."""
-    d = np.diff(y)
+def _adf_lags(n: int, max_lag: int | None) -> int | None:
+    """The most lags of a series of n values; None if it is too short for them."""
     if max_lag is None:
-        max_lag = max(0, min(math.ceil(12.0 * (len(y) / 100.0) ** 0.25), len(y) // 2 - 2))
+        max_lag = max(0, min(math.ceil(12.0 * (n / 100.0) ** 0.25), n // 2 - 2))
+    return max_lag if n - 1 - max_lag > max_lag + 2 else None
 
-    def design(lag, start):
-        target = d[start:]
-        level = y[start:-1]
-        return np.column_stack([level, _lags(d, 1, lag, start), np.ones(len(target))]), target
 
-    if len(d) - max_lag <= max_lag + 2:
-        return None
-    best = max_lag
+def _adf(grams: dict[int, np.ndarray], most: int, fixed: bool) -> tuple[float, int, int] | None:
+    """Statistic, lag, number of rows, from the sums for each number of lags; None for a constant series."""
+    best = most
     if not fixed:
-        scores = []
-        x, target = design(max_lag, max_lag)  # one sample for all, so that the scores compare
-        n = len(target)
-        for lag in range(max_lag + 1):
-            used = np.column_stack([x[:, :1 + lag], x[:, -1:]])
-            _, ssr, _ = _ols(used, target)
-            scores.append(n * math.log(max(ssr, 1e-300) / n) + 2 * used.shape[1])
+        gram = grams[most]  # one sample for all, so that the scores compare
+        n, scores = round(gram[most + 1, most + 1]), []
+        for lag in range(most + 1):
+            used = [*range(lag + 1), most + 1]
+            scores.append(n * math.log(max(solved(gram, used)[1], 1e-300) / n) + 2 * len(used))
         best = int(np.argmin(scores))
-    x, target = design(best, best)
-    beta, ssr, inverse = _ols(x, target)
-    n, k = x.shape
+    gram = grams[best]
+    n, k = round(gram[best + 1, best + 1]), best + 2
+    beta, ssr, inverse = solved(gram, list(range(k)))
     variance = ssr / (n - k) * inverse[0, 0]
-    return (float(beta[0] / math.sqrt(variance)), best, n) if variance > 0 else None
+    flat = ssr <= 1e-24 * max(1.0, gram[0, 0])
+    return (float(beta[0] / math.sqrt(variance)), best, n) if variance > 0 and not flat else None
 
 
 def adf_stationarity(df: DataFrame, max_lag: int | None = None, fixed_lag: bool = False) -> DataFrame:
     """Augmented Dickey-Fuller test with a constant, per series; the lag is the one with the best AIC.
 
     ``fixed_lag`` uses ``max_lag`` itself. ``stationary`` is the decision at 5 %. A series that is too short for the
-    lags, or constant, has a row of nulls.
+    lags, or constant, has a row of nulls. The regressions of all lags are solved from sums over lagged columns.
     """
-    limits = list(ADF_CRITICAL)
+    names = list(ADF_CRITICAL)
+    # A series has at most as many days as the calendar has dates, which bounds the lags that its length allows.
+    rows = lagged(daily(df), 1 + (max_lag if max_lag is not None else _adf_lags(DATES, None)), [0], lambda d: True)
+
+    def design(part: pd.DataFrame, past: np.ndarray):
+        most = _adf_lags(int(part["n"].iloc[0]), max_lag)
+        if most is None:
+            return
+        i, x = part["i"].to_numpy(), part["x"].to_numpy()
+        for lag in [most] if fixed_lag else range(most + 1):
+            here = i > lag
+            level = lags(past[here], 1, lag + 1)
+            z = np.column_stack([level[:, 0], level[:, :-1] - level[:, 1:], np.ones(here.sum()), x[here] - level[:, 0]])
+            yield lag, z
 
-    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = _adf(_values(pdf), max_lag, fixed_lag)
+    def test(pdf: pd.DataFrame) -> pd.DataFrame:
+        grams = {u: square(g) for u, g in zip(pdf["unit"], pdf["gram"]) if u >= 0}
+        out = {"series": [pdf["series"].iloc[0]]}
+        found = _adf(grams, max(grams), fixed_lag) if grams else None
         if found is None:
-            return pd.DataFrame({"series": [pdf["series"].iloc[0]]}).reindex(
-                columns=["series", "statistic", "lag", "n", "p_value", *limits, "stationary"]).astype(
+            return pd.DataFrame(out).reindex(
+                columns=["series", "statistic", "lag", "n", "p_value", *names, "stationary"]).astype(
                 {"lag": object, "n": object, "stationary": object})
         stat, lag, n = found
         p = _adf_p(stat)
         critical = {name: [sum(c / n ** i for i, c in enumerate(b))] for name, b in ADF_CRITICAL.items()}
-        return pd.DataFrame({"series": [pdf["series"].iloc[0]], "statistic": [stat], "lag": [lag], "n": [n],
-                             "p_value": [p], **critical, "stationary": [p < 0.05]})
+        return pd.DataFrame({**out, "statistic": [stat], "lag": [lag], "n": [n], "p_value": [p], **critical,
+                             "stationary": [p < 0.05]})
+
+    kind = rows.schema["series"].dataType.simpleString()
+    return _with_every_series(rows, gram_sums(rows, design)).groupBy("series").applyInPandas(
+        test, f"series {kind}, statistic double, lag int, n bigint, p_value double, "
+              "crit_1 double, crit_5 double, crit_10 double, stationary boolean")
 
-    return daily(df).groupBy("series").applyInPandas(
-        per_series, "series string, statistic double, lag int, n bigint, p_value double, "
-                    "crit_1 double, crit_5 double, crit_10 double, stationary boolean")
+
+def _with_every_series(rows: DataFrame, grams: DataFrame) -> DataFrame:
+    """The sums and, for each series, a row with unit -1, so that one without sums is there too."""
+    every = rows.select("series").distinct().select(
+        "series", F.lit(-1).alias("unit"), F.array().cast("array<double>").alias("gram"))
+    return grams.select("series", "unit", "gram").unionByName(every)
 
 
 def granger_causality(df: DataFrame, cause: str, effect: str, max_lag: int, ds: str = "ds") -> DataFrame:
@@ -292,85 +297,163 @@ def granger_causality(df: DataFrame, cause: str, effect: str, max_lag: int, ds:
 
 # --- ARIMA ---------------------------------------------------------------------------------------------
 
+Order = tuple[int, int, int]
+
 
-def _arima_start(n: int, order: tuple[int, int, int]) -> tuple[int, int] | None:
-    """Lags of the long autoregression, and the first day of ``n`` that all lags reach; None if too few are left."""
+def _long(m: int, order: Order) -> int:
+    """Lags of the long autoregression on a differenced series of m values."""
+    p, _, q = order
+    return min(max(p + q, int(10 * math.log10(m))), m // 4) if q and m > 0 else 0
+
+
+def _arima_start(n: int, order: Order) -> int | None:
+    """The first of ``n`` days that all lags reach; None if too few are left."""
     p, d, q = order
-    m = n - d
-    if m < 1:
-        return None
-    long = min(max(p + q, int(10 * math.log10(m))), m // 4) if q else 0
+    m, long = n - d, _long(n - d, order)
     start = max(p, long + q)
-    return (long, start + d) if m - start > p + q and (long or not q) else None
+    return start + d if m - start > p + q and (long or not q) else None
 
 
-def _arima(y: np.ndarray, order: tuple[int, int, int], first: int | None = None) -> dict | None:
-    """Two regressions (Hannan-Rissanen): a long autoregression gives the shocks, then y is regressed on its
-    own lags and on lagged shocks, from day ``first`` on. None for a series that is too short."""
-    p, d, q = order
-    reach = _arima_start(len(y), order)
-    first = reach[1] if reach and first is None else first
-    if reach is None or len(y) - first <= p + q:
-        return None
-    w = np.diff(y, n=d) if d else y
-    mean = float(w.mean()) if d == 0 else 0.0
-    x = w - mean
-    long, start = reach[0], first - d
-    shocks = np.zeros(len(x))
-    if q:
-        past = _lags(x, 1, long, long)
-        beta, _, _ = _ols(past, x[long:])
-        shocks[long:] = x[long:] - past @ beta
-    inputs = np.column_stack([_lags(x, 1, p, start), _lags(shocks, 1, q, start)])
-    target = x[start:]
-    beta = _ols(inputs, target)[0] if p + q else np.zeros(0)
-    resid = target - inputs @ beta if p + q else target
-    n = len(resid)
-    sigma2 = max(float(resid @ resid) / n, 1e-300)
-    k = p + q + 1 + (d == 0)
-    shocks[start:] = resid
-    return {"mean": mean, "ar": beta[:p], "ma": beta[p:], "sigma2": sigma2, "w": w, "x": x, "shocks": shocks,
-            "n": n, "aic": n * (math.log(2 * math.pi * sigma2) + 1) + 2 * k}
-
-
-def fit_arima(df: DataFrame, order: tuple[int, int, int]) -> DataFrame:
-    """(series, term, value): const, ar.L*, ma.L*, sigma2, aic; null values for a series that is too short."""
+def _first(n: int, orders: list[Order]) -> int | None:
+    """The first day that the lags of all orders reach; orders that the series is too short for don't count."""
+    return max((x for x in (_arima_start(n, o) for o in orders) if x is not None), default=None)
+
+
+def _shock_columns(past: np.ndarray, beta: np.ndarray, count: int) -> np.ndarray:
+    """What the long autoregression left over on the ``count`` days before each row."""
+    long = len(beta)
+    return np.column_stack([lags(past, j, j)[:, 0] - lags(past, j + 1, j + long) @ beta for j in range(1, count + 1)]
+                           ) if count else np.empty((len(past), 0))
+
+
+def _inputs(past: np.ndarray, order: Order, betas: dict) -> np.ndarray:
     p, d, q = order
-    unknown = {"mean": np.nan, "ar": [np.nan] * p, "ma": [np.nan] * q, "sigma2": np.nan, "aic": np.nan}
+    return np.column_stack([lags(past, 1, p), _shock_columns(past, betas, q)])
 
-    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = _arima(_values(pdf), order) or unknown
-        terms = {"const": m["mean"]} if order[1] == 0 else {}
-        terms |= {f"ar.L{i + 1}": v for i, v in enumerate(m["ar"])}
-        terms |= {f"ma.L{i + 1}": v for i, v in enumerate(m["ma"])}
-        terms |= {"sigma2": m["sigma2"], "aic": m["aic"]}
-        return pd.DataFrame({"series": pdf["series"].iloc[0], "term": list(terms),
-                             "value": [float(v) for v in terms.values()]})
 
-    return daily(df).groupBy("series").applyInPandas(per_series, "series string, term string, value double")
+def _arima_rows(days: DataFrame, orders: list[Order]) -> tuple[DataFrame, DataFrame]:
+    """Lagged rows with the coefficients of the long autoregressions of their series, by length; and these rows alone."""
+    longest = max(_long(DATES, o) + o[2] for o in orders)
+    keep = max(longest, *(o[0] for o in orders))
+    rows = lagged(days, keep, sorted({d for _, d, _ in orders}), lambda d: d == 0)
 
+    def design(part: pd.DataFrame, past: np.ndarray):
+        m, d = int(part["n"].iloc[0]), int(part["d"].iloc[0])
+        i, x = part["i"].to_numpy(), part["x"].to_numpy()
+        for long in {_long(m, o) for o in orders if o[1] == d and o[2]} - {0}:
+            here = i >= long
+            yield d * LONGEST + long, np.column_stack([lags(past[here], 1, long), x[here]])
 
-def _forecast(y: np.ndarray, order: tuple[int, int, int], steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and standard error for each step after the end of y."""
+    @F.pandas_udf("array<double>")
+    def coefficients(grams: pd.Series) -> pd.Series:
+        return pd.Series([solved(g := square(v), list(range(len(g) - 1)))[0].tolist() for v in grams])
+
+    betas = gram_sums(rows, design).groupBy("series").agg(
+        F.collect_list(F.struct("unit", coefficients("gram").alias("beta"))).alias("betas")
+    ) if any(q for *_, q in orders) else None
+    if betas is None:
+        return rows.withColumn("betas", F.lit(None).cast("array<struct<unit:int,beta:array<double>>>")), rows
+    matched = betas.withColumnRenamed("series", "_s")
+    return rows.join(matched, F.col("series").eqNullSafe(F.col("_s")), "left").drop("_s"), rows
+
+
+LONGEST = 1000  # more than the lags of any long autoregression
+DATES = 3_652_059  # days from year 1 to year 9999
+
+
+def _beta(betas, d: int, long: int) -> np.ndarray | None:
+    """The long autoregression's coefficients among those that come with a row."""
+    if not long:
+        return np.zeros(0)
+    held = [] if betas is None else betas
+    return next((np.asarray(b["beta"], float) for b in held if b["unit"] == d * LONGEST + long), None)
+
+
+def _arima_fits(df: DataFrame, orders: list[Order]) -> tuple[DataFrame, DataFrame]:
+    """Two regressions (Hannan-Rissanen) per series and order, both from sums: a long autoregression gives the shocks,
+    then the series is regressed on its own lags and on lagged shocks. All orders are fitted to the same days.
+
+    (series, unit, mean, ar, ma, sigma2, n, aic), ``unit`` being the place of the order; nulls for a series that is too
+    short. And the rows that the fits are of.
+    """
+    rows, plain = _arima_rows(daily(df), orders)
+
+    def design(part: pd.DataFrame, past: np.ndarray):
+        d, m = int(part["d"].iloc[0]), int(part["n"].iloc[0])
+        first = _first(m + d, orders)
+        i, x = part["i"].to_numpy(), part["x"].to_numpy()
+        for unit, order in enumerate(orders):
+            p, _, q = order
+            beta = _beta(part["betas"].iloc[0], d, _long(m, order))
+            if order[1] != d or _arima_start(m + d, order) is None or beta is None or m + d - first <= p + q:
+                continue
+            here = i >= first - d
+            # The last but one column carries the mean and counts the rows.
+            z = np.column_stack([_inputs(past[here], order, beta), np.ones(here.sum()), x[here]])
+            yield unit, z
+
+    kind = rows.schema["series"].dataType.simpleString()
+    mean = plain.filter("d = 0").groupBy("series").agg(F.first("mean").alias("mean"))
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        grams, out = {u: square(g) for u, g in zip(pdf["unit"], pdf["gram"]) if u >= 0}, []
+        for unit, (p, d, q) in enumerate(orders):
+            if unit not in grams:
+                out.append((unit, [], [], None, None, None))
+                continue
+            gram = grams[unit]
+            n = round(gram[p + q, p + q])
+            beta, ssr, _ = solved(gram, list(range(p + q)))
+            sigma2 = max(ssr / n, 1e-300)
+            aic = n * (math.log(2 * math.pi * sigma2) + 1) + 2 * (p + q + 1 + (d == 0))
+            out.append((unit, beta[:p].tolist(), beta[p:].tolist(), sigma2, n, aic))
+        table = pd.DataFrame(out, columns=["unit", "ar", "ma", "sigma2", "n", "aic"])
+        table["n"] = table["n"].astype("Int64")
+        table.insert(0, "series", pdf["series"].iloc[0])
+        return table
+
+    # A series of which differencing leaves nothing is there with nulls, too.
+    every = _with_every_series(daily(df).filter(F.nanvl("y", F.lit(None)).isNotNull()), gram_sums(rows, design))
+    fits = every.groupBy("series").applyInPandas(
+        fit, f"series {kind}, unit int, ar array<double>, ma array<double>, sigma2 double, n bigint, aic double")
+    matched = mean.withColumnRenamed("series", "_s")
+    fits = fits.join(matched, F.col("series").eqNullSafe(F.col("_s")), "left").drop("_s")
+    of_order = F.array(*[F.lit(d == 0) for _, d, _ in orders])[F.col("unit")]
+    return fits.withColumn("mean", F.when(F.col("n").isNotNull(), F.when(of_order, F.col("mean")).otherwise(0.0))), rows
+
+
+def fit_arima(df: DataFrame, order: Order) -> DataFrame:
+    """(series, term, value): const, ar.L*, ma.L*, sigma2, aic; null values for a series that is too short."""
     p, d, q = order
-    m = _arima(y, order)
-    x, shocks = list(m["x"][-p:]) if p else [], list(m["shocks"][-q:]) if q else []
+    fits, _ = _arima_fits(df, [order])
+    terms = [("const", F.col("mean"))] if d == 0 else []
+    terms += [(f"ar.L{i + 1}", F.get("ar", F.lit(i))) for i in range(p)]
+    terms += [(f"ma.L{i + 1}", F.get("ma", F.lit(i))) for i in range(q)]
+    terms += [("sigma2", F.col("sigma2")), ("aic", F.col("aic"))]
+    return fits.select("series", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("term"), value.alias("value")) for name, value in terms])))
+
+
+def _forecast(fit, x: list[float], shocks: list[float], ends: list[float], d: int, steps: int
+              ) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard error for each step after the end, from a fit, the last values and shocks, and the last value
+    of the series and of each of its differences."""
+    ar, ma, q = list(fit.ar), list(fit.ma), len(fit.ma)
     mean = np.empty(steps)
     for h in range(steps):
-        value = sum(c * x[-1 - i] for i, c in enumerate(m["ar"]))
-        value += sum(c * shocks[-1 - i] for i, c in enumerate(m["ma"]))
-        mean[h] = value + m["mean"]
+        value = sum(c * x[-1 - i] for i, c in enumerate(ar))
+        value += sum(c * shocks[-1 - i] for i, c in enumerate(ma))
+        mean[h] = value + fit.mean
         x.append(value)
         shocks.append(0.0)
     psi = np.zeros(steps)
-    psi[0] = 1.0
+    psi[:1] = 1.0
     for h in range(1, steps):
-        psi[h] = sum(c * psi[h - 1 - i] for i, c in enumerate(m["ar"]) if h - 1 - i >= 0)
-        psi[h] += m["ma"][h - 1] if h <= q else 0.0
-    for back in range(d):
-        last = np.diff(y, n=d - 1 - back)[-1] if d - 1 - back else y[-1]
-        mean, psi = last + np.cumsum(mean), np.cumsum(psi)
-    return mean, np.sqrt(m["sigma2"] * np.cumsum(psi * psi))
+        psi[h] = sum(c * psi[h - 1 - i] for i, c in enumerate(ar) if h - 1 - i >= 0)
+        psi[h] += ma[h - 1] if h <= q else 0.0
+    for back in reversed(range(d)):
+        mean, psi = ends[back] + np.cumsum(mean), np.cumsum(psi)
+    return mean, np.sqrt(fit.sigma2 * np.cumsum(psi * psi))
 
 
 def _normal_quantile(level: float) -> float:
@@ -382,44 +465,68 @@ def _normal_quantile(level: float) -> float:
     return (lo + hi) / 2
 
 
-def forecast_arima(train: DataFrame, test: DataFrame, order: tuple[int, int, int], level: float = 0.95
-                   ) -> DataFrame:
-    """(series, ds, mean, lower, upper, actual), one row per test day; only ``train`` is used for the fit."""
-    z = _normal_quantile(level)
-    both = daily(train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True))),
-                 "is_test")
+def forecast_arima(train: DataFrame, test: DataFrame, order: Order, level: float = 0.95) -> DataFrame:
+    """(series, ds, mean, lower, upper, actual), one row per test day; only ``train`` is used for the fit.
 
-    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ds")
-        past, ahead = pdf[~pdf["is_test"]], pdf[pdf["is_test"]]
-        mean, se = np.full(len(ahead), np.nan), np.full(len(ahead), np.nan)
-        known = _values(past)
-        if len(ahead) and _arima_start(len(known), order):
-            mean, se = _forecast(known, order, len(ahead))
-        return pd.DataFrame({"series": ahead["series"], "ds": ahead["ds"], "mean": mean, "lower": mean - z * se,
-                             "upper": mean + z * se, "actual": ahead["y"]})
+    The state that a forecast goes on from, the last values and shocks, comes from the last rows of the train part.
+    """
+    z, (p, d, q) = _normal_quantile(level), order
+    fits, rows = _arima_fits(train, [order])
+    kind = rows.schema["series"].dataType.simpleString()
+    matched = fits.select(F.col("series").alias("_s"), "ar", "ma", "sigma2", F.col("mean").alias("fit_mean"), "aic")
+    last = rows.filter((F.col("d") == d) & (F.col("n") - F.col("i") <= max(1, p, q))).drop("mean").join(
+        matched, F.col("series").eqNullSafe(F.col("_s"))).filter(F.col("aic").isNotNull())
+
+    def left_over(batches):
+        for pdf in batches:
+            for series, _, part, past in per_series(pdf):
+                one = part.iloc[0]
+                beta = _beta(one["betas"], d, _long(int(one["n"]), order))
+                columns = _inputs(past, order, beta)
+                yield pd.DataFrame({"series": series, "i": part["i"], "x": part["x"],
+                                    "e": part["x"].to_numpy() - columns @ np.array([*one["ar"], *one["ma"]], float),
+                                    }).astype({"series": object})
+
+    tail = last.mapInPandas(left_over, f"series {kind}, i int, x double, e double").groupBy("series").agg(
+        F.array_sort(F.collect_list(F.struct("i", "x", "e"))).alias("tail"))
+    ends = None
+    for k in range(d):  # the last value of the series and of its differences before the last
+        step = lagged(daily(train), 0, [k], lambda _: False).groupBy(F.col("series").alias("_e")).agg(
+            F.max_by("y", "i").alias(f"end_{k}"))
+        ends = step if ends is None else ends.join(
+            step.withColumnRenamed("_e", f"_e{k}"), F.col("_e").eqNullSafe(F.col(f"_e{k}"))).drop(f"_e{k}")
+    order_ = W.partitionBy("series").orderBy("ds")
+    ahead = daily(test).withColumn("h", F.row_number().over(order_))
+    known = (ahead.groupBy("series").agg(F.max("h").alias("steps"))
+             .join(tail.withColumnRenamed("series", "_t"), F.col("series").eqNullSafe(F.col("_t"))).drop("_t")
+             .join(matched.withColumnRenamed("fit_mean", "mean"), F.col("series").eqNullSafe(F.col("_s"))).drop("_s"))
+    if ends is not None:
+        known = known.join(ends, F.col("series").eqNullSafe(F.col("_e"))).drop("_e")
+
+    def go_on(batches):
+        for pdf in batches:
+            for one in pdf.itertuples():
+                state = [(t["x"], t["e"]) for t in one.tail]
+                mean, se = _forecast(one, [x for x, _ in state], [e for _, e in state],
+                                     [getattr(one, f"end_{k}") for k in range(d)], d, int(one.steps))
+                yield pd.DataFrame({"series": one.series, "h": np.arange(1, len(mean) + 1), "mean": mean,
+                                    "lower": mean - z * se, "upper": mean + z * se}).astype({"series": object})
 
-    return both.groupBy("series").applyInPandas(
-        per_series, "series string, ds date, mean double, lower double, upper double, actual double")
+    ahead_of = known.mapInPandas(go_on, f"series {kind}, h int, mean double, lower double, upper double")
+    found = ahead_of.withColumnsRenamed({"series": "_s", "h": "_h"})
+    return ahead.join(found, F.col("series").eqNullSafe(F.col("_s")) & (F.col("h") == F.col("_h")), "left").select(
+        "series", "ds", "mean", "lower", "upper", F.col("y").alias("actual"))
 
 
 def arima_grid(df: DataFrame, p, d, q) -> DataFrame:
-    """(series, p, d, q, aic, best) for every order of the product. A series is shuffled once for all.
+    """(series, p, d, q, aic, best) for every order of the product; all orders share the passes over the rows.
 
     All orders are fitted to the same days, those that the longest lags reach; scores of different days don't compare.
     An order that the series is too short for has no score.
     """
     orders = [(a, b, c) for a in p for b in d for c in q]
-
-    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = _values(pdf)
-        out = pd.DataFrame(orders, columns=["p", "d", "q"])
-        reached = [reach[1] for reach in (_arima_start(len(y), order) for order in orders) if reach]
-        fits = [_arima(y, order, max(reached)) if reached else None for order in orders]
-        out["aic"] = [m["aic"] if m else np.nan for m in fits]
-        out.insert(0, "series", pdf["series"].iloc[0])
-        out["best"] = out["aic"] == out["aic"].min()
-        return out
-
-    return daily(df).groupBy("series").applyInPandas(
-        per_series, "series string, p int, d int, q int, aic double, best boolean")
+    fits, _ = _arima_fits(df, orders)
+    table = df.sparkSession.createDataFrame([(i, *o) for i, o in enumerate(orders)], "unit int, p int, d int, q int")
+    least = F.min("aic").over(W.partitionBy("series"))  # over one row per order
+    return (fits.join(F.broadcast(table), "unit").withColumn("best", F.coalesce(F.col("aic") == least, F.lit(False)))
+            .select("series", "p", "d", "q", "aic", "best"))

@@ -289,3 +289,10 @@ def test_out_of_bag_score(rows):
     few = L.forest_oob_rows(noisy.withColumn("y", F.when(F.col("id") > 9, F.col("y"))), NAMES, "y", "id", 1, max_depth=2)
     some = few.collect()
     assert len(some) == 230 and {r.votes for r in some} == {0, 1} and all((r.score is None) == (not r.votes) for r in some)
+
+
+def test_rows_without_a_vector_have_no_centre(spark):
+    df = spark.createDataFrame([(0, [0.0, 1.0]), (1, None), (2, [9.0, None]), (3, [9.0, 9.0])], "id long, v array<double>")
+    centres = spark.createDataFrame([(7, [0.0, 0.0]), (4, [9.0, 9.0])], "id int, centre array<double>")
+    got = {r.id: r.segment for r in L.kmeans_assign(df, "v", centres).collect()}
+    assert got == {0: 7, 1: None, 2: None, 3: 4}

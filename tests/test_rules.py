@@ -194,3 +194,11 @@ def test_spread_leaves_large_tables_alone(spark):
     many = spark.range(0, 100, 1, 50)
     assert sources.spread(many) is many
     assert sources.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() > 1
+
+
+def test_split_back_loses_no_row(spark):
+    from quayside.operators import sampling as P
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "z")], "id int, kind string")
+    parts = P.split_back(df, "kind", ["a"])
+    assert [tuple(r) for r in parts["a"].collect()] == [(1,)]
+    assert sorted(tuple(r) for r in parts[None].collect()) == [(2, None), (3, "z")]

@@ -79,9 +79,9 @@ def test_granger_is_that_of_two_regressions(spark):
     got = {r.lag: r for r in T.granger_causality(df, "x", "y", 4).collect()}
     assert sorted(got) == [1, 2, 3, 4]
     for lag, r in got.items():
-        own = np.column_stack([np.ones(60 - lag), T._lags(y, 1, lag, lag)])
-        both = np.column_stack([own, T._lags(x, 1, lag, lag)])
-        less, full = (T._ols(z, y[lag:])[1] for z in (own, both))
+        own = np.column_stack([np.ones(60 - lag), lags_of(y, 1, lag, lag)])
+        both = np.column_stack([own, lags_of(x, 1, lag, lag)])
+        less, full = (ols(z, y[lag:])[1] for z in (own, both))
         rest = 60 - lag - both.shape[1]
         assert (r.df_num, r.df_den) == (lag, rest)
         assert r.f == pytest.approx((less - full) / lag / (full / rest), rel=1e-7)
@@ -104,10 +104,94 @@ def test_short_and_constant_series_have_nulls(spark):
     assert sum(r.best for r in grid if r.series == "long") == 1
 
 
-def test_orders_are_scored_on_the_same_days():
-    y = np.random.default_rng(7).normal(size=120)
-    fits = [T._arima(y, (1, 0, q), 40) for q in range(1, 10)]
-    assert {m["n"] for m in fits} == {80}
+def lags_of(y, first, last, start):
+    """Columns y[t - first] … y[t - last] for t = start … end."""
+    return np.column_stack([np.zeros((len(y) - start, 0)), *[y[start - k:len(y) - k] for k in range(first, last + 1)]])
+
+
+def ols(x, y):
+    beta = np.linalg.lstsq(x, y, rcond=None)[0] if x.shape[1] else np.zeros(0)
+    return beta, float(((y - x @ beta) ** 2).sum())
+
+
+def adf_by_hand(y, most, fixed):
+    d = np.diff(y)
+
+    def design(lag, start):
+        return np.column_stack([y[start:-1], lags_of(d, 1, lag, start), np.ones(len(d) - start)]), d[start:]
+
+    def score(lag):
+        x, target = design(most, most)
+        x = np.column_stack([x[:, :1 + lag], x[:, -1:]])
+        return len(x) * math.log(ols(x, target)[1] / len(x)) + 2 * x.shape[1]
+
+    best = most if fixed else min(range(most + 1), key=score)
+    x, target = design(best, best)
+    beta, ssr = ols(x, target)
+    return beta[0] / math.sqrt(ssr / (len(x) - x.shape[1]) * np.linalg.inv(x.T @ x)[0, 0]), best, len(x)
+
+
+def arima_by_hand(y, order, first):
+    p, d, q = order
+    w = np.diff(y, n=d) if d else y
+    x = w - (w.mean() if d == 0 else 0.0)
+    long, start = min(max(p + q, int(10 * math.log10(len(x)))), len(x) // 4) if q else 0, first - d
+    shocks = np.zeros(len(x))
+    if q:
+        past = lags_of(x, 1, long, long)
+        shocks[long:] = x[long:] - past @ ols(past, x[long:])[0]
+    inputs = np.column_stack([lags_of(x, 1, p, start), lags_of(shocks, 1, q, start)])
+    beta, ssr = ols(inputs, x[start:])
+    n = len(x) - start
+    return beta, ssr / n, n * (math.log(2 * math.pi * ssr / n) + 1) + 2 * (p + q + 1 + (d == 0)), n
+
+
+def odd_series(spark):
+    """Two series with several rows a day, missing values, and one without a name."""
+    rng = np.random.default_rng(12)
+    values = {"a": rng.normal(size=150).cumsum(), None: 50 + rng.normal(size=90), "b": rng.normal(size=200)}
+    rows = [(name, dt.date(2020, 1, 1) + dt.timedelta(i), float(v) + e) for name, y in values.items()
+            for i, v in enumerate(y) for e in (-0.5, 0.5)]
+    rows += [("a", dt.date(2030, 1, 1), None), ("b", dt.date(2030, 1, 1), float("nan"))]
+    return spark.createDataFrame(rows, "series string, ds date, y double").repartition(7), values
+
+
+@pytest.mark.parametrize("most,fixed", [(0, True), (4, True), (6, False), (None, False)])
+def test_unit_root_is_that_of_whole_regressions(spark, most, fixed):
+    df, values = odd_series(spark)
+    got = {r.series: r for r in T.adf_stationarity(df, most, fixed).collect()}
+    assert set(got) == set(values)
+    for name, y in values.items():
+        lags = most if most is not None else math.ceil(12 * (len(y) / 100) ** 0.25)
+        statistic, lag, n = adf_by_hand(y, lags, fixed)
+        assert (got[name].lag, got[name].n) == (lag, n)
+        assert got[name].statistic == pytest.approx(statistic, rel=1e-8)
+
+
+def test_orders_are_those_of_whole_regressions_on_the_same_days(spark):
+    df, values = odd_series(spark)
+    orders = [(p, d, q) for p in (0, 2) for d in (0, 1) for q in (0, 1, 3)]
+    grid = {(r.series, r.p, r.d, r.q): r for r in T.arima_grid(df, [0, 2], [0, 1], [0, 1, 3]).collect()}
+    assert len(grid) == 36
+    for name, y in values.items():
+        first = max(max(p, long + q) + d for p, d, q in orders
+                    for long in [min(max(p + q, int(10 * math.log10(len(y) - d))), (len(y) - d) // 4) if q else 0])
+        fits = {o: arima_by_hand(y, o, first) for o in orders}
+        assert {n for *_, n in fits.values()} == {len(y) - first}
+        for o, (_, _, aic, _) in fits.items():
+            assert grid[(name, *o)].aic == pytest.approx(aic, rel=1e-9)
+        best = min(fits, key=lambda o: fits[o][2])
+        assert [o for o in orders if grid[(name, *o)].best] == [best]
+    for order in [(2, 1, 3), (0, 0, 1), (1, 2, 0)]:
+        got = {(r.series, r.term): r.value for r in T.fit_arima(df, order).collect()}
+        for name, y in values.items():
+            p, d, q = order
+            m = len(y) - d
+            long = min(max(p + q, int(10 * math.log10(m))), m // 4) if q else 0
+            beta, sigma2, aic, _ = arima_by_hand(y, order, max(p, long + q) + d)
+            names = [*[f"ar.L{i + 1}" for i in range(p)], *[f"ma.L{i + 1}" for i in range(q)]]
+            assert [got[name, t] for t in names] == pytest.approx(beta.tolist(), rel=1e-7, abs=1e-9)
+            assert (got[name, "sigma2"], got[name, "aic"]) == pytest.approx((sigma2, aic), rel=1e-9)
 
 
 def test_arima_finds_the_parameters(spark):

@@ -100,3 +100,16 @@ def test_topics(spark):
     assert set(best) == {"x", "y"} and best["x"] != best["y"]
     by = X.topics_by_sentiment(model, vectors, "grp", "good").groupBy("grp", "good").agg(F.sum("weight").alias("w"))
     assert [r.w for r in by.collect()] == [pytest.approx(1.0)] * 4
+
+
+def test_rows_without_words_have_empty_vectors(spark):
+    df = spark.createDataFrame([(0, ["a", "b", "a"]), (1, None), (2, []), (3, [None, "b"])], "doc long, tokens array<string>")
+    vocab = X.build_vocabulary(df, "tokens", no_below=1, no_above=1.0)
+    assert sorted(tuple(r) for r in X.bag_of_words(df, "doc", "tokens", vocab).select("doc", "term", "tf").collect()) == [
+        (0, "a", 2), (0, "b", 1), (3, "b", 1)]
+    assert {r.doc for r in X.tfidf(df, "doc", "tokens", vocab).collect()} == {0, 3}
+    assert X.tfidf_vectors(df, "tokens", vocab).count() == 4
+    none = X.build_vocabulary(df, "tokens", no_below=9)
+    assert none.count() == 0
+    assert X.bag_of_words(df, "doc", "tokens", none).count() == X.tfidf(df, "doc", "tokens", none).count() == 0
+    assert [r.features.size for r in X.tfidf_vectors(df, "tokens", none).collect()] == [0] * 4
