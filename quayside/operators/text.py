@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -25,6 +26,7 @@ from quayside.plans.levels import fetch_small
 from quayside.sources import stored
 
 MAX_TERMS = 1_000_000
+MAX_PHRASES = 200_000  # that are sent to the tasks
 
 
 def _words(min_len: int) -> str:
@@ -84,12 +86,47 @@ def find_phrases(df: DataFrame, tokens: str, min_count: int = 20, threshold: flo
 def apply_phrases(df: DataFrame, doc: str, tokens: str, phrases: DataFrame) -> DataFrame:
     """(doc, tokens) with phrase pairs merged to ``a_b``, greedily from the left; a document without words keeps none.
 
+    Words are merged inside each row, by the set of the phrases, if there are at most MAX_PHRASES of them; more are
+    joined word by word. Rows stay rows, also those with the same id.
+    """
+    known = {(r.a, r.b) for r in phrases.select("a", "b").limit(MAX_PHRASES + 1).collect()}
+    if len(known) > MAX_PHRASES:
+        return _apply_by_join(df.select(doc, tokens), doc, tokens, phrases)
+
+    @F.pandas_udf("array<string>")
+    def merge(lists: pd.Series) -> pd.Series:
+        return pd.Series([_merged(words, known) for words in lists], dtype=object)
+
+    return df.select(doc, merge(F.coalesce(tokens, F.array().cast("array<string>"))).alias(tokens))
+
+
+def _merged(words, known: set) -> list[str]:
+    out, last = [], None  # the last word, unless it is a merged pair
+    for word in words:
+        if word is None:
+            continue
+        if (last, word) in known:
+            out[-1] = f"{last}_{word}"
+            last = None
+        else:
+            out.append(word)
+            last = word
+    return out
+
+
+def _apply_by_join(df: DataFrame, doc: str, tokens: str, phrases: DataFrame) -> DataFrame:
+    """The same for any number of phrases, a row per word.
+
     Where phrase pairs overlap in a row (a b c with both a b and b c), greedy merging takes the 1st, 3rd,
     5th … pair of the run, so the position within the run decides; no word-by-word loop is needed.
     """
+    # Numbered and stored, so that the numbers are the same wherever a row is read again.
+    df = stored(df.select(F.monotonically_increasing_id().alias("_row"), doc, tokens), "numbered-words")
+    words = F.filter(F.coalesce(tokens, F.array().cast("array<string>")), lambda t: t.isNotNull())
+    df = df.withColumn(tokens, words)
     known = phrases.select(F.col("a").alias("token"), F.col("b").alias("next"), F.lit(True).alias("_hit"))
-    rows = _pairs(df, tokens, doc).join(known, ["token", "next"], "left")
-    order = W.partitionBy(doc).orderBy("pos")
+    rows = _pairs(df, tokens, "_row").join(known, ["token", "next"], "left")
+    order = W.partitionBy("_row").orderBy("pos")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     rows = rows.withColumn("_hit", hit)
     opens = F.col("_hit") & ~F.coalesce(F.lag("_hit").over(order), F.lit(False))
@@ -98,25 +135,24 @@ def apply_phrases(df: DataFrame, doc: str, tokens: str, phrases: DataFrame) -> D
     rows = rows.withColumn("_used", F.coalesce(F.lag("_merge").over(order), F.lit(False)))
     word = F.when(F.col("_merge"), F.concat_ws("_", "token", "next")).otherwise(F.col("token"))
     merged = F.array_sort(F.collect_list(F.struct("pos", word.alias("w"))))
-    empty = df.filter(F.coalesce(F.size(tokens), F.lit(0)) <= 0).select(
-        doc, F.array().cast("array<string>").alias(tokens))
-    return (rows.filter(~F.col("_used")).groupBy(doc).agg(merged.alias("_m"))
-            .select(doc, F.col("_m.w").alias(tokens)).unionByName(empty))
+    found = rows.filter(~F.col("_used")).groupBy("_row").agg(merged.alias("_m"))
+    return df.select("_row", doc).join(found, "_row", "left").select(
+        doc, F.coalesce("_m.w", F.array().cast("array<string>")).alias(tokens))
 
 
 def add_phrases(df: DataFrame, doc: str, tokens: str, min_count: int = 20, threshold: float = 10.0) -> DataFrame:
     """Append the two- and three-word phrases found to each document's words.
 
-    A first pass merges pairs; a second pass, counted on the merged words, merges again (``a_b_c``). The words
-    and the merged words are each read twice, so both are written out once.
+    A first pass merges pairs; a second pass, counted on the merged words, merges again (``a_b_c``). The merged words
+    are read twice, so the rows are written out with them once.
     """
-    words = stored(df.select(doc, tokens), "words")
-    merged = stored(apply_phrases(words, doc, tokens, find_phrases(words, tokens, min_count, threshold)), "merged")
-    again = apply_phrases(merged, doc, tokens, find_phrases(merged, tokens, min_count, threshold))
-    found = again.select(doc, F.filter(tokens, lambda t: t.contains("_")).alias("_found"))
-    joined = df.join(found, doc, "left")
-    extra = F.coalesce(F.col("_found"), F.array().cast("array<string>"))
-    return joined.withColumn(tokens, F.concat(tokens, extra)).select(*df.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    words = stored(df.select(row.alias("row"), F.col(tokens).alias("words")), "words")
+    merged = stored(apply_phrases(words, "row", "words", find_phrases(words, "words", min_count, threshold)), "merged")
+    again = apply_phrases(merged, "row", "words", find_phrases(merged, "words", min_count, threshold))
+    extra = F.filter("words", lambda t: t.contains("_"))
+    return again.select(*[(F.concat(F.col("row")[c], extra) if c == tokens else F.col("row")[c]).alias(c)
+                          for c in df.columns])
 
 
 # --- vocabulary and weights ----------------------------------------------------------------------------

@@ -31,13 +31,20 @@ def test_tokenize(spark):
     assert short == ["ca", "a1"]  # the transform comes before the stop words
 
 
-def test_phrases_match_word_by_word(spark):
+@pytest.mark.parametrize("sent", [X.MAX_PHRASES, 0])
+def test_phrases_match_word_by_word(spark, monkeypatch, sent):
+    monkeypatch.setattr(X, "MAX_PHRASES", sent)  # 0: joined, not sent
     cases = [["a", "b", "a", "b"], ["a", "b", "c"], ["a", "a", "a", "a"], ["x"], [], ["a_b", "c", "a", "b"],
              ["b", "a", "b", "c", "a"], ["a", "b", "b", "c"]]
     pairs = [("a", "b"), ("b", "c"), ("a", "a"), ("c", "a")]
     phrases = spark.createDataFrame(pairs, "a string, b string")
     got = {r.doc: r.tokens for r in X.apply_phrases(docs(spark, cases), "doc", "tokens", phrases).collect()}
     assert got == {i: greedy(t, set(pairs)) for i, t in enumerate(cases)}  # a document without words stays
+    same = spark.createDataFrame([(0, ["a", "b"]), (0, ["c", "d"]), (0, None), (None, ["a", None, "b"])],
+                                 "doc long, tokens array<string>")
+    got = X.apply_phrases(same, "doc", "tokens", phrases).collect()  # rows with one id stay rows
+    assert sorted((r.doc is None, r.tokens) for r in got) == [
+        (False, []), (False, ["a_b"]), (False, ["c", "d"]), (True, ["a_b"])]
 
 
 def test_found_phrases_and_score(spark):
