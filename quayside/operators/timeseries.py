@@ -1,9 +1,8 @@
 """Daily series: calendar, decomposition, autocorrelation, tests, ARIMA.
 
 Input is long: (series, ds, y) with ds a DATE. Rows of one series and day are averaged first, map side, so a
-series is bounded by the calendar (36,525 rows a century) whatever the number of rows behind it. Series are the unit of
-parallel work: one shuffle by series, then a window, or a small numpy step where a method needs the whole
-series at once (a transform, a regression on lags, a recursion).
+series is bounded by the calendar (36,525 rows a century) whatever the number of rows behind it. Methods that regress on
+lags add up products of lagged columns and solve the small systems; correlations go block by block.
 """
 
 from __future__ import annotations
@@ -94,24 +93,47 @@ def seasonal_decompose(df: DataFrame, period: int, model: str = "additive") -> D
 # --- autocorrelation -----------------------------------------------------------------------------------
 
 
-def _acf(y: np.ndarray, lags: int) -> np.ndarray:
-    """Autocorrelation by transform, so that thousands of lags cost little more than one."""
-    d = y - y.mean()
-    size = 1 << (2 * len(d) - 1).bit_length()
-    power = np.abs(np.fft.rfft(d, size)) ** 2
-    cov = np.fft.irfft(power, size)[:lags + 1]
-    return cov / cov[0] if cov[0] > 0 else np.full(len(cov), np.nan)
+BLOCK_DAYS = 4096
 
 
 def autocorrelation(df: DataFrame, lags: int) -> DataFrame:
-    """(series, lag, acf, n) for lags 0 … ``lags``; the sums are all divided by n."""
+    """(series, lag, acf, n) for lags 0 … ``lags``; the sums are all divided by n. Null for a constant series.
 
-    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = _values(pdf)
-        r = _acf(y, min(lags, len(y) - 1))
-        return pd.DataFrame({"series": pdf["series"].iloc[0], "lag": np.arange(len(r)), "acf": r, "n": len(y)})
-
-    return daily(df).groupBy("series").applyInPandas(per_series, "series string, lag int, acf double, n bigint")
+    The days of a series are numbered and cut into blocks, each with the ``lags`` days before it; the products of a
+    block's days with those before them are one correlation, and are added up per (series, lag).
+    """
+    size = max(BLOCK_DAYS, lags)
+    days = daily(df).filter(F.nanvl("y", F.lit(None)).isNotNull())
+    kind = days.schema["series"].dataType.simpleString()
+    stats = days.groupBy("series").agg(F.avg("y").alias("mean"), F.count(F.lit(1)).alias("n"))
+    # A series without a name is one, too.
+    numbered = row_rank(days.withColumn("key", F.to_json(F.struct("series"))), ["key"], ["ds"], "t")
+    i = F.col("t") - 1
+    block = F.floor(i / size)
+    own = F.struct(block.alias("block"), F.lit(True).alias("own"))
+    before = F.struct((block + 1).alias("block"), F.lit(False).alias("own"))
+    rows = numbered.join(stats.withColumnRenamed("series", "_s"), F.col("series").eqNullSafe(F.col("_s"))).select(
+        "series", "n", i.alias("i"), (F.col("y") - F.col("mean")).alias("x"),
+        F.inline(F.when(F.pmod(i, F.lit(size)) >= size - lags, F.array(own, before)).otherwise(F.array(own))))
+
+    def products(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("i")
+        own = pdf["own"].to_numpy()
+        if not own.any():  # the days before a block that there is not
+            return pd.DataFrame({"series": [], "lag": [], "s": [], "n": []}).astype({"series": object})
+        x, n = pdf["x"].to_numpy(), int(pdf["n"].iloc[0])
+        z = np.concatenate([np.zeros(lags - int((~own).sum())), x])
+        length = 1 << (len(z) + int(own.sum()) - 1).bit_length()
+        cross = np.fft.irfft(np.fft.rfft(z, length) * np.conj(np.fft.rfft(x[own], length)), length)
+        s = cross[lags::-1][:min(lags, n - 1) + 1]
+        return pd.DataFrame({"series": pdf["series"].iloc[0], "lag": np.arange(len(s)), "s": s, "n": n}
+                            ).astype({"series": object})
+
+    parts = rows.groupBy("series", "block").applyInPandas(products, f"series {kind}, lag int, s double, n bigint")
+    total = parts.groupBy("series", "lag").agg(F.sum("s").alias("s"), F.max("n").alias("n"))
+    whole = F.max(F.when(F.col("lag") == 0, F.col("s"))).over(W.partitionBy("series"))  # over one row per lag
+    flat = whole <= F.lit(1e-300)
+    return total.select("series", "lag", F.when(~flat, F.col("s") / whole).alias("acf"), "n")
 
 
 def partial_autocorrelation(df: DataFrame, lags: int, adjusted: bool = True) -> DataFrame:
@@ -122,7 +144,7 @@ def partial_autocorrelation(df: DataFrame, lags: int, adjusted: bool = True) ->
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("lag")
-        r, n = pdf["acf"].to_numpy(), int(pdf["n"].iloc[0])
+        r, n = pdf["acf"].to_numpy(dtype=float), int(pdf["n"].iloc[0])
         if adjusted:
             r = r * n / (n - np.arange(len(r)))
         out, phi, left = [1.0], np.zeros(0), 1.0

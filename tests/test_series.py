@@ -50,6 +50,22 @@ def test_autocorrelation_of_white_noise_and_pacf_of_ar2(spark):
     assert {r.lag for r in runs} == {1, 2}
 
 
+@pytest.mark.parametrize("block,lags", [(4096, 30), (16, 16), (16, 40), (7, 3)])
+def test_autocorrelation_in_blocks(spark, monkeypatch, block, lags):
+    monkeypatch.setattr(T, "BLOCK_DAYS", block)
+    df, values = odd_series(spark)
+    flat = [("flat", dt.date(2020, 1, 1) + dt.timedelta(i), 3.0) for i in range(20)]
+    got = {(r.series, r.lag): r for r in T.autocorrelation(
+        df.unionByName(spark.createDataFrame(flat, df.schema)), lags).collect()}
+    for name, y in values.items():
+        x = y - y.mean()
+        for k in range(lags + 1):
+            assert got[name, k].n == len(y)
+            assert got[name, k].acf == pytest.approx(x[k:] @ x[:len(x) - k] / (x @ x), abs=1e-12)
+    assert {got["flat", k].acf for k in range(min(lags, 19) + 1)} == {None}
+    assert len(got) == 3 * (lags + 1) + min(lags, 19) + 1
+
+
 def test_unit_root(spark):
     rng = np.random.default_rng(2)
     steps = rng.normal(size=600)
