@@ -18,6 +18,7 @@ from quayside.operators.joins import asof_calendar
 from quayside.operators.lag_sums import gram_sums, lagged, lags, per_series, solved, square
 from quayside.operators.windows import centered_moving_average, forward_fill, require_date
 from quayside.plans.blocks import row_rank
+from quayside.sources import stored
 
 
 def daily(df: DataFrame, *more: str) -> DataFrame:
@@ -103,7 +104,7 @@ def autocorrelation(df: DataFrame, lags: int) -> DataFrame:
     block's days with those before them are one correlation, and are added up per (series, lag).
     """
     size = max(BLOCK_DAYS, lags)
-    days = daily(df).filter(F.nanvl("y", F.lit(None)).isNotNull())
+    days = stored(daily(df).filter(F.nanvl("y", F.lit(None)).isNotNull()), "days")
     kind = days.schema["series"].dataType.simpleString()
     stats = days.groupBy("series").agg(F.avg("y").alias("mean"), F.count(F.lit(1)).alias("n"))
     # A series without a name is one, too.
@@ -226,7 +227,7 @@ def adf_stationarity(df: DataFrame, max_lag: int | None = None, fixed_lag: bool
     """
     names = list(ADF_CRITICAL)
     # A series has at most as many days as the calendar has dates, which bounds the lags that its length allows.
-    rows = lagged(daily(df), 1 + (max_lag if max_lag is not None else _adf_lags(DATES, None)), [0], lambda d: True)
+    rows = lagged(stored(daily(df), "days"), 1 + (max_lag if max_lag is not None else _adf_lags(DATES, None)), [0], lambda d: True)
 
     def design(part: pd.DataFrame, past: np.ndarray):
         most = _adf_lags(int(part["n"].iloc[0]), max_lag)
@@ -398,7 +399,8 @@ def _arima_fits(df: DataFrame, orders: list[Order]) -> tuple[DataFrame, DataFram
     (series, unit, mean, ar, ma, sigma2, n, aic), ``unit`` being the place of the order; nulls for a series that is too
     short. And the rows that the fits are of.
     """
-    rows, plain = _arima_rows(daily(df), orders)
+    days = stored(daily(df), "days")  # a row per day, read for each pass
+    rows, plain = _arima_rows(days, orders)
 
     def design(part: pd.DataFrame, past: np.ndarray):
         d, m = int(part["d"].iloc[0]), int(part["n"].iloc[0])
@@ -435,7 +437,7 @@ def _arima_fits(df: DataFrame, orders: list[Order]) -> tuple[DataFrame, DataFram
         return table
 
     # A series of which differencing leaves nothing is there with nulls, too.
-    every = _with_every_series(daily(df).filter(F.nanvl("y", F.lit(None)).isNotNull()), gram_sums(rows, design))
+    every = _with_every_series(days.filter(F.nanvl("y", F.lit(None)).isNotNull()), gram_sums(rows, design))
     fits = every.groupBy("series").applyInPandas(
         fit, f"series {kind}, unit int, ar array<double>, ma array<double>, sigma2 double, n bigint, aic double")
     matched = mean.withColumnRenamed("series", "_s")
