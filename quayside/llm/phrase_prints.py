@@ -20,41 +20,56 @@ from quayside.llm.common import mix
 SIZE = 64  # hashes kept; the likeness is off by about 1 / sqrt(SIZE) / 2 at most
 
 
+ONE = [bytes([byte]) for byte in range(256)]
+
+
 class Parse:
-    """The state of a parse: the dictionary as a trie, the node reached, where the phrase began, phrases so far."""
+    """The state of a parse: the dictionary as a trie in the order of the phrases, their CRCs, the node reached.
+
+    Nodes are multiples of 256, so that node + byte is the key of a child; a phrase's CRC goes on from its parent's.
+    """
 
     def __init__(self):
         self.trie: dict[int, int] = {}
-        self.node, self.begin, self.phrases = 0, 0, []
+        self.crcs, self.node = [0], 0
 
     def copy(self) -> Parse:
         out = Parse()
-        out.trie, out.phrases = self.trie.copy(), self.phrases.copy()
-        out.node, out.begin = self.node, self.begin
+        out.trie, out.crcs, out.node = self.trie.copy(), self.crcs.copy(), self.node
         return out
 
     def read(self, data: bytes, start: int) -> Parse:
         """Go on from byte ``start`` to the end. What comes before it has been read."""
-        trie, node, begin, add = self.trie, self.node, self.begin, self.phrases.append
-        step, size = trie.get, len(trie)
-        for i, byte in enumerate(data[start:] if start else data, start + 1):
-            key = node << 8 | byte
+        trie, crcs, node = self.trie, self.crcs, self.node
+        step, add, size = trie.get, crcs.append, len(trie) << 8
+        for byte in data[start:] if start else data:
+            key = node + byte
             node = step(key, 0)
             if not node:
-                size += 1
+                size += 256
                 trie[key] = size
-                add(data[begin:i])
-                begin = i
-        self.node, self.begin = node, begin
+                add(crc32(ONE[byte], crcs[key >> 8]))
+        self.node = node
         return self
 
-    def smallest(self, k: int = SIZE) -> np.ndarray:
-        """The k smallest hashes of the phrases, in order."""
-        if not self.phrases:
-            return np.zeros(0, np.uint32)
-        h = np.fromiter(map(crc32, self.phrases), np.uint64, len(self.phrases))
-        h = np.unique((mix(h) >> np.uint64(32)).astype(np.uint32))
-        return h[:k]
+    def back_to(self, phrases: int, node: int) -> None:
+        """Forget all but the first phrases; ``node`` is where the parse stood then."""
+        for _ in range(len(self.trie) - phrases):
+            self.trie.popitem()
+        del self.crcs[phrases + 1:]
+        self.node = node
+
+    @property
+    def phrases(self) -> list[bytes]:
+        found = [b""]
+        for key in self.trie:
+            found.append(found[key >> 8] + ONE[key & 255])
+        return found[1:]
+
+    def smallest(self, k: int = SIZE, after: int = 0) -> np.ndarray:
+        """The k smallest hashes of the phrases, but for the first ``after``, in order."""
+        h = np.array(self.crcs[after + 1:], np.uint64)
+        return np.unique((mix(h) >> np.uint64(32)).astype(np.uint32))[:k]
 
 
 def as_text(hashes: np.ndarray) -> str:
@@ -68,10 +83,9 @@ def fingerprint(text: str | None, k: int = SIZE) -> str:
 
 def likeness(a: np.ndarray, b: np.ndarray, k: int = SIZE) -> float:
     """Estimated share of common phrases (0 to 1); two empty texts are alike."""
-    union = np.union1d(a, b)[:k]
-    if not len(union):
-        return 1.0
-    return float(np.isin(union, np.intersect1d(a, b)).sum() / len(union))
+    a, b = set(a.tolist()), set(b.tolist())
+    union = sorted(a | b)[:k]
+    return len(a & b & set(union)) / len(union) if union else 1.0
 
 
 def print_documents(docs: DataFrame, k: int = SIZE) -> DataFrame:
@@ -87,7 +101,7 @@ def print_documents(docs: DataFrame, k: int = SIZE) -> DataFrame:
 
 
 def in_descending_blocks(docs: DataFrame, parts: int | None = None) -> DataFrame:
-    """Rows (doc_id, text, block, guest) sorted by falling doc_id inside blocks, each of which lies in one partition.
+    """Rows (doc_id, text, block, guest) sorted by falling doc_id inside blocks, each of which is one partition.
 
     The blocks are ranges of doc_id at its approximate quantiles. The first rows of the next block are copied into each
     block as guests at its end, and the very first into the last, so that every row but the guests has its successor
@@ -95,11 +109,10 @@ def in_descending_blocks(docs: DataFrame, parts: int | None = None) -> DataFrame
     """
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = 4 * parts
     least = float(-(1 << 63)) * 2  # a null id comes last
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
                        F.coalesce(-F.col("doc_id").cast("double"), F.lit(-least)).alias("_at"))
-    cuts = rows.agg(F.percentile_approx("_at", [i / blocks for i in range(1, blocks)], 10 * blocks)).first()[0] or []
+    cuts = rows.agg(F.percentile_approx("_at", [i / parts for i in range(1, parts)], 10 * parts)).first()[0] or []
     splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
     if len(splits) < 3:
         splits.insert(1, 0.0)
@@ -114,7 +127,7 @@ def in_descending_blocks(docs: DataFrame, parts: int | None = None) -> DataFrame
         F.when(F.col("host").isNotNull(), F.struct(F.col("host").alias("block"), F.lit(True).alias("guest")))))
     return (placed.select("doc_id", "text", F.explode(spots).alias("_spot"))
             .select("doc_id", "text", "_spot.block", "_spot.guest")
-            .repartition(parts, "block").sortWithinPartitions("block", "guest", F.desc_nulls_last("doc_id"), "text"))
+            .repartitionById(parts, F.col("block")).sortWithinPartitions("block", "guest", F.desc_nulls_last("doc_id"), "text"))
 
 
 def compare_neighbours(docs: DataFrame, k: int = SIZE, parts: int | None = None) -> DataFrame:
@@ -136,14 +149,23 @@ def compare_neighbours(docs: DataFrame, k: int = SIZE, parts: int | None = None)
             self.doc_id, self.text = doc_id, text
             self.half = len(text) // 2
             self.head = text[:len(text) - self.half]
-            data, self.kept = text.encode(), self.head.encode()
-            parse = Parse().read(self.kept, 0)
-            self.parse = parse.copy() if self.half else parse
-            self.print = parse.read(data, len(self.kept)).smallest(k)
+            self.kept = self.head.encode()
+            self.parse = Parse().read(self.kept, 0)
+            self.mark, self.node = len(self.parse.trie), self.parse.node
+            self.least = self.parse.smallest(k)
+            self.print = self.with_tail(text[len(self.head):].encode())
+
+        def with_tail(self, tail: bytes) -> np.ndarray:
+            """Smallest hashes of the kept half and this tail; the parse goes back to the end of the kept half."""
+            if not tail:
+                return self.least
+            more = self.parse.read(tail, 0).smallest(k, self.mark)
+            self.parse.back_to(self.mark, self.node)
+            return np.union1d(self.least, more)[:k]
 
         def beside(self, after: Row) -> tuple:
-            edited = self.kept + after.text[:self.half].encode()
-            other = self.parse.read(edited, len(self.kept)).smallest(k)
+            tail = after.text[:self.half].encode()
+            edited, other = self.kept + tail, self.with_tail(tail)
             return (self.doc_id, len(self.text), hashlib.sha256(edited).hexdigest(), as_text(self.print),
                     as_text(other), likeness(self.print, other, k), likeness(self.print, after.print, k))
 
