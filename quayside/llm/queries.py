@@ -89,7 +89,7 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(documents(spark, folder)).select("doc_id", *names)
 
 
-_TEMPLATES = ", ".join(f"('{text}', '{label}')" for text, label in licenses.TEMPLATES)
+_TEMPLATES = ", ".join(f"('{text}', '{label}', '{words}')" for text, label, words in licenses.TEMPLATES)
 _PHRASES = ", ".join(f"('{text}', '{label}')" for text, label in licenses.PHRASES)
 _SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _RE = r"'[0-9a-z\x{80}-\x{10FFFF}]+'"
@@ -97,7 +97,14 @@ ORACLES["op4_license_scan"] = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, regexp_extract_all({_SMALL}, {_RE}) AS words FROM d),
 phrases(phrase, label) AS (VALUES {_PHRASES}),
-templates(template, label) AS (VALUES {_TEMPLATES}),
+given(template, label, required) AS (VALUES {_TEMPLATES}),
+templates AS (
+  SELECT label, list_distinct(string_split(template, ' ')) AS known, string_split(required, ' ') AS must,
+         len(string_split(template, ' ')) AS size, CAST(size + greatest(2, ceil(size / 4)) AS BIGINT) AS width,
+         coalesce((SELECT list(w) FROM (SELECT unnest(string_split(o.required, ' ')) AS w FROM given o
+                   WHERE list_has_all(string_split(o.required, ' '), string_split(g.required, ' ')))
+                   WHERE NOT list_contains(string_split(g.required, ' '), w)), []) AS barred
+  FROM given g),
 hits AS (
   SELECT doc_id, label, unnest(list_filter(range(0, len(words)), lambda i:
            words[i + 1:i + len(string_split(phrase, ' '))] = string_split(phrase, ' '))) AS place
@@ -105,16 +112,17 @@ hits AS (
 base AS (
   SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
          list(DISTINCT label) AS labels FROM hits GROUP BY doc_id),
-lines AS (
-  SELECT doc_id, list_distinct(regexp_extract_all({_SMALL}, {_RE})) AS words
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text FROM d)),
-shares AS (
-  SELECT doc_id, label, len(list_intersect(words, t)) AS met, len(t) AS size
-  FROM lines CROSS JOIN (SELECT label, list_distinct(string_split(template, ' ')) AS t FROM templates)
-  WHERE len(words) > 0),
+places AS (
+  SELECT doc_id, words, t.*, unnest(list_filter(range(0, len(words)), lambda i: words[i + 1] = must[1])) AS spot
+  FROM w CROSS JOIN templates t),
+blocks AS (
+  SELECT label, doc_id, known, must, barred, words[start + 1:start + width] AS block
+  FROM (SELECT *, unnest(range(greatest(0, spot - width + 1), spot + 1)) AS start FROM places)),
 found AS (
-  SELECT doc_id, max(met / size) AS share, list(DISTINCT label) AS labels FROM shares
-  WHERE met >= ceil(0.8 * size - 1e-9) GROUP BY doc_id)
+  SELECT doc_id, max(met / len(known)) AS share, list(DISTINCT label) AS labels
+  FROM (SELECT *, len(list_filter(known, lambda x: list_contains(block, x))) AS met FROM blocks
+        WHERE list_has_all(block, must) AND NOT list_has_any(block, barred))
+  WHERE met >= ceil(0.8 * len(known) - 1e-9) GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
        array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))),

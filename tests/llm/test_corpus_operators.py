@@ -198,10 +198,11 @@ def test_join_of_all_test_documents(spark, folder):
 
 
 def test_keep_one_keeps_one(spark):
-    docs = with_clashing_columns(odd_documents(spark), ["_id", "_hash"]).drop("_id", "_hash")
+    docs = with_clashing_columns(odd_documents(spark), ["_id", "_hash", "id", "hash", "row", "node"])
     kept = ngram_join.keep_one(docs, n=5, percent=80)
     assert kept.columns == docs.columns
     rows = kept.collect()
+    assert all({r._id, r._hash, r.id, r.hash, r.row, r.node} == {"clash"} for r in rows)
     worded = [r for r in rows if (r.text or "").split()]
     assert len({frozenset(grams(r.text, 5)) for r in worded}) == len(worded)
     assert len(rows) - len(worded) == sum(not (r.text or "").split() for r in docs.collect())

@@ -168,38 +168,79 @@ def test_forest_sees_every_statistic(spark, folder):
 # ---- licenses
 
 
-def test_license_join_is_exact(spark):
-    texts = ["MIT LICENSE mit license", "license mit", "permit licensed\nReleased under MIT terms, the License!",
-             "released\nunder\nthe\nmit\nlicense", "Licensed under CC-BY-NC 4.0", "licensed under by nc 4",
-             "work licensed under gnu general public license version 3", "Apache, License", None, "", "mit liçense",
-             "Kelvin K mit license"]
-    rows = {r.doc_id: r for r in licenses.scan_licenses(documents(spark, texts)).collect()}
+def brute_licenses(text, phrases=licenses.PHRASES, templates=licenses.TEMPLATES):
+    """By the rule: every window of every template, one after the other."""
+    low = "".join(c.lower() if c.isascii() else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    places, base, more, best = [], set(), set(), 0.0
+    for phrase, label in phrases:
+        p = phrase.split()
+        at = [i for i in range(len(words)) if words[i:i + len(p)] == p]
+        places += at
+        base |= {label} if at else set()
+    for template, label, required in templates:
+        t, must, n = set(template.split()), set(required.split()), len(template.split())
+        others = [set(r.split()) for _, _, r in templates]
+        barred = set().union(*[o - must for o in others if must < o])
+        width = n + max(2, -(-n // 4))
+        for i in range(len(words)):
+            block = set(words[i:i + width])
+            if must <= block and not barred & block and 5 * len(block & t) >= 4 * len(t):
+                more |= {label}
+                best = max(best, len(block & t) / len(t))
+    return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
+            ",".join(sorted(base | more)), 1.0 if base else best)
+
+
+MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of\n * this software and associated "
+       "documentation files (the \"Software\"), to deal")
+BSD = ("Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that "
+       "the following conditions are met:")
+GPL = ("This program is free software: you can redistribute it and/or modify it under the\nterms of the GNU General "
+       "Public License as published by the Free Software Foundation")
 
-    def brute(text):
-        low = "".join(c.lower() if c.isascii() else c for c in text or "")
-        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
-        places, base, more = [], set(), set()
-        for phrase, label in licenses.PHRASES:
-            p = phrase.split()
-            at = [i for i in range(len(words)) if words[i:i + len(p)] == p]
-            places += at
-            base |= {label} if at else set()
-        for line in low.split("\n"):
-            have = set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", line))
-            more |= {label for t, label in licenses.TEMPLATES if 5 * len(have & set(t.split())) >= 4 * len(set(t.split()))}
-        return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
-                ",".join(sorted(base | more)))
 
+def test_license_join_is_exact(spark):
+    scattered = prose(160).split()
+    for i, w in enumerate("Licensed under CC BY 4 0".split()):
+        scattered[i * 25] = w
+    labels = {
+        "MIT LICENSE mit license": "mit", "license mit": "", "released\nunder\nthe\nmit\nlicense": "mit",
+        "Licensed under CC BY 4.0.": "cc-by", "Licensed under CC BY-NC 4.0.": "cc-by-nc", "licensed under by nc 4": "",
+        "licensed under CC-BY-SA 4.0": "cc-by-sa", "Licensed under CC BY-NC-SA 4.0": "cc-by-nc-sa",
+        "Licensed under CC BY-ND 4.0": "cc-by-nd", "Licensed under CC BY-NC-ND 4.0": "cc-by-nc-nd",
+        "Licensed under CC BY 4.0. " + prose(30) + " Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc",
+        "Released under the BSD 3-Clause License": "bsd", "Released under the MIT License": "mit",
+        " ".join(scattered): "", "work licensed under gnu general public license version 3": "gpl",
+        MIT: "mit", prose(90) + "\n" + BSD + prose(90): "bsd", GPL: "gpl", "Apache, License": "apache", "": "",
+        "permit licensed\nReleased under MIT terms, the License!": "mit", "mit liçense": "", "Kelvin K mit license": "mit"}
+    texts = [*labels, None, *ODD]
+    rows = {r.doc_id: r for r in licenses.scan_licenses(documents(spark, texts)).collect()}
     for i, text in enumerate(texts):
         r = rows[i]
-        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels) == brute(text), text
-        assert 0 <= r.score <= 1 and (r.score > 0) == bool(r.labels)
-    odd = with_clashing_columns(odd_documents(spark), ["labels", "_hit", "_lines"])
-    assert licenses.scan_licenses(odd).count() == odd.count()
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels,
+                r.score) == brute_licenses(text), text
+        assert (r.score > 0) == bool(r.labels)
+        assert r.labels == labels.get(text, r.labels), text
+    mine = ["_hit", "_words", "_base", "_met", "row", "at", "label"]
+    odd = with_clashing_columns(odd_documents(spark), ["labels", *mine])
+    found = licenses.scan_licenses(odd).collect()
+    assert len(found) == odd.count() and all(r[c] == "clash" for r in found for c in mine)
+    assert not any(r.labels == "clash" for r in found)
     assert licenses.scan_licenses(documents(spark, texts), phrases=(), templates=()).filter("labels != ''").count() == 0
     assert licenses.scan_licenses(table(spark, [], SCHEMA)).collect() == []
 
 
+def test_license_labels_of_all_test_documents(spark, folder):
+    """The rule by brute force over the documents that hold a word of a notice."""
+    rows = QUERIES["op4_license_scan"](spark, folder).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    assert len(rows) == len(texts)
+    for r in rows:
+        if r.labels or re.search("licen|permi|redist|rights", texts[r.doc_id] or "", re.I):
+            assert r[1:] == brute_licenses(texts[r.doc_id])
+
+
 def test_wrapped_notices_are_met(spark):
     mpl = ("This Source Code Form is subject to the terms of the Mozilla Public\n{}License, v. 2.0. If a copy of the MPL\n"
            "{}was not distributed with this file, You can obtain one.")
@@ -208,7 +249,7 @@ def test_wrapped_notices_are_met(spark):
              "Licensed under\nCC BY 4.0", "Licensed under CC\n" + prose(20) + "\nBY 4.0", prose(900)]
     rows = {r.doc_id: r for r in licenses.scan_licenses(documents(spark, texts)).collect()}
     assert [rows[i].labels for i in range(3)] == ["mpl", "mpl", "all-rights-reserved"]
-    assert "bsd" in rows[3].labels.split(",") and "cc-by" in rows[4].labels.split(",")
+    assert [rows[i].labels for i in (3, 4)] == ["bsd", "cc-by"]
     assert [rows[i].score for i in range(5)] == [1.0] * 5
     assert [(rows[i].labels, rows[i].score) for i in (5, 6)] == [("", 0.0)] * 2
 
@@ -288,8 +329,10 @@ def test_packing_of_all_test_documents(spark, folder):
 
 def test_packing_of_odd_rows(spark):
     docs = with_clashing_columns(odd_documents(spark), ["sequence_id", "offset"])
-    cut = packing.cut_pieces(docs, VOCABULARY, width=16).withColumn("offset", F.lit("clash"))
+    mine = ["_n", "_number", "_place", "_block", "row", "key", "number", "place", "hash"]
+    cut = with_clashing_columns(packing.cut_pieces(docs, VOCABULARY, width=16), ["offset", *mine])
     out = packing.pack_pieces(cut, width=16, block_rows=7).collect()
+    assert all(r[c] == "clash" for r in out for c in mine)
     check_packing(spark, docs.collect(), out, 16)
     none = packing.cut_pieces(table(spark, [], SCHEMA), VOCABULARY)
     assert packing.pack_pieces(none).collect() == []
@@ -309,6 +352,21 @@ def test_recipes_use_every_length_once():
     assert sum(t for _, t in packing.plan_recipes({10: 2, 6: 3, 4: 3, 3: 2, 5: 2, 2: 2}, 10)) == 7  # 70 / 10, the fewest
 
 
+def test_plans_use_pairs_and_triples(spark, folder):
+    """The plan has sums of pairs and triples and is not longer than best-fit alone."""
+    cut = packing.cut_pieces(spark.read.parquet(f"{folder}/documents.parquet"), VOCABULARY)
+    counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
+    recipes = packing.plan_recipes(counts, 1024)
+    exact = Counter()
+    for parts, times in recipes:
+        exact[len(parts)] += times * (sum(parts) == 1024)
+    assert exact[2] and exact[3]
+    assert sum(t for _, t in recipes) <= sum(t for _, t in packing.best_fit(counts, 1024))
+    assert packing.plan_recipes({7: 2, 2: 2, 1: 2}, 10) == [((7, 2, 1), 2)]
+    triple, = packing.plan_recipes({50: 3, 20: 3, 17: 3, 13: 3}, 100)
+    assert triple == ((50, 20, 17, 13), 3)
+
+
 # ---- fingerprints
 
 
@@ -449,10 +507,12 @@ def test_texts_with_a_common_prefix_have_their_own_cells(spark):
 
 def test_numbers_are_gapless_in_hot_groups(spark):
     df = spark.range(2000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7).alias("k"), "id",
-                                  F.lit(1).alias("same"))
+                                  F.lit(1).alias("same"), F.lit(77).alias("_n"), F.lit(78).alias("block"),
+                                  F.lit(79).alias("number"), F.lit(80).alias("key"), F.lit(81).alias("row"))
     sizes = df.groupBy("k").agg(F.count(F.lit(1)).alias("_n"))
     for ties in (["id"], ["same"]):
         out = numbered(df, "k", sizes, ties, "number", block_rows=50).collect()
+        assert all((r._n, r.block, r.key, r.row) == (77, 78, 80, 81) for r in out)
         for k in {r.k for r in out}:
             found = sorted(r.number for r in out if r.k == k)
             assert found == list(range(len(found)))
