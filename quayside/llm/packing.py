@@ -3,7 +3,7 @@
 What packing needs of a document is its length. Whole sequences of a long document are sequences of their own; what is
 left over, at most ``width - 1`` lengths with counts, is planned on the driver: a table bounded by the width, not by
 the data. Gaps are filled exactly first, by one length, a pair or a triple whose sum is looked up, as often as all of
-them are available; then what is left goes best-fit. The plan says for each length which of its pieces go where; pieces
+them are available and the rest does not miss them; then what is left goes best-fit. The plan says for each length which of its pieces go where; pieces
 are numbered inside their length (in hashed blocks, so that no length is hot) and look up their place.
 """
 
@@ -81,82 +81,96 @@ def cut_pieces(docs: DataFrame, path: str, width: int = 1024, end: int = 2) -> D
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def plan_recipes(counts: dict[int, int], width: int) -> list[Recipe]:
-    """Sequences of at most ``width`` for so many pieces of each length: the shortest plan of those that fill gaps
-    exactly by up to three, two, one or no lengths before the rest goes best-fit. Small pieces that exact sums use up
-    may be missed later where there are few."""
-    plans = [_plan(counts, width, parts) for parts in (3, 2, 1, 0)]
-    return min(plans, key=lambda p: sum(times for _, times in p))
+def best_fit(counts: dict[int, int], width: int) -> list[Recipe]:
+    """The longest length first takes, again and again, the largest length that fits its gap."""
+    left, lengths, recipes = dict(counts), sorted(counts), []
+    while lengths:
+        parts, gap = [lengths[-1]], width - lengths[-1]
+        i = bisect_right(lengths, gap) - 1
+        while i >= 0:
+            n = lengths[i]
+            fits = min(left[n] - (n == parts[0]), gap // n)
+            parts += [n] * fits
+            gap -= n * fits
+            i = min(i, bisect_right(lengths, gap)) - 1
+        need = Counter(parts)
+        times = min(left[n] // k for n, k in need.items())
+        recipes.append((tuple(parts), times))
+        for n, k in need.items():
+            left[n] -= times * k
+            if not left[n]:
+                lengths.remove(n)
+    return recipes
 
 
-def _plan(counts: dict[int, int], width: int, most_parts: int) -> list[Recipe]:
-    """One plan, the longest length first.
+def fill_exactly(left: Counter, width: int, tops: list[int], parts: int) -> list[Recipe]:
+    """Take from ``left`` sequences of one of ``tops`` and ``parts`` lengths, none above it, that fill its gap exactly.
 
-    For the gap that a length leaves, a single length, a pair and a triple that fill it exactly are looked up among the
-    lengths that are left, and taken as often as there are pieces for all. A length without such a complement waits;
-    in the end the longest first takes, again and again, the largest length that fits its gap.
+    A sum is taken as often as there are pieces for all of it. Of the sums of a gap those of the most equal lengths go
+    first, since short pieces are the ones that fill other gaps.
     """
-    left = Counter({n: c for n, c in counts.items() if c > 0})
     have = np.zeros(width + 1, bool)
     have[[n for n in left if n <= width]] = True
     recipes: list[Recipe] = []
 
-    def take(parts: tuple[int, ...]) -> bool:
-        need = Counter(parts)
-        times = min(left[n] // k for n, k in need.items())
-        if times:
-            recipes.append((parts, times))
-            for n, k in need.items():
-                left[n] -= times * k
-                if not left[n]:
-                    del left[n]
-                    have[n] = False
-        return times > 0
-
-    def pairs(gap: int, most: int):
-        """Lengths (a, gap - a), both available, a >= gap - a, a <= most; the largest a first."""
-        a = np.arange(min(gap - 1, most), (gap + 1) // 2 - 1, -1)
-        return a[have[a] & have[gap - a]].tolist() if len(a) else []
+    def pairs(gap: int, top: int):
+        a = np.arange((gap + 1) // 2, min(gap - 1, top) + 1)
+        return a[have[a] & have[gap - a]].tolist()
 
     def fills(top: int, gap: int):
-        """Lengths that fill the gap exactly: one, then pairs, then triples; none above the top."""
-        if most_parts >= 1 and gap <= top and have[gap]:
+        if parts == 1 and have[gap] and gap <= top:
             yield (gap,)
-        for a in pairs(gap, top) if most_parts >= 2 else ():
-            yield (a, gap - a)
-        if most_parts < 3:
-            return
-        for c in np.flatnonzero(have[:gap // 3 + 1]).tolist():  # the smallest of three
-            for a in pairs(gap - c, top):
-                if gap - c - a >= c:
-                    yield (a, gap - c - a, c)
-
-    for top in sorted(left, reverse=True):
-        if top >= width:
-            take((top,))
-            continue
-        while left[top] and any(take((top, *p)) for p in fills(top, width - top)):
-            pass
-    left = +left
-    while left:
-        lengths = sorted(left)
-        parts, gap = [lengths[-1]], width - lengths[-1]
-        spare = left.copy()
-        spare[lengths[-1]] -= 1
-        while gap > 0:
-            i = bisect_right(lengths, gap) - 1
-            while i >= 0 and spare[lengths[i]] <= 0:
-                i -= 1
-            if i < 0:
+        elif parts == 2:
+            yield from ((a, gap - a) for a in pairs(gap, top))
+        elif parts == 3:
+            for c in np.flatnonzero(have[:gap // 3 + 1])[::-1].tolist():  # the smallest of three
+                yield from ((a, gap - c - a, c) for a in pairs(gap - c, top) if gap - c - a >= c)
+
+    for top in tops:
+        for fill in fills(top, width - top) if top < width else [()] if parts == 1 else []:
+            if not left[top]:
                 break
-            n = lengths[i]
-            parts.append(n)
-            spare[n] -= 1
-            gap -= n
-        take(tuple(parts))
+            if not all(map(left.__getitem__, fill)):
+                continue
+            need = Counter((top, *fill))
+            times = min(left[n] // k for n, k in need.items())
+            if times:
+                recipes.append(((top, *fill), times))
+                for n, k in need.items():
+                    left[n] -= times * k
+                    have[n] = left[n] > 0
     return recipes
 
 
+def plan_recipes(counts: dict[int, int], width: int) -> list[Recipe]:
+    """Sequences of at most ``width`` for so many pieces of each length.
+
+    Gaps are filled exactly by one length, then by pairs, then by triples; the rest goes best-fit. A sum wastes nothing
+    itself, but may use up short pieces that the rest misses: sums are taken for a range of the longest lengths only
+    if the plan with the rest packed best-fit is then no longer than before; else for each half of the range alone.
+    """
+    left = Counter({n: c for n, c in counts.items() if c > 0})
+    recipes = fill_exactly(left, width, sorted(left, reverse=True), 1)
+
+    def rest(counts: Counter) -> int:
+        return sum(times for _, times in best_fit(+counts, width))
+
+    for parts in (2, 3):
+        ranges, now = [sorted(+left, reverse=True)], rest(left)
+        while ranges:
+            tops, trial = ranges.pop(), left.copy()
+            sums = fill_exactly(trial, width, tops, parts)
+            if not sums:
+                continue
+            after = rest(trial)
+            if sum(times for _, times in sums) + after <= now:
+                recipes += sums
+                left, now = trial, after
+            elif len(tops) > 1:
+                ranges += [tops[len(tops) // 2:], tops[:len(tops) // 2]]
+    return recipes + best_fit(+left, width)
+
+
 def places(recipes: list[Recipe]) -> pd.DataFrame:
     """For each length the runs of its pieces: from piece number ``first`` on, the next sequences take one each."""
     rows, used, sequence = [], Counter(), 0
@@ -197,6 +211,5 @@ def pack_pieces(pieces: DataFrame, width: int = 1024, block_rows: int = 100_000)
         return pd.DataFrame(out, columns=["sequence_id", "offset"])
 
     ties = ["doc_id", "piece", "ids_crc32"]
-    rows = numbered(pieces, "length", sizes, ties, "_number", block_rows)
-    return (rows.withColumn("_place", place("length", "_number"))
-            .select(*pieces.columns, "_place.sequence_id", "_place.offset"))
+    rows = numbered(pieces.select(F.struct("*").alias("row"), "length", *ties), "length", sizes, ties, "number", block_rows)
+    return rows.withColumn("place", place("length", "number")).select("row.*", "place.sequence_id", "place.offset")
