@@ -58,16 +58,20 @@ def numbered(df: DataFrame, key: str, sizes: DataFrame, ties: list[str], out: st
 
     ``sizes`` has ``key`` and ``_n``, the rows of each value, and as many rows as the caller can bound; it is
     broadcast. A value with many rows is cut by a hash of ``ties`` into blocks of about ``block_rows``, so that no
-    task holds a hot value; the blocks' counts are added up in a table of one row per block.
+    task holds a hot value; the blocks' counts are added up in a table of one row per block. A column named ``out`` is
+    replaced, all others are kept whatever their names.
     """
-    block = F.pmod(F.xxhash64(*ties), F.ceil(F.col("_n") / block_rows).cast("bigint"))
-    rows = df.join(F.broadcast(sizes), key).withColumn("_block", block).drop("_n")
-    before = W.partitionBy(key).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    starts = (rows.groupBy(key, "_block").agg(F.count(F.lit(1)).alias("_m"))
-              .select(key, "_block", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_start")))
-    inside = F.row_number().over(W.partitionBy(key, "_block").orderBy(*ties)) - 1
-    return (rows.withColumn(out, inside).join(starts, [key, "_block"])
-            .withColumn(out, F.col("_start") + F.col(out)).drop("_block", "_start"))
+    own = df.select(F.struct(*[c for c in df.columns if c != out]).alias("row"), F.col(key).alias("key"),
+                    F.struct(*ties).alias("ties"), F.xxhash64(*ties).alias("hash"))
+    times = F.broadcast(sizes.select(F.col(key).alias("key"), F.col("_n").alias("n")))
+    block = F.pmod("hash", F.ceil(F.col("n") / block_rows).cast("bigint"))
+    rows = own.join(times, "key").select("row", "key", "ties", block.alias("block"))
+    before = W.partitionBy("key").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    starts = (rows.groupBy("key", "block").agg(F.count(F.lit(1)).alias("m"))
+              .select("key", "block", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("start")))
+    inside = F.row_number().over(W.partitionBy("key", "block").orderBy("ties")) - 1
+    return (rows.withColumn("inside", inside).join(starts, ["key", "block"])
+            .select("row.*", (F.col("start") + F.col("inside")).alias(out)))
 
 
 def most_frequent(counts: DataFrame, most: int) -> pa.Table:

@@ -392,9 +392,10 @@ def keep_one(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """The rows of ``docs`` with one row of each component, that of the smallest id. Texts without words all stay."""
     found = ngram_classes(keyed_texts(docs), n, percent)
     firsts = found.filter("n_shingles > 0 AND doc_id = first_id AND text_hash = first_hash").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+        F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct()
     has_word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    keyed = docs.filter(has_word).withColumns({
-        "_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)), "_hash": F.xxhash64("text")})
-    kept = keyed.join(firsts, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
-    return kept.select(docs.columns).union(docs.filter(~has_word))
+    keyed = docs.filter(has_word).select(
+        F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"),
+        F.xxhash64("text").alias("hash"))
+    kept = keyed.join(firsts, ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"])
+    return kept.select("row.*").union(docs.filter(~has_word))
