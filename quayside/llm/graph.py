@@ -12,7 +12,8 @@ def components(links: DataFrame, name: str = "links", rounds: int = 100) -> Data
 
     Each round lets every node point its larger neighbours, then its smaller ones, to the smallest node it knows
     (Kiveris et al., 2014); it ends when nothing changes, after a number of rounds of the order of the square of the
-    logarithm of the size. Self links and repeats don't matter; no links give no rows.
+    logarithm of the size, and raises if ``rounds`` are not enough. Self links and repeats don't matter; no links give no
+    rows.
     """
     both = F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")  # v < u
     edges = stored(links.filter(F.col("a") != F.col("b")).select(*both).distinct(), name)
@@ -33,5 +34,7 @@ def components(links: DataFrame, name: str = "links", rounds: int = 100) -> Data
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components: no end after {rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -254,3 +254,9 @@ def test_pipeline_of_odd_and_empty_tables(spark, tmp_path):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, docs, at).columns == docs.columns
         corpus_pipeline.run(spark, at).collect()
+
+
+def test_components_without_enough_rounds(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError, match="2 rounds"):
+        graph.components(chain, rounds=2)
