@@ -100,21 +100,19 @@ def describe_numeric(df: DataFrame, cols: list[str], keys: tuple[str, ...] = (),
                      ) -> DataFrame:
     """count, mean, std, min, quartiles and max, one row per column (and key).
 
-    The quartiles are exact, which costs a shuffle of the distinct values; ``approx`` sketches them in the
-    same pass as the rest.
+    The quartiles are exact, which costs a second pass; ``approx`` sketches them in the same pass as the rest.
     """
     long = _present(_numbers_long(df, list(keys), cols), [*keys, "value"])
     by = [*keys, "variable"]
-    moments = long.groupBy(*by).agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
-                                    F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-                                    F.max("value").alias("max"))
+    moments = {"count": F.count("value"), "mean": F.avg("value"), "std": F.stddev_samp("value"),
+               "min": F.min("value"), "max": F.max("value")}
     shares = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     if approx:
-        marks = long.groupBy(*by).agg(*[F.approx_percentile("value", p).alias(name) for name, p in shares.items()])
+        marks = {name: F.approx_percentile("value", p) for name, p in shares.items()}
+        out = long.groupBy(*by).agg(*[column.alias(name) for name, column in {**moments, **marks}.items()])
     else:
-        marks = exact_quantiles(long, by, "value", shares)
-    return (moments.join(marks, by)
-            .select(*by, "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
+        out = exact_quantiles(long, by, "value", shares, also=moments)
+    return out.select(*by, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def describe_all(df: DataFrame) -> DataFrame:
@@ -142,10 +140,9 @@ def summary_stats(df: DataFrame, cols: list[str], keys: tuple[str, ...] = ()) ->
     """std, mean, median, min, max, one row per column (and key)."""
     long = _present(_numbers_long(df, list(keys), cols), [*keys, "value"])
     by = [*keys, "variable"]
-    moments = long.groupBy(*by).agg(F.stddev_samp("value").alias("std"), F.avg("value").alias("mean"),
-                                    F.min("value").alias("min"), F.max("value").alias("max"))
-    middle = exact_quantiles(long, by, "value", {"median": 0.5})
-    return moments.join(middle, by).select(*by, "std", "mean", "median", "min", "max")
+    moments = {"std": F.stddev_samp("value"), "mean": F.avg("value"), "min": F.min("value"), "max": F.max("value")}
+    return exact_quantiles(long, by, "value", {"median": 0.5}, also=moments).select(
+        *by, "std", "mean", "median", "min", "max")
 
 
 def summary_by_segment(df: DataFrame, segment: str, cols: list[str]) -> DataFrame:

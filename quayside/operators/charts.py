@@ -60,13 +60,11 @@ def box_stats(df: DataFrame, cols: list[str], keys: tuple[str, ...] = ()) -> Dat
     marks = exact_quantiles(long, by, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("value") >= F.col("q1") - reach) & (F.col("value") <= F.col("q3") + reach)
-    counts = long.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("_n"))
-    return (counts.join(marks, by).groupBy(*by)
+    return (long.join(marks, by).groupBy(*by)
             .agg(F.min("value").alias("min"), F.any_value("q1").alias("q1"), F.any_value("median").alias("median"),
                  F.any_value("q3").alias("q3"), F.max("value").alias("max"),
                  F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
-                 F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
-                 F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("n_outliers")))
+                 F.max(F.when(inside, F.col("value"))).alias("whisker_hi"), F.count_if(~inside).alias("n_outliers")))
 
 
 def category_counts(df: DataFrame, cols: list[str], max_levels: int = 20) -> DataFrame:

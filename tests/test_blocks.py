@@ -1,4 +1,6 @@
 """Ordered blocks against pandas, with a key, a time or a value that holds a third of the rows."""
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 from quayside.operators import aggregates, features, sampling, windows
 from quayside.plans import blocks as B
 from quayside.plans.levels import category_levels, fetch_small
+from quayside.plans import quantiles
 from quayside.plans.quantiles import exact_quantiles
 
 
@@ -72,10 +75,11 @@ def test_blocks_follow_order_and_stay_small(frame, skewed):
     assert max(numbers.count(b) for b in set(numbers)) < len(rows) / 3  # the hot time alone is a third
 
 
-@pytest.mark.parametrize("blocks", [None, 2, 5])
+@pytest.mark.parametrize("bins", [2, 16, quantiles.BINS])
 @pytest.mark.parametrize("keys", [[], ["key"]])
-def test_exact_quantiles(frame, skewed, keys, blocks):
-    got = exact_quantiles(frame, keys, "v", {"a": 0.25, "b": 0.5, "c": 0.9, "lo": 0.0, "hi": 1.0}, blocks)
+def test_exact_quantiles(frame, skewed, keys, bins, monkeypatch):
+    monkeypatch.setattr(quantiles, "BINS", bins)
+    got = exact_quantiles(frame, keys, "v", {"a": 0.25, "b": 0.5, "c": 0.9, "lo": 0.0, "hi": 1.0})
     rows = skewed.dropna(subset=[*keys, "v"]).assign(v=lambda d: d["v"].astype(float))
     for r in got.collect():
         mine = rows if not keys else rows[rows["key"] == r.key]
@@ -83,6 +87,31 @@ def test_exact_quantiles(frame, skewed, keys, blocks):
         assert [r.a, r.b, r.c, r.lo, r.hi] == pytest.approx(want)
 
 
+@pytest.mark.parametrize("bins", [8, quantiles.BINS])
+def test_exact_quantiles_of_odd_values(spark, bins, monkeypatch):
+    """Heavy tails, tiny numbers of both signs, infinities, a hot value, one row, no row."""
+    monkeypatch.setattr(quantiles, "BINS", bins)
+    rng = np.random.default_rng(3)
+    spread = np.exp(rng.normal(0, 40, 400)) * rng.choice([-1.0, 1.0], 400)
+    parts = {"tails": spread, "tiny": spread * 1e-290, "hot": np.where(np.arange(300) % 3 == 0, 7.0, rng.random(300)),
+             "ends": np.array([-np.inf, 1.0, 2.0, 1e308, -1e308, np.inf, np.inf]), "one": np.array([3.5])}
+    rows = [(k, float(x)) for k, values in parts.items() for x in values] + [("none", float("nan")), (None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    shares = {"a": 0.0, "b": 1 / 3, "c": 0.5, "d": 0.75, "e": 1.0}
+    got = {r.k: r for r in exact_quantiles(df, ["k"], "x", shares, also={"n": F.count("x"), "top": F.max("x")}).collect()}
+    assert set(got) == set(parts)
+    for k, values in parts.items():
+        ordered, last = np.sort(values), len(values) - 1
+        assert (got[k].n, got[k].top) == (len(values), ordered[-1])
+        for name, share in shares.items():
+            lo, hi = ordered[math.floor(last * share)], ordered[math.ceil(last * share)]
+            want = lo + (hi - lo) * (last * share % 1)
+            assert got[k][name] == pytest.approx(want, rel=1e-12, abs=0, nan_ok=True), (k, name)
+    empty = exact_quantiles(df.filter("k = 'none'"), [], "x", {"a": 0.5}).collect()
+    assert [tuple(r) for r in empty] == [(None,)]
+    assert exact_quantiles(df.filter("k = 'none'"), ["k"], "x", {"a": 0.5}).collect() == []
+
+
 @pytest.mark.parametrize("blocks", [1, 5])
 def test_rolling_count_is_open_on_the_left(spark, blocks):
     rows = [(1, "2024-01-01 00:00:00"), (2, "2024-01-08 00:00:00"), (3, "2024-01-07 23:59:59.999999"),
