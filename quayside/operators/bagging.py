@@ -8,12 +8,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.classification import RandomForestClassifier
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from quayside.functions.scalars import stable_hash
+from quayside.operators.forest import Tree, grow_forest
 from quayside.operators.metrics import classification_metrics
+from quayside.plans.sums import matrix
 from quayside.sources import stored, to_features
 
 #: P(X <= k) of a Poisson number with mean 1, up to where a 52-bit number can't tell it from 1.
@@ -30,47 +33,48 @@ def with_bags(df: DataFrame, key: str, trees: int, seed: int, out: str = "bag")
     return df.withColumn(out, F.transform(draws, lambda u: F.size(F.filter(upto, lambda p: p <= u))))
 
 
-def fit_bagged(rows: DataFrame, label: str, trees: int, seed: int, max_depth: int, weight: str | None, at_once) -> list:
-    """A tree per sample, on rows with ``features`` and ``bag``; ``at_once`` runs several fits side by side.
+def fit_bagged(rows: DataFrame, label: str, trees: int, seed: int, max_depth: int, weight: str | None,
+               chosen=map) -> list[Tree]:
+    """A tree per sample, on rows with ``features`` and ``bag``; all grow in the same passes over the rows.
 
-    A split looks at the square root of the number of features. A tree whose sample is empty is an error of Spark's.
+    ``chosen(fn, numbers)`` maps over the numbers of the trees that are wanted, all by default. A split looks at the
+    square root of the number of features. An empty sample is an error.
     """
-    def fit(t: int):
-        times = F.col("bag")[t] * (F.lit(1.0) if weight is None else F.col(weight))
-        sample = rows.withColumn("bag_weight", times.cast("double")).filter("bag_weight > 0")
-        return RandomForestClassifier(
-            numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt", maxDepth=max_depth, seed=seed + t,
-            featuresCol="features", labelCol=label, weightCol="bag_weight", probabilityCol=f"tree_{t}",
-            predictionCol="", rawPredictionCol="").fit(sample)
+    numbers = list(chosen(lambda t: t, range(trees)))
+    width = rows.select(F.max(F.size("bag"))).first()[0] or 0
+    return grow_forest(rows, label, weight, numbers, seed, max_depth, None,
+                       lambda batch: matrix(batch.column(3), width)[:, numbers], ["bag"])
 
-    return at_once(fit, range(trees))
 
-
-def out_of_bag(rows: DataFrame, trees: list) -> DataFrame:
+def out_of_bag(rows: DataFrame, trees: list[Tree]) -> DataFrame:
     """Add ``votes``, the number of trees that haven't seen the row, ``score``, their mean probability of class 1, and
     ``prediction``. A row that all trees have seen has no score and no prediction."""
-    out = rows
-    for tree in trees:
-        out = tree.transform(out)
-    names = [tree.getProbabilityCol() for tree in trees]
-    votes = F.array(*[F.when(F.col("bag")[t] == 0, vector_to_array(name)[1]) for t, name in enumerate(names)])
-    # One list a row, so that each tree is walked once.
-    judged = F.transform(F.array(F.filter(votes, lambda v: v.isNotNull())), lambda v: F.struct(
-        F.size(v).alias("votes"),
-        F.try_divide(F.aggregate(v, F.lit(0.0), lambda a, x: a + x), F.size(v)).alias("score")))[0]
-    return (out.withColumn("judged", judged).drop(*names)
-            .withColumns({"votes": F.col("judged.votes"), "score": F.col("judged.score"),
-                          "prediction": (F.col("judged.score") > 0.5).cast("double")}).drop("judged"))
+    shares = [t.shares[:, 1] for t in trees]
+
+    @F.pandas_udf("votes int, score double")
+    def judge(features: pd.Series, bags: pd.Series) -> pd.DataFrame:
+        votes, total = np.zeros(len(features), np.int32), np.zeros(len(features))
+        if len(features):
+            x, unseen = np.stack(features.to_numpy()).astype(float), np.stack(bags.to_numpy()) == 0
+            for t, share in zip(trees, shares):
+                here = np.flatnonzero(unseen[:, t.number])
+                votes[here] += 1
+                total[here] += share[t.leaves(x[here])]
+        return pd.DataFrame({"votes": votes, "score": total / np.maximum(votes, 1)})
+
+    judged = rows.withColumn("judged", judge(vector_to_array("features"), "bag"))
+    score = F.when(F.col("judged.votes") > 0, F.col("judged.score"))
+    return (judged.withColumns({"votes": F.col("judged.votes"), "score": score})
+            .withColumn("prediction", (F.col("score") > 0.5).cast("double")).drop("judged"))
 
 
 def oob_rows(df: DataFrame, features: list[str], label: str, key: str, trees: int, weight: str | None, seed: int,
-             max_depth: int, cached, at_once) -> DataFrame:
+             max_depth: int) -> DataFrame:
     """The labelled rows of ``df`` as (key, label, votes, score, prediction), one of a forest that is fitted on them."""
     used = [c for c in (key, label, weight) if c is not None]
     rows = stored(with_bags(to_features(df.filter(F.col(label).isNotNull()), features).withColumn(
         label, F.col(label).cast("double")), key, trees, seed).select("features", "bag", *used), "bags")
-    with cached(rows) as held:
-        found = fit_bagged(held, label, trees, seed, max_depth, weight, at_once)
+    found = fit_bagged(rows, label, trees, seed, max_depth, weight)
     return stored(out_of_bag(rows, found).select(key, label, "votes", "score", "prediction"), "oob")
 
 

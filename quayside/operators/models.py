@@ -12,7 +12,7 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
@@ -21,14 +21,15 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quayside.functions.scalars import str_startswith
-from quayside.operators.bagging import oob_metrics, oob_rows
+from quayside.operators.bagging import POISSON, oob_metrics, oob_rows
 from quayside.operators.clusters import first_centres, fit_many_kmeans, judge_centres, point_rows
 from quayside.operators.features import fold_assign, split_random
+from quayside.operators.forest import Forest, grow_forest, poisson_bags
 from quayside.operators.logistic import Fit, Fitted, arrayed, fit_many, score_many
 from quayside.operators.metrics import classification_metrics, regression_metrics
 from quayside.operators.sampling import top_bottom_k
 from quayside.operators.windows import rank_results
-from quayside.sources import new_path, to_features
+from quayside.sources import stored, to_features
 
 SEED = 48
 
@@ -222,12 +223,18 @@ def feature_cost_choice(train: DataFrame, test: DataFrame, features: list[str],
 
 def fit_forest(train: DataFrame, features: list[str], label: str, trees: int = 100, weight: str | None = None,
                seed: int = SEED, max_depth: int = 30):
-    """Random forest classifier, with row weights if a weight column is named. Depth 30 is the deepest Spark grows."""
-    forest = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees, seed=seed,
-                                    maxDepth=max_depth)
-    if weight is not None:
-        forest.setWeightCol(weight)
-    return forest.fit(to_features(train, features))
+    """Random forest classifier, with row weights if a weight column is named. All trees grow in the same passes.
+
+    Each tree takes a row as often as a Poisson number with mean 1 says, and at each split looks at the square root of the
+    number of features (a single tree at all).
+    """
+    used = [label] if weight is None else [label, weight]
+    rows = stored(to_features(train, features).select("features", *used, F.monotonically_increasing_id().alias("_row")),
+                  "forest-rows")
+    numbers = list(range(trees))
+    found = grow_forest(rows, label, weight, numbers, seed, max_depth, len(features) if trees == 1 else None,
+                        lambda batch: poisson_bags(batch.column(3).to_numpy(), numbers, seed, POISSON), ["_row"])
+    return Forest(found, len(features))
 
 
 def forest_importances(model, features: list[str]) -> DataFrame:
@@ -245,14 +252,13 @@ def forest_holdout_score(df: DataFrame, features: list[str], label: str, key: st
 
 
 def forest_oob_rows(df: DataFrame, features: list[str], label: str, key: str, trees: int = 100,
-                    weight: str | None = None, seed: int = SEED, max_depth: int = 30, parallelism: int = 8) -> DataFrame:
+                    weight: str | None = None, seed: int = SEED, max_depth: int = 30) -> DataFrame:
     """(key, label, votes, score, prediction) of each labelled row, from the trees of a forest that haven't seen it.
 
     ``key`` names the rows: those with the same key are in the same samples. A row that every tree has seen, which with
     few trees happens, has 0 votes and no score.
     """
-    return oob_rows(df, features, label, key, trees, weight, seed, max_depth, _cached,
-                    lambda fn, items: _at_once(fn, items, parallelism))
+    return oob_rows(df, features, label, key, trees, weight, seed, max_depth)
 
 
 def forest_oob_score(df: DataFrame, features: list[str], label: str, key: str, trees: int = 100,
@@ -266,17 +272,11 @@ def forest_oob_score(df: DataFrame, features: list[str], label: str, key: str, t
 
 def forest_nodes(model) -> DataFrame:
     """The nodes of a forest as rows: tree, id, left, right, feature, threshold, share of class 1."""
-    spark = SparkSession.active()
-    path = new_path(spark, "forest")
-    model.write().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    n = "nodeData"
-    stats = F.col(f"{n}.impurityStats")
-    return nodes.select(
-        F.col("treeID").alias("tree"), F.col(f"{n}.id").alias("id"), F.col(f"{n}.leftChild").alias("left"),
-        F.col(f"{n}.rightChild").alias("right"), F.col(f"{n}.split.featureIndex").alias("feature"),
-        F.get(f"{n}.split.leftCategoriesOrThreshold", 0).alias("threshold"),
-        (stats[1] / (stats[0] + stats[1])).alias("share"))
+    table = pd.concat([pd.DataFrame({
+        "tree": t.number, "id": np.arange(len(t.id)), "left": t.left, "right": t.right, "feature": t.feature,
+        "threshold": t.threshold, "share": t.shares[:, 1]}) for t in model.trees])
+    return SparkSession.active().createDataFrame(
+        table, "tree int, id int, left int, right int, feature int, threshold double, share double")
 
 
 def forest_contributions(model, df: DataFrame, features: list[str]) -> DataFrame:
@@ -285,8 +285,8 @@ def forest_contributions(model, df: DataFrame, features: list[str]) -> DataFrame
     Every step of a row down a tree changes the share of class 1; the change belongs to the feature that was
     split on. The trees (sized by the model, not by the data) go to the tasks; the rows stay where they are.
     """
-    trees = [part.sort_values("id") for _, part in forest_nodes(model).toPandas().groupby("tree")]
-    shape = [{c: t[c].to_numpy() for c in ("left", "right", "feature", "threshold", "share")} for t in trees]
+    shape = [{"left": t.left, "right": t.right, "feature": t.feature, "threshold": t.threshold, "share": t.shares[:, 1]}
+             for t in model.trees]
     prior = float(np.mean([t["share"][0] for t in shape]))
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
