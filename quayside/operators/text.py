@@ -12,7 +12,9 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -27,6 +29,7 @@ from quayside.sources import stored
 
 MAX_TERMS = 1_000_000
 MAX_PHRASES = 200_000  # that are sent to the tasks
+MERGED_ROWS = 1_000  # whose words are merged at once
 
 
 def _words(min_len: int) -> str:
@@ -89,29 +92,56 @@ def apply_phrases(df: DataFrame, doc: str, tokens: str, phrases: DataFrame) -> D
     Words are merged inside each row, by the set of the phrases, if there are at most MAX_PHRASES of them; more are
     joined word by word. Rows stay rows, also those with the same id.
     """
-    known = {(r.a, r.b) for r in phrases.select("a", "b").limit(MAX_PHRASES + 1).collect()}
-    if len(known) > MAX_PHRASES:
+    known = phrases.select("a", "b").limit(MAX_PHRASES + 1).toArrow()
+    if known.num_rows > MAX_PHRASES:
         return _apply_by_join(df.select(doc, tokens), doc, tokens, phrases)
+    names = pc.unique(pa.chunked_array([*known["a"].chunks, *known["b"].chunks], known["a"].type)).cast(pa.string())
+    a, b = [_numbers(known[c].combine_chunks(), names) for c in ("a", "b")]
+    pairs = np.unique(a * len(names) + b)
 
-    @F.pandas_udf("array<string>")
-    def merge(lists: pd.Series) -> pd.Series:
-        return pd.Series([_merged(words, known) for words in lists], dtype=object)
+    @F.arrow_udf("array<string>")
+    def merge(lists: pa.Array) -> pa.Array:
+        return _merged_in_slices(lists, names, pairs)
 
     return df.select(doc, merge(F.coalesce(tokens, F.array().cast("array<string>"))).alias(tokens))
 
 
-def _merged(words, known: set) -> list[str]:
-    out, last = [], None  # the last word, unless it is a merged pair
-    for word in words:
-        if word is None:
-            continue
-        if (last, word) in known:
-            out[-1] = f"{last}_{word}"
-            last = None
-        else:
-            out.append(word)
-            last = word
-    return out
+def _numbers(words: pa.Array, names: pa.Array) -> np.ndarray:
+    """The place of each word among the names, -1 for another word."""
+    return pc.fill_null(pc.index_in(words.cast(pa.string()), value_set=names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _merged_in_slices(lists: pa.Array, names: pa.Array, pairs: np.ndarray) -> pa.Array:
+    """``_merged`` slice by slice, so that the numbers beside the words stay few."""
+    merged = [_merged(lists.slice(i, MERGED_ROWS), names, pairs) for i in range(0, len(lists), MERGED_ROWS)]
+    return pa.concat_arrays(merged) if merged else pa.array([], pa.list_(pa.string()))
+
+
+def _merged(lists: pa.Array, names: pa.Array, pairs: np.ndarray) -> pa.Array:
+    """Lists of words with the pairs merged; ``pairs`` are sorted, the first word's number times the names and the second's.
+
+    In a row of pairs that overlap, greedy merging takes the 1st, 3rd, 5th …
+    """
+    row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+    words = lists.flatten()
+    if words.null_count:
+        row, words = row[words.is_valid().to_numpy(zero_copy_only=False)], words.drop_null()
+    code = _numbers(words, names)
+    hit = np.zeros(len(words), bool)
+    if len(words) > 1 and len(pairs):
+        key = np.where((code[:-1] >= 0) & (code[1:] >= 0) & (row[:-1] == row[1:]), code[:-1] * len(names) + code[1:], -1)
+        hit[:-1] = pairs[np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)] == key
+    at = np.arange(len(words))
+    start = np.maximum.accumulate(np.where(hit & ~np.append(False, hit[:-1]), at, 0)) if len(words) else at
+    merges = hit & ((at - start) % 2 == 0)
+    kept = ~np.append(False, merges[:-1])[:len(words)]
+    first = np.flatnonzero(merges)
+    out = words.cast(pa.string()).filter(pa.array(kept))
+    if len(first):
+        joined = pc.binary_join_element_wise(words.take(first).cast(pa.string()), words.take(first + 1).cast(pa.string()), "_")
+        out = pc.replace_with_mask(out, pa.array(merges[kept]), joined)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row[kept], minlength=len(lists)))])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), out)
 
 
 def _apply_by_join(df: DataFrame, doc: str, tokens: str, phrases: DataFrame) -> DataFrame:

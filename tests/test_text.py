@@ -2,6 +2,8 @@
 import math
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +122,30 @@ def test_rows_without_words_have_empty_vectors(spark):
     assert none.count() == 0
     assert X.bag_of_words(df, "doc", "tokens", none).count() == X.tfidf(df, "doc", "tokens", none).count() == 0
     assert [r.features.size for r in X.tfidf_vectors(df, "tokens", none).collect()] == [0] * 4
+
+
+def test_phrases_of_large_batches_take_little_memory():
+    """The words of a batch of 10,000 rows are never Python objects, which take some 300 MB."""
+    import tracemalloc
+    words = pa.array([f"w{i % 5000}" for i in range(4_000_000)], pa.string())
+    lists = pa.ListArray.from_arrays(pa.array(range(0, 4_000_001, 400), pa.int32()), words)
+    tracemalloc.start()
+    try:
+        got = X._merged_in_slices(lists, pa.array(["w7", "w8", "w9"]), np.array([1, 5]))
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
+    assert len(got) == 10_000 and got[0].as_py()[6:9] == ["w6", "w7_w8", "w9"]
+
+
+def test_merging_lists_as_word_by_word():
+    import random
+    rng = random.Random(5)
+    for _ in range(60):
+        pairs = {(rng.choice("abcd"), rng.choice("abcd")) for _ in range(rng.randrange(6))}
+        lists = [[rng.choice(["a", "b", "c", "d", "x", None]) for _ in range(rng.randrange(12))] for _ in range(9)]
+        names = pa.array(sorted({w for p in pairs for w in p}), pa.string())
+        place = {w: i for i, w in enumerate(names.to_pylist())}
+        keys = np.array(sorted(place[a] * len(names) + place[b] for a, b in pairs), np.int64)
+        got = X._merged(pa.array([["z"], *lists], pa.list_(pa.string())).slice(1), names, keys).to_pylist()
+        assert got == [greedy([w for w in t if w is not None], pairs) for t in lists]
