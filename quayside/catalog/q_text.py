@@ -140,9 +140,10 @@ def _(spark, sf):
 
 
 def topics(spark, sf):
-    docs = tokens(spark, sf)
+    # Words and vectors are stored: both are read several times.
+    docs = stored(tokens(spark, sf).select("doc_id", "lang", "source", "tokens"), "tokens")
     vocab = X.build_vocabulary(docs, "tokens")
-    vectors = X.tfidf_vectors(docs, "tokens", vocab)
+    vectors = stored(X.tfidf_vectors(docs, "tokens", vocab), "vectors")
     return X.fit_lda(vectors, topics=10, passes=4), vectors, vocab
 
 
