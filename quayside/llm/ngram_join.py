@@ -356,14 +356,16 @@ def ngram_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     least = sets.join(nodes.select("node", "doc_id", "text_hash"), ["node", "doc_id", "text_hash"])
     able = stored(sharing_nodes(least.dropDuplicates(["node"]), percent), "able")
     clusters = components(cluster_links(able, percent), "clusters")
-    keyed = block_keys(nodes.select("node", "size").join(clusters, "node"), percent)
-    blocks = keyed.select("node", "root", "keys").join(nodes.select("node", "doc_id", "text_hash"), "node")
+    # Small tables are stored between the steps, so that no plan has the ones before in it several times.
+    rooted = stored(nodes.select("node", "size").join(clusters, "node"), "rooted")
+    blocks = stored(block_keys(rooted, percent).select("node", "root", "keys")
+                    .join(nodes.select("node", "doc_id", "text_hash"), "node"), "blocks")
     links = stored(verified_links(docs, blocks, n, percent), "verified")
     found = components(links, "components").join(nodes.select("node", "doc_id", "text_hash"), "node")
     firsts = found.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
     linked = found.select("node", "root").join(firsts, "root").select("node", "first")
-    of_node = (nodes.select("node", F.struct("doc_id", "text_hash").alias("own")).join(linked, "node", "left")
-               .select("node", F.coalesce("first", "own").alias("first")))
+    of_node = stored(nodes.select("node", F.struct("doc_id", "text_hash").alias("own")).join(linked, "node", "left")
+                     .select("node", F.coalesce("first", "own").alias("first")), "classes")
     rows = sets.select("doc_id", "text_hash", "node", F.col("size").alias("n_shingles")).join(of_node, "node", "left")
     first = F.when(F.col("n_shingles") > 0, F.col("first")).otherwise(F.struct("doc_id", "text_hash"))
     return rows.select("doc_id", "text_hash", "n_shingles", first["doc_id"].alias("first_id"),
