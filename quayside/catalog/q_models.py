@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 from quayside.catalog.fixtures import FEATURES, labelled_once, scaled_labelled
 from quayside.catalog.registry import query
 from quayside.operators import features as X, models as L, sampling as P
-from quayside.sources import read_table
+from quayside.sources import read_table, stored
 
 
 def _split(spark, sf):
-    """Train and test rows, both scaled by the statistics of the train rows."""
+    """Train and test rows, both scaled by the statistics of the train rows.
+
+    The ranking that splits them is run once for each part, not anew for each pass of a fit.
+    """
     parts = X.split_random(labelled_once(spark, sf), "doc_id", 0.25, label="quality")
-    params = X.z_score_params(parts[0], FEATURES)
+    parts = [stored(part, name) for part, name in zip(parts, ("train", "test"))]
+    params = stored(X.z_score_params(parts[0], FEATURES), "scales")
     return [X.z_score(part, FEATURES, params).fillna(0.0, subset=FEATURES) for part in parts]
 
 
