@@ -76,11 +76,12 @@ def _split(rows: DataFrame, by: list[str], cells: DataFrame, by_magnitude: bool)
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-                    also: dict[str, Column] | None = None) -> DataFrame:
+                    blocks: int | None = None, *, also: dict[str, Column] | None = None) -> DataFrame:
     """One row per key with one column per entry of ``probs`` (name -> share).
 
     ``also`` are other aggregates (name -> column over ``value``) for the first scan to take along; the result has
-    them too. Rows with a null key or a null or NaN value take no part; without keys and rows the result is one row of
+    them too. ``blocks`` may be given as to the functions of ``blocks.py``; no rows are sorted here, so it has no effect.
+    Rows with a null key or a null or NaN value take no part; without keys and rows the result is one row of
     nulls. The cells are stored from scan to scan, and the scans run when the function is called.
     """
     number = F.nanvl(F.col(value).cast("double"), F.lit(None))
