@@ -358,8 +358,8 @@ def ngram_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     clusters = components(cluster_links(able, percent), "clusters")
     # Small tables are stored between the steps, so that no plan has the ones before in it several times.
     rooted = stored(nodes.select("node", "size").join(clusters, "node"), "rooted")
-    blocks = stored(block_keys(rooted, percent).select("node", "root", "keys")
-                    .join(nodes.select("node", "doc_id", "text_hash"), "node"), "blocks")
+    blocks = block_keys(rooted, percent).select("node", "root", "keys").join(
+        nodes.select("node", "doc_id", "text_hash"), "node")
     links = stored(verified_links(docs, blocks, n, percent), "verified")
     found = components(links, "components").join(nodes.select("node", "doc_id", "text_hash"), "node")
     firsts = found.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
