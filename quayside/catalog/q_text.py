@@ -75,7 +75,7 @@ WITH {TOKENS}, {PHRASES}, {MERGED}, {_phrases_sql("merged", "2")}, {_merged_sql(
 SELECT doc_id, array_to_string(list_concat(toks.tokens, list_filter(coalesce(merged2.tokens, []),
   lambda t: contains(t, '_'))), ' ') AS tokens FROM toks LEFT JOIN merged2 USING (doc_id)""")
 def _(spark, sf):
-    return X.add_phrases(tokens(spark, sf), "doc_id", "tokens").select(
+    return X.add_phrases(tokens(spark, sf).drop("text"), "doc_id", "tokens").select(
         "doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 

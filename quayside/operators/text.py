@@ -24,11 +24,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quayside.functions.scalars import stable_hash
 from quayside.operators.sampling import top_bottom_k
+from quayside.operators.word_pairs import count_pairs
 from quayside.plans.levels import fetch_small
 from quayside.sources import stored
 
 MAX_TERMS = 1_000_000
-MAX_PHRASES = 200_000  # that are sent to the tasks
+MAX_PHRASES = 4_000_000  # that are sent to the tasks, as 8 bytes each beside their words
 MERGED_ROWS = 1_000  # whose words are merged at once
 
 
@@ -64,21 +65,20 @@ def _pairs(df: DataFrame, tokens: str, *keep: str) -> DataFrame:
     ).filter(F.col("token").isNotNull())
 
 
-def find_phrases(df: DataFrame, tokens: str, min_count: int = 20, threshold: float = 10.0) -> DataFrame:
+def find_phrases(df: DataFrame, tokens: str, min_count: int = 20, threshold: float = 10.0,
+                 after: DataFrame | None = None) -> DataFrame:
     """(a, b, n, score) of adjacent (non-empty) words with n >= min_count and a score above the threshold.
 
-    score = (n - min_count) * V / (n_a * n_b), V being the number of different words and pairs.
+    score = (n - min_count) * V / (n_a * n_b), V being the number of different words and pairs. With phrases to come
+    ``after``, the words are counted as ``apply_phrases`` merges them, in the task that counts.
     """
-    # Every word is the first half of one pair, the last of a document with nothing after it. So the counted
-    # pairs hold the word counts too, and the corpus is read and shuffled once. "Nothing" is an empty word here and
-    # is tested together with n: a test on b alone would be pushed below the group-by and make it a second one.
-    pairs = (_pairs(df, tokens).groupBy(F.col("token").alias("a"), F.coalesce("next", F.lit("")).alias("b"))
-             .agg(F.count(F.lit(1)).alias("n")))
-    n_pair = F.when(F.col("b") != "", F.col("n"))
-    words = pairs.groupBy("a").agg(F.sum("n").alias("n_word"))
-    size = (words.agg(F.count_if(F.col("n_word") > 0).alias("n")).scalar()
-            + pairs.agg(F.count_if(n_pair > 0).alias("n")).scalar())
-    frequent = pairs.filter(n_pair >= min_count)
+    merge = None if after is None else _merger(after)
+    if after is not None and merge is None:
+        df = apply_phrases(df.select(F.lit(0).alias("_doc"), F.col(tokens)), "_doc", tokens, after)
+    counted = stored(count_pairs(df, tokens, min_count, merge), "pairs")
+    size = counted.filter(F.col("a").isNull()).agg(F.sum("n")).scalar()
+    frequent = counted.filter(F.col("b").isNotNull())
+    words = counted.filter(F.col("b").isNull() & F.col("a").isNotNull()).select("a", F.col("n").alias("n_word"))
     left = words.withColumnRenamed("n_word", "n_a")
     right = words.select(F.col("a").alias("b"), F.col("n_word").alias("n_b"))
     score = (F.col("n") - min_count) / F.col("n_a") / F.col("n_b") * F.col("_size")
@@ -92,41 +92,58 @@ def apply_phrases(df: DataFrame, doc: str, tokens: str, phrases: DataFrame) -> D
     Words are merged inside each row, by the set of the phrases, if there are at most MAX_PHRASES of them; more are
     joined word by word. Rows stay rows, also those with the same id.
     """
-    known = phrases.select("a", "b").limit(MAX_PHRASES + 1).toArrow()
-    if known.num_rows > MAX_PHRASES:
-        return _apply_by_join(df.select(doc, tokens), doc, tokens, phrases)
-    names = pc.unique(pa.chunked_array([*known["a"].chunks, *known["b"].chunks], known["a"].type)).cast(pa.string())
-    a, b = [_numbers(known[c].combine_chunks(), names) for c in ("a", "b")]
-    pairs = np.unique(a * len(names) + b)
+    merged = _merger(phrases)
+    if merged is None:
+        return stored(_apply_by_join(df.select(doc, tokens), doc, tokens, phrases), "merged", "zstd")
 
     @F.arrow_udf("array<string>")
     def merge(lists: pa.Array) -> pa.Array:
-        return _merged_in_slices(lists, names, pairs)
+        return merged(lists)
+
+    return df.select(doc, merge(F.col(tokens).cast("array<string>")).alias(tokens))
 
-    return df.select(doc, merge(F.coalesce(tokens, F.array().cast("array<string>"))).alias(tokens))
+
+def _merger(phrases: DataFrame) -> Callable[[pa.Array], pa.Array] | None:
+    """What merges lists of words; None for more than MAX_PHRASES."""
+    known = phrases.select("a", "b").limit(MAX_PHRASES + 1).toArrow()
+    if known.num_rows > MAX_PHRASES:
+        return None
+    names = pc.unique(pa.chunked_array([*known["a"].chunks, *known["b"].chunks], known["a"].type)).cast(pa.string())
+    a, b = [_numbers(pc.index_in(known[c].cast(pa.string()), value_set=names)) for c in ("a", "b")]
+    pairs = np.unique(a * len(names) + b)
+    return lambda lists: _merged_in_slices(lists, names, pairs)
 
 
-def _numbers(words: pa.Array, names: pa.Array) -> np.ndarray:
+def _numbers(places: pa.Array) -> np.ndarray:
     """The place of each word among the names, -1 for another word."""
-    return pc.fill_null(pc.index_in(words.cast(pa.string()), value_set=names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    return pc.fill_null(places, -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _merged_in_slices(lists: pa.Array, names: pa.Array, pairs: np.ndarray) -> pa.Array:
-    """``_merged`` slice by slice, so that the numbers beside the words stay few."""
-    merged = [_merged(lists.slice(i, MERGED_ROWS), names, pairs) for i in range(0, len(lists), MERGED_ROWS)]
+    """``_merged`` slice by slice, so that the numbers beside the words stay few; the names are indexed once."""
+    places = pc.index_in(lists.flatten().cast(pa.string()), value_set=names)
+    merged, start = [], 0
+    for i in range(0, len(lists), MERGED_ROWS):
+        part = lists.slice(i, MERGED_ROWS)
+        end = start + (pc.sum(pc.list_value_length(part)).as_py() or 0)
+        merged.append(_merged(part, names, pairs, places.slice(start, end - start)))
+        start = end
     return pa.concat_arrays(merged) if merged else pa.array([], pa.list_(pa.string()))
 
 
-def _merged(lists: pa.Array, names: pa.Array, pairs: np.ndarray) -> pa.Array:
+def _merged(lists: pa.Array, names: pa.Array, pairs: np.ndarray, places: pa.Array | None = None) -> pa.Array:
     """Lists of words with the pairs merged; ``pairs`` are sorted, the first word's number times the names and the second's.
 
-    In a row of pairs that overlap, greedy merging takes the 1st, 3rd, 5th …
+    In a row of pairs that overlap, greedy merging takes the 1st, 3rd, 5th … ``places`` are those of the words among the
+    names, if they are known.
     """
-    row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(lists)), sizes)
     words = lists.flatten()
+    code = _numbers(pc.index_in(words.cast(pa.string()), value_set=names) if places is None else places)
     if words.null_count:
-        row, words = row[words.is_valid().to_numpy(zero_copy_only=False)], words.drop_null()
-    code = _numbers(words, names)
+        there = words.is_valid().to_numpy(zero_copy_only=False)
+        row, code, words = row[there], code[there], words.drop_null()
     hit = np.zeros(len(words), bool)
     if len(words) > 1 and len(pairs):
         key = np.where((code[:-1] >= 0) & (code[1:] >= 0) & (row[:-1] == row[1:]), code[:-1] * len(names) + code[1:], -1)
@@ -173,13 +190,14 @@ def _apply_by_join(df: DataFrame, doc: str, tokens: str, phrases: DataFrame) ->
 def add_phrases(df: DataFrame, doc: str, tokens: str, min_count: int = 20, threshold: float = 10.0) -> DataFrame:
     """Append the two- and three-word phrases found to each document's words.
 
-    A first pass merges pairs; a second pass, counted on the merged words, merges again (``a_b_c``). The merged words
-    are read twice, so the rows are written out with them once.
+    A first pass merges pairs; a second pass, counted on the merged words, merges again (``a_b_c``). The rows are written
+    out once, and merged anew each time they are read: that is cheap, and merged words take as much room as the words.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    words = stored(df.select(row.alias("row"), F.col(tokens).alias("words")), "words")
-    merged = stored(apply_phrases(words, "row", "words", find_phrases(words, "words", min_count, threshold)), "merged")
-    again = apply_phrases(merged, "row", "words", find_phrases(merged, "words", min_count, threshold))
+    rows = stored(df, "words", "zstd")
+    words = rows.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(tokens).alias("words"))
+    first = stored(find_phrases(words, "words", min_count, threshold), "phrases")
+    second = find_phrases(words, "words", min_count, threshold, after=first)
+    again = apply_phrases(apply_phrases(words, "row", "words", first), "row", "words", second)
     extra = F.filter("words", lambda t: t.contains("_"))
     return again.select(*[(F.concat(F.col("row")[c], extra) if c == tokens else F.col("row")[c]).alias(c)
                           for c in df.columns])

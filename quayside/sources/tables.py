@@ -23,10 +23,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """The same rows, computed once and written to the shared folder, for a result that is read several times."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

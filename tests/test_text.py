@@ -7,7 +7,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.operators import text as X
+from quayside.operators import text as X, word_pairs as WP
+from quayside.sources.tables import new_path
 
 
 def docs(spark, lists):
@@ -149,3 +150,74 @@ def test_merging_lists_as_word_by_word():
         keys = np.array(sorted(place[a] * len(names) + place[b] for a, b in pairs), np.int64)
         got = X._merged(pa.array([["z"], *lists], pa.list_(pa.string())).slice(1), names, keys).to_pylist()
         assert got == [greedy([w for w in t if w is not None], pairs) for t in lists]
+
+
+def counted_literally(lists, least):
+    words = Counter(w for t in lists for w in t or [] if w is not None)
+    pairs = Counter((a, b) for t in lists for a, b in zip(t or [], (t or [])[1:]) if a is not None and b)
+    return len(words) + len(pairs), {k: n for k, n in [*(((w, None), n) for w, n in words.items()), *pairs.items()] if n >= least}
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 1_000_000])
+def test_packed_counts_as_counted_literally(spark, monkeypatch, at_once):
+    import random
+    rng = random.Random(at_once)
+    odd = ["", "é", "x" * 400, "a_b", "日本", *"abcde", *(f"w{i}" for i in range(300))]
+    lists = [None, [], [None], [""], ["", ""], ["a", None, "b"], ["a", "", "b"], ["a"] * 300] + [
+        [rng.choice([*odd, None]) if rng.random() < 0.5 else rng.choice("abc") for _ in range(rng.randrange(30))]
+        for _ in range(150)]
+    kind = pa.list_(pa.string())
+    cut = pa.array([["zz"], *lists], kind).slice(1)
+    monkeypatch.setattr(WP, "COUNTED_WORDS", at_once)
+    blocks = {}
+    for words, row in WP._chunks(iter([cut.slice(0, 40), cut.slice(40)])):
+        for bucket, *fields in WP._blocks(words, row, 5):
+            blocks.setdefault(bucket, []).append(fields)
+    rows = [r for b in blocks.values() for r in WP._counted(
+        pa.table([pa.array(c, pa.binary()) for c in zip(*b)], names=list(WP.FIELDS)), 3).to_pylist()]
+    size, want = counted_literally(lists, 3)
+    assert {(r["a"], r["b"]): r["n"] for r in rows if r["a"] is not None} == want
+    assert sum(r["n"] for r in rows if r["a"] is None) == size
+    if at_once == 7:
+        got = WP.count_pairs(docs(spark, lists), "tokens", 3).collect()
+        assert {(r.a, r.b): r.n for r in got if r.a is not None} == want and sum(r.n for r in got if r.a is None) == size
+
+
+def test_blocks_of_counts_are_small():
+    """A pair of a corpus of mostly different pairs takes a few bytes, not a row with both its words."""
+    rng = np.random.default_rng(3)
+    words = [f"{'aeiou'[i % 5]}{i * 2654435761 % 99991:x}ing" for i in range(20_000)]
+    text = pa.array([words[i] for i in np.minimum(rng.zipf(1.2, 400_000) - 1, 19_999)])
+    blocks = list(WP._blocks(text, np.arange(400_000) // 400, 32))
+    pairs = sum(len(WP._unpacked(b[3])) for b in blocks)
+    assert pairs > 100_000 and sum(len(f) for b in blocks for f in b[1:]) < 8 * pairs
+
+
+def test_phrases_after_phrases_are_those_of_merged_words(spark, monkeypatch):
+    lists = [["big", "red", "dog", f"w{i}", None] for i in range(30)] + [[f"v{i}", f"u{i}"] for i in range(300)] + [[], None]
+    df = docs(spark, lists)
+    first = X.find_phrases(df, "tokens", 5, 2.0)
+    want = sorted(X.find_phrases(X.apply_phrases(df, "doc", "tokens", first), "tokens", 5, 2.0).collect())
+    assert [(r.a, r.b) for r in want] == [("big_red", "dog")]
+    assert sorted(X.find_phrases(df, "tokens", 5, 2.0, after=first).collect()) == want
+    monkeypatch.setattr(X, "MAX_PHRASES", 0)
+    assert sorted(X.find_phrases(df, "tokens", 5, 2.0, after=first).collect()) == want
+    monkeypatch.undo()
+    none = X.apply_phrases(df, "doc", "tokens", first.filter("n < 0")).collect()  # without phrases words stay
+    assert {r.doc: r.tokens for r in none} == {i: [w for w in t or [] if w is not None] for i, t in enumerate(lists)}
+
+
+def test_added_phrases_store_the_rows_once(spark, tmp_path):
+    """Not their words twice beside them, and again when they are merged."""
+    import os
+    import random
+    rng = random.Random(8)
+    lists = [[f"w{rng.randrange(90_000)}" for _ in range(100)] for _ in range(1_000)]
+    df = docs(spark, lists).withColumn("other", F.array_join("tokens", "-"))
+    df.write.parquet(f"{tmp_path}/rows")
+    size = lambda folder: sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(folder) for f in names)
+    scratch = os.path.dirname(new_path(spark, "x")).removeprefix("file:")
+    before = size(scratch)
+    got = X.add_phrases(df, "doc", "tokens")
+    assert size(scratch) - before < 1.2 * size(f"{tmp_path}/rows")
+    assert got.columns == df.columns and {r.doc: r.tokens for r in got.collect()} == dict(enumerate(lists))
